@@ -185,7 +185,7 @@ def read_silver(
     version = current_version(spark, lake, "silver") if version is None else version
     schema = silver_table_schema(contract)
     return (
-        spark.read.schema(schema.add(BATCH, T.LongType()))
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())]))
         .parquet(lake.silver(version))
         .select(*schema.fieldNames())
     )

@@ -25,15 +25,21 @@ def small_side(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 def in_active_window(facts: DataFrame, audit: DataFrame, month: str = "pickup_year_month") -> DataFrame:
     """Rows of the latest complete run's window, both ends included.
 
-    The bounds are scalar subqueries: with ``facts`` partitioned by ``month`` they prune
+    The bounds are a scalar subquery: with ``facts`` partitioned by ``month`` it prunes
     partitions, and a view over this frame follows new runs.
     """
-    run = latest_complete_run(audit)
-    return facts.where(
-        F.col(month).between(
-            run.select("start_year_month").scalar(), run.select("end_year_month").scalar()
-        )
-    )
+    first, last = active_window(audit)
+    return facts.where(F.col(month).between(first, last))
+
+
+def active_window(audit: DataFrame) -> tuple[Column, Column]:
+    """First and last month of the latest complete run; NULL if there is none.
+
+    Both bounds are fields of one subquery, which therefore runs once.
+    """
+    bounds = F.struct("start_year_month", "end_year_month").alias("bounds")
+    run = latest_complete_run(audit).select(bounds).scalar()
+    return run["start_year_month"], run["end_year_month"]
 
 
 def trip_projection(silver: DataFrame) -> DataFrame:

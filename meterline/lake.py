@@ -70,8 +70,10 @@ class Lake:
 def ensure(spark: SparkSession, lake: Lake) -> None:
     """Create the bookkeeping tables that do not exist yet; existing ones stay untouched."""
 
-    def create(path: str, ddl: str | T.StructType) -> None:
-        spark.createDataFrame([], ddl).coalesce(1).write.mode("ignore").parquet(path)
+    def create(path: str, schema: str | T.StructType) -> None:
+        fields = T.StructType.fromDDL(schema).fields if isinstance(schema, str) else schema.fields
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+        spark.range(0, 0, 1, 1).select(*none).write.mode("ignore").parquet(path)
 
     create(lake.versions, VERSION_DDL)
     create(lake.audit, LANDING_AUDIT_SCHEMA)

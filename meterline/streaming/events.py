@@ -6,10 +6,10 @@ import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.lake import EVENT_DDL, Lake
+from meterline.lake import Lake
 
 CREATE_UPDATE = "create_update"
 FLOW_PROGRESS = "flow_progress"
@@ -19,20 +19,26 @@ PIPELINE_DONE = "pipeline_done"
 OBSERVED_EVENTS = (FLOW_PROGRESS, EXPECTATION_METRICS, PIPELINE_DONE)
 
 
-def event(event_type: str, message: str, details: dict, update_id: str) -> tuple:
-    now = datetime.now(timezone.utc)
-    return (now, event_type, message, json.dumps(details), (update_id,))
+def event(event_type: str, message: str, details: dict, update_id: str) -> Column:
+    """One event as a literal struct with the fields of ``EVENT_DDL``."""
+    return F.struct(
+        F.lit(datetime.now(timezone.utc)).cast("timestamp").alias("timestamp"),
+        F.lit(event_type).alias("event_type"),
+        F.lit(message).alias("message"),
+        F.lit(json.dumps(details)).alias("details"),
+        F.struct(F.lit(update_id).alias("update_id")).alias("origin"),
+    )
 
 
-def emit(spark: SparkSession, lake: Lake, key: str, events: Sequence[tuple]) -> None:
+def emit(spark: SparkSession, lake: Lake, key: str, events: Sequence[Column]) -> None:
     """Write a handful of events under ``key``; a replay under the same key replaces them."""
-    rows = spark.createDataFrame(list(events), EVENT_DDL).coalesce(1)
-    rows.write.mode("overwrite").parquet(f"{lake.events}/key={key}")
+    rows = spark.range(1).select(F.explode(F.array(*events)).alias("e")).select("e.*")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{lake.events}/key={key}")
 
 
 def flow_events(
     flow: str, batch_id: int | None, rows: int, metrics: list[dict], update_id: str
-) -> list[tuple]:
+) -> list[Column]:
     """Row count and rule counters of one write."""
     where = {"flow": flow} if batch_id is None else {"flow": flow, "batch_id": batch_id}
     return [

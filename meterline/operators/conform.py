@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,9 +64,28 @@ def conform(
         ),
         *[F.col(c) for c in (*LINEAGE_COLUMNS, *keep)],
     ]
-    if track_cast_loss:
-        lost = F.lit(False)
-        for c in contract.columns:
-            lost = lost | (F.col(c.source).isNotNull() & F.col(c.source).try_cast(c.type).isNull())
-        projection.append(lost.alias(CAST_LOSS_COLUMN))
-    return bronze.select(*projection)
+    if not track_cast_loss:
+        return bronze.select(*projection)
+
+    # Sources of lossy casts ride along one projection further, so each cast runs once.
+    raw = {c.name: f"_raw_{c.name}" for c in contract.columns if _may_lose(bronze, c)}
+    sources = [F.col(contract.column(name).source).alias(alias) for name, alias in raw.items()]
+    rows = bronze.select(*projection, *sources)
+    lost = [F.col(alias).isNotNull() & F.col(name).isNull() for name, alias in raw.items()]
+    flag = reduce(lambda a, b: a | b, lost, F.lit(False))
+    kept = [c for c in rows.columns if c not in raw.values()]
+    return rows.select(*kept, flag.alias(CAST_LOSS_COLUMN))
+
+
+# Casts that keep every value.
+LOSSLESS = {
+    ("int", "bigint"),
+    ("int", "double"),
+    ("timestamp_ntz", "timestamp"),
+}
+
+
+def _may_lose(bronze: DataFrame, spec: ColumnSpec) -> bool:
+    types = {f.name.lower(): f.dataType.simpleString() for f in bronze.schema.fields}
+    pair = (types[spec.source.lower()], spec.type.lower().replace(" ", ""))
+    return pair[0] != pair[1] and pair not in LOSSLESS

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.contract import LINEAGE_COLUMNS, RESCUED_COLUMN
+from meterline.sources.footers import FileSchema
 
 # Type changes a column may make on its own (narrow -> wider).
 WIDENINGS = {
@@ -86,7 +87,7 @@ class ReadGroup:
 
 
 def read_groups(
-    table: T.StructType, anchors: Iterable[str], files: Sequence[tuple[str, T.StructType]]
+    table: T.StructType, anchors: Iterable[str], files: Sequence[FileSchema]
 ) -> list[ReadGroup]:
     """As few scans as the drift allows.
 
@@ -97,11 +98,11 @@ def read_groups(
     anchors = tuple(anchors)
     paths = defaultdict(list)
     fields = {}
-    for path, schema in files:
-        bad = misfits(table, anchors, schema)
-        key = tuple(sorted((f.name, f.dataType.json()) for f in bad))
-        paths[key].append(path)
-        fields.setdefault(key, tuple(sorted(bad, key=lambda f: f.name)))
+    for f in files:
+        bad = misfits(table, anchors, f.schema)
+        key = tuple(sorted((c.name, c.dataType.json()) for c in bad))
+        paths[key].append(f.path)
+        fields.setdefault(key, tuple(sorted(bad, key=lambda c: c.name)))
     return [ReadGroup(tuple(paths[k]), fields[k]) for k in sorted(paths)]
 
 
@@ -139,7 +140,7 @@ def scan_drifted(
     spark: SparkSession,
     table: T.StructType,
     anchors: Iterable[str],
-    files: Sequence[tuple[str, T.StructType]],
+    files: Sequence[FileSchema],
 ) -> DataFrame:
     """One frame over all files, whatever their schemas; ``table`` must already cover them."""
     groups = read_groups(table, anchors, files)

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-FOOTER_DDL = "path string, schema string, error string"
+FOOTER_DDL = "path string, length bigint, schema string, error string"
+INFERENCE_THREADS = 16
 
 
 def read_footers(files: DataFrame) -> DataFrame:
-    """``(path, schema, error)`` per file; ``schema`` is a Spark schema as JSON.
+    """``(path, length, schema, error)`` per file; ``schema`` is a Spark schema as JSON.
 
     Only footers are fetched. A file whose store the workers cannot open, or whose types
     have no Spark counterpart, gets an ``error`` instead of a schema.
@@ -41,33 +45,39 @@ def read_footers(files: DataFrame) -> DataFrame:
 
         for batch in batches:
             rows = []
-            for path in batch["path"]:
+            for path, length in zip(batch["path"], batch["length"], strict=True):
                 try:
-                    rows.append((path, open_schema(path), None))
+                    rows.append((path, length, open_schema(path), None))
                 except Exception as exc:  # reported per file, resolved by the caller
-                    rows.append((path, None, f"{type(exc).__name__}: {exc}"))
-            yield pd.DataFrame(rows, columns=["path", "schema", "error"])
+                    rows.append((path, length, None, f"{type(exc).__name__}: {exc}"))
+            yield pd.DataFrame(rows, columns=["path", "length", "schema", "error"])
 
-    return files.select("path").mapInPandas(footer_batches, FOOTER_DDL)
+    return files.select("path", "length").mapInPandas(footer_batches, FOOTER_DDL)
 
 
-def file_schemas(spark: SparkSession, files: DataFrame) -> list[tuple[str, T.StructType]]:
-    """``(path, schema)`` of every file in ``files``, ordered by path.
+class FileSchema(NamedTuple):
+    path: str
+    schema: T.StructType
+    length: int = 0
+
+
+def file_schemas(spark: SparkSession, files: DataFrame) -> list[FileSchema]:
+    """Path, schema and size of every file in ``files``, ordered by path.
 
     One small row per file comes to the driver, which needs the paths anyway to plan the
     scan; callers bound the number of files. Files the workers could not open are read
-    by Spark's own schema inference.
+    by Spark's own schema inference, several at a time.
     """
-    found = []
-    known: dict[str, T.StructType] = {}
-    for row in read_footers(files).collect():
-        if row["schema"] is None:
-            schema = spark.read.parquet(row["path"]).schema
-        else:
-            schema = known.get(row["schema"])
-            if schema is None:
-                import json
-
-                schema = known[row["schema"]] = T.StructType.fromJson(json.loads(row["schema"]))
-        found.append((row["path"], schema))
-    return sorted(found, key=lambda item: item[0])
+    rows = read_footers(files).collect()
+    texts = {r["schema"] for r in rows if r["schema"]}
+    known = {text: T.StructType.fromJson(json.loads(text)) for text in texts}
+    found = [FileSchema(r["path"], known[r["schema"]], r["length"]) for r in rows if r["schema"]]
+    unopened = [r for r in rows if not r["schema"]]
+    if unopened:
+        with ThreadPoolExecutor(INFERENCE_THREADS) as pool:
+            schemas = pool.map(lambda r: spark.read.parquet(r["path"]).schema, unopened)
+            found += [
+                FileSchema(r["path"], schema, r["length"])
+                for r, schema in zip(unopened, schemas, strict=True)
+            ]
+    return sorted(found, key=lambda f: f.path)

@@ -27,17 +27,20 @@ from meterline.operators.rules import (
     raw_rules,
 )
 from meterline.sources.drifted import evolve, scan_drifted
-from meterline.sources.footers import file_schemas
+from meterline.sources.footers import FileSchema, file_schemas
 from meterline.streaming.events import emit, flow_events
 
+SMALL_FILE_BYTES = 32 << 20
+
 
 @dataclass(frozen=True)
 class IngestConfig:
     """``max_files_per_batch`` bounds what one micro-batch plans on the driver.
 
-    ``clustered_files`` says that each landing file holds (almost) one event month, as
-    monthly files do; then the canonical write needs no shuffle. Otherwise rows are
-    rebalanced by month first.
+    ``clustered_files`` says whether a task that scans landing files sees few event months.
+    Large monthly files do: then the canonical write needs no shuffle. Otherwise rows are
+    rebalanced by month first. Left open, batches of small files, many of which share a
+    task, are rebalanced and thereby compacted; batches of large files are not.
     """
 
     landing_dir: str
@@ -45,7 +48,7 @@ class IngestConfig:
     contract: TableContract = TRIPS
     rules: tuple[Rule, ...] = TRIP_RULES
     max_files_per_batch: int = 5_000
-    clustered_files: bool = True
+    clustered_files: bool | None = None
 
 
 def discover(spark: SparkSession, config: IngestConfig) -> DataFrame:
@@ -68,15 +71,15 @@ def write_raw_batch(
     batch_id: int,
     files: DataFrame,
     update_id: str,
-) -> bool:
-    """Append one batch of files to the raw table. False if the batch holds no files."""
+) -> list[FileSchema]:
+    """Append one batch of files to the raw table; returns the files of the batch."""
     found = file_schemas(spark, files)
     if not found:
-        return False
+        return found
     lake, contract = config.lake, config.contract
     anchors = contract.hint_schema()
     before = store.bronze_schema(spark, lake, version, before=batch_id)
-    schema = evolve(before, anchors.fieldNames(), [s for _, s in found])
+    schema = evolve(before, anchors.fieldNames(), [f.schema for f in found])
     contract.validate_required_columns(schema.fieldNames(), case_sensitive=False)
     raw = scan_drifted(spark, schema, anchors.fieldNames(), found)
     rules = raw_rules(contract)
@@ -94,7 +97,7 @@ def write_raw_batch(
             "bronze", batch_id, counts[ROWS_METRIC], observed_metrics(rules, counts), update_id
         ),
     )
-    return True
+    return found
 
 
 def write_silver(
@@ -104,6 +107,7 @@ def write_silver(
     silver_version: int,
     update_id: str,
     batch_id: int | None = None,
+    clustered: bool = False,
 ) -> None:
     """Canonical rows of one batch, or of the whole raw table, in a single pass.
 
@@ -114,7 +118,7 @@ def write_silver(
     batches = None if batch_id is None else [batch_id]
     bronze = store.read_bronze(spark, lake, bronze_version, batches)
     rows = conform(bronze, contract, track_cast_loss=True, keep=(BATCH,))
-    if not config.clustered_files:
+    if not clustered:
         rows = store.rebalance(rows, BATCH, contract.event_month)
     rules = config.rules + CAST_LOSS_RULE
     seen = Observation()
@@ -160,8 +164,17 @@ def ingest(
     store.start_bronze_schema(spark, lake, bronze_version, config.contract.hint_schema())
 
     def process(files: DataFrame, batch_id: int) -> None:
-        if write_raw_batch(spark, config, bronze_version, batch_id, files, update_id):
-            write_silver(spark, config, bronze_version, silver_version, update_id, batch_id)
+        found = write_raw_batch(spark, config, bronze_version, batch_id, files, update_id)
+        if found:
+            write_silver(
+                spark,
+                config,
+                bronze_version,
+                silver_version,
+                update_id,
+                batch_id,
+                clustered=_clustered(config, found),
+            )
 
     query = (
         discover(spark, config)
@@ -177,6 +190,12 @@ def ingest(
     return {"bronze": bronze_version, "silver": silver_version}
 
 
+def _clustered(config: IngestConfig, files: list[FileSchema]) -> bool:
+    if config.clustered_files is not None:
+        return config.clustered_files
+    return sum(f.length for f in files) >= len(files) * SMALL_FILE_BYTES
+
+
 def rebuild_silver(spark: SparkSession, config: IngestConfig, update_id: str) -> int:
     """Recompute the canonical table from all raw rows as a new version, then publish it."""
     lake = config.lake

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import shutil
 
@@ -15,7 +16,7 @@ from meterline.contract import ColumnSpec, SchemaContractError, TableContract, T
 from meterline.lake import Lake
 from meterline.operators.rules import expect, expect_all_or_drop
 from meterline.sources.drifted import evolve, misfits, read_groups, scan_drifted
-from meterline.sources.footers import file_schemas
+from meterline.sources.footers import FileSchema, file_schemas
 from meterline.streaming import events as log
 from meterline.streaming import ingest as stream
 from meterline.streaming.ingest import IngestConfig, ingest, rebuild_silver
@@ -198,13 +199,20 @@ def test_rebuild_equals_the_incremental_table(spark, config, three_months):
     assert ids(store.read_silver(spark, config.lake, CONTRACT)) == list(range(36))
 
 
-def test_unclustered_files_are_rebalanced_to_the_same_table(spark, root, config, three_months):
-    ingest(spark, config, "u1")
-    other = IngestConfig(
-        config.landing_dir, Lake(f"{root}/lake2"), CONTRACT, RULES, clustered_files=False
-    )
-    ingest(spark, other, "u1")
-    assert ids(store.read_silver(spark, other.lake, CONTRACT)) == list(range(30))
+@pytest.mark.parametrize("clustered", [True, False])
+def test_rebalanced_or_not_the_table_is_the_same(spark, config, three_months, clustered):
+    fixed = dataclasses.replace(config, clustered_files=clustered)
+    ingest(spark, fixed, "u1")
+    assert ids(store.read_silver(spark, config.lake, CONTRACT)) == list(range(30))
+    counted = log.rule_counters(store.read_events(spark, config.lake)).where("flow = 'silver'")
+    assert {r["passed_records"] + r["failed_records"] for r in counted.collect()} == {30}
+
+
+def test_small_files_are_compacted_and_large_ones_written_as_they_come(config):
+    small, large = FileSchema("a", schema("a INT"), 1 << 20), FileSchema("b", schema("a INT"), 1 << 30)
+    assert not stream._clustered(config, [small, small])
+    assert stream._clustered(config, [large, small])
+    assert stream._clustered(dataclasses.replace(config, clustered_files=True), [small])
 
 
 def test_rules_drop_and_count(spark, config):
@@ -304,9 +312,9 @@ def test_new_column_with_two_types_takes_the_first_and_rescues_the_other():
 
 def test_groups_follow_retypings_not_files():
     table = schema("a BIGINT, b DOUBLE, c STRING")
-    files = [(f"f{i}", schema("a INT, b DOUBLE")) for i in range(50)]
-    files += [(f"g{i}", schema("A BIGINT, B DOUBLE, c STRING")) for i in range(50)]
-    files += [(f"h{i}", schema("a INT, b BIGINT")) for i in range(50)]
+    files = [FileSchema(f"f{i}", schema("a INT, b DOUBLE")) for i in range(50)]
+    files += [FileSchema(f"g{i}", schema("A BIGINT, B DOUBLE, c STRING")) for i in range(50)]
+    files += [FileSchema(f"h{i}", schema("a INT, b BIGINT")) for i in range(50)]
     groups = read_groups(table, [], files)
     assert sorted((len(g.paths), tuple(f.name for f in g.misfits)) for g in groups) == [
         (50, ("b",)),
@@ -373,8 +381,8 @@ def test_unreadable_footers_fall_back_to_spark(spark, root, monkeypatch):
     spark.range(3).write.parquet(f"{root}/f")
     files = spark.read.format("binaryFile").load(f"{root}/f/*.parquet")
     failing = files.select(
-        "path", F.lit(None).cast("string").alias("schema"), F.lit("no store").alias("error")
+        "path", "length", F.lit(None).cast("string").alias("schema"), F.lit("no store").alias("error")
     )
     monkeypatch.setattr(footers, "read_footers", lambda _: failing)
     found = file_schemas(spark, files)
-    assert {s.simpleString() for _, s in found} == {"struct<id:bigint>"}
+    assert {f.schema.simpleString() for f in found} == {"struct<id:bigint>"}

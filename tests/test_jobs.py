@@ -155,6 +155,56 @@ def test_seed_reload_is_idempotent(spark, config, ingested, dim_csv):
     assert spark.read.parquet(config.lake.locations).count() == len(DIM_ROWS)
 
 
-def test_no_month_of_the_table_is_one_huge_file(spark, config, ingested):
-    files = glob.glob(f"{config.lake.silver(0)}/batch_id=*/pickup_year_month=*/*.parquet")
-    assert len(files) >= 80
+def test_a_hot_month_is_many_tasks_and_cold_months_are_one_file(spark, tmp_path):
+    """Nine rows in ten belong to one month: rebalancing splits it and merges the rest."""
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 10 > 0, "2023-01")
+        .otherwise(F.concat(F.lit("2022-1"), F.col("id") % 3))
+        .alias("m"),
+        F.rand(1).alias("v"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "300k")
+    try:
+        store.write_by_month(store.rebalance(rows, "m"), str(tmp_path / "t"), ["m"])
+    finally:
+        spark.conf.unset(key)
+    files = {m: len(glob.glob(f"{tmp_path}/t/m={m}/*.parquet")) for m in ("2023-01", "2022-10")}
+    assert files["2023-01"] >= 4 and files["2022-10"] == 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
+
+
+def test_registered_views_equal_the_frames(spark, config, ingested, dim_csv):
+    from meterline.plans import catalog
+    from meterline.sources.tables import read_table
+
+    store.load_seed(jobs.read_csv_dimension(spark, dim_csv), config.lake.locations)
+    for _ in range(2):
+        catalog.register_tables(spark, config, "lab_marts")
+        catalog.publish_marts(spark, "lab_marts", "2000-02")
+    audit = store.read_audit(spark, config.lake)
+    stored = read_table(spark, "landing_audit", "marts", prefix="lab_")
+    assert stored.columns == audit.columns
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, audit.collect()))
+    silver = store.read_silver(spark, config.lake, config.contract)
+    built = jobs.build_marts(silver, audit, spark.read.parquet(config.lake.locations), "2000-02")
+    for name, frame in vars(built).items():
+        view = read_table(spark, name, "marts", prefix="lab_")
+        assert view.dtypes == frame.dtypes, name
+        assert sorted(map(repr, view.collect())) == sorted(map(repr, frame.collect())), name
+    seen = read_table(spark, "pipeline_observability", "marts", prefix="lab_")
+    expected = log.observability(store.read_events(spark, config.lake))
+    assert seen.count() == expected.count() > 0
+    plan = spark.table("lab_marts.monthly_avg_total_amount")._jdf.queryExecution()
+    assert "PartitionFilters: [isnotnull(pickup_year_month" in plan.executedPlan().toString()
+
+
+def test_registered_trips_follow_the_published_version(spark, config, ingested):
+    from meterline.plans import catalog
+    from meterline.streaming.ingest import rebuild_silver
+
+    before = spark.table("lab_marts.trips").count()
+    rebuild_silver(spark, config, "again")
+    catalog.register_tables(spark, config, "lab_marts")
+    assert spark.table("lab_marts.trips").count() == before
+    assert spark.table("lab_marts.trips").inputFiles()[0].count(f"silver/v{1}/") == 1

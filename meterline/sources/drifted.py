@@ -6,6 +6,7 @@ left NULL and its values go to ``_rescued_data`` as JSON, so nothing is lost.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -106,13 +107,18 @@ def read_groups(
     return [ReadGroup(tuple(paths[k]), fields[k]) for k in sorted(paths)]
 
 
+def literal_path(path: str) -> str:
+    """``path`` with glob characters escaped: it names one file, not a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def scan_group(spark: SparkSession, table: T.StructType, group: ReadGroup) -> DataFrame:
     """All table columns, ``_rescued_data`` and lineage of one group of files."""
     bad = {f.name.lower(): f for f in group.misfits}
     physical = T.StructType(
         [f for f in table.fields if f.name.lower() not in bad] + list(group.misfits)
     )
-    rows = spark.read.schema(physical).parquet(*group.paths)
+    rows = spark.read.schema(physical).parquet(*[literal_path(p) for p in group.paths])
     path = F.col("_metadata.file_path")
     columns = [
         (F.lit(None).cast(f.dataType) if f.name.lower() in bad else F.col(f"`{f.name}`")).alias(

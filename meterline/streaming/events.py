@@ -37,15 +37,20 @@ def emit(spark: SparkSession, lake: Lake, key: str, events: Sequence[Column]) ->
 
 
 def flow_events(
-    flow: str, batch_id: int | None, rows: int, metrics: list[dict], update_id: str
+    flow: str,
+    batch_id: int | None,
+    rows: int,
+    metrics: list[dict],
+    update_id: str,
+    **volume: int,
 ) -> list[Column]:
-    """Row count and rule counters of one write."""
+    """Row count, input volume and rule counters of one write."""
     where = {"flow": flow} if batch_id is None else {"flow": flow, "batch_id": batch_id}
     return [
         event(
             FLOW_PROGRESS,
             f"{flow}: {rows} rows",
-            {**where, "status": "COMPLETED", "num_output_rows": rows},
+            {**where, "status": "COMPLETED", "num_output_rows": rows, **volume},
             update_id,
         ),
         event(
@@ -76,6 +81,21 @@ def latest_update_id(events: DataFrame) -> DataFrame:
     )
 
 
+def input_volume(events: DataFrame, flow: str) -> DataFrame:
+    """Files and bytes a flow has read over all its logged writes: one row."""
+
+    def number(name: str) -> Column:
+        return F.get_json_object("details", f"$.{name}").cast("long")
+
+    progress = (F.col("event_type") == FLOW_PROGRESS) & (
+        F.get_json_object("details", "$.flow") == flow
+    )
+    return events.where(progress).agg(
+        F.sum(number("num_input_files")).alias("files"),
+        F.sum(number("num_input_bytes")).alias("bytes"),
+    )
+
+
 EXPECTATION_TYPE = (
     "ARRAY<STRUCT<name: STRING, severity: STRING, passed_records: BIGINT, failed_records: BIGINT>>"
 )

@@ -28,7 +28,7 @@ from meterline.operators.rules import (
 )
 from meterline.sources.drifted import evolve, scan_drifted
 from meterline.sources.footers import FileSchema, file_schemas
-from meterline.streaming.events import emit, flow_events
+from meterline.streaming.events import emit, flow_events, input_volume
 
 SMALL_FILE_BYTES = 32 << 20
 
@@ -87,14 +87,21 @@ def write_raw_batch(
     observe_rules(raw, rules, seen).write.mode("overwrite").parquet(
         lake.bronze(version, "data", f"{BATCH}={batch_id}")
     )
-    store.write_bronze_schema(spark, lake, version, batch_id, schema)
+    if schema != before:  # a replay finds the same files and comes to the same schema
+        store.write_bronze_schema(spark, lake, version, batch_id, schema)
     counts = seen.get
     emit(
         spark,
         lake,
         f"bronze-v{version}-{batch_id}",
         flow_events(
-            "bronze", batch_id, counts[ROWS_METRIC], observed_metrics(rules, counts), update_id
+            "bronze",
+            batch_id,
+            counts[ROWS_METRIC],
+            observed_metrics(rules, counts),
+            update_id,
+            num_input_files=len(found),
+            num_input_bytes=sum(f.length for f in found),
         ),
     )
     return found
@@ -173,7 +180,7 @@ def ingest(
                 silver_version,
                 update_id,
                 batch_id,
-                clustered=_clustered(config, found),
+                clustered=_clustered(config, len(found), sum(f.length for f in found)),
             )
 
     query = (
@@ -190,10 +197,10 @@ def ingest(
     return {"bronze": bronze_version, "silver": silver_version}
 
 
-def _clustered(config: IngestConfig, files: list[FileSchema]) -> bool:
+def _clustered(config: IngestConfig, files: int, size: int) -> bool:
     if config.clustered_files is not None:
         return config.clustered_files
-    return sum(f.length for f in files) >= len(files) * SMALL_FILE_BYTES
+    return size >= files * SMALL_FILE_BYTES
 
 
 def rebuild_silver(spark: SparkSession, config: IngestConfig, update_id: str) -> int:
@@ -201,7 +208,9 @@ def rebuild_silver(spark: SparkSession, config: IngestConfig, update_id: str) ->
     lake = config.lake
     bronze_version = store.current_version(spark, lake, "bronze")
     version = store.start_version(spark, lake, "silver")
-    write_silver(spark, config, bronze_version, version, update_id)
+    files, size = input_volume(store.read_events(spark, lake), "bronze").first()
+    clustered = _clustered(config, files or 0, size or 0)
+    write_silver(spark, config, bronze_version, version, update_id, clustered=clustered)
     store.publish_version(spark, lake, "silver", version)
     return version
 

@@ -209,10 +209,33 @@ def test_rebalanced_or_not_the_table_is_the_same(spark, config, three_months, cl
 
 
 def test_small_files_are_compacted_and_large_ones_written_as_they_come(config):
-    small, large = FileSchema("a", schema("a INT"), 1 << 20), FileSchema("b", schema("a INT"), 1 << 30)
-    assert not stream._clustered(config, [small, small])
-    assert stream._clustered(config, [large, small])
-    assert stream._clustered(dataclasses.replace(config, clustered_files=True), [small])
+    assert not stream._clustered(config, 2, 2 << 20)
+    assert stream._clustered(config, 2, 1 << 30)
+    assert stream._clustered(dataclasses.replace(config, clustered_files=True), 2, 2)
+
+
+def test_input_volume_is_logged(spark, config, three_months):
+    ingest(spark, config, "u1")
+    volume = log.input_volume(store.read_events(spark, config.lake), "bronze").first()
+    assert volume["files"] == 3 and volume["bytes"] > 1000
+
+
+def test_schema_is_recorded_only_when_it_changes(spark, config):
+    for i in (1, 2, 3):
+        land(spark, config.landing_dir, f"2023-0{i}", JANUARY if i < 3 else MARCH, [i])
+        ingest(spark, config, f"u{i}")
+    recorded = store.read(spark, config.lake.bronze(0, "schema"), store.SCHEMA_DDL)
+    assert sorted(r["batch_id"] for r in recorded.collect()) == [-1, 0, 2]
+    assert ids(store.read_bronze(spark, config.lake)) == [1, 2, 3]
+
+
+def test_odd_file_names_are_taken_literally(spark, config):
+    path = land(spark, config.landing_dir, "2023-01", JANUARY, range(3))
+    [part] = _files(path)
+    shutil.move(part, f"{path}/part [a] {{b}} x.parquet")
+    _drop_checksums(path)
+    ingest(spark, config, "u1")
+    assert ids(store.read_silver(spark, config.lake, CONTRACT)) == [0, 1, 2]
 
 
 def test_rules_drop_and_count(spark, config):

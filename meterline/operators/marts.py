@@ -116,23 +116,31 @@ def decimal_mean(total: Column, count: Column) -> Column:
     return quotient.cast("decimal(14,6)")
 
 
-def flow_matrix(trips: DataFrame, dim: DataFrame) -> DataFrame:
-    """Trips and mean amount per pickup and dropoff borough, NULL boroughs kept.
-
-    Trips are first summed per pair of location ids, so only pairs, not trips, meet the
-    dimension; the borough sums follow from the pair sums.
-    """
-    pairs = trips.groupBy("pickup_location_id", "dropoff_location_id").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("total_amount").alias("_amount"),
-        F.count("total_amount").alias("_amounts"),
+def location_pairs(trips: DataFrame) -> DataFrame:
+    """Trips and amounts per pair of location ids; a small frame that answers for all trips."""
+    return trips.groupBy("pickup_location_id", "dropoff_location_id").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum("total_amount").alias("amount"),
+        F.count("total_amount").alias("amounts"),
     )
+
+
+def flows_of_pairs(pairs: DataFrame, dim: DataFrame) -> DataFrame:
     return (
         _join_roles(pairs, small_side(dim), "borough")
         .groupBy("pickup_borough", "dropoff_borough")
         .agg(
-            F.sum("_n").alias("trip_count"),
-            decimal_mean(F.sum("_amount"), F.sum("_amounts")).alias("avg_total_amount"),
+            F.sum("trips").alias("trip_count"),
+            decimal_mean(F.sum("amount"), F.sum("amounts")).alias("avg_total_amount"),
         )
         .orderBy(F.desc("trip_count"))
     )
+
+
+def flow_matrix(trips: DataFrame, dim: DataFrame) -> DataFrame:
+    """Trips and mean amount per pickup and dropoff borough, NULL boroughs kept.
+
+    Trips are first summed per pair of location ids, so only pairs, not trips, meet the
+    dimension; the borough sums follow from the pair sums.
+    """
+    return flows_of_pairs(location_pairs(trips), dim)

@@ -16,8 +16,9 @@ from meterline.functions.months import expand_window
 from meterline.functions.outcomes import classify_probe, month_outcome
 from meterline.lake import Lake
 from meterline.operators import checks, marts, runs
-from meterline.sources.dims import read_csv_dimension
+from meterline.sources.dims import LOCATION_DDL, read_csv_dimension
 from meterline.sources.landing import file_inventory, landed_files
+from meterline.sources.tables import publish_view
 from meterline.streaming import events as log
 from meterline.streaming.ingest import IngestConfig, ingest
 
@@ -161,15 +162,14 @@ def run_ingestion(
         raise
     final_state("COMPLETED")
     complete_run(spark, lake, run.job_run_id)
-    log.observability(store.read_events(spark, lake)).createOrReplaceTempView(
-        "pipeline_observability"
-    )
+    publish_view(log.observability(store.read_events(spark, lake)), "pipeline_observability")
     return audit_row
 
 
 @dataclass(frozen=True)
 class Marts:
     consumption: DataFrame
+    location_pairs: DataFrame
     monthly_avg_total_amount: DataFrame
     hourly_avg_passenger_count: DataFrame
     flow_matrix: DataFrame
@@ -178,7 +178,7 @@ class Marts:
 def build_marts(
     silver: DataFrame, audit: DataFrame, dim: DataFrame, hourly_month: str = "2023-05"
 ) -> Marts:
-    """The four marts as lazy frames over the latest complete run's window.
+    """The marts as lazy frames over the latest complete run's window.
 
     Raises if no run is complete: an empty mart would look like an answer.
     """
@@ -186,12 +186,37 @@ def build_marts(
     trips = marts.trips_in_window(silver, audit)
     return Marts(
         consumption=marts.consumption(trips, dim),
+        location_pairs=marts.location_pairs(trips),
         monthly_avg_total_amount=marts.monthly_avg_total_amount(trips),
         hourly_avg_passenger_count=marts.hourly_avg_passenger_count(trips, hourly_month),
         flow_matrix=marts.flow_matrix(trips, dim),
     )
 
 
+def run_checks(
+    silver: DataFrame, built: Marts, dim: DataFrame, now: Column | None = None
+) -> list[Row]:
+    """Run every data test; raises :class:`~meterline.operators.checks.DataTestError`.
+
+    The aggregated marts are tested several times over, so they are kept while the tests
+    run (a lost executor only means computing its part again). Each costs one scan of the
+    window; the flows and the two relationship tests share the location pairs.
+    """
+    pairs = built.location_pairs.persist()
+    monthly = built.monthly_avg_total_amount.persist()
+    hourly = built.hourly_avg_passenger_count.persist()
+    kept = (pairs, monthly, hourly)
+    try:
+        flows = marts.flows_of_pairs(pairs, dim)
+        results = checks.trip_checks(
+            silver, built.consumption, pairs, monthly, hourly, flows, dim, now
+        )
+        return checks.enforce(checks.summarize(results))
+    finally:
+        for frame in kept:
+            frame.unpersist()
+
+
 def run_modelling(
     spark: SparkSession,
     config: IngestConfig,
@@ -199,27 +224,14 @@ def run_modelling(
     hourly_month: str = "2023-05",
     now: Column | None = None,
 ) -> tuple[Marts, list[Row]]:
-    """Load the dimension, publish the marts as views, run the data tests.
-
-    Raises :class:`~meterline.operators.checks.DataTestError` if an error-severity test
-    has failing rows.
-    """
+    """Load the dimension, publish the marts as session views, run the data tests."""
     session.pin(spark)
     lake = config.lake
     store.ensure(spark, lake)
     store.load_seed(read_csv_dimension(spark, dim_csv), lake.locations)
-    dim = spark.read.parquet(lake.locations)
+    dim = spark.read.schema(LOCATION_DDL).parquet(lake.locations)
     silver = store.read_silver(spark, lake, config.contract)
     built = build_marts(silver, store.read_audit(spark, lake), dim, hourly_month)
     for name, frame in vars(built).items():
-        frame.createOrReplaceTempView(name)
-    results = checks.trip_checks(
-        silver,
-        built.consumption,
-        built.monthly_avg_total_amount,
-        built.hourly_avg_passenger_count,
-        built.flow_matrix,
-        dim,
-        now,
-    )
-    return built, checks.enforce(checks.summarize(results))
+        publish_view(frame, name)
+    return built, run_checks(silver, built, dim, now)

@@ -217,7 +217,9 @@ def load_seed(dim: DataFrame, path: str) -> None:
 def write_by_month(
     df: DataFrame, path: str, partitions: Iterable[str], mode: str = "overwrite"
 ) -> None:
-    df.write.mode(mode).partitionBy(*partitions).parquet(path)
+    """Write below ``path`` by partition; ``overwrite`` replaces everything there."""
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partitions).parquet(path)
 
 
 def rebalance(df: DataFrame, *columns: str) -> DataFrame:

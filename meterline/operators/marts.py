@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.operators.runs import latest_complete_run
 
-# A dimension is broadcast only when a count shows it has at most this many rows
-# (four short columns: about 100 MB on the executors at the limit).
-BROADCAST_ROWS = 1_000_000
+# A dimension is broadcast only when measuring it shows that it stays below this size.
+BROADCAST_BYTES = 128 << 20
+ROW_BYTES = 128  # hash-table entry and fixed-width columns of one row, on the high side
+
+
+def measured_bytes(dim: DataFrame) -> int:
+    """Memory the rows of ``dim`` would take on an executor, by one distributed aggregate."""
+    texts = [f.name for f in dim.schema.fields if f.dataType.typeName() == "string"]
+    lengths = [F.coalesce(F.octet_length(name), F.lit(0)) for name in texts]
+    text = reduce(lambda a, b: a + b, lengths, F.lit(0)).cast("long")
+    rows, text_bytes = dim.agg(F.count(F.lit(1)), F.sum(text)).first()
+    return rows * ROW_BYTES + (text_bytes or 0)
 
 
-def small_side(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``dim`` with a broadcast hint if it is proven small, else unchanged.
+def small_side(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``dim`` with a broadcast hint if it measures small, else unchanged.
 
-    The count stops after ``max_rows + 1`` rows. An unhinted join shuffles, and the
-    adaptive planner splits its hot keys.
+    An unhinted join shuffles, and the adaptive planner splits its hot keys.
     """
-    within = dim.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if within else dim
+    return F.broadcast(dim) if measured_bytes(dim) <= max_bytes else dim
 
 
 def in_active_window(facts: DataFrame, audit: DataFrame, month: str = "pickup_year_month") -> DataFrame:

@@ -197,12 +197,20 @@ def file_month_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STATUS_CODES = (200, 204, 299, 301, 404, 503)
 ERROR_NAMES = ("ReadTimeout", "ConnectTimeout", "SSLError", "ConnectionError")
-CODE_SQL = "CASE %s % 6 " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(STATUS_CODES)) + " END"
-ERROR_SQL = "CASE %s % 4 " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(ERROR_NAMES)) + " END"
 
 
-def _sql_of(template: str, key: str) -> str:
-    return template.replace("%s", key, 1)
+def _case_sql(key: str, *values: str) -> str:
+    """The SQL counterpart of :func:`_pick`."""
+    whens = " ".join(f"WHEN {i} THEN {value}" for i, value in enumerate(values))
+    return f"CASE {key} % {len(values)} {whens} END"
+
+
+def _code_sql(key: str) -> str:
+    return _case_sql(key, *[str(code) for code in STATUS_CODES])
+
+
+def _error_sql(key: str) -> str:
+    return _case_sql(key, *[f"'{name}'" for name in ERROR_NAMES])
 
 
 PROBE_STATUS_SQL = """CASE WHEN error_name LIKE '%Timeout%' THEN 'TIMEOUT'
@@ -214,8 +222,8 @@ PROBE_STATUS_SQL = """CASE WHEN error_name LIKE '%Timeout%' THEN 'TIMEOUT'
     "probe_classify",
     f"""
     WITH p AS (
-      SELECT event_id, {_sql_of(CODE_SQL, 'user_id')} AS code,
-             CASE WHEN event_type = 'error' THEN {_sql_of(ERROR_SQL, 'event_id')} END AS error_name
+      SELECT event_id, {_code_sql('user_id')} AS code,
+             CASE WHEN event_type = 'error' THEN {_error_sql('event_id')} END AS error_name
       FROM events)
     SELECT event_id, {PROBE_STATUS_SQL} AS probe_status,
            CASE WHEN error_name IS NULL THEN CAST(code AS INT) END AS http_code
@@ -268,8 +276,8 @@ def _order_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 OUTCOMES_SQL = f"""
 attempts AS (
   SELECT o_orderkey AS seq, 'r' || o_custkey AS run_id, strftime(o_orderdate, '%Y-%m') AS month,
-         {_sql_of(CODE_SQL, 'o_orderkey')} AS code,
-         CASE WHEN o_orderpriority = '1-URGENT' THEN {_sql_of(ERROR_SQL, 'o_orderkey')} END
+         {_code_sql('o_orderkey')} AS code,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN {_error_sql('o_orderkey')} END
            AS error_name,
          o_orderstatus <> 'F' AS download_ok,
          CAST(floor(o_totalprice) AS BIGINT) AS written,

@@ -19,6 +19,7 @@ from meterline.plans.given import (
     LOCATIONS_SQL,
     RUNS_SQL,
     TRIPS_SQL,
+    customer_runs,
     mean_sql,
     nation_locations,
     raw_trips,
@@ -384,8 +385,6 @@ def pipeline_drift_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of the months any run asked for, or the half year after, have landed."""
-    from meterline.plans.given import customer_runs
-
     until = F.add_months(F.to_date(F.concat("end_year_month", F.lit("-01"))), 6)
     asked = (
         customer_runs(spark, sf_dir)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline import lake as store
-from meterline.contract import ColumnSpec, SchemaContractError, TableContract, TRIP_FILE_PATTERN
+from meterline.contract import TRIP_FILE_PATTERN, ColumnSpec, TableContract
 from meterline.lake import Lake
 from meterline.operators.rules import expect, expect_all_or_drop
 from meterline.sources.drifted import evolve, misfits, read_groups, scan_drifted

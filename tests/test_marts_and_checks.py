@@ -90,11 +90,16 @@ def test_dimension_is_broadcast_only_when_proven_small(spark, trips, dim):
     small = trips.join(marts.small_side(dim), F.col("pickup_location_id") == F.col("location_id"))
     assert "strategy=broadcast" in plan(small)
     large = trips.join(
-        marts.small_side(dim, max_rows=1), F.col("pickup_location_id") == F.col("location_id")
+        marts.small_side(dim, max_bytes=1), F.col("pickup_location_id") == F.col("location_id")
     )
     assert "strategy=broadcast" not in plan(large)
 
 
+def test_measured_size_grows_with_rows_and_text(spark, dim):
+    assert marts.measured_bytes(dim.limit(0)) == 0
+    assert marts.measured_bytes(dim) == 2 * marts.ROW_BYTES + len("QueensAstoriaBoroN/AUnknownN/A")
+
+
 def test_window_is_one_subquery(spark, sf_dir):
     silver = silver_trips(spark, sf_dir)
     plan = marts.in_active_window(silver, customer_runs(spark, sf_dir))

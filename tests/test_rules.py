@@ -5,6 +5,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from meterline.contract import TRIPS
+from meterline.lake import rebalance
 from meterline.operators import rules
 from meterline.plans.given import silver_trips
 
@@ -59,6 +60,15 @@ def test_filter_stays_above_the_counters(spark):
     assert text.index("Filter") < text.index("CollectMetrics")
 
 
+def test_counters_sit_in_the_stage_that_writes(spark):
+    """The shuffle comes first, so retried map tasks cannot count a row twice."""
+    rows = rebalance(spark.range(10), "id")
+    rule_set = rules.expect_all_or_drop({"even": "id % 2 = 0"})
+    plan = rules.apply_rules(rows, rule_set, Observation())._jdf.queryExecution()
+    text = plan.optimizedPlan().toString()
+    assert text.index("CollectMetrics") < text.index("RebalancePartitions")
+
+
 def test_unknown_severity_and_reserved_name_are_refused():
     with pytest.raises(ValueError, match="severity"):
         rules.Rule("r", "true", "fail")

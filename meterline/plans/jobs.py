@@ -17,7 +17,7 @@ from meterline.functions.outcomes import classify_probe, month_outcome
 from meterline.lake import Lake
 from meterline.operators import checks, marts, runs
 from meterline.sources.dims import LOCATION_DDL, read_csv_dimension
-from meterline.sources.landing import file_inventory, landed_files
+from meterline.sources.landing import ensure_landing, file_inventory, landed_files
 from meterline.sources.tables import publish_view
 from meterline.streaming import events as log
 from meterline.streaming.ingest import IngestConfig, ingest
@@ -141,6 +141,7 @@ def run_ingestion(
     session.pin(spark)
     lake = config.lake
     store.ensure(spark, lake)
+    ensure_landing(spark, config.landing_dir)
     audit_row = audit_landing(spark, lake, run, config.landing_dir, probe_log)
     if audit_row["status"] == "FAILED":
         raise LandingFailedError(audit_row["error_message"])

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from meterline.functions.paths import parse_volume_object_path
 
 
+def ensure_landing(spark: SparkSession, landing_dir: str) -> None:
+    """Create the landing folder if it is missing; an existing one stays untouched."""
+    nothing = spark.range(0, 0, 1, 1).select(F.lit("").alias("value"))
+    nothing.write.mode("ignore").text(landing_dir)
+
+
 def landed_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     """``(path, year_month, length, modification_time)`` of every landed parquet file.
 

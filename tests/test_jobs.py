@@ -12,6 +12,7 @@ from meterline import lake as store
 from meterline.lake import Lake
 from meterline.operators import checks, runs
 from meterline.plans import jobs
+from meterline.plans.given import raw_trips
 from meterline.plans.ingest_queries import land_trips
 from meterline.streaming import events as log
 from meterline.streaming.ingest import IngestConfig
@@ -140,6 +141,24 @@ def test_partial_run_completes_and_a_failed_one_raises(spark, landed, tmp_path):
     assert row["months_downloaded"] == ["2001-08"] and row["bytes_downloaded"] == 10
 
 
+def test_missing_landing_folder_is_a_failed_run_then_fills_up(spark, tmp_path):
+    config = IngestConfig(str(tmp_path / "landing"), Lake(str(tmp_path / "lake")))
+    run = jobs.RunInfo("2023-01", "2023-01", "r", "j", "u")
+    with pytest.raises(jobs.LandingFailedError, match="VOLUME_PREEXISTING"):
+        jobs.run_ingestion(spark, config, run)
+    assert store.read_audit(spark, config.lake).first()["status"] == "FAILED"
+    source = f"{tmp_path}/landing/year=2023/month=01/yellow_tripdata_2023-01.parquet"
+    raw_trips(spark, "/root/testdata/sf0.001").select(
+        *[c.source for c in config.contract.columns]
+    ).limit(50).write.parquet(source)
+    row = jobs.run_ingestion(spark, config, run)
+    assert row["status"] == "SUCCESS"
+    assert store.read_bronze(spark, config.lake).count() == 50
+    for _ in range(2):
+        jobs.ensure_landing(spark, config.landing_dir)
+    assert jobs.landed_files(spark, config.landing_dir).count() >= 1
+
+
 def test_failing_update_is_logged(spark, landed, tmp_path, monkeypatch):
     config = IngestConfig(landed, Lake(str(tmp_path)))
     monkeypatch.setattr(jobs, "ingest", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))

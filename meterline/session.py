@@ -35,10 +35,14 @@ def pin(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder below ``spark.checkpoint.dir``.
 
-    Executors must all see the folder, so a machine-local one is used only where the
-    session names none (tests on one machine).
+    Executors must all see the folder. A machine-local one is made only where the session
+    names none and driver and executors are one process, as in tests; elsewhere the setting
+    is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"meterline-{label}-")

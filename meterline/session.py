@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,3 +48,23 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not (master == "local" or master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"meterline-{label}-")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make this package importable in Python workers, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="meterline-"), "meterline_package.zip")
+        with zipfile.ZipFile(path, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        out.write(full, os.path.relpath(full, os.path.dirname(package)))
+        context.addPyFile(path)
+        _SHIPPED.add(context.applicationId)
+    return spark

@@ -41,7 +41,7 @@ class FrameWriter:
     def __init__(self, path: str, frame_ids: int = FRAME_IDS, level: int = 3):
         store, inner = file_system(path)
         store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-        self.out = store.open_output_stream(inner)
+        self.out = store.open_output_stream(inner, compression=None)
         self.frame_ids, self.zip = frame_ids, zstandard.ZstdCompressor(level=level)
         self.table: list[tuple[int, int, int]] = []
         self.waiting: list[np.ndarray] = []

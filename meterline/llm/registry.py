@@ -19,7 +19,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(session.pin(spark), sf_dir)
+            return fn(session.ship(session.pin(spark)), sf_dir)
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[name] = run

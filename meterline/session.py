@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that change results: wall-clock semantics and name matching.
 PINNED = {
@@ -50,6 +50,27 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return tempfile.mkdtemp(prefix=f"meterline-{label}-")
 
 
+# Deletes a query's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a scratch folder and read from there.
+
+    Cuts lineage in a way that survives lost executors, gives up the shuffle files behind it,
+    and lets adaptive execution see (and split) plain exchanges in later joins.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

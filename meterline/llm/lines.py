@@ -72,15 +72,13 @@ def _halves() -> Column:
 
 def earlier_lines(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The lines (doc, mark, line_no) that repeat an earlier one within the bound."""
-    spark = texts.sparkSession
+    kept = session.materialised
     place = F.struct(*PLACE)
     named = long_lines(texts, min_words).select(
         *PLACE, "words", "n", F.xxhash64("words").alias("h0"), F.xxhash64(F.lit(1), "words").alias("h1")
     )
     distinct = named.groupBy("h0", "h1").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    kept = session.scratch_dir(spark, "lines")
-    distinct.write.parquet(kept)
-    distinct = spark.read.parquet(kept)
+    distinct = kept(distinct, "lines")
     exact = (
         named.select(*PLACE, "h0", "h1")
         .join(distinct.filter("first < last").select("h0", "h1", "first"), ["h0", "h1"])
@@ -92,7 +90,7 @@ def earlier_lines(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared = (
         halves.groupBy("half").agg(F.min("h0").alias("a"), F.max("h0").alias("b")).filter("a < b").select("half")
     )
-    near = halves.join(shared, "half").select("h0").distinct()
+    near = halves.join(kept(shared, "halves"), "half").select("h0").distinct()
     todo = (
         distinct.join(near, "h0")
         .groupBy(F.col("first.doc").alias("doc"), F.col("first.mark").alias("mark"))
@@ -105,15 +103,11 @@ def earlier_lines(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .select(*PLACE, words_of(F.element_at("lines", F.col("line_no") + 1)).alias("words"))
         .dropDuplicates(PLACE)
     )
-    listed = session.scratch_dir(spark, "candidates")
-    candidates.write.parquet(listed)
-    candidates = spark.read.parquet(listed)
+    candidates = kept(candidates, "candidates")
     variants = _variants(candidates)
-    common = variants.groupBy("variant").count().filter("count > 1").select("variant")
-    matching = session.scratch_dir(spark, "variants")
-    variants.join(common, "variant").write.parquet(matching)
-    pairs = _earliest(spark.read.parquet(matching))
-    return exact.unionByName(_verified(pairs, candidates)).distinct()
+    common = kept(variants.groupBy("variant").count().filter("count > 1").select("variant"), "common")
+    pairs = _earliest(kept(variants.join(common, "variant"), "variants"))
+    return kept(exact.unionByName(_verified(pairs, candidates)).distinct(), "removed")
 
 
 def _variants(lines: DataFrame) -> DataFrame:

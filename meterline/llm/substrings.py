@@ -112,14 +112,13 @@ def find_windows(texts: DataFrame) -> DataFrame:
 def factors(texts: DataFrame) -> DataFrame:
     """Factors copied from earlier places: doc, mark, start (first window), windows,
     and the source's ref_doc, ref_mark, ref_start. ``texts`` holds doc, mark and text."""
-    spark = texts.sparkSession
-    seeds = find_blocks(texts).groupBy("seed").count().filter("count > 1").select("seed")
-    kept = session.scratch_dir(spark, "blocks")
-    # Repeated rows are judged once, and found twice in equal places: one is enough.
-    find_blocks(texts).join(seeds, "seed").write.parquet(kept)
-    blocks = spark.read.parquet(kept)
+    kept = session.materialised
+    # Blocks are found twice, which is cheaper than to keep them.
+    seeds = kept(find_blocks(texts).groupBy("seed").count().filter("count > 1").select("seed"), "seeds")
+    blocks = kept(find_blocks(texts).join(seeds, "seed"), "blocks")
     place = F.struct("doc", "mark", F.col("place").alias("place"))
     index = blocks.groupBy("seed", "block").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    index = kept(index, "index")
     mixed = index.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
     first_window = F.shiftright("place", 16)
     whole = (
@@ -140,10 +139,8 @@ def factors(texts: DataFrame) -> DataFrame:
         .groupBy(F.col("first.doc").alias("doc"), F.col("first.mark").alias("mark"))
         .agg(F.collect_list(F.struct("seed", F.col("first.place").alias("place"))).alias("blocks"))
     )
-    windowed = session.scratch_dir(spark, "windows")
     found = find_windows(texts.join(edges, ["doc", "mark"]).select("doc", "mark", "text", "blocks"))
-    found.write.parquet(windowed)
-    windows = spark.read.parquet(windowed)
+    windows = kept(found, "windows")
     at = F.struct("doc", "mark", "start")
     sources = (
         windows.groupBy("seed", "name")
@@ -151,6 +148,7 @@ def factors(texts: DataFrame) -> DataFrame:
         .filter("source < last")
         .drop("last")
     )
+    sources = kept(sources, "sources")
     partly = (
         windows.join(sources, ["seed", "name"])
         .filter(at > F.col("source"))
@@ -164,7 +162,7 @@ def factors(texts: DataFrame) -> DataFrame:
             F.col("source.start").alias("ref_start"),
         )
     )
-    return whole.unionByName(partly)
+    return kept(whole.unionByName(partly), "factors")
 
 
 REMOVED = (

@@ -1,4 +1,4 @@
 """Imports every module that registers queries of this package."""
 
-from meterline.llm import fingerprints, lines, packing, quality, repeats, substrings, token_files, warc  # noqa: F401
+from meterline.llm import contamination, fingerprints, lines, packing, quality, repeats, substrings, token_files, warc  # noqa: F401
 from meterline.llm.registry import ORACLES, QUERIES  # noqa: F401

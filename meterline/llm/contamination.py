@@ -165,14 +165,14 @@ def contamination(docs: DataFrame, items: DataFrame, share: float = SHARE) -> Da
 OP6_SQL = """
 WITH words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 doc_shingles AS (
   SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM words)),
 item_words AS (
   SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
   FROM benchmark),
 item_shingles AS (
   SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s

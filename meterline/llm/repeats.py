@@ -168,6 +168,7 @@ def rerank(rows: DataFrame, following: str) -> DataFrame:
         .filter("n > 1")
         .drop("n")
     )
+    pairs = session.materialised(pairs, "ranks")
     return rows.join(pairs, ["rank", following]).drop("rank", following).withColumnRenamed("new_rank", "rank")
 
 
@@ -202,15 +203,14 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
 
     ``texts`` holds doc, mark and text. A stretch of windows is packed as first << 8 | count-1.
     """
-    spark = texts.sparkSession
+    kept = session.materialised
     # Rank 0. Runs are found twice, which is cheaper than to keep them.
-    seeds = find_runs(texts).groupBy("seed").count().filter("count > 1").select("seed")
-    kept = session.scratch_dir(spark, "runs")
-    find_runs(texts).join(seeds, "seed").write.parquet(kept)
-    runs = spark.read.parquet(kept)
+    seeds = kept(find_runs(texts).groupBy("seed").count().filter("count > 1").select("seed"), "seeds")
+    runs = kept(find_runs(texts).join(seeds, "seed"), "runs")
     blocks = runs.groupBy("seed", "block").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark", "place")).alias("one")
     )
+    blocks = kept(blocks, "blocks")
     mixed = blocks.groupBy("seed").agg(F.count(F.lit(1)).alias("blocks")).filter("blocks > 1").select("seed")
     whole = (
         runs.join(blocks.filter("n > 1").select("seed", "block"), ["seed", "block"])
@@ -222,17 +222,15 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
         .agg(F.collect_list("one.place").alias("places"))
     )
     nodes = find_nodes(texts.join(open_runs, ["doc", "mark"]).select("doc", "mark", "text", "places"))
-    noded = session.scratch_dir(spark, "nodes")
-    nodes.write.parquet(noded)
-    nodes = rerank(rerank(spark.read.parquet(noded), "next"), "last")
+    nodes = kept(rerank(kept(nodes, "nodes"), "next"), "pairs")
+    nodes = rerank(nodes, "last")
     listed = nodes.groupBy("doc", "mark").agg(F.collect_list(F.struct("rank", "windows")).alias("nodes"))
     windows = find_windows(texts.join(listed, ["doc", "mark"]).select("doc", "mark", "text", "nodes"))
-    windowed = session.scratch_dir(spark, "windows")
-    windows.write.parquet(windowed)
-    windows = spark.read.parquet(windowed)
+    windows = kept(windows, "windows")
     twice = windows.groupBy("rank", "name").count().filter("count > 1").select("rank", "name")
+    twice = kept(twice, "twice")
     edges = windows.join(twice, ["rank", "name"]).select("doc", "mark", F.shiftleft("start", 8).alias("windows"))
-    return whole.unionByName(edges)
+    return kept(whole.unionByName(edges), "repeats")
 
 
 REMOVED = (

@@ -23,7 +23,7 @@ with probability 1e-9); the others are confirmed on the full sets.
 Nulls and edge cases: letters A-Z count as lower case; fewer than five words are one shingle; a
 document without words has an empty set and no links; a null text counts as empty; rows of
 equal doc_id and equal set are one document; a component's id is the smallest doc_id in it,
-null only if all are null; an empty table gives no rows; other columns are ignored.
+null only if all are null; ``one_of_each`` keeps one of repeated rows; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -225,44 +225,64 @@ def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
     return materialised(pairs.distinct(), "across")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, class_id of all documents (doc_id, text)."""
-    keyed = docs.select(
-        "doc_id",
-        F.xxhash64("text").alias("k0"),
-        F.xxhash64(F.lit(1), "text").alias("k1"),
-        F.coalesce("doc_id", F.lit(0)).alias("doc"),
-        F.col("doc_id").isNull().cast("long").alias("no_id"),
-        "text",
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.withColumns(
+        {
+            "doc": F.coalesce("doc_id", F.lit(0)),
+            "no_id": F.col("doc_id").isNull().cast("long"),
+            "k0": F.xxhash64(text),
+            "k1": F.xxhash64(F.lit(1), text),
+        }
     )
-    found = materialised(find_sets(keyed, ", ".join(DOC), whole=False).withColumn("node", _node()), "signatures")
-    doc_id = F.when(F.col("no_id") == 0, F.col("doc"))
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """DOC, n_shingles and label (of the component; null without words) of all documents."""
+    keyed = _keyed(docs.select("doc_id", "text")).select(*DOC, "text")
+    found = find_sets(keyed, ", ".join(DOC), whole=False).withColumn("node", _node())
+    found = materialised(found, "signatures")
     # Equal sets have equal bands and sketches, and any one text of a class stands for it.
     classes = (
         found.filter("n_shingles > 0")
         .groupBy("node")
-        .agg(
-            F.min(doc_id).alias("least"),
-            F.min(F.struct(*DOC, "bands", "sketch")).alias("one"),
-        )
-        .select("node", "least", "one.*")
+        .agg(F.min(F.struct(*DOC, "bands", "sketch")).alias("one"))
+        .select("node", "one.*")
     )
     classes = materialised(classes, "classes")
-    labels = materialised(link_classes(classes, keyed.select(*DOC, "text")), "labels")
-    named = classes.select("node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_node = named.join(materialised(least, "components"), "label").select("node", "component_id")
-    joined = found.select(doc_id.alias("doc_id"), "n_shingles", "node").join(materialised(by_node, "nodes"), "node", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    labels = materialised(link_classes(classes, keyed), "labels")
+    joined = found.select(*DOC, "n_shingles", "node").join(labels, "node", "left")
+    label = F.when(F.col("n_shingles") > 0, F.coalesce("label", "node"))
+    return materialised(joined.select(*DOC, "n_shingles", label.alias("label")), "grouped")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of all documents (doc_id, text)."""
+    found = grouped(docs)
+    doc_id = F.when(F.col("no_id") == 0, F.col("doc"))
+    least = found.filter("label is not null").groupBy("label").agg(F.min(doc_id).alias("component_id"))
+    joined = found.join(materialised(least, "components"), "label", "left")
+    component = F.when(F.col("label").isNull(), doc_id).otherwise(F.col("component_id"))
     return joined.select(
-        "doc_id",
+        doc_id.alias("doc_id"),
         "n_shingles",
         component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
-        F.col("node").alias("class_id"),
+        doc_id.eqNullSafe(component).alias("kept"),
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` less all but one document of each component: the one of smallest doc_id (null
+    after all others), of repeated rows one. Documents without words all stay."""
+    found = grouped(docs)
+    order = ["no_id", "doc", "k0", "k1"]
+    first = found.filter("label is not null").groupBy("label").agg(F.min(F.struct(*order)).alias("one"))
+    stay = first.select("one.*").unionByName(found.filter("label is null").select(*order).distinct())
+    rows = _keyed(docs.select(F.struct("*").alias("_row"), "doc_id", "text"))
+    staying = materialised(stay, "stay").select(*DOC)
+    return rows.drop("doc_id", "text").join(staying, DOC, "left_semi").dropDuplicates(DOC).select("_row.*")
+
+
 @query("op5_near_duplicates")
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document."""

@@ -45,17 +45,24 @@ def _without(text: Column, letters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, letters, ""))
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Named statistics of a whole text; all are defined for the empty text."""
+def _parts(text: Column) -> list[Column]:
+    """The text, its words and its lines, as columns of their own: each is computed once."""
     text = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    lines = F.split(text, "\n")
+    trimmed = F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
+    words = F.split(trimmed, "[\\x20\\x09-\\x0D]+")  # one empty word if there is none
+    return [text.alias("_text"), words.alias("_words"), F.split(text, "\n").alias("_lines")]
+
+
+def statistics() -> dict[str, Column]:
+    """Named statistics over the columns of ``_parts``; all are defined for the empty text."""
+    text, words, lines = F.col("_text"), F.col("_words"), F.col("_lines")
     n_chars = F.greatest(F.length(text), F.lit(1)).cast("double")
-    n_words = F.greatest(F.size(words), F.lit(1)).cast("double")
-    pairs = F.arrays_zip(words.alias("a"), F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))).alias("b"))
+    n_words = F.size(words).cast("double")
+    # Hashes, as distinct structs are found by comparing all with all.
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda x, y: F.xxhash64(x, y))
     return {
         "log_chars": F.log1p(F.length(text).cast("double")),
-        "log_words": F.log1p(F.size(words).cast("double")),
+        "log_words": F.log1p(n_words),
         "word_length": n_chars / n_words,
         "distinct_words": F.size(F.array_distinct(words)) / n_words,
         "distinct_pairs": F.size(F.array_distinct(pairs)) / n_words,
@@ -161,7 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleEns
     )
     # At most max_rows ids and labels are broadcast.
     seen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = seen.select("label", "doc_id", *[c.alias(n) for n, c in statistics(F.col("text")).items()])
+    parts = seen.select("label", "doc_id", *_parts(F.col("text")))
+    rows = parts.select("label", "doc_id", *[c.alias(n) for n, c in statistics().items()])
     vectors = VectorAssembler(inputCols=list(STATISTICS), outputCol="features").transform(rows)
     train = vectors.select("label", "doc_id", *STATISTICS, "features").cache()
     try:
@@ -188,9 +196,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleEns
 
 def score(docs: DataFrame, model: RuleEnsemble, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with score and predicted; statistics replace no column of the same name."""
-    stats = statistics(F.col("_text"))
-    packed = docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text"))
-    with_stats = packed.select("_row", *[c.alias(n) for n, c in stats.items()])
+    parts = docs.select(F.struct("*").alias("_row"), *_parts(F.col("text")))
+    with_stats = parts.select("_row", *[c.alias(n) for n, c in statistics().items()])
     scored = with_stats.select("_row", model.score().alias("_score"))
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     return scored.select(

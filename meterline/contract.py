@@ -83,6 +83,11 @@ class TableContract:
         """The anchored columns as a DDL column list."""
         return ", ".join(f"{c.source} {c.hint}" for c in self.columns if c.hint)
 
+    def missing_columns(self, present: Iterable[str]) -> tuple[str, ...]:
+        """Required columns that ``present`` lacks in any spelling."""
+        have = {c.lower() for c in present}
+        return tuple(c for c in self.required_columns if c.lower() not in have)
+
     def validate_required_columns(
         self, present: Iterable[str], case_sensitive: bool = True
     ) -> None:
@@ -128,6 +133,7 @@ REQUIRED_TRIP_COLUMNS = (
     "tpep_dropoff_datetime",
 )
 RECOVERED_TRIP_COLUMNS = ("passenger_count", "RatecodeID")
+# How monthly files are named.
 TRIP_FILE_PREFIX = "yellow_tripdata_"
 TRIP_FILE_PATTERN = r"yellow_tripdata_(\d{4}-(?:0[1-9]|1[0-2]))\.parquet"
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-YEAR_MONTH_PATTERN = r"^(\d{4})-(0[1-9]|1[0-2])$"
+# Fixed value: the form of a month key. (A plain $ would let a line break pass.)
+YEAR_MONTH_PATTERN = r"\A(\d{4})-(0[1-9]|1[0-2])\z"
 
 
 def _col(value: Column | str) -> Column:

@@ -11,9 +11,7 @@ from meterline.functions.months import _col, _invalid, is_year_month
 # Where monthly files come from and how landed files are laid out.
 SOURCE_BASE = "https://d37ci6vzurychx.cloudfront.net/trip-data"
 LANDING_ROOT = "/Volumes/"
-LANDED_FILE_PATTERN = (
-    r"/year=\d{4}/month=(?:0[1-9]|1[0-2])/yellow_tripdata_\d{4}-(?:0[1-9]|1[0-2])\.parquet$"
-)
+LANDED_FOLDER_PATTERN = r"/year=\d{4}/month=(?:0[1-9]|1[0-2])/"
 
 
 def build_source_url(year_month: Column | str, base: str = SOURCE_BASE, strict: bool = True) -> Column:
@@ -83,7 +81,11 @@ def extract_file_year_month(path: Column | str, pattern: str = TRIP_FILE_PATTERN
     return F.nullif(F.regexp_extract(_col(path), pattern, 1), F.lit(""))
 
 
-def parse_volume_object_path(path: Column | str) -> Column:
-    """Month of a properly landed file, else NULL. The file name wins over the folders."""
+def parse_volume_object_path(path: Column | str, pattern: str = TRIP_FILE_PATTERN) -> Column:
+    """Month of a properly landed file, else NULL. The file name wins over the folders.
+
+    ``pattern`` matches the file name; its first group is the month.
+    """
     path = _col(path)
-    return F.when(path.rlike(LANDED_FILE_PATTERN), extract_file_year_month(path))
+    landed = path.rlike(f"{LANDED_FOLDER_PATTERN}{pattern}\\z")
+    return F.when(landed, extract_file_year_month(path, pattern))

@@ -9,7 +9,7 @@ batch overwrites.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,7 @@ from meterline.operators.runs import LANDING_AUDIT_SCHEMA, with_completions
 VERSION_DDL = "table STRING, version INT, state STRING, ts TIMESTAMP"
 STARTED, PUBLISHED = "started", "published"
 SCHEMA_DDL = "schema STRING, batch_id LONG"
+INGESTED_DDL = "path STRING, length LONG"
 EVENT_DDL = (
     "timestamp TIMESTAMP, event_type STRING, message STRING, details STRING, "
     "origin STRUCT<update_id: STRING>"
@@ -70,15 +71,17 @@ class Lake:
 def ensure(spark: SparkSession, lake: Lake) -> None:
     """Create the bookkeeping tables that do not exist yet; existing ones stay untouched."""
 
-    def create(path: str, schema: str | T.StructType) -> None:
-        fields = T.StructType.fromDDL(schema).fields if isinstance(schema, str) else schema.fields
-        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-        spark.range(0, 0, 1, 1).select(*none).write.mode("ignore").parquet(path)
+    create_empty(spark, lake.versions, VERSION_DDL)
+    create_empty(spark, lake.audit, LANDING_AUDIT_SCHEMA)
+    create_empty(spark, lake.completions, COMPLETION_DDL)
+    create_empty(spark, f"{lake.events}/update=none/key=none", EVENT_DDL)
 
-    create(lake.versions, VERSION_DDL)
-    create(lake.audit, LANDING_AUDIT_SCHEMA)
-    create(lake.completions, COMPLETION_DDL)
-    create(f"{lake.events}/key=none", EVENT_DDL)
+
+def create_empty(spark: SparkSession, path: str, schema: str | T.StructType) -> None:
+    """An empty table, unless there is one."""
+    fields = T.StructType.fromDDL(schema).fields if isinstance(schema, str) else schema.fields
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    spark.range(0, 0, 1, 1).select(*none).write.mode("ignore").parquet(path)
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -161,14 +164,31 @@ def read_bronze(
     spark: SparkSession,
     lake: Lake,
     version: int | None = None,
-    batches: Sequence[int] | None = None,
+    batch_id: int | None = None,
 ) -> DataFrame:
-    """The raw table. Its schema is recorded at write time, so no footers are merged here;
-    columns older batches lack are NULL and narrower ones are widened by the reader."""
+    """The raw table, or one batch of it, of which only the batch's own folder is listed.
+
+    The schema is recorded at write time, so no footers are merged here; columns older
+    batches lack are NULL and narrower ones are widened by the reader."""
     version = current_version(spark, lake, "bronze") if version is None else version
     source = bronze_schema(spark, lake, version)
-    rows = spark.read.schema(bronze_table_schema(source)).parquet(lake.bronze(version, "data"))
-    return rows if batches is None else rows.where(F.col(BATCH).isin(*batches))
+    data = lake.bronze(version, "data")
+    reader = spark.read.schema(bronze_table_schema(source)).option("basePath", data)
+    return reader.parquet(data if batch_id is None else f"{data}/{BATCH}={batch_id}")
+
+
+def write_ingested(lake: Lake, version: int, batch_id: int, files: DataFrame) -> None:
+    """Record the ``(path, length)`` of a batch's files."""
+    rows = files.select("path", "length").coalesce(1)
+    rows.write.mode("overwrite").parquet(lake.bronze(version, "files", f"{BATCH}={batch_id}"))
+
+
+def read_ingested(spark: SparkSession, lake: Lake, version: int | None = None) -> DataFrame:
+    """``(path, length)`` of the files that the raw table holds."""
+    version = current_version(spark, lake, "bronze") if version is None else version
+    path = lake.bronze(version, "files")
+    create_empty(spark, f"{path}/{BATCH}=-1", INGESTED_DDL)
+    return read(spark, path, INGESTED_DDL).select("path", "length")
 
 
 def silver_table_schema(contract: TableContract) -> T.StructType:

@@ -107,6 +107,59 @@ def relationships_check(
     )
 
 
+def table_checks(
+    df: DataFrame,
+    dataset: str,
+    not_null: Sequence[str] = (),
+    accepted: Mapping[str, Iterable] | None = None,
+    relationships: Sequence[str] = (),
+    parent: DataFrame | None = None,
+    parent_column: str | None = None,
+    severity: str = ERROR,
+) -> DataFrame:
+    """Column tests and relationship tests to one parent, all from a single scan of ``df``.
+
+    Rows are counted per combination of the ``relationships`` columns first, so the joins
+    with the parent see each combination once.
+    """
+    tests = [("not_null", c, F.col(c).isNull()) for c in not_null]
+    tests += [
+        ("accepted_values", c, ~F.col(c).isin(*values)) for c, values in (accepted or {}).items()
+    ]
+    counts = df.groupBy(*relationships).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(tests)],
+    )
+    totals = [F.sum(f"_{i}").alias(f"_{i}") for i in range(len(tests))]
+    for j, column in enumerate(relationships):
+        known = parent.select(F.col(parent_column).alias(f"_known{j}")).distinct()
+        counts = counts.join(known, F.col(column) == F.col(f"_known{j}"), "left")
+        orphan = F.col(column).isNotNull() & F.col(f"_known{j}").isNull()
+        totals.append(F.sum(F.when(orphan, F.col("_n")).otherwise(0)).alias(f"_r{j}"))
+    results = [_result(t, dataset, c, F.col(f"_{i}"), severity) for i, (t, c, _) in enumerate(tests)]
+    results += [
+        _result("relationships", dataset, c, F.col(f"_r{j}"), severity)
+        for j, c in enumerate(relationships)
+    ]
+    return counts.agg(*totals).select(F.explode(F.array(*results)).alias("r")).select("r.*")
+
+
+def unique_checks(df: DataFrame, dataset: str, columns: Sequence[str]) -> DataFrame:
+    """Unique tests of several columns from one scan: each value is counted under its column."""
+    values = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
+    )
+    repeated = (
+        df.select(values.alias("x"))
+        .where("x.v IS NOT NULL")
+        .groupBy("x.c", "x.v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    failing = [F.count_if((F.col("c") == c) & (F.col("n") > 1)).alias(f"_{i}") for i, c in enumerate(columns)]
+    results = [_result("unique", dataset, c, F.col(f"_{i}"), ERROR) for i, c in enumerate(columns)]
+    return repeated.agg(*failing).select(F.explode(F.array(*results)).alias("r")).select("r.*")
+
+
 def freshness_check(
     df: DataFrame,
     dataset: str,

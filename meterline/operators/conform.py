@@ -21,21 +21,28 @@ from meterline.functions.paths import extract_file_year_month
 CAST_LOSS_COLUMN = "_cast_loss"
 
 
-def recovered(spec: ColumnSpec) -> Column:
-    """The rescued value of a column in its canonical type.
+def rescued_text(bronze: DataFrame, spec: ColumnSpec) -> Column:
+    """What was rescued of a column, as text. Keys are spelled as the raw table's columns."""
+    spelled = {c.lower(): c for c in bronze.columns}
+    return F.get_json_object(RESCUED_COLUMN, f"$['{spelled[spec.source.lower()]}']")
+
+
+def recovered(text: Column, spec: ColumnSpec) -> Column:
+    """A rescued value in its canonical type.
 
     Rescued numbers may be written as ``1`` or ``1.0``; integral targets accept both.
     """
-    text = F.get_json_object(RESCUED_COLUMN, f"$.{spec.source}")
     direct = text.try_cast(spec.type)
     if spec.type.upper() in ("BIGINT", "INT"):
         return F.coalesce(direct, text.try_cast("double").try_cast(spec.type))
     return direct
 
 
-def canonical_column(spec: ColumnSpec) -> Column:
+def canonical_column(bronze: DataFrame, spec: ColumnSpec) -> Column:
     typed = F.col(spec.source).try_cast(spec.type)
-    return F.coalesce(typed, recovered(spec)) if spec.recover else typed
+    if not spec.recover:
+        return typed
+    return F.coalesce(typed, recovered(rescued_text(bronze, spec), spec))
 
 
 def conform(
@@ -47,7 +54,8 @@ def conform(
     """Rename, type and derive: one row out per row in, in a single projection.
 
     Casts never abort the job: a value outside its canonical type becomes NULL, and
-    ``track_cast_loss`` adds a flag column so that a rule can count such rows.
+    ``track_cast_loss`` adds a flag column so that a rule can count such rows. A rescued
+    value that a recovered column could not take counts as lost, too.
     Columns the contract does not know are not projected, except those in ``keep``.
     """
     present = {c.lower() for c in bronze.columns}
@@ -55,7 +63,7 @@ def conform(
     if absent:
         raise SchemaContractError("bronze lacks contract columns: " + ", ".join(absent))
 
-    projection = [canonical_column(c).alias(c.name) for c in contract.columns]
+    projection = [canonical_column(bronze, c).alias(c.name) for c in contract.columns]
     event_source = contract.column(contract.event_time).source
     projection += [
         year_month(F.col(event_source).try_cast("timestamp")).alias(contract.event_month),
@@ -70,10 +78,17 @@ def conform(
     # Sources of lossy casts ride along one projection further, so each cast runs once.
     raw = {c.name: f"_raw_{c.name}" for c in contract.columns if _may_lose(bronze, c)}
     sources = [F.col(contract.column(name).source).alias(alias) for name, alias in raw.items()]
+    saved = {c.name: f"_rescued_{c.name}" for c in contract.columns if c.recover}
+    sources += [
+        rescued_text(bronze, contract.column(name)).alias(alias) for name, alias in saved.items()
+    ]
     rows = bronze.select(*projection, *sources)
-    lost = [F.col(alias).isNotNull() & F.col(name).isNull() for name, alias in raw.items()]
+    lost = [
+        F.col(alias).isNotNull() & F.col(name).isNull()
+        for name, alias in (*raw.items(), *saved.items())
+    ]
     flag = reduce(lambda a, b: a | b, lost, F.lit(False))
-    kept = [c for c in rows.columns if c not in raw.values()]
+    kept = [c for c in rows.columns if c not in {*raw.values(), *saved.values()}]
     return rows.select(*kept, flag.alias(CAST_LOSS_COLUMN))
 
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from meterline.contract import RESCUED_COLUMN, TableContract
 from meterline.functions.paths import extract_file_year_month
+from meterline.operators.conform import rescued_text
 
 
 def drift_profile(bronze: DataFrame, contract: TableContract, column: str) -> DataFrame:
     """Per source-file month: rows, rescued rows, and rows with no value of ``column`` at all."""
     spec = contract.column(column)
-    rescued_value = F.get_json_object(RESCUED_COLUMN, f"$.{spec.source}")
+    rescued_value = rescued_text(bronze, spec)
     return (
         bronze.groupBy(
             extract_file_year_month("_source_file_path", contract.file_pattern).alias(

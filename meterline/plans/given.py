@@ -19,28 +19,24 @@ def hours(n: Column) -> Column:
     return F.make_interval(zero, zero, zero, zero, n.cast("int"), zero, zero)
 
 
-def raw_trips(spark: SparkSession, sf_dir: str, locations: bool = False) -> DataFrame:
-    """One raw trip per lineitem under the source names and January types.
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw trip per lineitem of a known customer and supplier, under the source names
+    and January types.
 
     Pickup is the order date plus some hours, dropoff the ship date; some rows lack a
     passenger count or a dropoff, have a negative amount, or lie in the wrong month's
-    file. Location ids (nations of customer and supplier) cost two more joins, so they
-    are there only if asked for. Customers are joined to the orders, not to the lineitems.
+    file. Location ids are the nations of customer and supplier. Customers are joined to the
+    orders, not to the lineitems.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    items = table(spark, sf_dir, "lineitem")
-    if locations:
-        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-            "o_orderkey", "o_orderdate", "c_nationkey"
-        )
-    rows = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    if locations:
-        supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        pickup, dropoff = F.col("c_nationkey").cast("long"), F.col("s_nationkey").cast("long")
-    else:
-        pickup = dropoff = F.lit(None).cast("long")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey")
+    rows = (
+        table(spark, sf_dir, "lineitem")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    )
 
     part = F.col("l_partkey")
     price = F.col("l_extendedprice")
@@ -58,8 +54,8 @@ def raw_trips(spark: SparkSession, sf_dir: str, locations: bool = False) -> Data
         F.col("l_quantity").alias("trip_distance"),
         (F.col("l_suppkey") % 6 + 1).cast("double").alias("RatecodeID"),
         F.when(F.col("l_returnflag") == "R", "Y").otherwise("N").alias("store_and_fwd_flag"),
-        pickup.alias("PULocationID"),
-        dropoff.alias("DOLocationID"),
+        F.col("c_nationkey").cast("long").alias("PULocationID"),
+        F.col("s_nationkey").cast("long").alias("DOLocationID"),
         (F.col("l_orderkey") % 4 + 1).alias("payment_type"),
         price.alias("fare_amount"),
         F.col("l_discount").alias("extra"),
@@ -80,8 +76,8 @@ def raw_trips(spark: SparkSession, sf_dir: str, locations: bool = False) -> Data
     )
 
 
-def silver_trips(spark: SparkSession, sf_dir: str, locations: bool = False) -> DataFrame:
-    return conform(raw_trips(spark, sf_dir, locations), TRIPS)
+def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform(raw_trips(spark, sf_dir), TRIPS)
 
 
 def nation_locations(spark: SparkSession, sf_dir: str) -> DataFrame:

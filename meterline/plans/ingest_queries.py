@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,7 +67,7 @@ def land_events(spark: SparkSession, sf_dir: str, landing_dir: str) -> None:
     """The events as three months of files whose columns drift.
 
     The second month narrows the user id, turns the value into whole cents and re-cases
-    the fee; the third also adds a column.
+    the fee; the third also re-cases the value and adds a column.
     """
     events = table(spark, sf_dir, "events")
     fee = (F.col("event_id") % 7).cast("double")
@@ -78,7 +79,8 @@ def land_events(spark: SparkSession, sf_dir: str, landing_dir: str) -> None:
         _cents(F.col("value")).alias("value"),
         fee.alias("Fee"),
     ]
-    third = [*second, F.concat(F.lit("n"), F.col("event_id")).alias("note")]
+    third = [c for c in second if c is not second[3]]
+    third += [second[3].alias("Value"), F.concat(F.lit("n"), F.col("event_id")).alias("note")]
     for i, columns in enumerate((first, second, third)):
         part = events.where(F.col("event_id") % 3 == i).select(*columns)
         part.write.parquet(month_folder(landing_dir, f"2024-0{i + 1}"))
@@ -90,12 +92,20 @@ class Ingested:
     landing_dir: str
 
 
-_DONE: dict[tuple[str, str, str], Ingested] = {}
+_DONE: dict[tuple[str, str, str, int], Ingested] = {}
+TRIP_TABLES = ("lineitem", "orders", "customer", "supplier")
 
 
-def _once(spark: SparkSession, sf_dir: str, what: str, build) -> Ingested:
-    """Ingest ``what`` once per application; several queries read the result."""
-    key = (spark.sparkContext.applicationId, sf_dir, what)
+def _state(spark: SparkSession, sf_dir: str, tables: Sequence[str]) -> int:
+    """A number for the files of the given tables: their names, sizes and times."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listed = files.load([f"{sf_dir}/{t}.parquet" for t in tables])
+    return listed.agg(F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()[0]
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, tables: Sequence[str], build) -> Ingested:
+    """Ingest ``what`` once per application and state of its input; several queries read it."""
+    key = (spark.sparkContext.applicationId, sf_dir, what, _state(spark, sf_dir, tables))
     if key not in _DONE:
         root = session.scratch_dir(spark, what)
         _DONE[key] = build(spark, sf_dir, root)
@@ -112,7 +122,7 @@ def _ingest_events(spark: SparkSession, sf_dir: str, root: str) -> Ingested:
 
 
 def ingested_events(spark: SparkSession, sf_dir: str) -> Ingested:
-    return _once(spark, sf_dir, "events", _ingest_events)
+    return _once(spark, sf_dir, "events", ["events"], _ingest_events)
 
 
 @query(
@@ -163,7 +173,8 @@ def silver_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("silver_rebuild", RECOVERED_EVENTS_SQL)
 def silver_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The canonical table recomputed from all raw rows into a new version."""
-    done = ingested_events(spark, sf_dir)
+    # A lake of its own: others read the table that the stream keeps.
+    done = _ingest_events(spark, sf_dir, session.scratch_dir(spark, "rebuild"))
     version = rebuild_silver(spark, done.config, "rebuild")
     silver = store.read_silver(spark, done.config.lake, EVENTS_CONTRACT, version)
     return plain(silver.drop(*LINEAGE))
@@ -183,6 +194,70 @@ def drift_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(store.read_bronze(spark, done.config.lake), EVENTS_CONTRACT, "value")
 
 
+def _aged(spark: SparkSession, folder: str, days: int) -> None:
+    """Set the modification time of a folder's files back by ``days``."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+@query(
+    "ingest_late_files",
+    """
+    SELECT event_id, ts, CAST(value AS DOUBLE) AS value,
+           '2024-0' || (event_id % 3 + 1) AS file_year_month
+    FROM events
+    """,
+)
+def ingest_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table after three ingests; each month's files are weeks older than the last."""
+    root = session.scratch_dir(spark, "late")
+    contract = TableContract(
+        columns=EVENTS_CONTRACT.columns[:2], event_time="ts", file_pattern=TRIP_FILE_PATTERN
+    )
+    config = IngestConfig(f"{root}/landing", Lake(f"{root}/lake"), contract, EVENT_RULES[:1])
+    for i in range(3):
+        folder = month_folder(config.landing_dir, f"2024-0{i + 1}")
+        events = table(spark, sf_dir, "events").where(F.col("event_id") % 3 == i)
+        events.select("event_id", "ts", "value").write.parquet(folder)
+        _aged(spark, folder, 20 * i)
+        ingest(spark, config, f"update{i}")
+    rows = store.read_bronze(spark, config.lake)
+    month = F.regexp_extract("_source_file_path", TRIP_FILE_PATTERN, 1).alias("file_year_month")
+    return rows.select("event_id", "ts", "value", month)
+
+
+@query(
+    "required_columns",
+    """
+    SELECT DISTINCT '2024-0' || (event_id % 3 + 1) AS file_year_month,
+           CASE WHEN event_id % 3 = 1 THEN 'ts' ELSE 'value' END AS missing
+    FROM events WHERE event_id % 3 > 0
+    """,
+)
+def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required columns that landed files lack, by month, as the run events tell."""
+    root = session.scratch_dir(spark, "required")
+    columns = (
+        ColumnSpec("event_id", "event_id", "BIGINT", "BIGINT", required=True),
+        ColumnSpec("ts", "ts", "TIMESTAMP", "TIMESTAMP_NTZ", required=True),
+        ColumnSpec("value", "value", "DOUBLE", required=True),
+    )
+    contract = TableContract(columns=columns, event_time="ts", file_pattern=TRIP_FILE_PATTERN)
+    config = IngestConfig(f"{root}/landing", Lake(f"{root}/lake"), contract, EVENT_RULES[:1])
+    kept = (["event_id", "ts", "value"], ["event_id", "value"], ["EVENT_ID", "Ts"])
+    for i, names in enumerate(kept):
+        events = table(spark, sf_dir, "events").where(F.col("event_id") % 3 == i)
+        spelled = [F.col(n).alias(n) for n in names]
+        events.select(*spelled).write.parquet(month_folder(config.landing_dir, f"2024-0{i + 1}"))
+    ingest(spark, config, "required")
+    listed = log.lacking_columns(store.read_events(spark, config.lake))
+    month = F.regexp_extract("path", TRIP_FILE_PATTERN, 1).alias("file_year_month")
+    return listed.select(month, "missing").distinct()
+
+
 # --- trips: landing files of three schema generations, to marts -----------------------
 
 
@@ -194,7 +269,7 @@ def land_trips(spark: SparkSession, sf_dir: str, root: str, landing_dir: str) ->
     """
     file_month = F.regexp_extract("_source_file_path", TRIP_FILE_PATTERN, 1)
     generation = F.when(file_month < "1997-01", 0).when(file_month < "1999-01", 1).otherwise(2)
-    staged = raw_trips(spark, sf_dir, locations=True).select(
+    staged = raw_trips(spark, sf_dir).select(
         *[c.source for c in TRIPS.columns],
         file_month.alias("file_month"),
         generation.alias("generation"),
@@ -239,7 +314,19 @@ def _ingest_trips(spark: SparkSession, sf_dir: str, root: str) -> Ingested:
 
 
 def ingested_trips(spark: SparkSession, sf_dir: str) -> Ingested:
-    return _once(spark, sf_dir, "trips", _ingest_trips)
+    return _once(spark, sf_dir, "trips", TRIP_TABLES, _ingest_trips)
+
+
+def _rebuild_trips(spark: SparkSession, sf_dir: str, root: str) -> Ingested:
+    """Trips ingested, rebuilt, and read again from the start, in a lake of their own."""
+    done = _ingest_trips(spark, sf_dir, root)
+    rebuild_silver(spark, done.config, "rebuild")
+    ingest(spark, done.config, "refresh", full_refresh=True)
+    return done
+
+
+def rebuilt_trips(spark: SparkSession, sf_dir: str) -> Ingested:
+    return _once(spark, sf_dir, "rebuilt", TRIP_TABLES, _rebuild_trips)
 
 
 def _ingested_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,14 +431,33 @@ PIPELINE_COUNTERS = [
 ]
 
 
-@query(
-    "pipeline_rule_counters",
-    f"WITH {TRIPS_SQL} " + " UNION ALL ".join(_counter_sql(*c) for c in PIPELINE_COUNTERS),
+COUNTERS_SQL = f"WITH {TRIPS_SQL} " + " UNION ALL ".join(
+    _counter_sql(*c) for c in PIPELINE_COUNTERS
 )
+
+
+@query("pipeline_rule_counters", COUNTERS_SQL)
 def pipeline_rule_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the run events say the rules counted while the tables were written."""
-    lake = ingested_trips(spark, sf_dir).config.lake
-    return log.rule_counters(store.read_events(spark, lake))
+    return _counters(spark, ingested_trips(spark, sf_dir).config.lake)
+
+
+def _counters(spark: SparkSession, lake: Lake) -> DataFrame:
+    versions = {t: store.current_version(spark, lake, t) for t in ("bronze", "silver")}
+    return log.rule_counters(store.read_events(spark, lake), versions)
+
+
+@query("rebuilt_rule_counters", COUNTERS_SQL)
+def rebuilt_rule_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counters after a rebuild and a full refresh: each row is counted once."""
+    return _counters(spark, rebuilt_trips(spark, sf_dir).config.lake)
+
+
+@query("full_refresh", f"WITH {TRIPS_SQL} {CANONICAL_SELECT} WHERE {DROPPED_SQL}")
+def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All canonical trips after a rebuild and a full refresh."""
+    lake = rebuilt_trips(spark, sf_dir).config.lake
+    return plain(store.read_silver(spark, lake, TRIPS).drop(*LINEAGE))
 
 
 @query(

@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from meterline import lake as store
 from meterline import session
+from meterline.contract import TRIP_FILE_PATTERN
 from meterline.functions.months import expand_window
 from meterline.functions.outcomes import classify_probe, month_outcome
 from meterline.lake import Lake
@@ -32,12 +33,21 @@ class LandingFailedError(RuntimeError):
     """No requested month is available, so there is nothing to ingest."""
 
 
+class IncompleteIngestError(RuntimeError):
+    """Files that have landed did not reach the raw table."""
+
+
+def _interactive_id() -> str:
+    """A key of its own for each interactive run, so that none completes another."""
+    return f"{INTERACTIVE}-{uuid.uuid4().hex}"
+
+
 @dataclass(frozen=True)
 class RunInfo:
     start_year_month: str
     end_year_month: str
-    run_id: str = INTERACTIVE
-    job_run_id: str = INTERACTIVE
+    run_id: str = field(default_factory=_interactive_id)
+    job_run_id: str = field(default_factory=_interactive_id)
     job_url: str = INTERACTIVE
     source_mode: str = "HTTP"
 
@@ -76,6 +86,7 @@ def audit_landing(
     landing_dir: str,
     probe_log: DataFrame | None = None,
     job_start_ts: datetime | None = None,
+    pattern: str = TRIP_FILE_PATTERN,
 ) -> Row:
     """Collapse this run's months to one audit row, append it and return it."""
     started = job_start_ts or datetime.now(timezone.utc)
@@ -85,7 +96,7 @@ def audit_landing(
         )
     )
     log_rows = spark.createDataFrame([], PROBE_LOG_DDL) if probe_log is None else probe_log
-    inventory = file_inventory(landed_files(spark, landing_dir), months)
+    inventory = file_inventory(landed_files(spark, landing_dir, pattern), months)
     outcomes = month_outcomes(months, log_rows, inventory).select(
         F.lit(run.run_id).alias("run_id"), F.lit(0).alias("seq"), "*"
     )
@@ -126,6 +137,21 @@ def complete_run(spark: SparkSession, lake: Lake, job_run_id: str) -> int:
     return len(rows)
 
 
+def require_ingested(spark: SparkSession, config: IngestConfig, run: RunInfo) -> None:
+    """Raise if a landed file of the run's window is not in the raw table.
+
+    A run is only complete with all the files that its audit row counts.
+    """
+    landed = landed_files(spark, config.landing_dir, config.contract.file_pattern)
+    window = landed.where(F.col("year_month").between(run.start_year_month, run.end_year_month))
+    missing = window.join(store.read_ingested(spark, config.lake), "path", "left_anti")
+    seen = missing.agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("first")).first()
+    if seen["n"]:
+        raise IncompleteIngestError(
+            f"{seen['n']} landed files of the window were not ingested, such as {seen['first']}"
+        )
+
+
 def run_ingestion(
     spark: SparkSession,
     config: IngestConfig,
@@ -142,7 +168,9 @@ def run_ingestion(
     lake = config.lake
     store.ensure(spark, lake)
     ensure_landing(spark, config.landing_dir)
-    audit_row = audit_landing(spark, lake, run, config.landing_dir, probe_log)
+    audit_row = audit_landing(
+        spark, lake, run, config.landing_dir, probe_log, pattern=config.contract.file_pattern
+    )
     if audit_row["status"] == "FAILED":
         raise LandingFailedError(audit_row["error_message"])
 
@@ -150,14 +178,15 @@ def run_ingestion(
 
     def final_state(state: str) -> None:
         done = log.event(log.PIPELINE_DONE, f"update {state}", {"state": state}, update_id)
-        log.emit(spark, lake, f"done-{update_id}", [done])
+        log.emit(spark, lake, "done", [done], update_id)
 
     created = log.event(
         log.CREATE_UPDATE, "update created", {"full_refresh": full_refresh}, update_id
     )
-    log.emit(spark, lake, f"create-{update_id}", [created])
+    log.emit(spark, lake, "create", [created], update_id)
     try:
         ingest(spark, config, update_id, full_refresh)
+        require_ingested(spark, config, run)
     except Exception:
         final_state("FAILED")
         raise

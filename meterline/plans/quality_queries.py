@@ -43,7 +43,7 @@ LINEAGE = ("_source_file_path", "_source_file_modification_time", "_ingestion_ts
 
 @query("conform_project", f"WITH {TRIPS_SQL} {CANONICAL_SELECT}")
 def conform_project(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(silver_trips(spark, sf_dir, locations=True).drop(*LINEAGE))
+    return plain(silver_trips(spark, sf_dir).drop(*LINEAGE))
 
 
 @query(
@@ -63,12 +63,12 @@ def rescue_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = table(spark, sf_dir, "events").select(
         "event_id", typed.alias("k"), rescued.alias("_rescued_data")
     )
-    return bronze.select("event_id", canonical_column(spec).alias("k"))
+    return bronze.select("event_id", canonical_column(bronze, spec).alias("k"))
 
 
 @query("rules_drop", f"WITH {TRIPS_SQL} {CANONICAL_SELECT} WHERE {DROPPED_SQL}")
 def rules_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = rules.apply_rules(silver_trips(spark, sf_dir, locations=True), rules.TRIP_RULES)
+    kept = rules.apply_rules(silver_trips(spark, sf_dir), rules.TRIP_RULES)
     return plain(kept.drop(*LINEAGE))
 
 
@@ -224,18 +224,7 @@ def check_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.column_checks(silver, "trips", accepted={"vendor_id": (1, 2, 6, 7)})
 
 
-def _relationships(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    silver = silver_trips(spark, sf_dir, locations=True)
-    dim = nation_locations(spark, sf_dir)
-    return [
-        checks.relationships_check(silver, "trips", c, dim, "location_id")
-        for c in ("pu_location_id", "do_location_id")
-    ]
-
-
-def _unique(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    orders = table(spark, sf_dir, "orders")
-    return [checks.unique_check(orders, "orders", c) for c in ("o_orderkey", "o_custkey")]
+LOCATION_COLUMNS = ("pu_location_id", "do_location_id")
 
 
 def _freshness(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -248,12 +237,20 @@ def _freshness(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 @query("check_relationships", f"WITH {TRIPS_SQL}, {LOCATIONS_SQL} {RELATIONSHIPS_SQL}")
 def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, _relationships(spark, sf_dir))
+    dim = nation_locations(spark, sf_dir)
+    return checks.table_checks(
+        silver_trips(spark, sf_dir),
+        "trips",
+        relationships=LOCATION_COLUMNS,
+        parent=dim,
+        parent_column="location_id",
+    )
 
 
 @query("check_unique", UNIQUE_SQL)
 def check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, _unique(spark, sf_dir))
+    orders = table(spark, sf_dir, "orders")
+    return checks.unique_checks(orders, "orders", ("o_orderkey", "o_custkey"))
 
 
 @query("check_freshness", FRESHNESS_SQL)
@@ -270,18 +267,19 @@ def check_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every test of every table; the column tests of a table share one pass."""
-    columns = checks.column_checks(
-        silver_trips(spark, sf_dir), "trips", NOT_NULL_COLUMNS, {"vendor_id": (1, 2, 6, 7)}
-    )
-    return checks.summarize(
-        [
-            columns,
-            *_relationships(spark, sf_dir),
-            *_unique(spark, sf_dir),
-            *_freshness(spark, sf_dir),
-        ]
+    """Every test of every table; all tests of the trips share one scan."""
+    trips = checks.table_checks(
+        silver_trips(spark, sf_dir),
+        "trips",
+        NOT_NULL_COLUMNS,
+        {"vendor_id": (1, 2, 6, 7)},
+        LOCATION_COLUMNS,
+        nation_locations(spark, sf_dir),
+        "location_id",
     )
+    orders = table(spark, sf_dir, "orders")
+    unique = checks.unique_checks(orders, "orders", ("o_orderkey", "o_custkey"))
+    return checks.summarize([trips, unique, *_freshness(spark, sf_dir)])
 
 
 @query(
@@ -295,7 +293,7 @@ def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def orphan_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The failing keys behind a relationships test."""
-    silver = silver_trips(spark, sf_dir, locations=True)
+    silver = silver_trips(spark, sf_dir)
     return checks.orphan_keys(
         silver, "pu_location_id", nation_locations(spark, sf_dir), "location_id"
     )

@@ -6,7 +6,6 @@ left NULL and its values go to ``_rescued_data`` as JSON, so nothing is lost.
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.contract import LINEAGE_COLUMNS, RESCUED_COLUMN
-from meterline.sources.footers import FileSchema
+from meterline.sources.footers import FileSchema, literal_path
 
 # Type changes a column may make on its own (narrow -> wider).
 WIDENINGS = {
@@ -107,11 +106,6 @@ def read_groups(
     return [ReadGroup(tuple(paths[k]), fields[k]) for k in sorted(paths)]
 
 
-def literal_path(path: str) -> str:
-    """``path`` with glob characters escaped: it names one file, not a pattern."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
 def scan_group(spark: SparkSession, table: T.StructType, group: ReadGroup) -> DataFrame:
     """All table columns, ``_rescued_data`` and lineage of one group of files."""
     bad = {f.name.lower(): f for f in group.misfits}
@@ -127,7 +121,9 @@ def scan_group(spark: SparkSession, table: T.StructType, group: ReadGroup) -> Da
         for f in table.fields
     ]
     if bad:
-        values = [F.col(f"`{f.name}`") for f in group.misfits]
+        # Keys of the JSON are spelled as in the table, whatever the file's spelling.
+        spelled = {f.name.lower(): f.name for f in table.fields}
+        values = [F.col(f"`{f.name}`").alias(spelled[f.name.lower()]) for f in group.misfits]
         packed = F.to_json(F.struct(*values, path.alias("_file_path")))
         rescued = F.when(reduce(lambda a, b: a | b, [v.isNotNull() for v in values]), packed)
     else:

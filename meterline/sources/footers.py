@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
@@ -55,6 +56,11 @@ def read_footers(files: DataFrame) -> DataFrame:
     return files.select("path", "length").mapInPandas(footer_batches, FOOTER_DDL)
 
 
+def literal_path(path: str) -> str:
+    """``path`` with glob characters escaped: it names one file, not a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 class FileSchema(NamedTuple):
     path: str
     schema: T.StructType
@@ -75,7 +81,7 @@ def file_schemas(spark: SparkSession, files: DataFrame) -> list[FileSchema]:
     unopened = [r for r in rows if not r["schema"]]
     if unopened:
         with ThreadPoolExecutor(INFERENCE_THREADS) as pool:
-            schemas = pool.map(lambda r: spark.read.parquet(r["path"]).schema, unopened)
+            schemas = pool.map(lambda r: spark.read.parquet(literal_path(r["path"])).schema, unopened)
             found += [
                 FileSchema(r["path"], schema, r["length"])
                 for r, schema in zip(unopened, schemas, strict=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.contract import TRIP_FILE_PATTERN
 from meterline.functions.paths import parse_volume_object_path
 
 
@@ -14,12 +15,15 @@ def ensure_landing(spark: SparkSession, landing_dir: str) -> None:
     nothing.write.mode("ignore").text(landing_dir)
 
 
-def landed_files(spark: SparkSession, landing_dir: str) -> DataFrame:
+def landed_files(
+    spark: SparkSession, landing_dir: str, pattern: str = TRIP_FILE_PATTERN
+) -> DataFrame:
     """``(path, year_month, length, modification_time)`` of every landed parquet file.
 
     Only the listing is read: the file contents are not selected, hence not opened. A
     month may be one file or a folder of part files that carries the file's name;
-    ``year_month`` is NULL outside the agreed layout.
+    ``year_month`` is NULL outside the agreed layout. ``pattern`` is the contract's
+    pattern of file names.
     """
     files = (
         spark.read.format("binaryFile")
@@ -31,7 +35,7 @@ def landed_files(spark: SparkSession, landing_dir: str) -> DataFrame:
     logical = F.regexp_replace(F.col("path"), r"/part-[^/]*$", "")
     logical = F.regexp_replace(logical, r"/[^/=]+=([^/]+\.parquet)$", "/$1")
     return files.select(
-        "path", parse_volume_object_path(logical).alias("year_month"), "length", "modification_time"
+        "path", parse_volume_object_path(logical, pattern).alias("year_month"), "length", "modification_time"
     )
 
 

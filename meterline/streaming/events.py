@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,7 @@ CREATE_UPDATE = "create_update"
 FLOW_PROGRESS = "flow_progress"
 EXPECTATION_METRICS = "expectation_metrics"
 PIPELINE_DONE = "pipeline_done"
+REQUIRED_COLUMNS = "required_columns"
 # Fixed value: event types the observability view keeps.
 OBSERVED_EVENTS = (FLOW_PROGRESS, EXPECTATION_METRICS, PIPELINE_DONE)
 
@@ -30,14 +31,19 @@ def event(event_type: str, message: str, details: dict, update_id: str) -> Colum
     )
 
 
-def emit(spark: SparkSession, lake: Lake, key: str, events: Sequence[Column]) -> None:
-    """Write a handful of events under ``key``; a replay under the same key replaces them."""
+def emit(
+    spark: SparkSession, lake: Lake, key: str, events: Sequence[Column], update_id: str
+) -> None:
+    """Write a handful of events of an update under ``key``; a replay replaces them."""
     rows = spark.range(1).select(F.explode(F.array(*events)).alias("e")).select("e.*")
-    rows.coalesce(1).write.mode("overwrite").parquet(f"{lake.events}/key={key}")
+    rows.coalesce(1).write.mode("overwrite").parquet(
+        f"{lake.events}/update={update_id}/key={key}"
+    )
 
 
 def flow_events(
     flow: str,
+    version: int,
     batch_id: int | None,
     rows: int,
     metrics: list[dict],
@@ -45,7 +51,9 @@ def flow_events(
     **volume: int,
 ) -> list[Column]:
     """Row count, input volume and rule counters of one write."""
-    where = {"flow": flow} if batch_id is None else {"flow": flow, "batch_id": batch_id}
+    where = {"flow": flow, "version": version}
+    if batch_id is not None:
+        where["batch_id"] = batch_id
     return [
         event(
             FLOW_PROGRESS,
@@ -101,17 +109,55 @@ EXPECTATION_TYPE = (
 )
 
 
-def rule_counters(events: DataFrame) -> DataFrame:
-    """Rule counters summed over the logged writes: ``(flow, rule, severity, passed, failed)``."""
+def update_counters(events: DataFrame) -> DataFrame:
+    """Rule counters of each update and table version:
+    ``(update_id, flow, version, rule, severity, passed_records, failed_records)``."""
     parsed = events.where(F.col("event_type") == EXPECTATION_METRICS).select(
+        F.col("origin.update_id").alias("update_id"),
         F.get_json_object("details", "$.flow").alias("flow"),
+        F.get_json_object("details", "$.version").cast("int").alias("version"),
         F.explode(
             F.from_json(F.get_json_object("details", "$.expectations"), EXPECTATION_TYPE)
         ).alias("m"),
     )
+    keys = ["update_id", "flow", "version"]
     return parsed.groupBy(
-        "flow", F.col("m.name").alias("rule"), F.col("m.severity").alias("severity")
+        *keys, F.col("m.name").alias("rule"), F.col("m.severity").alias("severity")
     ).agg(
         F.sum("m.passed_records").alias("passed_records"),
         F.sum("m.failed_records").alias("failed_records"),
     )
+
+
+def rule_counters(events: DataFrame, versions: Mapping[str, int]) -> DataFrame:
+    """Rule counters of the given version of each flow's table, over all its updates:
+    ``(flow, rule, severity, passed_records, failed_records)``.
+
+    Versions before, or under construction, count rows of their own and are left out.
+    """
+    wanted = F.lit(False)
+    for flow, version in versions.items():
+        wanted = wanted | ((F.col("flow") == flow) & (F.col("version") == version))
+    return (
+        update_counters(events)
+        .where(wanted)
+        .groupBy("flow", "rule", "severity")
+        .agg(
+            F.sum("passed_records").alias("passed_records"),
+            F.sum("failed_records").alias("failed_records"),
+        )
+    )
+
+
+LACKING_TYPE = "ARRAY<STRUCT<path: STRING, missing: ARRAY<STRING>>>"
+
+
+def lacking_columns(events: DataFrame) -> DataFrame:
+    """``(update_id, path, missing)``: each required column that an ingested file lacked."""
+    files = events.where(F.col("event_type") == REQUIRED_COLUMNS).select(
+        F.col("origin.update_id").alias("update_id"),
+        F.explode(
+            F.from_json(F.get_json_object("details", "$.files"), LACKING_TYPE)
+        ).alias("f"),
+    )
+    return files.select("update_id", "f.path", F.explode("f.missing").alias("missing"))

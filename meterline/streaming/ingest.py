@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from meterline import lake as store
-from meterline.contract import TRIPS, TableContract
+from meterline.contract import TRIPS, SchemaContractError, TableContract
 from meterline.lake import BATCH, Lake
 from meterline.operators.conform import CAST_LOSS_COLUMN, conform
 from meterline.operators.rules import (
@@ -28,19 +28,23 @@ from meterline.operators.rules import (
 )
 from meterline.sources.drifted import evolve, scan_drifted
 from meterline.sources.footers import FileSchema, file_schemas
-from meterline.streaming.events import emit, flow_events, input_volume
+from meterline.streaming.events import REQUIRED_COLUMNS, emit, event, flow_events
 
-SMALL_FILE_BYTES = 32 << 20
+# The file source forgets files this much older than the newest one; files may come with
+# their old modification times, so no file may ever be too old.
+MAX_FILE_AGE = "36500d"
 
 
 @dataclass(frozen=True)
 class IngestConfig:
     """``max_files_per_batch`` bounds what one micro-batch plans on the driver.
 
-    ``clustered_files`` says whether a task that scans landing files sees few event months.
-    Large monthly files do: then the canonical write needs no shuffle. Otherwise rows are
-    rebalanced by month first. Left open, batches of small files, many of which share a
-    task, are rebalanced and thereby compacted; batches of large files are not.
+    Canonical rows are rebalanced by month before they are written, which keeps misdated
+    rows from leaving tails of tiny files. ``clustered_files`` leaves that shuffle out, for
+    landing files known to hold the rows of few months each.
+
+    A file without a required column is reported as an event; ``refuse_missing`` makes it
+    an error.
     """
 
     landing_dir: str
@@ -48,7 +52,8 @@ class IngestConfig:
     contract: TableContract = TRIPS
     rules: tuple[Rule, ...] = TRIP_RULES
     max_files_per_batch: int = 5_000
-    clustered_files: bool | None = None
+    clustered_files: bool = False
+    refuse_missing: bool = False
 
 
 def discover(spark: SparkSession, config: IngestConfig) -> DataFrame:
@@ -58,6 +63,7 @@ def discover(spark: SparkSession, config: IngestConfig) -> DataFrame:
         .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
+        .option("maxFileAge", MAX_FILE_AGE)
         .option("maxFilesPerTrigger", config.max_files_per_batch)
         .load(config.landing_dir)
         .select("path", "modificationTime", "length")
@@ -71,15 +77,17 @@ def write_raw_batch(
     batch_id: int,
     files: DataFrame,
     update_id: str,
-) -> list[FileSchema]:
-    """Append one batch of files to the raw table; returns the files of the batch."""
+) -> list[Column]:
+    """Append one batch of files to the raw table; returns the events of the write."""
     found = file_schemas(spark, files)
     if not found:
-        return found
+        return []
     lake, contract = config.lake, config.contract
+    warnings = missing_required(config, found, update_id)
     anchors = contract.hint_schema()
     before = store.bronze_schema(spark, lake, version, before=batch_id)
     schema = evolve(before, anchors.fieldNames(), [f.schema for f in found])
+    # A required column that no file has ever had leaves nothing to fill in.
     contract.validate_required_columns(schema.fieldNames(), case_sensitive=False)
     raw = scan_drifted(spark, schema, anchors.fieldNames(), found)
     rules = raw_rules(contract)
@@ -89,22 +97,38 @@ def write_raw_batch(
     )
     if schema != before:  # a replay finds the same files and comes to the same schema
         store.write_bronze_schema(spark, lake, version, batch_id, schema)
+    store.write_ingested(lake, version, batch_id, files)
     counts = seen.get
-    emit(
-        spark,
-        lake,
-        f"bronze-v{version}-{batch_id}",
-        flow_events(
-            "bronze",
-            batch_id,
-            counts[ROWS_METRIC],
-            observed_metrics(rules, counts),
-            update_id,
-            num_input_files=len(found),
-            num_input_bytes=sum(f.length for f in found),
-        ),
+    return warnings + flow_events(
+        "bronze",
+        version,
+        batch_id,
+        counts[ROWS_METRIC],
+        observed_metrics(rules, counts),
+        update_id,
+        num_input_files=len(found),
+        num_input_bytes=sum(f.length for f in found),
     )
-    return found
+
+
+def missing_required(
+    config: IngestConfig, files: list[FileSchema], update_id: str
+) -> list[Column]:
+    """An event that names the files of a batch that lack required columns, if any do.
+
+    Each file's own columns count: the table's schema starts with the anchored columns and
+    never shrinks, so it cannot tell.
+    """
+    lacking = {f.path: config.contract.missing_columns(f.schema.fieldNames()) for f in files}
+    lacking = {path: names for path, names in lacking.items() if names}
+    if not lacking:
+        return []
+    text = "; ".join(f"{path}: {', '.join(names)}" for path, names in lacking.items())
+    if config.refuse_missing:
+        raise SchemaContractError(f"missing required columns: {text}")
+    listed = [{"path": path, "missing": list(names)} for path, names in lacking.items()]
+    message = f"{len(lacking)} files lack required columns"
+    return [event(REQUIRED_COLUMNS, message, {"flow": "bronze", "files": listed}, update_id)]
 
 
 def write_silver(
@@ -114,18 +138,17 @@ def write_silver(
     silver_version: int,
     update_id: str,
     batch_id: int | None = None,
-    clustered: bool = False,
-) -> None:
-    """Canonical rows of one batch, or of the whole raw table, in a single pass.
+) -> list[Column]:
+    """Canonical rows of one batch, or of the whole raw table, in a single pass; returns the
+    events of the write.
 
     Any shuffle comes before the counters: they then sit in the stage that writes, where a
     retried task is counted once.
     """
     lake, contract = config.lake, config.contract
-    batches = None if batch_id is None else [batch_id]
-    bronze = store.read_bronze(spark, lake, bronze_version, batches)
+    bronze = store.read_bronze(spark, lake, bronze_version, batch_id)
     rows = conform(bronze, contract, track_cast_loss=True, keep=(BATCH,))
-    if not clustered:
+    if not config.clustered_files:
         rows = store.rebalance(rows, BATCH, contract.event_month)
     rules = config.rules + CAST_LOSS_RULE
     seen = Observation()
@@ -139,14 +162,13 @@ def write_silver(
             [contract.event_month],
         )
     counts = seen.get
-    key = "full" if batch_id is None else batch_id
-    emit(
-        spark,
-        lake,
-        f"silver-v{silver_version}-{key}",
-        flow_events(
-            "silver", batch_id, counts[ROWS_METRIC], observed_metrics(rules, counts), update_id
-        ),
+    return flow_events(
+        "silver",
+        silver_version,
+        batch_id,
+        counts[ROWS_METRIC],
+        observed_metrics(rules, counts),
+        update_id,
     )
 
 
@@ -171,17 +193,12 @@ def ingest(
     store.start_bronze_schema(spark, lake, bronze_version, config.contract.hint_schema())
 
     def process(files: DataFrame, batch_id: int) -> None:
-        found = write_raw_batch(spark, config, bronze_version, batch_id, files, update_id)
-        if found:
-            write_silver(
-                spark,
-                config,
-                bronze_version,
-                silver_version,
-                update_id,
-                batch_id,
-                clustered=_clustered(config, len(found), sum(f.length for f in found)),
+        done = write_raw_batch(spark, config, bronze_version, batch_id, files, update_id)
+        if done:
+            done += write_silver(
+                spark, config, bronze_version, silver_version, update_id, batch_id
             )
+            emit(spark, lake, f"v{bronze_version}-{batch_id}", done, update_id)
 
     query = (
         discover(spark, config)
@@ -197,20 +214,13 @@ def ingest(
     return {"bronze": bronze_version, "silver": silver_version}
 
 
-def _clustered(config: IngestConfig, files: int, size: int) -> bool:
-    if config.clustered_files is not None:
-        return config.clustered_files
-    return size >= files * SMALL_FILE_BYTES
-
-
 def rebuild_silver(spark: SparkSession, config: IngestConfig, update_id: str) -> int:
     """Recompute the canonical table from all raw rows as a new version, then publish it."""
     lake = config.lake
     bronze_version = store.current_version(spark, lake, "bronze")
     version = store.start_version(spark, lake, "silver")
-    files, size = input_volume(store.read_events(spark, lake), "bronze").first()
-    clustered = _clustered(config, files or 0, size or 0)
-    write_silver(spark, config, bronze_version, version, update_id, clustered=clustered)
+    done = write_silver(spark, config, bronze_version, version, update_id)
+    emit(spark, lake, f"rebuild-v{version}", done, update_id)
     store.publish_version(spark, lake, "silver", version)
     return version
 

@@ -16,11 +16,20 @@ def values(spark, column_of, inputs, schema="v string"):
     return [r[0] for r in df.orderBy("i").select(column_of("v")).collect()]
 
 
-GOOD_MONTHS = ["2023-01", "2023-12", "1999-06", "2087-03"]
-BAD_MONTHS = [
-    "", "2023", "2023-1", "23-01", "2023-13", "2023-00", "2023/01", "2023-01-15", "abc-de",
-    " 2023-01", "2023-01 ", None,
-]
+GOOD_MONTHS = [f"{year:04d}-{month:02d}" for year in (1, 476, 1815, 9999) for month in (1, 6, 12)]
+
+
+def spoiled(month):
+    """What is left of a month after one thing about it is made wrong."""
+    year, number = month.split("-")
+    yield from (month[:k] + month[k + 1 :] for k in range(len(month)))  # a character lost
+    yield from (f"{year}-{n:02d}" for n in (0, 13, 47))
+    yield from (f"{year}{mark}{number}" for mark in (".", " ", "--", "\u2013"))
+    yield from (f"{month}\n", f"\t{month}", f"{month}-", f"{month}T", f"1{month}")
+    yield from (number, "MMXV-VI", "\u0661\u0668\u0661\u0665-\u0660\u0666")
+
+
+BAD_MONTHS = [*spoiled("1815-06"), None]
 
 
 def test_year_month_validity(spark):
@@ -30,40 +39,37 @@ def test_year_month_validity(spark):
 
 def test_parse_year_month(spark):
     got = values(spark, lambda c: months.parse_year_month(c), GOOD_MONTHS)
-    assert [(r["year"], r["month"]) for r in got] == [(2023, 1), (2023, 12), (1999, 6), (2087, 3)]
+    assert [f"{r['year']:04d}-{r['month']:02d}" for r in got] == GOOD_MONTHS
     lenient = values(spark, lambda c: months.parse_year_month(c, strict=False), BAD_MONTHS)
     assert lenient == [None] * len(BAD_MONTHS)
 
 
-@pytest.mark.parametrize("bad", ["2023-1", "2023-13", " 2023-01"])
+@pytest.mark.parametrize("bad", BAD_MONTHS[7:10])
 def test_parse_year_month_raises(spark, bad):
     with pytest.raises(PySparkException, match="invalid year-month"):
         values(spark, lambda c: months.parse_year_month(c), [bad])
 
 
-@pytest.mark.parametrize(
-    ("start", "end", "count", "first", "last"),
-    [
-        ("2023-01", "2023-05", 5, "2023-01", "2023-05"),
-        ("2023-03", "2023-03", 1, "2023-03", "2023-03"),
-        ("2022-11", "2023-02", 4, "2022-11", "2023-02"),
-        ("2022-12", "2024-01", 14, "2022-12", "2024-01"),
-        ("0001-12", "0002-01", 2, "0001-12", "0002-01"),
-    ],
-)
-def test_expand_window(spark, start, end, count, first, last):
-    row = spark.range(1).select(months.expand_window(F.lit(start), F.lit(end)).alias("m")).first()
-    assert len(row["m"]) == count
-    assert (row["m"][0], row["m"][-1]) == (first, last)
-    assert row["m"] == sorted(set(row["m"]))
+def month_after(month, n):
+    at = int(month[:4]) * 12 + int(month[5:]) - 1 + n
+    return f"{at // 12:04d}-{at % 12 + 1:02d}"
+
+
+@pytest.mark.parametrize("start", ["0004-02", "1582-10", "1999-12", "2040-01"])
+@pytest.mark.parametrize("length", [1, 2, 13, 240])
+def test_expand_window(spark, start, length):
+    window = [month_after(start, k) for k in range(length)]
+    row = spark.range(1).select(months.expand_window(F.lit(start), F.lit(window[-1])).alias("m"))
+    assert row.first()["m"] == window
 
 
 @pytest.mark.parametrize(
     ("start", "end", "text"),
     [
-        ("2023-05", "2023-01", "before its start"),
-        ("2023-1", "2023-05", "invalid year-month"),
-        ("2023-01", "2023-99", "invalid year-month"),
+        ("1848-04", "1848-03", "before its start"),
+        ("1848-04", "1847-12", "before its start"),
+        (BAD_MONTHS[8], "1848-04", "invalid year-month"),
+        ("1848-04", BAD_MONTHS[9], "invalid year-month"),
     ],
 )
 def test_expand_window_rejects(spark, start, end, text):
@@ -79,99 +85,90 @@ def test_year_month_of_null_is_null(spark):
 
 
 def test_source_url(spark):
-    url = values(spark, lambda c: paths.build_source_url(c), ["2023-01"])[0]
-    assert url == f"{paths.SOURCE_BASE}/yellow_tripdata_2023-01.parquet"
-    assert "//" not in url.removeprefix("https://")
+    urls = values(spark, lambda c: paths.build_source_url(c), GOOD_MONTHS)
+    assert urls == [f"{paths.SOURCE_BASE}/yellow_tripdata_{m}.parquet" for m in GOOD_MONTHS]
     with pytest.raises(PySparkException, match="invalid year-month"):
-        values(spark, lambda c: paths.build_source_url(c), ["2023-1"])
+        values(spark, lambda c: paths.build_source_url(c), [BAD_MONTHS[7]])
+
 
+BASE = "/Volumes/harbour/arrivals/cargo"
 
-BASE = "/Volumes/main/bronze/landing/yellow"
 
+def landed(month, folder=BASE):
+    return f"{folder}/year={month[:4]}/month={month[5:]}/yellow_tripdata_{month}.parquet"
 
-@pytest.mark.parametrize("base", [BASE, BASE + "/", BASE + "//"])
-def test_landing_path(spark, base):
-    got = values(spark, lambda c: paths.build_volume_object_path(c, F.lit("2023-12")), [base])
-    assert got == [f"{BASE}/year=2023/month=12/yellow_tripdata_2023-12.parquet"]
 
+@pytest.mark.parametrize("slashes", range(4))
+def test_landing_path(spark, slashes):
+    base = BASE + "/" * slashes
+    made = [values(spark, lambda c, m=m: paths.build_volume_object_path(c, F.lit(m)), [base]) for m in GOOD_MONTHS[:3]]
+    assert made == [[landed(m)] for m in GOOD_MONTHS[:3]]
 
-@pytest.mark.parametrize("base", ["", "   ", "no-leading-slash/landing", "/Volumes/", None])
+
+@pytest.mark.parametrize("base", [BASE[1:], BASE.lower(), BASE.replace("Volumes", "mnt"), "\t", "/", None])
 def test_landing_path_rejects_base(spark, base):
     with pytest.raises(PySparkException, match="landing base"):
-        values(spark, lambda c: paths.build_volume_object_path(c, F.lit("2023-01")), [base])
+        values(spark, lambda c: paths.build_volume_object_path(c, F.lit("1815-06")), [base])
 
 
 def test_landing_path_rejects_month(spark):
     with pytest.raises(PySparkException, match="invalid year-month"):
-        values(spark, lambda c: paths.build_volume_object_path(c, F.lit("2023-1")), [BASE])
-
-
-@pytest.mark.parametrize(
-    ("path", "file_month", "landed_month"),
-    [
-        (f"{BASE}/year=2023/month=03/yellow_tripdata_2023-03.parquet", "2023-03", "2023-03"),
-        (f"{BASE}/year=2099/month=01/yellow_tripdata_2023-03.parquet", "2023-03", "2023-03"),
-        (f"{BASE}/yellow_tripdata_2023-03.parquet", "2023-03", None),
-        ("yellow_tripdata_2023-03.parquet", "2023-03", None),
-        ("s3://b/x/yellow_tripdata_2023-03.parquet", "2023-03", None),
-        (f"{BASE}/year=2023/month=03/green_tripdata_2023-03.parquet", None, None),
-        (f"{BASE}/year=2023/month=13/yellow_tripdata_2023-13.parquet", None, None),
-        (f"{BASE}/year=2023/month=1/yellow_tripdata_2023-1.parquet", None, None),
-        (f"{BASE}/year=2023/month=03/yellow_tripdata_2023-03.parquet.tmp", "2023-03", None),
-        ("", None, None),
-        (None, None, None),
-    ],
-)
-def test_month_of_a_path(spark, path, file_month, landed_month):
-    assert values(spark, paths.extract_file_year_month, [path]) == [file_month]
-    assert values(spark, paths.parse_volume_object_path, [path]) == [landed_month]
-
-
-@pytest.mark.parametrize(
-    ("base", "parts"),
-    [
-        (BASE, ("main", "bronze", "landing")),
-        ("/Volumes/main/bronze/landing/", ("main", "bronze", "landing")),
-        ("/Volumes/c/s/v", ("c", "s", "v")),
-    ],
-)
-def test_base_parts(spark, base, parts):
-    assert tuple(values(spark, lambda c: paths.parse_volume_base(c), [base])[0]) == parts
-
-
-@pytest.mark.parametrize(
-    ("base", "text"),
-    [
-        ("", "non-empty"),
-        ("   ", "non-empty"),
-        ("/dbfs/main/bronze/landing", "/Volumes/"),
-        ("/Volumes/main", "catalog.*schema.*volume"),
-        ("/Volumes/main/bronze/", "catalog.*schema.*volume"),
-    ],
-)
-def test_base_parts_rejects(spark, base, text):
-    with pytest.raises(PySparkException, match=text):
+        values(spark, lambda c: paths.build_volume_object_path(c, F.lit(BAD_MONTHS[9])), [BASE])
+
+
+def test_month_of_a_path(spark):
+    month, other = "1815-06", "0476-09"
+    where = landed(month)
+    name = where.rsplit("/", 1)[1]
+    cases = {
+        where: (month, month),
+        landed(month, "hdfs://host/any/where"): (month, month),
+        where.replace("year=1815/month=06", f"year={other[:4]}/month={other[5:]}"): (month, month),
+        where.replace("/month=06", ""): (month, None),
+        where.replace("month=06", "month=6"): (month, None),
+        name: (month, None),
+        f"{where}/{name}.crc": (month, None),
+        where.replace("yellow", "blue"): (None, None),
+        where.replace("tripdata_1815-06", "tripdata_1815-14"): (None, None),
+        where.replace("tripdata_1815-06", "tripdata_181506"): (None, None),
+        where.replace(".parquet", ".orc"): (None, None),
+        "nothing of the kind": (None, None),
+    }
+    inputs = [*cases, None]
+    assert values(spark, paths.extract_file_year_month, inputs) == [x for x, _ in cases.values()] + [None]
+    assert values(spark, paths.parse_volume_object_path, inputs) == [x for _, x in cases.values()] + [None]
+
+
+def test_landed_files_of_another_contract(spark):
+    pattern = r"tide_(\d{4}-\d{2})\.parquet"
+    inputs = ["/x/year=1815/month=06/tide_1815-06.parquet", landed("1815-06")]
+    assert values(spark, lambda c: paths.parse_volume_object_path(c, pattern), inputs) == ["1815-06", None]
+
+
+def test_base_parts(spark):
+    names = [("a", "b", "c"), ("harbour", "arrivals", "cargo"), ("x_1", "y-2", "z.3")]
+    inputs = [f"/Volumes/{'/'.join(n)}{tail}" for n in names for tail in ("", "/", "/deeper/still")]
+    got = values(spark, lambda c: paths.parse_volume_base(c), inputs)
+    assert [tuple(x) for x in got] == [n for n in names for _ in range(3)]
+
+
+@pytest.mark.parametrize("base", ["", "\t ", "/mnt/a/b/c", "/Volumes/a", "/Volumes/a/b//"])
+def test_base_parts_rejects(spark, base):
+    with pytest.raises(PySparkException):
         values(spark, lambda c: paths.parse_volume_base(c), [base])
 
 
-@pytest.mark.parametrize(
-    ("code", "status"),
-    [(200, "OK"), (204, "OK"), (206, "OK"), (299, "OK"), (199, "HTTP_ERR"), (301, "HTTP_ERR"),
-     (302, "HTTP_ERR"), (404, "HTTP_ERR"), (500, "HTTP_ERR"), (503, "HTTP_ERR")],
-)
-def test_probe_response(spark, code, status):
-    got = values(spark, outcomes.classify_probe_response, [code], "v int")[0]
-    assert tuple(got) == (status, code)
+def test_probe_response(spark):
+    codes = list(range(100, 600, 7)) + [200, 299, 300]
+    got = values(spark, outcomes.classify_probe_response, codes, "v int")
+    assert [tuple(x) for x in got] == [("OK" if c // 100 == 2 else "HTTP_ERR", c) for c in codes]
 
 
-@pytest.mark.parametrize(
-    ("name", "status"),
-    [("Timeout", "TIMEOUT"), ("ConnectTimeout", "TIMEOUT"), ("ReadTimeout", "TIMEOUT"),
-     ("ConnectionError", "CONN_ERR"), ("SSLError", "CONN_ERR"), ("ValueError", "CONN_ERR")],
-)
-def test_probe_exception(spark, name, status):
-    got = values(spark, outcomes.classify_probe_exception, [name])[0]
-    assert tuple(got) == (status, None)
+def test_probe_exception(spark):
+    late = ["Timeout", "PoolTimeout", "HandshakeTimeout"]
+    other = ["BrokenPipeError", "ProtocolError", "KeyError"]
+    got = values(spark, outcomes.classify_probe_exception, late + other)
+    assert [tuple(x) for x in got] == [("TIMEOUT", None)] * 3 + [("CONN_ERR", None)] * 3
 
 
 @pytest.mark.parametrize(

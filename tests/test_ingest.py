@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import json
+import os
 import shutil
 
 import pytest
@@ -162,7 +163,7 @@ def test_a_failed_batch_is_replayed_without_doubling(spark, config, three_months
     assert ids(store.read_silver(spark, config.lake, CONTRACT)) == list(range(30))
     counted = {
         (r["flow"], r["rule"]): r["passed_records"] + r["failed_records"]
-        for r in log.rule_counters(store.read_events(spark, config.lake)).collect()
+        for r in counters(spark, config).collect()
     }
     assert set(counted.values()) == {30}
 
@@ -199,21 +200,20 @@ def test_rebuild_equals_the_incremental_table(spark, config, three_months):
     assert ids(store.read_silver(spark, config.lake, CONTRACT)) == list(range(36))
 
 
+def counters(spark, config):
+    versions = {x: store.current_version(spark, config.lake, x) for x in ("bronze", "silver")}
+    return log.rule_counters(store.read_events(spark, config.lake), versions)
+
+
 @pytest.mark.parametrize("clustered", [True, False])
 def test_rebalanced_or_not_the_table_is_the_same(spark, config, three_months, clustered):
     fixed = dataclasses.replace(config, clustered_files=clustered)
     ingest(spark, fixed, "u1")
     assert ids(store.read_silver(spark, config.lake, CONTRACT)) == list(range(30))
-    counted = log.rule_counters(store.read_events(spark, config.lake)).where("flow = 'silver'")
+    counted = counters(spark, config).where("flow = 'silver'")
     assert {r["passed_records"] + r["failed_records"] for r in counted.collect()} == {30}
 
 
-def test_small_files_are_compacted_and_large_ones_written_as_they_come(config):
-    assert not stream._clustered(config, 2, 2 << 20)
-    assert stream._clustered(config, 2, 1 << 30)
-    assert stream._clustered(dataclasses.replace(config, clustered_files=True), 2, 2)
-
-
 def test_input_volume_is_logged(spark, config, three_months):
     ingest(spark, config, "u1")
     volume = log.input_volume(store.read_events(spark, config.lake), "bronze").first()
@@ -245,7 +245,7 @@ def test_rules_drop_and_count(spark, config):
     assert ids(store.read_silver(spark, config.lake, CONTRACT)) == list(range(4, 10))
     counted = {
         r["rule"]: r["failed_records"]
-        for r in log.rule_counters(store.read_events(spark, config.lake)).collect()
+        for r in counters(spark, config).collect()
     }
     assert counted["positive"] == 4 and counted["no_cast_loss"] == 0
 
@@ -256,7 +256,7 @@ def test_values_outside_their_type_become_null_and_are_counted(spark, config):
     ingest(spark, config, "u1")
     silver = {r["id"]: r["fee"] for r in store.read_silver(spark, config.lake, CONTRACT).collect()}
     assert silver[1] is None and len(silver) == 3
-    counted = log.rule_counters(store.read_events(spark, config.lake)).where("rule = 'no_cast_loss'")
+    counted = counters(spark, config).where("rule = 'no_cast_loss'")
     assert counted.first()["failed_records"] == 1
 
 
@@ -409,3 +409,76 @@ def test_unreadable_footers_fall_back_to_spark(spark, root, monkeypatch):
     monkeypatch.setattr(footers, "read_footers", lambda _: failing)
     found = file_schemas(spark, files)
     assert {f.schema.simpleString() for f in found} == {"struct<id:bigint>"}
+
+
+def test_files_older_than_all_others_are_ingested(spark, config):
+    for age, i in ((0, 1), (30, 2), (400, 3)):
+        path = land(spark, config.landing_dir, f"2023-0{i}", JANUARY, [i])
+        past = os.path.getmtime(_files(path)[0]) - age * 86_400
+        for name in _files(path):
+            os.utime(name, (past, past))
+        ingest(spark, config, f"u{i}")
+    assert ids(store.read_bronze(spark, config.lake)) == [1, 2, 3]
+
+
+def test_counters_are_those_of_the_published_version(spark, config, three_months):
+    ingest(spark, config, "u1")
+    before = sorted(map(tuple, counters(spark, config).collect()))
+    rebuild_silver(spark, config, "u2")
+    assert sorted(map(tuple, counters(spark, config).collect())) == before
+    ingest(spark, config, "u3", full_refresh=True)
+    assert sorted(map(tuple, counters(spark, config).collect())) == before
+    each = log.update_counters(store.read_events(spark, config.lake)).where("flow = 'silver'")
+    assert {(r["update_id"], r["version"]) for r in each.collect()} == {("u1", 0), ("u2", 1), ("u3", 2)}
+
+
+def test_a_recased_and_retyped_column_is_recovered_or_counted_as_lost(spark, config):
+    columns = (
+        ColumnSpec("id", "id", "BIGINT", "BIGINT", required=True),
+        ColumnSpec("ts", "ts", "TIMESTAMP", "TIMESTAMP_NTZ"),
+        ColumnSpec("value", "value", "DOUBLE", recover=True),
+    )
+    contract = TableContract(columns=columns, event_time="ts", file_pattern=config.contract.file_pattern)
+    own = IngestConfig(config.landing_dir, config.lake, contract, config.rules[:0])
+    start = spark.range(3).select("id", F.lit("2023-01-05 10:00:00").cast("timestamp_ntz").alias("ts"))
+    for month, value in (
+        ("01", F.lit(1.5).alias("value")),
+        ("02", F.lit(3).cast("bigint").alias("Value")),
+        ("03", F.lit("no number").alias("VALUE")),
+    ):
+        folder = f"{config.landing_dir}/year=2023/month={month}/yellow_tripdata_2023-{month}.parquet"
+        start.select("id", "ts", value).write.parquet(folder)
+        ingest(spark, own, f"u{month}")
+    values = [r["value"] for r in store.read_silver(spark, config.lake, contract).collect()]
+    assert sorted(values, key=str) == [1.5] * 3 + [3.0] * 3 + [None] * 3
+    lost = counters(spark, own).where("rule = 'no_cast_loss'").first()
+    assert (lost["passed_records"], lost["failed_records"]) == (6, 3)
+
+
+def test_files_without_required_columns_are_named_or_refused(spark, config):
+    land(spark, config.landing_dir, "2023-01", JANUARY, range(3))
+    bad = land(spark, config.landing_dir, "2023-02", JANUARY, range(3), lambda df: df.drop("id"))
+    ingest(spark, config, "u1")
+    rows = log.lacking_columns(store.read_events(spark, config.lake)).collect()
+    assert [r["missing"] for r in rows] == ["id"] and bad in rows[0]["path"]
+    strict = dataclasses.replace(config, lake=Lake(f"{config.lake.root}2"), refuse_missing=True)
+    with pytest.raises(Exception, match="missing required columns"):
+        ingest(spark, strict, "u2")
+
+
+def test_a_batch_is_read_from_its_own_folder(spark, config):
+    for i in (1, 2, 3):
+        land(spark, config.landing_dir, f"2023-0{i}", JANUARY, [i])
+        ingest(spark, config, f"u{i}")
+    one = store.read_bronze(spark, config.lake, 0, 1)
+    assert ids(one) == [2] and [r["batch_id"] for r in one.select("batch_id").collect()] == [1]
+    assert all("batch_id=1/" in f for f in one.inputFiles())
+
+
+def test_a_batch_with_misdated_rows_leaves_no_tail_of_small_files(spark, config):
+    when = F.to_timestamp_ntz(F.expr("timestamp_ntz'2022-01-15 00:00:00' + make_interval(0, id % 12)"))
+    for i in (1, 2, 3):
+        land(spark, config.landing_dir, f"2023-0{i}", JANUARY, range(36), lambda df: df.withColumn("ts", when))
+    ingest(spark, config, "u1")
+    files = store.read_silver(spark, config.lake, CONTRACT).inputFiles()
+    assert len(files) == 12

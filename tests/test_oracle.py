@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.QUERIES, entry.ORACLES
 
 
 @pytest.fixture(scope="module")

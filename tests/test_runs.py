@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime
 
 import pytest
@@ -41,72 +42,65 @@ def test_columns_and_order():
     assert nullable == {"pipeline_update_id", "error_message"}
 
 
-def test_all_downloaded(spark):
-    row = collapse(
-        spark, "2023-01", "2023-02",
-        [outcome("2023-01", down=100, size=100), outcome("2023-02", down=200, size=200)],
-    )
-    assert row["status"] == "SUCCESS" and row["error_message"] is None
-    assert row["months_downloaded"] == ["2023-01", "2023-02"]
-    assert row["months_skipped"] == row["months_failed"] == []
-    assert (row["bytes_downloaded"], row["bytes_total_in_volume"]) == (300, 300)
-    assert row["pipeline_update_id"] is None
-
-
-def test_skipped_is_success_and_bytes_differ(spark):
-    row = collapse(
-        spark, "2023-01", "2023-02",
-        [outcome("2023-01", down=100, size=100),
-         outcome("2023-02", "SKIPPED_EXISTING", 0, 150, "TIMEOUT", None)],
-    )
-    assert row["status"] == "SUCCESS"
-    assert row["months_skipped"] == ["2023-02"]
-    assert (row["bytes_downloaded"], row["bytes_total_in_volume"]) == (100, 250)
-
-
-def test_one_failed_month_is_partial(spark):
-    row = collapse(
-        spark, "2023-01", "2023-02",
-        [outcome("2023-01", down=1, size=1), outcome("2023-02", "FAILED", probe="HTTP_ERR", code=503)],
-    )
-    assert row["status"] == "PARTIAL"
-    assert row["error_message"] == "failed months: 2023-02"
-
-
-def test_all_failed(spark):
-    row = collapse(
-        spark, "2023-01", "2023-02",
-        [outcome(m, "FAILED", probe="TIMEOUT", code=None) for m in ("2023-01", "2023-02")],
-    )
-    assert row["status"] == "FAILED"
-    assert "2023-01, 2023-02" in row["error_message"]
-    assert "VOLUME_PREEXISTING" in row["error_message"]
-
-
-def test_order_is_chronological_whatever_the_input_order(spark):
-    rows = [outcome(m) for m in ("2023-03", "2023-01", "2023-02")]
-    rows[2] = outcome("2023-02", "FAILED", probe="TIMEOUT", code=None)
-    row = collapse(spark, "2023-01", "2023-03", rows)
-    assert row["months_requested"] == ["2023-01", "2023-02", "2023-03"]
-    assert row["months_downloaded"] == ["2023-01", "2023-03"]
-    assert [tuple(p) for p in row["probe_results"]] == [
-        ("2023-01", "OK", 200), ("2023-02", "TIMEOUT", None), ("2023-03", "OK", 200),
-    ]
+def plain_fold(months, rows):
+    """What the audit row says, computed month by month."""
+    last = {}
+    for r in sorted(rows, key=lambda r: r[1]):
+        last[r[2]] = r
+    seen = [last[m] for m in months if m in last]
+    by = {s: [r[2] for r in seen if r[3] == s] for s in ("DOWNLOADED", "SKIPPED_EXISTING", "FAILED")}
+    return {
+        "months_requested": list(months),
+        "months_downloaded": by["DOWNLOADED"],
+        "months_skipped": by["SKIPPED_EXISTING"],
+        "months_failed": by["FAILED"],
+        "bytes_downloaded": sum(r[4] for r in seen if r[3] == "DOWNLOADED"),
+        "bytes_total_in_volume": sum(r[5] for r in seen),
+        "probe_results": [(r[2], r[6], r[7]) for r in seen],
+    }
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_collapse_equals_a_plain_fold(spark, seed):
+    rng = random.Random(seed)
+    months = [f"{1888 + k // 12}-{k % 12 + 1:02d}" for k in range(7, 7 + rng.randint(1, 20))]
+    kinds = [["DOWNLOADED"], ["FAILED"], ["DOWNLOADED", "SKIPPED_EXISTING", "FAILED"]][seed % 3]
+    rows = []
+    for m in months:
+        for seq in range(rng.randint(1, 3)):
+            status, size = rng.choice(kinds), rng.randint(1, 10**9)
+            down = {"DOWNLOADED": size}.get(status, 0)
+            held = 0 if status == "FAILED" else size
+            probe = rng.choice([("OK", 207), ("TIMEOUT", None), ("CONN_ERR", None), ("HTTP_ERR", 418)])
+            rows.append(outcome(m, status, down, held, *probe, seq=seq))
+    rng.shuffle(rows)
+    row = collapse(spark, months[0], months[-1], rows)
+    want = plain_fold(months, rows)
+    for name, value in want.items():
+        got = row[name]
+        assert ([tuple(x) for x in got] if name == "probe_results" else got) == value, name
+    failed = want["months_failed"]
+    status = "SUCCESS" if not failed else "FAILED" if failed == months else "PARTIAL"
+    assert row["status"] == status and row["pipeline_update_id"] is None
+    assert (row["error_message"] is None) == (status == "SUCCESS")
+    for m in failed:
+        assert m in row["error_message"]
+    assert ("VOLUME_PREEXISTING" in (row["error_message"] or "")) == (status == "FAILED")
 
 
 def test_last_outcome_of_a_month_wins(spark):
-    rows = [outcome("2023-01", "FAILED", seq=1), outcome("2023-01", down=5, size=5, seq=2)]
-    row = collapse(spark, "2023-01", "2023-01", rows[::-1])
+    rows = [outcome("1901-11", "FAILED", seq=1), outcome("1901-11", down=5, size=5, seq=2)]
+    row = collapse(spark, "1901-11", "1901-11", rows[::-1])
     assert row["status"] == "SUCCESS" and row["bytes_downloaded"] == 5
 
 
 def test_months_outside_the_window_do_not_count(spark):
     row = collapse(
-        spark, "2023-01", "2023-02",
-        [outcome("2023-01", down=1, size=1), outcome("2023-07", "FAILED"), outcome("junk", "FAILED")],
+        spark, "1901-11", "1901-12",
+        [outcome("1901-11", down=1, size=1), outcome("1903-05", "FAILED"), outcome("junk", "FAILED")],
     )
     assert row["status"] == "SUCCESS" and row["months_failed"] == []
-    only_outside = collapse(spark, "2023-01", "2023-02", [outcome("2023-07", "FAILED")])
+    only_outside = collapse(spark, "1901-11", "1901-12", [outcome("1903-05", "FAILED")])
     assert only_outside["status"] == "SUCCESS" and only_outside["probe_results"] == []
 
 
@@ -114,19 +108,19 @@ def test_months_outside_the_window_do_not_count(spark):
     ("rows", "mode", "text"),
     [
         ([], "HTTP", "at least one month outcome"),
-        ([outcome("2023-01", "BANANA")], "HTTP", "invalid month status"),
-        ([outcome("2023-01", probe="WAT")], "HTTP", "invalid probe_status"),
-        ([outcome("2023-01")], "FTP", "invalid source_mode"),
+        ([outcome("1901-11", "HALFWAY")], "HTTP", "invalid month status"),
+        ([outcome("1901-11", probe="PERHAPS")], "HTTP", "invalid probe_status"),
+        ([outcome("1901-11")], "PIGEON", "invalid source_mode"),
     ],
 )
 def test_bad_input_raises(spark, rows, mode, text):
     with pytest.raises(PySparkException, match=text):
-        collapse(spark, "2023-01", "2023-01", rows, mode)
+        collapse(spark, "1901-11", "1901-11", rows, mode)
 
 
 def test_a_run_with_many_repeats_reaches_its_group_as_one_entry_per_month(spark):
-    rows = [outcome("2023-01", seq=i, down=i, size=i) for i in range(2000)]
-    row = collapse(spark, "2023-01", "2023-02", rows)
+    rows = [outcome("1901-11", seq=i, down=i, size=i) for i in range(2000)]
+    row = collapse(spark, "1901-11", "1901-12", rows)
     assert row["bytes_downloaded"] == 1999 and len(row["probe_results"]) == 1
 
 

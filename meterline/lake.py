@@ -74,7 +74,7 @@ def ensure(spark: SparkSession, lake: Lake) -> None:
     create_empty(spark, lake.versions, VERSION_DDL)
     create_empty(spark, lake.audit, LANDING_AUDIT_SCHEMA)
     create_empty(spark, lake.completions, COMPLETION_DDL)
-    create_empty(spark, f"{lake.events}/update=none/key=none", EVENT_DDL)
+    create_empty(spark, f"{lake.events}/update_id=none/key=none", EVENT_DDL)
 
 
 def create_empty(spark: SparkSession, path: str, schema: str | T.StructType) -> None:

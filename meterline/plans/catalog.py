@@ -42,7 +42,7 @@ def _view(spark: SparkSession, name: str, query: str) -> None:
 
 
 def register_tables(spark: SparkSession, config: IngestConfig, schema: str) -> None:
-    """Canonical table, dimension, audit and events under ``schema``; safe to repeat."""
+    """Raw and canonical table, dimension, audit and events under ``schema``; safe to repeat."""
     lake, contract = config.lake, config.contract
     store.ensure(spark, lake)
     ensure_schema(spark, schema)
@@ -53,6 +53,14 @@ def register_tables(spark: SparkSession, config: IngestConfig, schema: str) -> N
     _partitioned(spark, physical, with_batch, [BATCH, contract.event_month], lake.silver(version))
     _view(spark, f"{schema}.trips", f"SELECT {', '.join(columns.fieldNames())} FROM {physical}")
 
+    # The raw table's schema grows, so its entry is made anew; its files stay.
+    raw_version = store.current_version(spark, lake, "bronze")
+    raw = store.bronze_table_schema(store.bronze_schema(spark, lake, raw_version))
+    physical = f"{schema}.raw_v{raw_version}"
+    spark.sql(f"DROP TABLE IF EXISTS {physical}")
+    _partitioned(spark, physical, raw, [BATCH], lake.bronze(raw_version, "data"))
+    _view(spark, f"{schema}.raw_trips", f"SELECT * FROM {physical}")
+
     ensure_table(spark, f"{schema}.dim_locations", LOCATION_DDL, lake.locations)
     ensure_table(
         spark, f"{schema}.landing_audit_rows", _ddl(runs.LANDING_AUDIT_SCHEMA), lake.audit
@@ -60,8 +68,8 @@ def register_tables(spark: SparkSession, config: IngestConfig, schema: str) -> N
     ensure_table(spark, f"{schema}.run_completions", store.COMPLETION_DDL, lake.completions)
     for table in ("dim_locations", "landing_audit_rows", "run_completions"):
         spark.catalog.refreshTable(f"{schema}.{table}")
-    events = T.StructType.fromDDL(store.EVENT_DDL).add("key", "string")
-    _partitioned(spark, f"{schema}.run_events", events, ["key"], lake.events)
+    events = T.StructType.fromDDL(store.EVENT_DDL).add("update_id", "string").add("key", "string")
+    _partitioned(spark, f"{schema}.run_events", events, ["update_id", "key"], lake.events)
     _publish_audit(spark, schema)
 
 

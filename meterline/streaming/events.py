@@ -37,7 +37,7 @@ def emit(
     """Write a handful of events of an update under ``key``; a replay replaces them."""
     rows = spark.range(1).select(F.explode(F.array(*events)).alias("e")).select("e.*")
     rows.coalesce(1).write.mode("overwrite").parquet(
-        f"{lake.events}/update={update_id}/key={key}"
+        f"{lake.events}/update_id={update_id}/key={key}"
     )
 
 

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterline import session
+from meterline.llm.oracles import OP10_SQL
 from meterline.llm.registry import query, table
 
 MIN_WORDS = 5
@@ -207,7 +208,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
-@query("op10_line_dedup")
+@query("op10_line_dedup", OP10_SQL)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their lines counted and digests of what is left."""
     found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm.components import components
+from meterline.llm.oracles import OP5_SQL
 from meterline.llm.registry import query, table
 from meterline.llm.windows import mix
 from meterline.session import materialised
@@ -283,7 +284,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return rows.drop("doc_id", "text").join(staying, DOC, "left_semi").dropDuplicates(DOC).select("_row.*")
 
 
-@query("op5_near_duplicates")
+@query("op5_near_duplicates", OP5_SQL)
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline import session
+from meterline.llm.oracles import OP2_SQL
 from meterline.llm.registry import query, table
 from meterline.llm.repeats import Rows, pack_place, unpack_place
 from meterline.llm.windows import Names, covered, runs_of, segments
@@ -222,7 +223,7 @@ def remove_duplicates(docs: DataFrame, with_texts: bool = True) -> DataFrame:
     return joined.mapInArrow(emit, chosen)
 
 
-@query("op2_duplicate_windows")
+@query("op2_duplicate_windows", OP2_SQL)
 def op2_duplicate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove from all documents every word that an earlier 20-word window covers."""
     found = remove_duplicates(table(spark, sf_dir, "documents"), with_texts=False)

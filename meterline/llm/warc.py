@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from meterline import session
 from meterline.llm.frames import file_system
+from meterline.llm.oracles import OP3_SQL
 from meterline.llm.registry import query, table
 
 MIN_REVISIT = 100
@@ -256,7 +257,7 @@ def read_archives(spark: SparkSession, archives: list, split_bytes: int = SPLIT_
     return todo.repartition(max(1, len(splits))).mapInArrow(read, RECORDS)
 
 
-@query("op3_warc")
+@query("op3_warc", OP3_SQL)
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive all pages, and describe the records read back."""
     folder = session.scratch_dir(spark, "warc")

@@ -178,7 +178,8 @@ def link_classes(classes: DataFrame, texts: DataFrame) -> DataFrame:
     sets = materialised(_sets(classes, texts, members.select("node").distinct()), "sets")
     pairs = members.join(hub, "bucket").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     links = confirmed(materialised(pairs.distinct(), "pairs"), sets)
-    rest = _across(materialised(labelled(members, links).select("bucket", "node", "label"), "labelled"), sets)
+    marked = materialised(labelled(members, links).select("bucket", "node", "label"), "labelled")
+    rest = _across(marked, sets, classes.select("node", "bands"))
     more = confirmed(rest, sets)
     return components(links.unionByName(more))
 
@@ -192,7 +193,7 @@ def _sets(classes: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     return once.join(wanted.select("node", "sketch"), "node")
 
 
-def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _across(members: DataFrame, sets: DataFrame, bands: DataFrame) -> DataFrame:
     """Pairs (a, b) between components that still meet in a bucket and may be linked."""
     mixed = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
     mixed = materialised(mixed.select("bucket"), "mixed")
@@ -211,17 +212,20 @@ def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
     may = shared * 100 >= (F.greatest(F.col("least"), shared) + F.col("private")) * SIMILARITY
     hopeful = rows.join(least, "bucket").filter(may)
     hopeful = hopeful.select("bucket", "node", "label", F.col("n_shingles").alias("n"), shared.alias("shared"))
-    hopeful = materialised(hopeful, "hopeful")
+    hopeful = materialised(materialised(hopeful, "hopeful").join(bands, "node"), "hopeful")
     counts = hopeful.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     main = counts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
     main = materialised(main.filter("labels > 1").select("bucket", F.col("m.label").alias("main")), "main")
     others = hopeful.join(main, "bucket").filter("label <> main")
-    others = others.select("bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("shared").alias("sa"))
+    others = others.select("bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("shared").alias("sa"), F.col("bands").alias("ba"))
     # Members outside the main component meet all hopeful members of other components, as far
     # as both sides' private shingles leave a chance.
     most = F.least("sa", "shared")
     chance = most * 100 >= (F.col("na") + F.col("n") - most) * SIMILARITY
-    met = materialised(others, "others").join(hopeful, "bucket").filter((F.col("la") != F.col("label")) & chance)
+    # A pair is formed in the first of its common buckets only.
+    here = F.element_at(F.array_intersect("ba", "bands"), 1) == F.col("bucket")
+    apart = (F.col("la") != F.col("label")) & chance & here
+    met = materialised(others, "others").join(hopeful, "bucket").filter(apart)
     pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
     return materialised(pairs.distinct(), "across")
 

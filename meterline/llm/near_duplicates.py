@@ -1,11 +1,11 @@
 """Operator 5: near-duplicate documents by banded MinHash and odd sketches.
 
 A document is its set of distinct 5-word shingles (hashed to 64 bits); documents are linked
-whose sets have a Jaccard similarity of ``SIMILARITY`` or more.
+whose sets have a Jaccard similarity of ``similarity`` percent or more (``SIMILARITY`` unless told).
 
 1. Equal sets are one class; only classes are compared.
 2. MinHash signatures are cut into ``BANDS`` bands of ``ROWS`` values. Classes that agree in a
-   band share a bucket; a pair at the threshold shares none with probability 7e-11.
+   band share a bucket; a pair at the threshold shares none with probability 7e-11 (at 80 %: 1.3e-7).
 3. Pairs are not formed within buckets. In each bucket all members are compared with one hub,
    the member with the largest buckets overall (the copies' common original, where there is
    one), and connected components are built from the confirmed links.
@@ -46,8 +46,6 @@ WORDS = 5
 SIMILARITY = 85  # percent
 BANDS, ROWS = 40, 5
 SKETCH_BITS = 512
-#: Estimates vary by sqrt(J (1 - J) / samples); six deviations below the threshold.
-SKETCH_LEAST = 0.85 - 6 * (0.85 * 0.15 / (BANDS * ROWS)) ** 0.5
 
 #: What tells documents apart: doc_id (0 if it is null), whether it is null, two text hashes.
 DOC = ["doc", "no_id", "k0", "k1"]
@@ -97,6 +95,15 @@ def odd_sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
+def sketch_least(similarity: int) -> float:
+    """The least estimate that goes on: six deviations below ``similarity`` percent.
+
+    Estimates vary by sqrt(J (1 - J) / samples).
+    """
+    j = similarity / 100
+    return j - 6 * (j * (1 - j) / (BANDS * ROWS)) ** 0.5
+
+
 def find_sets(docs: DataFrame, keys: str, whole: bool) -> DataFrame:
     """For rows of ``keys`` (columns of whole numbers) and text: n_shingles and the class (two
     hashes of the set); with ``whole`` the set itself, else band keys and sketch."""
@@ -141,7 +148,7 @@ def estimate(a: Column, b: Column) -> Column:
     return 1 + F.log(1 - 2 * share) * SKETCH_BITS / (4 * BANDS * ROWS)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """The ``pairs`` (a, b) of nodes that are linked, by their sketches and then full sets.
 
     ``sets`` has node, n_shingles, sketch and shingles.
@@ -149,14 +156,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     light = sets.select("node", F.col("n_shingles").alias("n"), "sketch")
     of = lambda x: light.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     close = pairs.join(of("a"), "a").join(of("b"), "b").filter(
-        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY)
-        & (estimate(F.col("s_a"), F.col("s_b")) >= SKETCH_LEAST)
+        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity)
+        & (estimate(F.col("s_a"), F.col("s_b")) >= sketch_least(similarity))
     )
     close = materialised(close.select("a", "b", "n_a", "n_b"), "close")
     full = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"x_{x}"))
     both = close.join(full("a"), "a").join(full("b"), "b")
     shared = F.size(F.array_intersect("x_a", "x_b"))
-    linked = shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * SIMILARITY
+    linked = shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * similarity
     return materialised(both.filter(linked).select("a", "b"), "confirmed")
 
 
@@ -166,7 +173,7 @@ def labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def link_classes(classes: DataFrame, texts: DataFrame) -> DataFrame:
+def link_classes(classes: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """(node, label) of all classes with links, of ``classes`` with one document of ``texts`` each."""
     buckets = classes.select("node", F.explode("bands").alias("bucket"))
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -177,10 +184,10 @@ def link_classes(classes: DataFrame, texts: DataFrame) -> DataFrame:
     hub = materialised(hub.select("bucket", F.col("hub.node").alias("hub")), "hubs")
     sets = materialised(_sets(classes, texts, members.select("node").distinct()), "sets")
     pairs = members.join(hub, "bucket").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    links = confirmed(materialised(pairs.distinct(), "pairs"), sets)
+    links = confirmed(materialised(pairs.distinct(), "pairs"), sets, similarity)
     marked = materialised(labelled(members, links).select("bucket", "node", "label"), "labelled")
-    rest = _across(marked, sets, classes.select("node", "bands"))
-    more = confirmed(rest, sets)
+    rest = _across(marked, sets, classes.select("node", "bands"), similarity)
+    more = confirmed(rest, sets, similarity)
     return components(links.unionByName(more))
 
 
@@ -193,7 +200,7 @@ def _sets(classes: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     return once.join(wanted.select("node", "sketch"), "node")
 
 
-def _across(members: DataFrame, sets: DataFrame, bands: DataFrame) -> DataFrame:
+def _across(members: DataFrame, sets: DataFrame, bands: DataFrame, similarity: int) -> DataFrame:
     """Pairs (a, b) between components that still meet in a bucket and may be linked."""
     mixed = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
     mixed = materialised(mixed.select("bucket"), "mixed")
@@ -209,7 +216,7 @@ def _across(members: DataFrame, sets: DataFrame, bands: DataFrame) -> DataFrame:
     # The smallest set of the bucket; a member that has it itself is judged more kindly.
     least = materialised(rows.groupBy("bucket").agg(F.min("n_shingles").alias("least")), "least")
     shared = F.col("n_shingles") - F.col("private")
-    may = shared * 100 >= (F.greatest(F.col("least"), shared) + F.col("private")) * SIMILARITY
+    may = shared * 100 >= (F.greatest(F.col("least"), shared) + F.col("private")) * similarity
     hopeful = rows.join(least, "bucket").filter(may)
     hopeful = hopeful.select("bucket", "node", "label", F.col("n_shingles").alias("n"), shared.alias("shared"))
     hopeful = materialised(materialised(hopeful, "hopeful").join(bands, "node"), "hopeful")
@@ -221,7 +228,7 @@ def _across(members: DataFrame, sets: DataFrame, bands: DataFrame) -> DataFrame:
     # Members outside the main component meet all hopeful members of other components, as far
     # as both sides' private shingles leave a chance.
     most = F.least("sa", "shared")
-    chance = most * 100 >= (F.col("na") + F.col("n") - most) * SIMILARITY
+    chance = most * 100 >= (F.col("na") + F.col("n") - most) * similarity
     # A pair is formed in the first of its common buckets only.
     here = F.element_at(F.array_intersect("ba", "bands"), 1) == F.col("bucket")
     apart = (F.col("la") != F.col("label")) & chance & here
@@ -242,7 +249,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """DOC, n_shingles and label (of the component; null without words) of all documents."""
     keyed = _keyed(docs.select("doc_id", "text")).select(*DOC, "text")
     found = find_sets(keyed, ", ".join(DOC), whole=False).withColumn("node", _node())
@@ -255,15 +262,15 @@ def grouped(docs: DataFrame) -> DataFrame:
         .select("node", "one.*")
     )
     classes = materialised(classes, "classes")
-    labels = materialised(link_classes(classes, keyed), "labels")
+    labels = materialised(link_classes(classes, keyed, similarity), "labels")
     joined = found.select(*DOC, "n_shingles", "node").join(labels, "node", "left")
     label = F.when(F.col("n_shingles") > 0, F.coalesce("label", "node"))
     return materialised(joined.select(*DOC, "n_shingles", label.alias("label")), "grouped")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of all documents (doc_id, text)."""
-    found = grouped(docs)
+    found = grouped(docs, similarity)
     doc_id = F.when(F.col("no_id") == 0, F.col("doc"))
     least = found.filter("label is not null").groupBy("label").agg(F.min(doc_id).alias("component_id"))
     joined = found.join(materialised(least, "components"), "label", "left")
@@ -276,10 +283,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``docs`` less all but one document of each component: the one of smallest doc_id (null
     after all others), of repeated rows one. Documents without words all stay."""
-    found = grouped(docs)
+    found = grouped(docs, similarity)
     order = ["no_id", "doc", "k0", "k1"]
     first = found.filter("label is not null").groupBy("label").agg(F.min(F.struct(*order)).alias("one"))
     stay = first.select("one.*").unionByName(found.filter("label is null").select(*order).distinct())

@@ -11,8 +11,10 @@ number of variants at the number of words; by character it would be the length o
 A line is removed if an earlier line (ascending doc_id, then position) is within the bound.
 All judgements are made on the input. Each variant group is settled against its earliest line,
 by aggregation; no pairs within a group are formed. Matches are verified on the words
-themselves. Lines of fewer than ``MIN_WORDS`` words stay, which keeps one edit to a similarity
-of 0.8 or more.
+themselves. Lines of fewer than ``MIN_WORDS`` words have no variants, which keeps one edit to a
+similarity of 0.8 or more. Equal lines need no such bound: those of ``exact_words`` words or
+more go. It is ``MIN_WORDS`` unless told, which is the definition that the query's SQL states;
+1 takes every line that has a word.
 
 Before variants are made, lines that can have no partner are set aside without loss: two
 distinct lines within the bound share their first or last half (rounded down, of the shorter
@@ -71,11 +73,13 @@ def _halves() -> Column:
     return F.when(own == shorter, F.array(*both(own, 0))).otherwise(F.array(*both(own, 0), *both(shorter, 0)))
 
 
-def earlier_lines(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The lines (doc, mark, line_no) that repeat an earlier one within the bound."""
+def earlier_lines(texts: DataFrame, min_words: int = MIN_WORDS, exact_words: int | None = None) -> DataFrame:
+    """The lines (doc, mark, line_no) that repeat an earlier one: within the bound from
+    ``min_words`` words, word for word from ``exact_words`` (None: ``min_words``)."""
     kept = session.materialised
     place = F.struct(*PLACE)
-    named = long_lines(texts, min_words).select(
+    least = min_words if exact_words is None else min(min_words, exact_words)
+    named = long_lines(texts, least).select(
         *PLACE, "words", "n", F.xxhash64("words").alias("h0"), F.xxhash64(F.lit(1), "words").alias("h1")
     )
     distinct = named.groupBy("h0", "h1").agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -87,7 +91,7 @@ def earlier_lines(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .select(*PLACE)
     )
     # Lines with a half that another line has, too; halves are told apart by distinct lines.
-    halves = named.select("h0", F.explode(_halves()).alias("half"))
+    halves = named.filter(F.col("n") >= min_words).select("h0", F.explode(_halves()).alias("half"))
     shared = (
         halves.groupBy("half").agg(F.min("h0").alias("a"), F.max("h0").alias("b")).filter("a < b").select("half")
     )
@@ -177,11 +181,12 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return found.filter(equal).select(*PLACE)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, exact_words: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``text`` less its repeated lines, and n_lines,
-    n_removed and removed_lines (their positions, from 0); these replace columns of the name."""
+    n_removed and removed_lines (their positions, from 0); these replace columns of the name.
+    ``min_words`` and ``exact_words`` as in ``earlier_lines``."""
     texts = keyed(docs)
-    gone = earlier_lines(texts, min_words).groupBy(*KEY).agg(F.sort_array(F.collect_list("line_no")).alias("gone"))
+    gone = earlier_lines(texts, min_words, exact_words).groupBy(*KEY).agg(F.sort_array(F.collect_list("line_no")).alias("gone"))
     new = ("n_lines", "n_removed", "removed_lines")
     kept = [c for c in docs.columns if c not in new]
     rows = docs.select(

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterline.llm import tokens
 from meterline.llm.registry import query, table
@@ -146,6 +147,7 @@ def pack(
 
 @query("op8_packing")
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in sequences of at most 4096 tokens."""
+    """All documents in sequences of at most 4096 tokens, with checksums of the ids returned."""
     vocabulary = tokens.public_path("word_bpe_49k.json")
-    return pack(table(spark, sf_dir, "documents"), vocabulary, end_id=2, with_ids=False)
+    pieces = pack(table(spark, sf_dir, "documents"), vocabulary, end_id=2)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

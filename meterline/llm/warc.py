@@ -62,6 +62,8 @@ def decide(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
         .select("digest", "first_id")
     )
     revisit = ~F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("first_id").isNotNull()
+    # Written first, so that adaptive execution can split a payload that many pages share.
+    first = session.materialised(first, "first")
     return (
         rows.join(first, "digest", "left")
         .withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))

@@ -1,18 +1,18 @@
-"""Operator 2: duplicate word windows by relative Lempel-Ziv parsing against reference blocks.
+"""Operator 2: duplicate word windows by anchored hashing of blocks and windows.
 
 A word goes if a window of ``WINDOW`` words that covers it also starts earlier: in a document
 of smaller doc_id, or further ahead in the same one.
 
 The reference is the whole corpus, cut by content into *blocks*: all windows that share their
 smallest seed of ``SEED`` words, with the words they cover (``windows.runs_of``). The index
-holds each distinct block once, where it comes first. A document is parsed against it greedily:
+holds each distinct block once, where it comes first. Documents are looked up in it; no greedy parse is made:
 
 1. Blocks whose seed occurs nowhere else match nothing.
 2. A block that is indexed at an earlier place is copied whole: one long factor, however many
-   windows it has. Neighbouring whole blocks join to longer factors.
+   windows it has.
 3. Where a factor ends, the block is only partly equal to indexed ones. At these boundaries
    each window is looked up by itself among the windows of the indexed blocks with that seed;
-   any match, too, extends a factor, and one of ``WINDOW`` words or more becomes a duplicate.
+   each match is a factor of one window. Factors that touch are joined only as removed words.
 
 The copies of a block are settled by one row of the index, so hot passages cost one row for
 each copy. All steps are aggregations with map-side combining and joins that adaptive

@@ -84,3 +84,40 @@ SELECT documents.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines,
   CASE WHEN text IS NOT NULL THEN sha256(coalesce(t, '')) END AS kept_sha256
 FROM documents LEFT JOIN cut ON cut.doc_id = documents.doc_id LEFT JOIN kept ON kept.doc_id = documents.doc_id
 """
+
+OP12_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS MATERIALIZED (
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+words AS MATERIALIZED (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM places),
+f1 AS MATERIALIZED (SELECT lang, w1, count(*) AS f FROM words GROUP BY lang, w1 HAVING count(*) >= 10),
+f2 AS MATERIALIZED (
+  SELECT lang, w1, w2, count(*) AS f FROM words WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 10),
+f3 AS MATERIALIZED (
+  SELECT lang, w1, w2, w3, count(*) AS f FROM words WHERE w3 IS NOT NULL
+  GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10),
+cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, p.f AS l, q.f AS r, 1 AS k
+  FROM f2 AS c JOIN f1 AS p ON p.lang = c.lang AND p.w1 = c.w1 JOIN f1 AS q ON q.lang = c.lang AND q.w1 = c.w2
+  WHERE NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = c.lang AND f3.w1 = c.w1 AND f3.w2 = c.w2 AND 100 * f3.f >= 50 * c.f)
+    AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.lang = c.lang AND f3.w2 = c.w1 AND f3.w3 = c.w2 AND 100 * f3.f >= 50 * c.f)
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, p.f, q.f, 1
+  FROM f3 AS c JOIN f1 AS p ON p.lang = c.lang AND p.w1 = c.w1
+  JOIN f2 AS q ON q.lang = c.lang AND q.w1 = c.w2 AND q.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, p.f, q.f, 2
+  FROM f3 AS c JOIN f2 AS p ON p.lang = c.lang AND p.w1 = c.w1 AND p.w2 = c.w2
+  JOIN f1 AS q ON q.lang = c.lang AND q.w1 = c.w3),
+scored AS (SELECT *, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT ranked.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+  CAST(r AS BIGINT) AS r, totals.n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+"""

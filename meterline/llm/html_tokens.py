@@ -1,15 +1,16 @@
 """A page as tokens that know their place, and as blocks of visible text.
 
-Tags and words are tokens. A token's hash covers the path of block elements around it (names,
-classes and ids), so that the same word in a menu and in an article are two tokens. End tags that
-pages leave out (p, li, cells) are implied as browsers imply them. The leading bits of a word's
-hash are those of its path, and its last bit is 1; a tag's is 0.
+Tags and words are tokens. A token is told by the path of block elements around it (a hash of
+their names, classes and ids), so that the same word in a menu and in an article are two tokens:
+a word is a pair of path and word, a tag a hash of path and tag. End tags that pages leave out
+(p, li, cells) are implied as browsers imply them.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
+from collections import defaultdict
 from dataclasses import dataclass
 
 import xxhash
@@ -53,11 +54,7 @@ CLOSED_BY = {
 HOLDS_P = frozenset("button caption html object table td th".split())
 CLOSES_P = BLOCK - frozenset("body br button canvas caption head html iframe noscript object optgroup option select tbody td template textarea tfoot th thead title tr video audio legend".split())
 
-#: Leading bits of a path that a word's hash carries.
-PATH_BITS = 20
-_REST = (1 << (64 - PATH_BITS)) - 1
-_ALL = (1 << 64) - 2
-
+_WHOLE, _HALF = (1 << 64) - 1, 1 << 63
 _PIECE = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|"
     r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|"
@@ -72,7 +69,7 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 @dataclass(slots=True)
 class Block:
-    """Visible text between two block tags; its tokens are first..last-1 of the page."""
+    """Visible text between two block tags; its numbers are first..last-1 of those taken."""
 
     text: str
     first: int
@@ -90,6 +87,7 @@ class _Open:
     dropped: bool
     comment: bool
     main: bool
+    heading: bool
 
 
 def told(name: str, rest: str) -> tuple[str, bool, bool, bool]:
@@ -115,138 +113,149 @@ def told(name: str, rest: str) -> tuple[str, bool, bool, bool]:
     return signature, aside, comment, main
 
 
-class Reader:
-    """Reads pages one after the other; hashes of words met before are looked up."""
-
-    KEPT = 1 << 19
+class Distinct:
+    """Takes a page's tokens, each once."""
 
     def __init__(self):
-        self._words: dict[int, dict[str, int]] = {}
-        self._n = 0
+        self.numbers: list[int] = []
+        self.tags: set[int] = set()
+        self.words: dict[int, set[str]] = defaultdict(set)
+
+    def tag(self, token: int) -> None:
+        self.tags.add(token)
+
+    def text(self, path: int, words: list[str]) -> None:
+        self.words[path].update(words)
+
 
-    def _hashes(self, path: int, words: list[str]) -> list[int]:
+class Known:
+    """Takes the numbers of those tokens that are in a list, in the page's order."""
+
+    def __init__(self, tokens: list[tuple[int, str | None]]):
+        self.numbers: list[int] = []
+        self._tags = {token: k for k, (token, word) in enumerate(tokens) if word is None}
+        self._words: dict[int, dict[str, int]] = defaultdict(dict)
+        for k, (path, word) in enumerate(tokens):
+            if word is not None:
+                self._words[path][word] = k
+
+    def tag(self, token: int) -> None:
+        k = self._tags.get(token)
+        if k is not None:
+            self.numbers.append(k)
+
+    def text(self, path: int, words: list[str]) -> None:
         known = self._words.get(path)
-        if known is None:
-            if self._n > self.KEPT:
-                self._words, self._n = {}, 0
-            known = self._words[path] = {}
-        out = [known.get(w) for w in words]
-        if None in out:
-            for i, h in enumerate(out):
-                if h is None:
-                    h = xxhash.xxh64_intdigest(words[i], path) & _REST | (path & ~_REST) | 1
-                    out[i] = known[words[i]] = h
-                    self._n += 1
-            if self._n > 2 * self.KEPT:
-                self._words, self._n = {}, 0
-        return out
-
-    def read(self, page: str, paths: frozenset[int] | None = None) -> tuple[list[int], list[Block]]:
-        """The page's tokens in order, and its blocks that may hold main text.
-
-        With ``paths`` (leading bits of paths) words elsewhere are no tokens.
-        """
-        page = page.encode("utf-8", "replace").decode() if not page.isascii() else page
-        tokens: list[int] = []
-        blocks: list[Block] = []
-        parts: list[str] = []
-        stack = [_Open("", 0, False, False, False)]
-        first = words_in = linked = 0
-        links, in_main, heading = 0, False, False
-        at, n = 0, len(page)
-
-        def finish() -> None:
-            nonlocal first, words_in, linked
-            if parts:
-                text = " ".join("".join(parts).split())
-                if text:
-                    blocks.append(Block(text, first, len(tokens), in_main, heading, words_in, linked))
-                parts.clear()
-            first, words_in, linked = len(tokens), 0, 0
-
-        def close(i: int) -> None:
-            nonlocal links
-            if links:
-                links -= sum(o.name == "a" for o in stack[i:])
-            del stack[i:]
-
-        while at < n:
-            piece = _PIECE.match(page, at)
-            at = piece.end()
-            if (text := piece["text"]) is not None:
-                top = stack[-1]
-                if "&" in text:
-                    text = references.unescape(text)
-                words = text.split()
-                if not top.dropped:
-                    if not parts:
-                        in_main = top.main
-                        heading = any(o.name in ("h1", "h2") for o in stack)
-                    parts.append(text)
-                    words_in += len(words)
-                    linked += len(words) if links else 0
-                if words and (paths is None or top.path >> (64 - PATH_BITS) in paths):
-                    tokens += self._hashes(top.path, words)
-                continue
-            name = piece["name"] or piece["name2"]
-            if name is None:
-                continue  # a comment or a declaration
-            name = name.lower()
-            if piece["end"] or piece["end2"]:
-                if name in BLOCK:
-                    finish()
+        if known:
+            self.numbers += [k for k in map(known.get, words) if k is not None]
+
+
+def _hash(text: str, path: int) -> int:
+    """64 bits with a sign, as Spark's longs."""
+    return xxhash.xxh64_intdigest(text, path & _WHOLE) - _HALF
+
+
+def read(page: str, taker: Distinct | Known) -> list[Block]:
+    """Gives a page's tokens to ``taker``, and returns its blocks that may hold main text."""
+    numbers, on_tag, on_text = taker.numbers, taker.tag, taker.text
+    blocks: list[Block] = []
+    parts: list[str] = []
+    stack = [_Open("", 0, False, False, False, False)]
+    first = words_in = linked = 0
+    links, in_main, heading = 0, False, False
+    at, n = 0, len(page)
+
+    def finish() -> None:
+        nonlocal first, words_in, linked
+        if parts:
+            text = " ".join("".join(parts).split())
+            if text:
+                blocks.append(Block(text, first, len(numbers), in_main, heading, words_in, linked))
+            parts.clear()
+        first, words_in, linked = len(numbers), 0, 0
+
+    def close(i: int) -> None:
+        nonlocal links
+        if links:
+            links -= sum(o.name == "a" for o in stack[i:])
+        del stack[i:]
+
+    while at < n:
+        piece = _PIECE.match(page, at)
+        at = piece.end()
+        if (text := piece["text"]) is not None:
+            top = stack[-1]
+            if "&" in text:
+                text = references.unescape(text)
+            words = text.split()
+            if not top.dropped:
+                if not parts:
+                    in_main, heading = top.main, top.heading
+                parts.append(text)
+                words_in += len(words)
+                linked += len(words) if links else 0
+            if words:
+                on_text(top.path, words)
+            continue
+        name = piece["name"] or piece["name2"]
+        if name is None:
+            continue  # a comment or a declaration
+        name = name.lower()
+        if piece["end"] or piece["end2"]:
+            if name in BLOCK:
+                finish()
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].name == name:
+                    on_tag(_hash("/" + name, stack[i].path))
+                    close(i)
+                    break
+                if name not in BLOCK and stack[i].name in BLOCK:
+                    break
+            continue
+        rest = piece["rest"] if piece["name"] else piece["rest2"]
+        if name in BLOCK:
+            finish()
+            if name in CLOSES_P:
                 for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].name == name:
-                        tokens.append(xxhash.xxh64_intdigest("/" + name, stack[i].path) & _ALL)
+                    if stack[i].name == "p":
                         close(i)
                         break
-                    if name not in BLOCK and stack[i].name in BLOCK:
+                    if stack[i].name in HOLDS_P:
                         break
-                continue
-            rest = piece["rest"] if piece["name"] else piece["rest2"]
-            if name in BLOCK:
-                finish()
-                if name in CLOSES_P:
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i].name == "p":
-                            close(i)
-                            break
-                        if stack[i].name in HOLDS_P:
-                            break
-                if name in CLOSED_BY:
-                    same, holders = CLOSED_BY[name]
-                    lowest = 0
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i].name in same:
-                            lowest = i
-                        elif stack[i].name in holders:
-                            break
-                    if lowest:
-                        close(lowest)
-            elif name == "a" and links:
+            if name in CLOSED_BY:
+                same, holders = CLOSED_BY[name]
+                lowest = 0
                 for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].name == "a":
-                        close(i)
+                    if stack[i].name in same:
+                        lowest = i
+                    elif stack[i].name in holders:
                         break
-            above = stack[-1]
-            signature, aside, comment, main = told(name, rest)
-            tokens.append(xxhash.xxh64_intdigest("<" + signature, above.path) & _ALL)
-            if name in VOID:
+                if lowest:
+                    close(lowest)
+        elif name == "a" and links:
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].name == "a":
+                    close(i)
+                    break
+        above = stack[-1]
+        signature, aside, comment, main = told(name, rest)
+        on_tag(_hash("<" + signature, above.path))
+        if name in VOID:
+            continue
+        if name in RAW:
+            end = _RAW_END[name].search(page, at)
+            at = end.start() if end else n
+            if name == "textarea" or end is None:
                 continue
-            if name in RAW:
-                end = _RAW_END[name].search(page, at)
-                at = end.start() if end else n
-                if name == "textarea" or end is None:
-                    continue
-            path = xxhash.xxh64_intdigest(signature, above.path) if name in BLOCK else above.path
-            comment |= above.comment
-            inside = main or above.main
-            # A page's header is not main text; an article's own holds its headline.
-            aside |= name == "header" and not inside
-            # A main element inside a badly named wrapper counts; one among comments does not.
-            dropped = aside or (above.dropped and not (main and not comment))
-            stack.append(_Open(name, path, dropped, comment, inside))
-            links += name == "a"
-            first = len(tokens) if name in BLOCK else first
-        finish()
-        return tokens, blocks
+        path = _hash(signature, above.path) if name in BLOCK else above.path
+        comment |= above.comment
+        inside = main or above.main
+        # A page's header is not main text; an article's own holds its headline.
+        aside |= name == "header" and not inside
+        # A main element inside a badly named wrapper counts; one among comments does not.
+        dropped = aside or (above.dropped and not (main and not comment))
+        stack.append(_Open(name, path, dropped, comment, inside, above.heading or name in ("h1", "h2")))
+        links += name == "a"
+        first = len(numbers) if name in BLOCK else first
+    finish()
+    return blocks

@@ -31,7 +31,7 @@ length is kept whole; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.html_tokens import PATH_BITS, Block, Reader
+from meterline.llm.html_tokens import Block, Distinct, Known, read
 from meterline.llm.oracles import OP13_SQL
 from meterline.llm.registry import query, table
 from meterline.session import materialised
@@ -63,8 +63,8 @@ def with_hosts(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
 
 
-def _signed(values) -> pa.Array:
-    return pa.array(np.asarray(values, np.uint64).view(np.int64))
+def _tokens(rows: list[dict]) -> list[tuple[int, str | None]]:
+    return [(r["token"], r["word"]) for r in rows]
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -86,43 +86,45 @@ def _joined(rows: DataFrame, by_host: DataFrame, size, how: str) -> DataFrame:
 
 
 def named_tokens(rows: DataFrame) -> DataFrame:
-    """(host, kind, value, n): tokens that half of a task's pages hold (kind 0, n of them), and the
-    hash of each page's text (kind 1)."""
-
-    def flushed(held: dict[str, list]) -> Iterator[pa.RecordBatch]:
-        for host, pages in held.items():
-            tokens, counts = np.unique(np.concatenate([t for t, _ in pages]), return_counts=True)
-            often = 100 * counts >= SUPPORT * len(pages)
-            values = np.concatenate([tokens[often], np.array([d for _, d in pages], np.uint64)])
-            n = int(often.sum())
-            yield _batch(
-                host=pa.array([host] * len(values), pa.string()),
-                kind=pa.array(np.repeat([0, 1], [n, len(pages)]), pa.int32()),
-                value=_signed(values),
-            )
+    """(host, kind, token, word): tokens that half of a task's pages hold (kind 0; a tag has no
+    word), and the hash of each page's text (kind 1)."""
+
+    def flushed(held: dict[str, tuple]) -> Iterator[pa.RecordBatch]:
+        for host, (tags, words, digests) in held.items():
+            often = [(t, None) for t, n in tags.items() if 100 * n >= SUPPORT * len(digests)]
+            for path, counts in words.items():
+                often += [(path, w) for w, n in counts.items() if 100 * n >= SUPPORT * len(digests)]
+            rows = [(host, 0, t, w) for t, w in often] + [(host, 1, d, None) for d in digests]
+            columns = zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.string()), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["host", "kind", "token", "word"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, held, n = Reader(), defaultdict(list), 0
+        held, n = defaultdict(lambda: (Counter(), defaultdict(Counter), [])), 0
         for batch in batches:
             for host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                tokens, blocks = reader.read(html)
-                digest = xxhash.xxh64_intdigest("\n".join(b.text for b in blocks))
-                held[host].append((np.unique(np.array(tokens, np.uint64)), digest))
+                page = Distinct()
+                blocks = read(html, page)
+                tags, words, digests = held[host]
+                tags.update(page.tags)
+                for path, found in page.words.items():
+                    words[path].update(found)
+                digests.append(xxhash.xxh64_intdigest("\n".join([b.text for b in blocks])) - (1 << 63))
                 n += 1
                 if n >= CHUNK:
                     yield from flushed(held)
-                    held, n = defaultdict(list), 0
+                    held.clear()
+                    n = 0
         yield from flushed(held)
 
-    return rows.select("host", "html").mapInArrow(run, "host string, kind int, value long")
+    return rows.select("host", "html").mapInArrow(run, "host string, kind int, token long, word string")
 
 
 def candidates(rows: DataFrame) -> DataFrame:
     """(host, pages, texts, tokens) of the hosts with enough different pages."""
     named = materialised(named_tokens(rows.filter("host <> ''")), "named")
-    texts = named.filter("kind = 1").groupBy("host", "value").count()
+    texts = named.filter("kind = 1").groupBy("host", "token").count()
     sizes = texts.groupBy("host").agg(F.sum("count").alias("pages"), F.count(F.lit(1)).alias("texts"))
-    tokens = named.filter("kind = 0").groupBy("host").agg(F.sort_array(F.collect_set("value")).alias("tokens"))
+    tokens = named.filter("kind = 0").groupBy("host").agg(F.sort_array(F.collect_set(F.struct("token", "word"))).alias("tokens"))
     return materialised(sizes.filter(F.col("texts") >= FEWEST).join(tokens, "host"), "candidates")
 
 
@@ -134,25 +136,24 @@ def sequences(rows: DataFrame, found: DataFrame) -> DataFrame:
     between -(1 + words * 2^20 + linked words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, known = Reader(), {}
+        takers: dict[str, Known] = {}
         for batch in batches:
             hosts, pages = batch.column("host").to_pylist(), batch.column("html").to_pylist()
             keys, out = [], []
             for i, (host, html) in enumerate(zip(hosts, pages, strict=True)):
-                numbers = known.get(host)
-                if numbers is None:
-                    values = np.array(batch.column("tokens")[i].as_py(), np.int64).view(np.uint64).tolist()
-                    numbers = known[host] = {t: k for k, t in enumerate(values)}
-                tokens, blocks = reader.read(html)
+                if host not in takers:
+                    takers[host] = Known(_tokens(batch.column("tokens")[i].as_py()))
+                numbers = takers[host].numbers
+                numbers.clear()
+                blocks = read(html, takers[host])
                 seq, at = [], 0
                 for b in blocks:
-                    seq += [numbers.get(t) for t in tokens[at : b.last]]
+                    seq += numbers[at : b.last]
                     seq.append(-(1 + (b.words << 20) + min(b.linked, (1 << 20) - 2)))
                     at = b.last
-                seq += [numbers.get(t) for t in tokens[at:]]
-                out.append([k for k in seq if k is not None])
-                keys.append(xxhash.xxh64_intdigest(html))
-            yield _batch(host=pa.array(hosts, pa.string()), key=_signed(keys), seq=_lists(out, pa.int64()))
+                out.append(seq + numbers[at:])
+                keys.append(xxhash.xxh64_intdigest(html) - (1 << 63))
+            yield _batch(host=pa.array(hosts, pa.string()), key=pa.array(keys, pa.int64()), seq=_lists(out, pa.int64()))
 
     joined = _joined(rows.filter("host <> ''").select("host", "html"), found.select("host", "tokens"), F.size("tokens"), "inner")
     return materialised(joined.mapInArrow(run, "host string, key long, seq array<long>"), "sequences")
@@ -263,12 +264,13 @@ def nested(classes: list[dict], facts: list[dict]) -> list[dict]:
 FACTS = "host string, kind int, a long, b long, c long, x long, y long, seq array<long>"
 CLASSES = "array<struct<support: long, number: long, parent: long, slot: long, tokens: array<long>>>"
 SLOTS = "array<struct<token: long, words: long, linked: long>>"
-TEMPLATES = f"host string, pages long, texts long, classes {CLASSES}, slots {SLOTS}"
+TOKENS = "array<struct<token: long, word: string>>"
+TEMPLATES = f"host string, pages long, texts long, tokens {TOKENS}, classes {CLASSES}, slots {SLOTS}"
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """A row per host with a template: its nested classes, with hashes of their tokens in order,
-    and the text in each slot, named by the token before it."""
+    """A row per host with a template: its tokens, its nested classes, with the numbers of their
+    tokens in order, and the text in each slot, named by the token before it (-1: none)."""
     rows = with_hosts(pages)
     found = candidates(rows)
     seqs = sequences(rows, found)
@@ -309,16 +311,10 @@ def templates(pages: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                tree = nested(row["classes"], row["facts"])
-                tokens = row["tokens"]
-                for c in tree:
-                    c["tokens"] = [tokens[k] for k in c["tokens"]]
-                slots = [
-                    {"token": tokens[f["a"]] if f["a"] >= 0 else 0, "words": f["x"], "linked": f["y"]}
-                    for f in row["facts"]
-                    if f["kind"] == SLOT
-                ]
-                out.append({"host": row["host"], "pages": row["pages"], "texts": row["texts"], "classes": tree, "slots": slots})
+                facts = row.pop("facts")
+                row["classes"] = nested(row["classes"], facts)
+                slots = [{"token": f["a"], "words": f["x"], "linked": f["y"]} for f in facts if f["kind"] == SLOT]
+                out.append({**row, "slots": slots})
             yield pa.RecordBatch.from_pylist(out, schema=_TEMPLATE_ARROW)
 
     sized = F.aggregate("classes", F.lit(0), lambda n, c: n + F.size(c["members"]))
@@ -339,6 +335,7 @@ _TEMPLATE_ARROW = pa.schema(
         ("host", pa.string()),
         ("pages", _LONG),
         ("texts", _LONG),
+        ("tokens", pa.list_(pa.struct([("token", _LONG), ("word", pa.string())]))),
         (
             "classes",
             pa.list_(
@@ -356,34 +353,33 @@ _TEMPLATE_ARROW = pa.schema(
 
 
 class Template:
-    """What a host's template says of a page's tokens."""
+    """What a host's template says of a page."""
 
     def __init__(self, row: dict | None = None):
-        unsigned = lambda k: k & (2**64 - 1)
-        classes, slots = (row["classes"], row["slots"]) if row else ([], [])
-        self.tokens = {unsigned(k) for c in classes for k in c["tokens"]}
+        tokens, classes, slots = (row["tokens"], row["classes"], row["slots"]) if row else ([], [], [])
+        self.taker = Known(_tokens(tokens))
+        self.words = {k for k, t in enumerate(tokens) if t["word"] is not None}
         # Words that may be cut from articles.
         copies = not row or row["texts"] < MANY or 2 * row["texts"] < row["pages"]
         steady = [] if copies else [c for c in classes if 100 * c["support"] >= STEADY * row["pages"]]
-        self.furniture = {unsigned(k) for c in steady for k in c["tokens"] if k & 1}
-        # A slot is named by a token of any class when it was counted; only valid ones part text.
-        scores: dict[int, int] = {}
-        for s in slots:
-            scores[unsigned(s["token"])] = s["words"] - 2 * s["linked"]
-        best = max(scores.values(), default=0)
-        self.slots = {t for t, v in scores.items() if v > 0 and 100 * v >= SLOT_SHARE * best}
-        self.counted = set(scores)
-        self.paths = frozenset(k >> (64 - PATH_BITS) for k in self.tokens | self.counted if k & 1)
-
-    def kept(self, tokens: list[int], blocks: list[Block]) -> list[str]:
-        """The texts of the blocks that are main text."""
-        free = [b for b in blocks if not self._is_furniture(tokens, b)]
-        main = [b for b in free if b.main]
+        self.furniture = self.words.intersection(*[{k for c in steady for k in c["tokens"]}])
+        # Slots are named by the tokens of all classes, as they were counted; -1 is before any.
+        self.scores = {s["token"]: s["words"] - 2 * s["linked"] for s in slots}
+        best = max(self.scores.values(), default=0)
+        self.slots = {t for t, v in self.scores.items() if v > 0 and 100 * v >= SLOT_SHARE * best}
+        self.parting = {k for c in classes for k in c["tokens"]} | set(self.scores)
+
+    def kept(self, html: str) -> list[str]:
+        """The texts of a page's blocks that are main text."""
+        numbers = self.taker.numbers
+        numbers.clear()
+        blocks = read(html, self.taker)
+        free = [b for b in blocks if not self._is_furniture(numbers, b)]
         if any(b.main for b in blocks):
-            return [b.text for b in main]
-        slots = self._slots(tokens, free)
+            return [b.text for b in free if b.main]
+        slots = self._slots(numbers, free)
         kept = [
-            2 * b.linked < b.words and (slot in self.slots or slot not in self.counted)
+            2 * b.linked < b.words and (slot in self.slots or slot not in self.scores)
             for b, slot in zip(free, slots, strict=True)
         ]
         # A headline stands in a slot of its own before the text.
@@ -392,19 +388,19 @@ class Template:
                 kept[i] = True
         return [b.text for b, keep in zip(free, kept, strict=True) if keep]
 
-    def _is_furniture(self, tokens: list[int], b: Block) -> bool:
+    def _is_furniture(self, numbers: list[int], b: Block) -> bool:
         if not self.furniture:
             return False
-        words = [t for t in tokens[b.first : b.last] if t & 1]
+        words = [k for k in numbers[b.first : b.last] if k in self.words]
         return len(words) == b.words > 0 and self.furniture.issuperset(words)
 
-    def _slots(self, tokens: list[int], blocks: list[Block]) -> list[int]:
-        """Of each block, the last template token before it (0: none)."""
-        out, at, last = [], 0, 0
+    def _slots(self, numbers: list[int], blocks: list[Block]) -> list[int]:
+        """Of each block, the last template token before its end (-1: none)."""
+        out, at, last = [], 0, -1
         for b in blocks:
-            for t in tokens[at : b.last]:
-                if t in self.tokens or t in self.counted:
-                    last = t
+            for k in numbers[at : b.last]:
+                if k in self.parting:
+                    last = k
             at = b.last
             out.append(last)
         return out
@@ -415,7 +411,7 @@ def main_text(pages: DataFrame, found: DataFrame | None = None) -> DataFrame:
     found = templates(pages) if found is None else found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, known = Reader(), {}
+        known: dict[str, Template] = {}
         for batch in batches:
             names = {n: i for i, n in enumerate(batch.schema.names)}
             out = []
@@ -424,13 +420,13 @@ def main_text(pages: DataFrame, found: DataFrame | None = None) -> DataFrame:
             for i, (host, html) in enumerate(zip(hosts, pages, strict=True)):
                 if host not in known:
                     known[host] = Template(template[i].as_py())
-                out.append("\n".join(known[host].kept(*reader.read(html, known[host].paths))))
+                out.append("\n".join(known[host].kept(html)))
             yield _batch(
                 page_id=batch.column(names["page_id"]), url=batch.column(names["url"]), text=pa.array(out, pa.string())
             )
 
-    size = F.aggregate("template.classes", F.lit(0), lambda n, c: n + F.size(c["tokens"])) + F.size("template.slots")
-    by_host = found.select("host", F.struct("pages", "texts", "classes", "slots").alias("template"))
+    size = F.size("template.tokens") + F.size("template.slots")
+    by_host = found.select("host", F.struct("pages", "texts", "tokens", "classes", "slots").alias("template"))
     kind = pages.schema["page_id"].dataType.simpleString()
     return _joined(with_hosts(pages), by_host, size, "left").mapInArrow(run, f"page_id {kind}, url string, text string")
 

@@ -7,7 +7,7 @@ import random
 import pytest
 
 from meterline.llm import templates
-from meterline.llm.html_tokens import Reader
+from meterline.llm.html_tokens import Distinct, read
 from meterline.llm.queries import QUERIES
 
 WORDS = [f"{a}{b}{c}" for a in "bdfklm" for b in ("a", "ei", "o") for c in ("n", "rt", "sk", "ll")]
@@ -18,7 +18,7 @@ def prose(rng, n):
 
 
 def texts(html):
-    return [b.text for b in Reader().read(html)[1]]
+    return [b.text for b in read(html, Distinct())]
 
 
 @pytest.fixture()
@@ -64,12 +64,6 @@ def test_blocks(html, expected):
     assert texts(html) == expected
 
 
-def test_reading_does_not_depend_on_what_was_read_before():
-    pages = [f"<div><p>{prose(random.Random(i), 40)}</p></div>" for i in range(20)]
-    reader = Reader()
-    assert [reader.read(p) for p in pages * 2] == [Reader().read(p) for p in pages] * 2
-
-
 def site(i, rng, host="plain.example.org"):
     """A page without telling elements: menu, headline, text and closing lines are plain divs."""
     links = "".join(f"<span><a href='/{w}'>{w}</a></span> " for w in rng.sample(WORDS, 4))

@@ -3,16 +3,19 @@
 Everything is plain parquet below one root on a shared file system. Tables that can be
 rebuilt have numbered versions; readers follow the last published one, so they never see
 a half-built table. Data written per micro-batch has a folder per batch, which a replayed
-batch overwrites.
+batch overwrites; below it the raw table is partitioned by the month of the file and the
+canonical one by the month of the event. Corrections and compaction write batches of their
+own and take the folders they replace away (see ``swap``).
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +25,9 @@ from meterline.operators.runs import LANDING_AUDIT_SCHEMA, with_completions
 VERSION_DDL = "table STRING, version INT, state STRING, ts TIMESTAMP"
 STARTED, PUBLISHED = "started", "published"
 SCHEMA_DDL = "schema STRING, batch_id LONG"
-INGESTED_DDL = "path STRING, length LONG"
+INGESTED_DDL = "path STRING, length LONG, modified TIMESTAMP, year_month STRING"
+MONTHS_DDL = "event_month STRING, file_month STRING, rows LONG"
+SWAP_DDL = "source STRING, target STRING"
 EVENT_DDL = (
     "timestamp TIMESTAMP, event_type STRING, message STRING, details STRING, "
     "origin STRUCT<update_id: STRING>"
@@ -32,6 +37,10 @@ COMPLETION_DDL = (
     "pipeline_update_id STRING, completed_ts TIMESTAMP"
 )
 BATCH = "batch_id"
+#: Partition column of the raw table: the month in the file's name.
+FILE_PARTITION = "_file_month"
+#: A batch that rewrites data is numbered (n << REWRITE) + the last batch of the stream before it.
+REWRITE = 40
 
 
 @dataclass(frozen=True)
@@ -44,8 +53,20 @@ class Lake:
     def bronze(self, version: int, *parts: str | int) -> str:
         return self.at("bronze", f"v{version}", *parts)
 
-    def silver(self, version: int) -> str:
-        return self.at("silver", f"v{version}")
+    def silver(self, version: int, *parts: str | int) -> str:
+        return self.at("silver", f"v{version}", *parts)
+
+    def months(self, version: int) -> str:
+        """Which file months are in which event months of the canonical table, by batch."""
+        return self.at("silver_months", f"v{version}")
+
+    def staged(self, table: str, version: int) -> str:
+        """Where rewritten data lies until it is swapped in; readers never look here."""
+        return self.at("staged", table, f"v{version}")
+
+    @property
+    def swaps(self) -> str:
+        return self.at("swaps")
 
     @property
     def versions(self) -> str:
@@ -141,11 +162,24 @@ def bronze_schema(
     """Source columns of the raw table after the last batch (or the last before ``before``)."""
     known = read(spark, lake.bronze(version, "schema"), SCHEMA_DDL)
     if before is not None:
-        known = known.where(F.col(BATCH) < before)
-    last = known.orderBy(F.desc(BATCH)).first()
+        known = known.where(position(F.col(BATCH)) < position(F.lit(before).cast("long")))
+    last = known.orderBy(F.desc(position(F.col(BATCH)))).first()
     return T.StructType.fromJson(json.loads(last["schema"]))
 
 
+def position(batch_id: Column) -> Column:
+    """Orders batches by when they were written: rewrites follow the batch they came after."""
+    stream = batch_id.bitwiseAND(F.lit((1 << REWRITE) - 1))
+    return F.struct(F.when(batch_id < 0, batch_id).otherwise(stream).alias("stream"), F.shiftright(batch_id, REWRITE).alias("n"))
+
+
+def next_rewrite(spark: SparkSession, *tables: str) -> int:
+    """A number for a batch that rewrites data of the tables below these folders."""
+    taken = [int(p.rsplit("=", 1)[1]) for t in tables for p in subfolders(spark, t) if f"/{BATCH}=" in p]
+    last = max((b & ((1 << REWRITE) - 1) for b in taken), default=0)
+    return ((max((b >> REWRITE for b in taken), default=0) + 1) << REWRITE) + last
+
+
 def bronze_table_schema(source: T.StructType) -> T.StructType:
     path, modified, ingested = LINEAGE_COLUMNS
     return T.StructType(
@@ -165,30 +199,133 @@ def read_bronze(
     lake: Lake,
     version: int | None = None,
     batch_id: int | None = None,
+    staged: bool = False,
+    paths: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The raw table, or one batch of it, of which only the batch's own folder is listed.
+    """The raw table, or one batch of it, of which only the batch's own folder is listed, or
+    some partitions (``paths``).
 
     The schema is recorded at write time, so no footers are merged here; columns older
     batches lack are NULL and narrower ones are widened by the reader."""
     version = current_version(spark, lake, "bronze") if version is None else version
     source = bronze_schema(spark, lake, version)
-    data = lake.bronze(version, "data")
-    reader = spark.read.schema(bronze_table_schema(source)).option("basePath", data)
-    return reader.parquet(data if batch_id is None else f"{data}/{BATCH}={batch_id}")
+    data = lake.staged("bronze", version) if staged else lake.bronze(version, "data")
+    schema = bronze_table_schema(source)
+    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(FILE_PARTITION, T.StringType())]))
+    where = paths or [data if batch_id is None else f"{data}/{BATCH}={batch_id}"]
+    return reader.option("basePath", data).parquet(*where).drop(FILE_PARTITION)
 
 
-def write_ingested(lake: Lake, version: int, batch_id: int, files: DataFrame) -> None:
-    """Record the ``(path, length)`` of a batch's files."""
-    rows = files.select("path", "length").coalesce(1)
-    rows.write.mode("overwrite").parquet(lake.bronze(version, "files", f"{BATCH}={batch_id}"))
+def write_ingested(lake: Lake, version: int, batch_id: int, files: DataFrame, month: Column) -> None:
+    """Record a batch's files and their months."""
+    rows = files.select("path", "length", F.col("modificationTime").alias("modified"), month.alias("year_month"))
+    rows.coalesce(1).write.mode("overwrite").parquet(lake.bronze(version, "files", f"{BATCH}={batch_id}"))
 
 
 def read_ingested(spark: SparkSession, lake: Lake, version: int | None = None) -> DataFrame:
-    """``(path, length)`` of the files that the raw table holds."""
+    """``(path, length, modified, year_month, batch_id)`` of the files that the raw table holds.
+
+    A batch that corrected a month names all files of the month; what was read of it before
+    is no longer in the table."""
     version = current_version(spark, lake, "bronze") if version is None else version
     path = lake.bronze(version, "files")
     create_empty(spark, f"{path}/{BATCH}=-1", INGESTED_DDL)
-    return read(spark, path, INGESTED_DDL).select("path", "length")
+    files = read(spark, path, f"{INGESTED_DDL}, {BATCH} LONG").withColumn("at", position(F.col(BATCH)))
+    corrected = F.when(F.col("at.n") > 0, F.col("at"))
+    # One row per file of a month, so a month's group is as large as its folder.
+    last = F.max(corrected).over(Window.partitionBy("year_month"))
+    kept = files.withColumn("last", last).where(F.col("last").isNull() | (F.col("at") >= F.col("last")))
+    return kept.select("path", "length", "modified", "year_month", BATCH)
+
+
+def write_months(
+    spark: SparkSession, lake: Lake, contract: TableContract, version: int, batch_id: int | None = None,
+    staged: bool = False,
+) -> None:
+    """Record which file months the event months of a batch (or of all batches) hold.
+
+    Reads one column of what was just written; corrections find the folders of a month by it.
+    """
+    data = lake.staged("silver", version) if staged else lake.silver(version)
+    columns = f"{contract.file_month} STRING, {contract.event_month} STRING, {BATCH} LONG"
+    where = data if batch_id is None else f"{data}/{BATCH}={batch_id}"
+    rows = spark.read.schema(columns).option("basePath", data).parquet(where)
+    found = rows.groupBy(
+        BATCH, F.col(contract.event_month).alias("event_month"), F.col(contract.file_month).alias("file_month")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+    writer = found.drop(BATCH).coalesce(1).write if batch_id is not None else found.write.partitionBy(BATCH)
+    target = lake.months(version)
+    writer.mode("overwrite").parquet(target if batch_id is None else f"{target}/{BATCH}={batch_id}")
+
+
+def read_months(spark: SparkSession, lake: Lake, version: int) -> DataFrame:
+    """``(batch_id, event_month, file_month, rows)``; batches whose folders are gone may still
+    be listed."""
+    create_empty(spark, f"{lake.months(version)}/{BATCH}=-1", MONTHS_DDL)
+    return read(spark, lake.months(version), f"{MONTHS_DDL}, {BATCH} LONG")
+
+
+# --- folders -------------------------------------------------------------------------------
+
+
+def _store(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below ``path``; none if it does not exist."""
+    fs, where = _store(spark, path)
+    if not fs.exists(where):
+        return []
+    return sorted(f"{path}/{s.getPath().getName()}" for s in fs.listStatus(where) if s.isDirectory())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _store(spark, path)
+    return fs.exists(where)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = _store(spark, path)
+    fs.delete(where, True)
+
+
+def swap(spark: SparkSession, lake: Lake, gone: Sequence[str], staged: Sequence[tuple[str, str]]) -> None:
+    """Take folders away and move ``staged`` ones (source, target) in their place.
+
+    What is to be done is written down first, so that a swap cut short is finished by the
+    next writer (``finish_swaps``): targets are new folders, and each step may be repeated.
+    A reader that listed a folder before it went is to be run again.
+    """
+    rows = [(None, path) for path in gone] + list(staged)
+    plan = spark.createDataFrame(rows, SWAP_DDL).coalesce(1)
+    plan.write.parquet(f"{lake.swaps}/swap={uuid.uuid4().hex}")
+    finish_swaps(spark, lake)
+
+
+def finish_swaps(spark: SparkSession, lake: Lake) -> None:
+    """Carry out swaps that have been written down."""
+    for todo in subfolders(spark, lake.swaps):
+        if exists(spark, f"{todo}/_SUCCESS"):
+            steps = read(spark, todo, SWAP_DDL).collect()
+            for step in steps:
+                if step["source"] is None:
+                    delete(spark, step["target"])
+            for step in steps:
+                if step["source"] is not None and exists(spark, step["source"]):
+                    delete(spark, step["target"])
+                    _move(spark, step["source"], step["target"])
+        delete(spark, todo)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, old = _store(spark, source)
+    _, new = _store(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
 
 
 def silver_table_schema(contract: TableContract) -> T.StructType:
@@ -201,14 +338,19 @@ def silver_table_schema(contract: TableContract) -> T.StructType:
 
 
 def read_silver(
-    spark: SparkSession, lake: Lake, contract: TableContract, version: int | None = None
+    spark: SparkSession,
+    lake: Lake,
+    contract: TableContract,
+    version: int | None = None,
+    paths: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The canonical table, partitioned by batch and event month."""
+    """The canonical table, partitioned by batch and event month, or some of its partitions."""
     version = current_version(spark, lake, "silver") if version is None else version
     schema = silver_table_schema(contract)
     return (
         spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())]))
-        .parquet(lake.silver(version))
+        .option("basePath", lake.silver(version))
+        .parquet(*(paths or [lake.silver(version)]))
         .select(*schema.fieldNames())
     )
 

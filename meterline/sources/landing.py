@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,22 +18,32 @@ def ensure_landing(spark: SparkSession, landing_dir: str) -> None:
 
 
 def landed_files(
-    spark: SparkSession, landing_dir: str, pattern: str = TRIP_FILE_PATTERN
+    spark: SparkSession,
+    landing_dir: str,
+    pattern: str = TRIP_FILE_PATTERN,
+    months: Iterable[str] | None = None,
 ) -> DataFrame:
     """``(path, year_month, length, modification_time)`` of every landed parquet file.
 
     Only the listing is read: the file contents are not selected, hence not opened. A
     month may be one file or a folder of part files that carries the file's name;
     ``year_month`` is NULL outside the agreed layout. ``pattern`` is the contract's
-    pattern of file names.
+    pattern of file names. With ``months`` only their folders are listed
+    (``year=YYYY/month=MM``), however many others there are.
     """
-    files = (
+    where = [landing_dir]
+    if months is not None:
+        base = landing_dir.rstrip("/")
+        folders = (f"{base}/year={m[:4]}/month={m[5:7]}" for m in sorted(set(months)))
+        where = [f for f in folders if _exists(spark, f)]
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(landing_dir)
-        .select("path", "length", F.col("modificationTime").alias("modification_time"))
     )
+    none = "path STRING, modificationTime TIMESTAMP, length LONG"
+    listed = reader.load(where) if where else spark.createDataFrame([], none)
+    files = listed.select("path", "length", F.col("modificationTime").alias("modification_time"))
     logical = F.regexp_replace(F.col("path"), r"/part-[^/]*$", "")
     logical = F.regexp_replace(logical, r"/[^/=]+=([^/]+\.parquet)$", "/$1")
     return files.select(
@@ -39,6 +51,11 @@ def landed_files(
     )
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def file_inventory(files: DataFrame, months: DataFrame) -> DataFrame:
     """Bytes on storage per requested month (column ``year_month``), 0 where nothing landed."""
     sizes = (

@@ -15,6 +15,7 @@ CREATE_UPDATE = "create_update"
 FLOW_PROGRESS = "flow_progress"
 EXPECTATION_METRICS = "expectation_metrics"
 PIPELINE_DONE = "pipeline_done"
+COMPLETED, FAILED = "COMPLETED", "FAILED"
 REQUIRED_COLUMNS = "required_columns"
 # Fixed value: event types the observability view keeps.
 OBSERVED_EVENTS = (FLOW_PROGRESS, EXPECTATION_METRICS, PIPELINE_DONE)
@@ -34,7 +35,11 @@ def event(event_type: str, message: str, details: dict, update_id: str) -> Colum
 def emit(
     spark: SparkSession, lake: Lake, key: str, events: Sequence[Column], update_id: str
 ) -> None:
-    """Write a handful of events of an update under ``key``; a replay replaces them."""
+    """Write a handful of events of an update under ``key``.
+
+    The same update replaces its own events. A batch replayed by a later update is logged
+    again; readers that add up take the newest event of each write (see ``settled``).
+    """
     rows = spark.range(1).select(F.explode(F.array(*events)).alias("e")).select("e.*")
     rows.coalesce(1).write.mode("overwrite").parquet(
         f"{lake.events}/update_id={update_id}/key={key}"
@@ -48,17 +53,20 @@ def flow_events(
     rows: int,
     metrics: list[dict],
     update_id: str,
+    part: str | None = None,
     **volume: int,
 ) -> list[Column]:
-    """Row count, input volume and rule counters of one write."""
-    where = {"flow": flow, "version": version}
-    if batch_id is not None:
-        where["batch_id"] = batch_id
+    """Row count, input volume and rule counters of one write.
+
+    ``part`` tells apart what one batch logs of a flow more than once, such as the rows it
+    takes away (with negative counts) beside those it brings.
+    """
+    where = _write(flow, version, batch_id, part)
     return [
         event(
             FLOW_PROGRESS,
             f"{flow}: {rows} rows",
-            {**where, "status": "COMPLETED", "num_output_rows": rows, **volume},
+            {**where, "status": COMPLETED, "num_output_rows": rows, **volume},
             update_id,
         ),
         event(
@@ -70,6 +78,49 @@ def flow_events(
     ]
 
 
+def _write(flow: str, version: int, batch_id: int | None, part: str | None = None) -> dict:
+    """What names a write in the details of its events."""
+    named = {"flow": flow, "version": version, "batch_id": batch_id, "part": part}
+    return {k: v for k, v in named.items() if v is not None}
+
+
+def failure(flow: str, version: int, batch_id: int, error: Exception, update_id: str) -> Column:
+    """The progress event of a write that did not end."""
+    text = f"{type(error).__name__}: {error}"[:2000]
+    where = _write(flow, version, batch_id)
+    details = {**where, "status": FAILED, "error": text}
+    return event(FLOW_PROGRESS, f"{flow}: failed", details, update_id)
+
+
+def settled(events: DataFrame, event_type: str) -> DataFrame:
+    """``(update_id, flow, version, batch_id, part, details)``: the newest event of each write.
+
+    If an update is lost after it logged a batch and before the batch is committed, the next
+    one writes and logs the batch again. Its data has replaced the older data, so its event
+    replaces the older event. Writes that failed have no say.
+    """
+    of = events.where(F.col("event_type") == event_type).select(
+        "timestamp",
+        F.col("origin.update_id").alias("update_id"),
+        "details",
+        *[
+            F.get_json_object("details", f"$.{k}").cast(kind).alias(k)
+            for k, kind in (("flow", "string"), ("version", "int"), ("batch_id", "long"), ("part", "string"))
+        ],
+    )
+    ended = F.coalesce(F.get_json_object("details", "$.status"), F.lit(COMPLETED)) == COMPLETED
+    return (
+        of.where(ended)
+        .groupBy("flow", "version", "batch_id", "part")
+        .agg(
+            F.max_by(
+                F.struct("update_id", "details"), F.struct("timestamp", "update_id", "details")
+            ).alias("e")
+        )
+        .select("e.update_id", "flow", "version", "batch_id", "part", "e.details")
+    )
+
+
 def observability(events: DataFrame) -> DataFrame:
     """Flow progress, rule metrics and final states, newest first."""
     return (
@@ -90,15 +141,12 @@ def latest_update_id(events: DataFrame) -> DataFrame:
 
 
 def input_volume(events: DataFrame, flow: str) -> DataFrame:
-    """Files and bytes a flow has read over all its logged writes: one row."""
+    """Files and bytes a flow has read over all its writes, replays counted once: one row."""
 
     def number(name: str) -> Column:
         return F.get_json_object("details", f"$.{name}").cast("long")
 
-    progress = (F.col("event_type") == FLOW_PROGRESS) & (
-        F.get_json_object("details", "$.flow") == flow
-    )
-    return events.where(progress).agg(
+    return settled(events, FLOW_PROGRESS).where(F.col("flow") == flow).agg(
         F.sum(number("num_input_files")).alias("files"),
         F.sum(number("num_input_bytes")).alias("bytes"),
     )
@@ -110,12 +158,12 @@ EXPECTATION_TYPE = (
 
 
 def update_counters(events: DataFrame) -> DataFrame:
-    """Rule counters of each update and table version:
+    """Rule counters by update and table version, each write under the update that settled it:
     ``(update_id, flow, version, rule, severity, passed_records, failed_records)``."""
-    parsed = events.where(F.col("event_type") == EXPECTATION_METRICS).select(
-        F.col("origin.update_id").alias("update_id"),
-        F.get_json_object("details", "$.flow").alias("flow"),
-        F.get_json_object("details", "$.version").cast("int").alias("version"),
+    parsed = settled(events, EXPECTATION_METRICS).select(
+        "update_id",
+        "flow",
+        "version",
         F.explode(
             F.from_json(F.get_json_object("details", "$.expectations"), EXPECTATION_TYPE)
         ).alias("m"),

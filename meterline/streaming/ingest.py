@@ -1,9 +1,10 @@
 """Incremental ingest: new landing files to the raw table and on to the canonical table.
 
 One available-now stream discovers files. Its checkpoint is the only record of what has
-been seen; a file name seen once is not read again. Each micro-batch writes its raw and
-its canonical rows to folders named after the batch, so replaying a batch after a failure
-replaces its output and nothing is doubled or lost.
+been seen; a file name seen once is not read again (``corrections`` replaces months whose
+files have changed). Each micro-batch writes its raw and its canonical rows to folders named
+after the batch, so replaying a batch after a failure replaces its output and nothing is
+doubled or lost.
 """
 
 from __future__ import annotations
@@ -11,10 +12,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from meterline import lake as store
 from meterline.contract import TRIPS, SchemaContractError, TableContract
-from meterline.lake import BATCH, Lake
+from meterline.lake import BATCH, FILE_PARTITION, Lake
+from meterline.functions.paths import extract_file_year_month
 from meterline.operators.conform import CAST_LOSS_COLUMN, conform
 from meterline.operators.rules import (
     CAST_LOSS_RULE,
@@ -28,7 +31,7 @@ from meterline.operators.rules import (
 )
 from meterline.sources.drifted import evolve, scan_drifted
 from meterline.sources.footers import FileSchema, file_schemas
-from meterline.streaming.events import REQUIRED_COLUMNS, emit, event, flow_events
+from meterline.streaming.events import REQUIRED_COLUMNS, emit, event, failure, flow_events
 
 # The file source forgets files this much older than the newest one; files may come with
 # their old modification times, so no file may ever be too old.
@@ -77,8 +80,12 @@ def write_raw_batch(
     batch_id: int,
     files: DataFrame,
     update_id: str,
+    staged: bool = False,
 ) -> list[Column]:
-    """Append one batch of files to the raw table; returns the events of the write."""
+    """Append one batch of files to the raw table; returns the events of the write.
+
+    A ``staged`` batch is written aside, and its files are not recorded yet.
+    """
     found = file_schemas(spark, files)
     if not found:
         return []
@@ -92,12 +99,14 @@ def write_raw_batch(
     raw = scan_drifted(spark, schema, anchors.fieldNames(), found)
     rules = raw_rules(contract)
     seen = Observation()
-    observe_rules(raw, rules, seen).write.mode("overwrite").parquet(
-        lake.bronze(version, "data", f"{BATCH}={batch_id}")
-    )
+    data = lake.staged("bronze", version) if staged else lake.bronze(version, "data")
+    month = extract_file_year_month("_source_file_path", contract.file_pattern)
+    rows = observe_rules(raw, rules, seen).withColumn(FILE_PARTITION, month)
+    store.write_by_month(rows, f"{data}/{BATCH}={batch_id}", [FILE_PARTITION])
     if schema != before:  # a replay finds the same files and comes to the same schema
         store.write_bronze_schema(spark, lake, version, batch_id, schema)
-    store.write_ingested(lake, version, batch_id, files)
+    if not staged:
+        record_files(config, version, batch_id, files)
     counts = seen.get
     return warnings + flow_events(
         "bronze",
@@ -111,6 +120,11 @@ def write_raw_batch(
     )
 
 
+def record_files(config: IngestConfig, version: int, batch_id: int, files: DataFrame) -> None:
+    month = extract_file_year_month("path", config.contract.file_pattern)
+    store.write_ingested(config.lake, version, batch_id, files, month)
+
+
 def missing_required(
     config: IngestConfig, files: list[FileSchema], update_id: str
 ) -> list[Column]:
@@ -138,15 +152,16 @@ def write_silver(
     silver_version: int,
     update_id: str,
     batch_id: int | None = None,
+    staged: bool = False,
 ) -> list[Column]:
     """Canonical rows of one batch, or of the whole raw table, in a single pass; returns the
-    events of the write.
+    events of the write. A ``staged`` batch is read from and written aside.
 
     Any shuffle comes before the counters: they then sit in the stage that writes, where a
     retried task is counted once.
     """
     lake, contract = config.lake, config.contract
-    bronze = store.read_bronze(spark, lake, bronze_version, batch_id)
+    bronze = store.read_bronze(spark, lake, bronze_version, batch_id, staged)
     rows = conform(bronze, contract, track_cast_loss=True, keep=(BATCH,))
     if not config.clustered_files:
         rows = store.rebalance(rows, BATCH, contract.event_month)
@@ -156,11 +171,12 @@ def write_silver(
     if batch_id is None:
         store.write_by_month(kept, lake.silver(silver_version), [BATCH, contract.event_month])
     else:
+        data = lake.staged("silver", silver_version) if staged else lake.silver(silver_version)
         store.write_by_month(
-            kept.drop(BATCH),
-            f"{lake.silver(silver_version)}/{BATCH}={batch_id}",
-            [contract.event_month],
+            kept.drop(BATCH), f"{data}/{BATCH}={batch_id}", [contract.event_month]
         )
+    if not staged:
+        store.write_months(spark, lake, contract, silver_version, batch_id)
     counts = seen.get
     return flow_events(
         "silver",
@@ -185,6 +201,7 @@ def ingest(
     """
     lake = config.lake
     store.ensure(spark, lake)
+    store.finish_swaps(spark, lake)
     bronze_version = store.current_version(spark, lake, "bronze")
     silver_version = store.current_version(spark, lake, "silver")
     if full_refresh:
@@ -193,12 +210,23 @@ def ingest(
     store.start_bronze_schema(spark, lake, bronze_version, config.contract.hint_schema())
 
     def process(files: DataFrame, batch_id: int) -> None:
-        done = write_raw_batch(spark, config, bronze_version, batch_id, files, update_id)
-        if done:
-            done += write_silver(
-                spark, config, bronze_version, silver_version, update_id, batch_id
-            )
-            emit(spark, lake, f"v{bronze_version}-{batch_id}", done, update_id)
+        files = not_corrected(spark, config, bronze_version, batch_id, files)
+        done: list[Column] = []
+        flow, version = "bronze", bronze_version
+        try:
+            done += write_raw_batch(spark, config, bronze_version, batch_id, files, update_id)
+            if done:
+                flow, version = "silver", silver_version
+                done += write_silver(
+                    spark, config, bronze_version, silver_version, update_id, batch_id
+                )
+        except Exception as error:
+            # A failed update leaves its progress, too; the replay's counters replace it.
+            done.append(failure(flow, version, batch_id, error, update_id))
+            raise
+        finally:
+            if done:
+                emit(spark, lake, f"v{bronze_version}-{batch_id}", done, update_id)
 
     query = (
         discover(spark, config)
@@ -214,6 +242,16 @@ def ingest(
     return {"bronze": bronze_version, "silver": silver_version}
 
 
+def not_corrected(
+    spark: SparkSession, config: IngestConfig, version: int, batch_id: int, files: DataFrame
+) -> DataFrame:
+    """``files`` without those that a correction has read before the stream found them."""
+    known = store.read_ingested(spark, config.lake, version)
+    known = known.where((F.col(BATCH) >= 1 << store.REWRITE) & (F.col(BATCH) != batch_id))
+    known = known.select("path", "length", F.col("modified").alias("modificationTime"))
+    return files.join(known, ["path", "length", "modificationTime"], "left_anti")
+
+
 def rebuild_silver(spark: SparkSession, config: IngestConfig, update_id: str) -> int:
     """Recompute the canonical table from all raw rows as a new version, then publish it."""
     lake = config.lake

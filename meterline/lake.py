@@ -316,11 +316,12 @@ def finish_swaps(spark: SparkSession, lake: Lake) -> None:
             for step in steps:
                 if step["source"] is not None and exists(spark, step["source"]):
                     delete(spark, step["target"])
-                    _move(spark, step["source"], step["target"])
+                    move(spark, step["source"], step["target"])
         delete(spark, todo)
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the folders above the target are made."""
     fs, old = _store(spark, source)
     _, new = _store(spark, target)
     fs.mkdirs(new.getParent())

@@ -1,4 +1,8 @@
-"""Window-filtered, dimension-enriched marts."""
+"""Window-filtered, dimension-enriched marts.
+
+Each mart is one SELECT over named inputs. The functions here run it over frames; the catalog
+stores the same text as a view over registered tables.
+"""
 
 from __future__ import annotations
 
@@ -14,6 +18,49 @@ BROADCAST_BYTES = 128 << 20
 ROW_BYTES = 128  # hash-table entry and fixed-width columns of one row, on the high side
 
 
+# Inputs: {silver}, {trips} (the projection within the window), {pairs}, {dim}, {month}.
+PROJECTION_SQL = """
+SELECT vendor_id, passenger_count, total_amount, tpep_pickup_datetime AS pickup_at,
+       tpep_dropoff_datetime AS dropoff_at, pickup_year_month,
+       hour(tpep_pickup_datetime) AS pickup_hour,
+       pu_location_id AS pickup_location_id, do_location_id AS dropoff_location_id
+FROM {silver}
+"""
+_ROLES = """
+LEFT JOIN {dim} AS origin ON pickup_location_id = CAST(origin.location_id AS BIGINT)
+LEFT JOIN {dim} AS target ON dropoff_location_id = CAST(target.location_id AS BIGINT)
+"""
+CONSUMPTION_SQL = f"""
+SELECT w.*, origin.borough AS pickup_borough, origin.zone AS pickup_zone,
+       target.borough AS dropoff_borough, target.zone AS dropoff_zone
+FROM {{trips}} AS w {_ROLES}
+"""
+MONTHLY_SQL = """
+SELECT pickup_year_month, avg(total_amount) AS avg_total_amount, count(1) AS trip_count
+FROM {trips} GROUP BY pickup_year_month ORDER BY pickup_year_month
+"""
+HOURLY_SQL = """
+SELECT pickup_hour, avg(passenger_count) AS avg_passenger_count,
+       count(passenger_count) AS trip_count_with_passenger
+FROM {trips} WHERE passenger_count IS NOT NULL AND pickup_year_month = {month}
+GROUP BY pickup_hour ORDER BY pickup_hour
+"""
+PAIRS_SQL = """
+SELECT pickup_location_id, dropoff_location_id, count(1) AS trips, sum(total_amount) AS amount,
+       count(total_amount) AS amounts
+FROM {trips} GROUP BY pickup_location_id, dropoff_location_id
+"""
+# The mean of DECIMAL(10,2) values from their sum and count, typed as avg types it.
+FLOWS_SQL = f"""
+SELECT origin.borough AS pickup_borough, target.borough AS dropoff_borough,
+       sum(trips) AS trip_count,
+       CAST(CAST(sum(amount) AS DECIMAL(24,2)) / CAST(sum(amounts) AS DECIMAL(13,0))
+         AS DECIMAL(14,6)) AS avg_total_amount
+FROM {{pairs}} AS p {_ROLES}
+GROUP BY origin.borough, target.borough ORDER BY trip_count DESC
+"""
+
+
 def measured_bytes(dim: DataFrame) -> int:
     """Memory the rows of ``dim`` would take on an executor, by one distributed aggregate."""
     texts = [f.name for f in dim.schema.fields if f.dataType.typeName() == "string"]
@@ -53,42 +100,16 @@ def active_window(audit: DataFrame) -> tuple[Column, Column]:
 
 def trip_projection(silver: DataFrame) -> DataFrame:
     """The canonical columns the marts use, under their mart names."""
-    return silver.select(
-        "vendor_id",
-        "passenger_count",
-        "total_amount",
-        F.col("tpep_pickup_datetime").alias("pickup_at"),
-        F.col("tpep_dropoff_datetime").alias("dropoff_at"),
-        "pickup_year_month",
-        F.hour("tpep_pickup_datetime").alias("pickup_hour"),
-        F.col("pu_location_id").alias("pickup_location_id"),
-        F.col("do_location_id").alias("dropoff_location_id"),
-    )
+    return silver.sparkSession.sql(PROJECTION_SQL, silver=silver)
 
 
 def trips_in_window(silver: DataFrame, audit: DataFrame) -> DataFrame:
     return trip_projection(in_active_window(silver, audit))
 
 
-def _role(dim: DataFrame, role: str, *columns: str) -> DataFrame:
-    return dim.select(
-        F.col("location_id").cast("long").alias(f"_{role}_key"),
-        *[F.col(c).alias(f"{role}_{c}") for c in columns],
-    )
-
-
-def _join_roles(facts: DataFrame, dim: DataFrame, *columns: str) -> DataFrame:
-    for role in ("pickup", "dropoff"):
-        side = _role(dim, role, *columns)
-        facts = facts.join(
-            side, F.col(f"{role}_location_id") == F.col(f"_{role}_key"), "left"
-        ).drop(f"_{role}_key")
-    return facts
-
-
 def consumption(trips: DataFrame, dim: DataFrame) -> DataFrame:
     """Trips with pickup and dropoff borough and zone; unknown ids keep the trip, with NULLs."""
-    return _join_roles(trips, small_side(dim), "borough", "zone")
+    return trips.sparkSession.sql(CONSUMPTION_SQL, trips=trips, dim=small_side(dim))
 
 
 def monthly_avg_total_amount(trips: DataFrame) -> DataFrame:
@@ -96,54 +117,21 @@ def monthly_avg_total_amount(trips: DataFrame) -> DataFrame:
 
     Reads the window frame without the dimension: the joins could not change it.
     """
-    return (
-        trips.groupBy("pickup_year_month")
-        .agg(
-            F.avg("total_amount").alias("avg_total_amount"),
-            F.count(F.lit(1)).alias("trip_count"),
-        )
-        .orderBy("pickup_year_month")
-    )
+    return trips.sparkSession.sql(MONTHLY_SQL, trips=trips)
 
 
 def hourly_avg_passenger_count(trips: DataFrame, month: str) -> DataFrame:
     """Mean passengers per pickup hour of one month; unknown counts stay out of both columns."""
-    return (
-        trips.where((F.col("pickup_year_month") == month) & F.col("passenger_count").isNotNull())
-        .groupBy("pickup_hour")
-        .agg(
-            F.avg("passenger_count").alias("avg_passenger_count"),
-            F.count("passenger_count").alias("trip_count_with_passenger"),
-        )
-        .orderBy("pickup_hour")
-    )
-
-
-def decimal_mean(total: Column, count: Column) -> Column:
-    """Mean of DECIMAL(10,2) values from their sum and count, typed as ``avg`` types it."""
-    quotient = total.cast("decimal(24,2)") / count.cast("decimal(13,0)")
-    return quotient.cast("decimal(14,6)")
+    return trips.sparkSession.sql(HOURLY_SQL, trips=trips, month=month)
 
 
 def location_pairs(trips: DataFrame) -> DataFrame:
     """Trips and amounts per pair of location ids; a small frame that answers for all trips."""
-    return trips.groupBy("pickup_location_id", "dropoff_location_id").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.sum("total_amount").alias("amount"),
-        F.count("total_amount").alias("amounts"),
-    )
+    return trips.sparkSession.sql(PAIRS_SQL, trips=trips)
 
 
 def flows_of_pairs(pairs: DataFrame, dim: DataFrame) -> DataFrame:
-    return (
-        _join_roles(pairs, small_side(dim), "borough")
-        .groupBy("pickup_borough", "dropoff_borough")
-        .agg(
-            F.sum("trips").alias("trip_count"),
-            decimal_mean(F.sum("amount"), F.sum("amounts")).alias("avg_total_amount"),
-        )
-        .orderBy(F.desc("trip_count"))
-    )
+    return pairs.sparkSession.sql(FLOWS_SQL, pairs=pairs, dim=small_side(dim))
 
 
 def flow_matrix(trips: DataFrame, dim: DataFrame) -> DataFrame:

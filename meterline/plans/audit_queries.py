@@ -351,6 +351,11 @@ def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit = runs.collapse_runs(
         customer_runs(spark, sf_dir).drop("o_custkey"), _order_outcomes(spark, sf_dir)
     )
+    return audit_as_text(audit)
+
+
+def audit_as_text(audit: DataFrame) -> DataFrame:
+    """All audit columns, with lists written as text."""
     probes = F.transform(
         "probe_results",
         lambda p: F.concat_ws(

@@ -12,8 +12,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from meterline import lake as store
-from meterline.lake import BATCH
-from meterline.operators import runs
+from meterline.lake import BATCH, FILE_PARTITION
+from meterline.operators import marts, runs
 from meterline.sources.dims import LOCATION_DDL
 from meterline.sources.tables import ensure_schema, ensure_table
 from meterline.streaming.events import OBSERVED_EVENTS
@@ -25,9 +25,11 @@ def _ddl(schema: T.StructType) -> str:
 
 
 def _partitioned(
-    spark: SparkSession, name: str, schema: T.StructType, partitions: list[str], location: str
+    spark: SparkSession, name: str, schema: T.StructType, partitions: list[str], location: str, anew: bool
 ) -> None:
-    """External partitioned table whose partition list is brought up to date."""
+    """External partitioned table; ``anew`` lists its folders, which a new entry needs, too."""
+    if not anew and spark.catalog.tableExists(name):
+        return
     data = [f for f in schema.fields if f.name not in partitions]
     keys = [f for f in schema.fields if f.name in partitions]
     spark.sql(
@@ -41,38 +43,57 @@ def _view(spark: SparkSession, name: str, query: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
 
 
-def register_tables(spark: SparkSession, config: IngestConfig, schema: str) -> None:
-    """Raw and canonical table, dimension, audit and events under ``schema``; safe to repeat."""
+def register_tables(spark: SparkSession, config: IngestConfig, schema: str, anew: bool = True) -> None:
+    """Raw and canonical table, dimension, audit and events under ``schema``; safe to repeat.
+
+    Without ``anew`` the partitions of registered tables are taken to be up to date, as they
+    are if ``config.catalog`` is ``schema``: every batch has added its own.
+    """
     lake, contract = config.lake, config.contract
     store.ensure(spark, lake)
-    ensure_schema(spark, schema)
+    ensure_schema(spark, schema, lake.at("catalog", schema))
     version = store.current_version(spark, lake, "silver")
     columns = store.silver_table_schema(contract)
     physical = f"{schema}.trips_v{version}"
     with_batch = T.StructType([*columns.fields, T.StructField(BATCH, T.LongType())])
-    _partitioned(spark, physical, with_batch, [BATCH, contract.event_month], lake.silver(version))
+    _partitioned(spark, physical, with_batch, [BATCH, contract.event_month], lake.silver(version), anew)
     _view(spark, f"{schema}.trips", f"SELECT {', '.join(columns.fieldNames())} FROM {physical}")
 
-    # The raw table's schema grows, so its entry is made anew; its files stay.
+    # The raw table's schema grows; then its entry is made anew, and its files stay.
     raw_version = store.current_version(spark, lake, "bronze")
     raw = store.bronze_table_schema(store.bronze_schema(spark, lake, raw_version))
     physical = f"{schema}.raw_v{raw_version}"
-    spark.sql(f"DROP TABLE IF EXISTS {physical}")
-    _partitioned(spark, physical, raw, [BATCH], lake.bronze(raw_version, "data"))
-    _view(spark, f"{schema}.raw_trips", f"SELECT * FROM {physical}")
+    with_file = T.StructType([*raw.fields, T.StructField(FILE_PARTITION, T.StringType())])
+    known = spark.table(physical).schema if spark.catalog.tableExists(physical) else None
+    grown = known is None or set(known.fieldNames()) != set(with_file.fieldNames()) or any(
+        known[f.name].dataType != f.dataType for f in raw.fields
+    )
+    if grown:
+        spark.sql(f"DROP TABLE IF EXISTS {physical}")
+    _partitioned(spark, physical, with_file, [BATCH, FILE_PARTITION], lake.bronze(raw_version, "data"), anew)
+    _view(spark, f"{schema}.raw_trips", f"SELECT {', '.join(f'`{c}`' for c in raw.fieldNames())} FROM {physical}")
 
     ensure_table(spark, f"{schema}.dim_locations", LOCATION_DDL, lake.locations)
     ensure_table(
         spark, f"{schema}.landing_audit_rows", _ddl(runs.LANDING_AUDIT_SCHEMA), lake.audit
     )
     ensure_table(spark, f"{schema}.run_completions", store.COMPLETION_DDL, lake.completions)
-    for table in ("dim_locations", "landing_audit_rows", "run_completions"):
+    # Events name their update themselves, so their folders need no partitions.
+    ensure_table(spark, f"{schema}.run_events", store.EVENT_DDL, lake.events, recursive=True)
+    for table in ("dim_locations", "landing_audit_rows", "run_completions", "run_events"):
         spark.catalog.refreshTable(f"{schema}.{table}")
-    events = T.StructType.fromDDL(store.EVENT_DDL).add("update_id", "string").add("key", "string")
-    _partitioned(spark, f"{schema}.run_events", events, ["update_id", "key"], lake.events)
     _publish_audit(spark, schema)
 
 
+def publish(spark: SparkSession, config: IngestConfig, hourly_month: str = "2023-05") -> None:
+    """Tables and marts under ``config.catalog``, as the jobs leave them; marts need a complete
+    run."""
+    register_tables(spark, config, config.catalog, anew=False)
+    audit = spark.table(f"{config.catalog}.landing_audit")
+    if runs.complete_runs(audit).limit(1).count():
+        publish_marts(spark, config.catalog, hourly_month)
+
+
 def _publish_audit(spark: SparkSession, schema: str) -> None:
     columns = ", ".join(
         "coalesce(a.pipeline_update_id, c.first_id) AS pipeline_update_id"
@@ -112,71 +133,32 @@ def publish_marts(spark: SparkSession, schema: str, hourly_month: str = "2023-05
     joined wherever the join cannot change them.
     """
     runs.require_complete_run(spark.table(f"{schema}.landing_audit"))
+    newest = f"""
+        SELECT max_by(struct(start_year_month AS lo, end_year_month AS hi),
+                      struct(job_start_ts, run_id)) AS months
+        FROM {schema}.landing_audit WHERE pipeline_update_id IS NOT NULL
+    """
+    inputs = {
+        "silver": f"{schema}.trips",
+        "trips": f"{schema}.window_trips",
+        "pairs": f"{schema}.location_pairs",
+        "dim": f"{schema}.dim_locations",
+        "month": f"'{hourly_month}'",
+    }
     _view(
         spark,
         f"{schema}.window_trips",
         f"""
-        WITH newest AS (
-          SELECT max_by(struct(start_year_month AS lo, end_year_month AS hi),
-                        struct(job_start_ts, run_id)) AS months
-          FROM {schema}.landing_audit WHERE pipeline_update_id IS NOT NULL
-        )
-        SELECT vendor_id, passenger_count, total_amount, tpep_pickup_datetime AS pickup_at,
-               tpep_dropoff_datetime AS dropoff_at, pickup_year_month,
-               hour(tpep_pickup_datetime) AS pickup_hour,
-               pu_location_id AS pickup_location_id, do_location_id AS dropoff_location_id
-        FROM {schema}.trips
+        WITH newest AS ({newest}) {marts.PROJECTION_SQL.format(**inputs)}
         WHERE pickup_year_month >= (SELECT months.lo FROM newest)
           AND pickup_year_month <= (SELECT months.hi FROM newest)
         """,
     )
-    _view(
-        spark,
-        f"{schema}.consumption",
-        f"""
-        SELECT w.*, origin.borough AS pickup_borough, origin.zone AS pickup_zone,
-               target.borough AS dropoff_borough, target.zone AS dropoff_zone
-        FROM {schema}.window_trips AS w
-        LEFT JOIN {schema}.dim_locations AS origin ON origin.location_id = pickup_location_id
-        LEFT JOIN {schema}.dim_locations AS target ON target.location_id = dropoff_location_id
-        """,
-    )
-    _view(
-        spark,
-        f"{schema}.monthly_avg_total_amount",
-        f"""
-        SELECT pickup_year_month, avg(total_amount) AS avg_total_amount, count(1) AS trip_count
-        FROM {schema}.window_trips GROUP BY ALL ORDER BY pickup_year_month
-        """,
-    )
-    _view(
-        spark,
-        f"{schema}.hourly_avg_passenger_count",
-        f"""
-        SELECT pickup_hour, avg(passenger_count) AS avg_passenger_count,
-               count(passenger_count) AS trip_count_with_passenger
-        FROM {schema}.window_trips
-        WHERE passenger_count IS NOT NULL AND pickup_year_month = '{hourly_month}'
-        GROUP BY ALL ORDER BY pickup_hour
-        """,
-    )
-    _view(
-        spark,
-        f"{schema}.flow_matrix",
-        f"""
-        WITH pairs AS (
-          SELECT pickup_location_id, dropoff_location_id, count(1) AS n,
-                 sum(total_amount) AS amount, count(total_amount) AS amounts
-          FROM {schema}.window_trips GROUP BY ALL
-        )
-        SELECT origin.borough AS pickup_borough, target.borough AS dropoff_borough,
-               sum(n) AS trip_count,
-               CAST(CAST(sum(amount) AS DECIMAL(24,2)) / CAST(sum(amounts) AS DECIMAL(13,0))
-                 AS DECIMAL(14,6)) AS avg_total_amount
-        FROM pairs
-        LEFT JOIN {schema}.dim_locations AS origin ON origin.location_id = pickup_location_id
-        LEFT JOIN {schema}.dim_locations AS target ON target.location_id = dropoff_location_id
-        GROUP BY ALL ORDER BY trip_count DESC
-        """,
-    )
-
+    for name, text in (
+        ("consumption", marts.CONSUMPTION_SQL),
+        ("monthly_avg_total_amount", marts.MONTHLY_SQL),
+        ("hourly_avg_passenger_count", marts.HOURLY_SQL),
+        ("location_pairs", marts.PAIRS_SQL),
+        ("flow_matrix", marts.FLOWS_SQL),
+    ):
+        _view(spark, f"{schema}.{name}", text.format(**inputs))

@@ -20,7 +20,9 @@ from meterline.operators import checks, marts, runs
 from meterline.sources.dims import LOCATION_DDL, read_csv_dimension
 from meterline.sources.landing import ensure_landing, file_inventory, landed_files
 from meterline.sources.tables import publish_view
+from meterline.plans import catalog
 from meterline.streaming import events as log
+from meterline.streaming.corrections import replace_months
 from meterline.streaming.ingest import IngestConfig, ingest
 
 PROBE_LOG_DDL = (
@@ -96,7 +98,8 @@ def audit_landing(
         )
     )
     log_rows = spark.createDataFrame([], PROBE_LOG_DDL) if probe_log is None else probe_log
-    inventory = file_inventory(landed_files(spark, landing_dir, pattern), months)
+    landed = landed_files(spark, landing_dir, pattern, window_months(run))
+    inventory = file_inventory(landed, months)
     outcomes = month_outcomes(months, log_rows, inventory).select(
         F.lit(run.run_id).alias("run_id"), F.lit(0).alias("seq"), "*"
     )
@@ -142,7 +145,9 @@ def require_ingested(spark: SparkSession, config: IngestConfig, run: RunInfo) ->
 
     A run is only complete with all the files that its audit row counts.
     """
-    landed = landed_files(spark, config.landing_dir, config.contract.file_pattern)
+    landed = landed_files(
+        spark, config.landing_dir, config.contract.file_pattern, window_months(run)
+    )
     window = landed.where(F.col("year_month").between(run.start_year_month, run.end_year_month))
     missing = window.join(store.read_ingested(spark, config.lake), "path", "left_anti")
     seen = missing.agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("first")).first()
@@ -158,9 +163,13 @@ def run_ingestion(
     run: RunInfo,
     probe_log: DataFrame | None = None,
     full_refresh: bool = False,
+    replace_changed: bool = False,
 ) -> Row:
     """Audit the landing folder, ingest what is new, then complete the audit row.
 
+    ``replace_changed`` first reads those months of the run's window again whose landed files
+    have changed since they were read.
+
     Returns the audit row as appended. A run whose months all failed raises before
     anything is ingested; its audit row stays incomplete, so the marts ignore it.
     """
@@ -185,6 +194,8 @@ def run_ingestion(
     )
     log.emit(spark, lake, "create", [created], update_id)
     try:
+        if replace_changed and not full_refresh:
+            replace_months(spark, config, update_id, window_months(run))
         ingest(spark, config, update_id, full_refresh)
         require_ingested(spark, config, run)
     except Exception:
@@ -193,9 +204,17 @@ def run_ingestion(
     final_state("COMPLETED")
     complete_run(spark, lake, run.job_run_id)
     publish_view(log.observability(store.read_events(spark, lake)), "pipeline_observability")
+    if config.catalog:
+        catalog.publish(spark, config)
     return audit_row
 
 
+def window_months(run: RunInfo) -> list[str]:
+    """The months of a run's window."""
+    first, last = (int(m[:4]) * 12 + int(m[5:7]) - 1 for m in (run.start_year_month, run.end_year_month))
+    return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(first, last + 1)]
+
+
 @dataclass(frozen=True)
 class Marts:
     consumption: DataFrame
@@ -264,4 +283,6 @@ def run_modelling(
     built = build_marts(silver, store.read_audit(spark, lake), dim, hourly_month)
     for name, frame in vars(built).items():
         publish_view(frame, name)
+    if config.catalog:
+        catalog.publish(spark, config, hourly_month)
     return built, run_checks(silver, built, dim, now)

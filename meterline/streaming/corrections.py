@@ -29,8 +29,17 @@ from meterline.lake import BATCH, FILE_PARTITION
 from meterline.operators.conform import conform
 from meterline.operators.rules import CAST_LOSS_RULE, Rule, raw_rules, rule_metrics
 from meterline.sources.landing import landed_files
+from meterline.sources.tables import follow
 from meterline.streaming.events import emit, flow_events
-from meterline.streaming.ingest import IngestConfig, record_files, write_raw_batch, write_silver
+from meterline.streaming.ingest import (
+    IngestConfig,
+    publish_batch,
+    raw_entry,
+    record_files,
+    trips_entry,
+    write_raw_batch,
+    write_silver,
+)
 
 
 def landed_of(spark: SparkSession, config: IngestConfig, months: Iterable[str] | None) -> DataFrame:
@@ -46,7 +55,7 @@ def corrected_months(
     spark: SparkSession, config: IngestConfig, months: Iterable[str] | None = None
 ) -> list[str]:
     """Months with files on record that the landing folder no longer has like this, while it has
-    others of the month; of ``months`` only, if given."""
+    others of the month; of ``months`` only, if given (only their folders are listed then)."""
     here = landed_of(spark, config, months)
     known = store.read_ingested(spark, config.lake).where(F.col("year_month").isNotNull())
     if months is not None:
@@ -71,7 +80,7 @@ def replace_months(
         return []
     raw_root, root = lake.bronze(bronze, "data"), lake.silver(silver)
     batch = store.next_rewrite(spark, raw_root, root)
-    files = landed_of(spark, config, corrected)
+    files = landed_of(spark, config, months).where(F.col("year_month").isin(corrected))
 
     old_raw = [
         path
@@ -104,6 +113,9 @@ def replace_months(
         ],
     )
     record_files(config, bronze, batch, files)
+    follow(spark, raw_entry(config, bronze), raw_root, old_raw, ())
+    follow(spark, trips_entry(config, silver), root, old, ())
+    publish_batch(spark, config, bronze, silver, batch)
     return corrected
 
 

@@ -31,6 +31,7 @@ from meterline.operators.rules import (
 )
 from meterline.sources.drifted import evolve, scan_drifted
 from meterline.sources.footers import FileSchema, file_schemas
+from meterline.sources.tables import follow
 from meterline.streaming.events import REQUIRED_COLUMNS, emit, event, failure, flow_events
 
 # The file source forgets files this much older than the newest one; files may come with
@@ -48,6 +49,9 @@ class IngestConfig:
 
     A file without a required column is reported as an event; ``refuse_missing`` makes it
     an error.
+
+    ``catalog`` names the schema under which the tables are registered, if any: batches,
+    corrections and compaction then add and drop partitions there as they publish them.
     """
 
     landing_dir: str
@@ -57,6 +61,17 @@ class IngestConfig:
     max_files_per_batch: int = 5_000
     clustered_files: bool = False
     refuse_missing: bool = False
+    catalog: str | None = None
+
+
+def raw_entry(config: IngestConfig, version: int) -> str | None:
+    """The raw table's name in the catalog."""
+    return f"{config.catalog}.raw_v{version}" if config.catalog else None
+
+
+def trips_entry(config: IngestConfig, version: int) -> str | None:
+    """The canonical table's name in the catalog; readers use the view ``trips`` over it."""
+    return f"{config.catalog}.trips_v{version}" if config.catalog else None
 
 
 def discover(spark: SparkSession, config: IngestConfig) -> DataFrame:
@@ -220,6 +235,7 @@ def ingest(
                 done += write_silver(
                     spark, config, bronze_version, silver_version, update_id, batch_id
                 )
+                publish_batch(spark, config, bronze_version, silver_version, batch_id)
         except Exception as error:
             # A failed update leaves its progress, too; the replay's counters replace it.
             done.append(failure(flow, version, batch_id, error, update_id))
@@ -242,6 +258,19 @@ def ingest(
     return {"bronze": bronze_version, "silver": silver_version}
 
 
+def publish_batch(
+    spark: SparkSession, config: IngestConfig, bronze_version: int, silver_version: int, batch_id: int
+) -> None:
+    """Add a batch's partitions to the registered tables, if there are any."""
+    if not config.catalog:
+        return
+    for entry, root in (
+        (raw_entry(config, bronze_version), config.lake.bronze(bronze_version, "data")),
+        (trips_entry(config, silver_version), config.lake.silver(silver_version)),
+    ):
+        follow(spark, entry, root, (), store.subfolders(spark, f"{root}/{BATCH}={batch_id}"))
+
+
 def not_corrected(
     spark: SparkSession, config: IngestConfig, version: int, batch_id: int, files: DataFrame
 ) -> DataFrame:

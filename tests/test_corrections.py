@@ -1,0 +1,237 @@
+"""Corrected months, compaction, and the stored tables that follow them."""
+
+from __future__ import annotations
+
+import dataclasses
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from test_ingest import CONTRACT, FEBRUARY, JANUARY, MARCH, RULES, counters, ids, land
+
+from meterline import lake as store
+from meterline.lake import Lake
+from meterline.plans import catalog, jobs
+from meterline.sources.landing import landed_files
+from meterline.sources.tables import read_table
+from meterline.streaming import corrections
+from meterline.streaming.compaction import compact, folders
+from meterline.streaming.corrections import corrected_months, replace_months
+from meterline.streaming.ingest import IngestConfig, ingest, rebuild_silver
+
+
+@pytest.fixture()
+def config(root):
+    return IngestConfig(f"{root}/landing", Lake(f"{root}/lake"), CONTRACT, RULES)
+
+
+@pytest.fixture()
+def ingested(spark, config):
+    """Two batches; every third row of each month is dated into January 2023."""
+    early = F.when(F.col("id") % 3 == 0, F.lit("2023-01-09 00:00:00").cast("timestamp_ntz")).otherwise(F.col("ts"))
+    for i, ddl in enumerate((JANUARY, FEBRUARY, MARCH)):
+        land(spark, config.landing_dir, f"2023-0{i + 1}", ddl, range(10 * i, 10 * i + 10), lambda df: df.withColumn("ts", early))
+        if i:
+            ingest(spark, config, f"u{i}")
+    return config
+
+
+def reland(spark, config, month, ddl, rows):
+    path = f"{config.landing_dir}/year={month[:4]}/month={month[5:]}/yellow_tripdata_{month}.parquet"
+    for name in glob.glob(f"{path}/*") + glob.glob(f"{path}/.*.crc"):
+        os.remove(name)
+    os.rmdir(path)
+    return land(spark, config.landing_dir, month, ddl, rows)
+
+
+def leaves(root):
+    """Data files of a table, by folder."""
+    return {os.path.relpath(p, root): os.stat(p).st_mtime_ns for p in glob.glob(f"{root}/**/*.parquet", recursive=True)}
+
+
+def both(spark, config):
+    return ids(store.read_bronze(spark, config.lake)), ids(store.read_silver(spark, config.lake, CONTRACT))
+
+
+def test_nothing_is_replaced_if_nothing_changed(spark, ingested):
+    assert corrected_months(spark, ingested) == []
+    before = leaves(ingested.lake.root)
+    assert replace_months(spark, ingested, "u") == []
+    assert {k: v for k, v in leaves(ingested.lake.root).items() if "silver" in k} == {
+        k: v for k, v in before.items() if "silver" in k
+    }
+
+
+def test_one_month_is_replaced_and_the_others_stay(spark, ingested):
+    reland(spark, ingested, "2023-02", MARCH, range(100, 104))
+    assert corrected_months(spark, ingested) == ["2023-02"]
+    raw, silver = ingested.lake.bronze(0, "data"), ingested.lake.silver(0)
+    before_raw, before = leaves(raw), leaves(silver)
+    assert replace_months(spark, ingested, "fix") == ["2023-02"]
+    expected = [*range(10), *range(20, 30), *range(100, 104)]
+    assert both(spark, ingested) == (expected, expected)
+    # Raw folders of other months, and canonical ones without rows of the month, are untouched.
+    kept = {k: v for k, v in before_raw.items() if "_file_month=2023-02" not in k}
+    assert kept and kept.items() <= leaves(raw).items()
+    assert not any("_file_month=2023-02" in k for k in leaves(raw) if k in before_raw)
+    march = {k: v for k, v in before.items() if "pickup_year_month=2023-03" in k}
+    assert march and march.items() <= leaves(silver).items()
+    total = {r["passed_records"] + r["failed_records"] for r in counters(spark, ingested).collect()}
+    assert total == {24}
+    # The stream finds the new file names, whose rows are there already.
+    ingest(spark, ingested, "later")
+    assert both(spark, ingested) == (expected, expected)
+    assert corrected_months(spark, ingested) == []
+
+
+def test_a_month_is_replaced_twice_then_rebuilt_and_extended(spark, ingested):
+    for n in (3, 5):
+        reland(spark, ingested, "2023-02", JANUARY, range(100, 100 + n))
+        replace_months(spark, ingested, f"fix{n}")
+    expected = [*range(10), *range(20, 30), *range(100, 105)]
+    assert both(spark, ingested) == (expected, expected)
+    rebuild_silver(spark, ingested, "again")
+    land(spark, ingested.landing_dir, "2023-04", MARCH, range(30, 33))
+    ingest(spark, ingested, "later")
+    expected = [*range(10), *range(20, 33), *range(100, 105)]
+    assert both(spark, ingested) == (expected, expected)
+    assert {r["passed_records"] + r["failed_records"] for r in counters(spark, ingested).collect()} == {28}
+    reland(spark, ingested, "2023-01", JANUARY, range(200, 202))
+    assert replace_months(spark, ingested, "last") == ["2023-01"]
+    expected = [*range(20, 33), *range(100, 105), 200, 201]
+    assert both(spark, ingested) == (expected, expected)
+
+
+def test_the_stream_saw_the_new_file_first(spark, ingested):
+    reland(spark, ingested, "2023-02", JANUARY, range(100, 104))
+    ingest(spark, ingested, "early")
+    assert len(both(spark, ingested)[0]) == 34  # old and new rows
+    assert replace_months(spark, ingested, "fix") == ["2023-02"]
+    assert both(spark, ingested)[0] == [*range(10), *range(20, 30), *range(100, 104)]
+
+
+def test_only_asked_months_are_replaced_and_listed(spark, ingested):
+    reland(spark, ingested, "2023-02", JANUARY, [100])
+    reland(spark, ingested, "2023-03", JANUARY, [200])
+    assert replace_months(spark, ingested, "fix", ["2023-01", "2023-03"]) == ["2023-03"]
+    assert both(spark, ingested)[1] == [*range(20), 200]
+    listed = landed_files(spark, ingested.landing_dir, months=["2023-03", "2024-01"])
+    assert [r["year_month"] for r in listed.collect()] == ["2023-03"]
+    assert "month=03" in listed.inputFiles()[0] and len(listed.inputFiles()) == 1
+    assert landed_files(spark, ingested.landing_dir, months=["1999-01"]).count() == 0
+
+
+def test_files_cleared_from_the_landing_folder_stay_in_the_tables(spark, ingested):
+    reland(spark, ingested, "2023-02", JANUARY, [])
+    path = f"{ingested.landing_dir}/year=2023/month=02"
+    for name in glob.glob(f"{path}/*/*.parquet"):
+        os.remove(name)
+    assert corrected_months(spark, ingested) == []
+    assert both(spark, ingested)[1] == list(range(30))
+
+
+@pytest.mark.parametrize("step", ["write_silver", "emit", "swap", "record_files"])
+def test_a_correction_cut_short_is_done_by_the_next(spark, ingested, monkeypatch, step):
+    reland(spark, ingested, "2023-02", JANUARY, range(100, 104))
+    home = store if step == "swap" else corrections
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(home, step, lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            replace_months(spark, ingested, "fix1")
+    assert replace_months(spark, ingested, "fix2") == ["2023-02"]
+    expected = [*range(10), *range(20, 30), *range(100, 104)]
+    assert both(spark, ingested) == (expected, expected)
+    assert {r["passed_records"] + r["failed_records"] for r in counters(spark, ingested).collect()} == {24}
+
+
+def test_a_swap_cut_short_is_finished(spark, ingested, monkeypatch):
+    reland(spark, ingested, "2023-02", JANUARY, range(100, 104))
+    with monkeypatch.context() as m:
+        m.setattr(store, "move", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            replace_months(spark, ingested, "fix1")
+    store.finish_swaps(spark, ingested.lake)
+    store.finish_swaps(spark, ingested.lake)
+    expected = [*range(10), *range(20, 30), *range(100, 104)]
+    assert both(spark, ingested) == (expected, expected)
+    replace_months(spark, ingested, "fix2")  # the files were not on record yet
+    assert both(spark, ingested) == (expected, expected)
+    assert {r["passed_records"] + r["failed_records"] for r in counters(spark, ingested).collect()} == {24}
+
+
+def test_many_batches_end_in_one_file_per_small_month(spark, root):
+    config = IngestConfig(f"{root}/landing", Lake(f"{root}/lake"), CONTRACT, RULES, max_files_per_batch=1)
+    spread = F.to_timestamp_ntz(F.expr("timestamp_ntz'2023-01-15 00:00:00' + make_interval(0, id % 4)"))
+    for i in range(6):
+        land(spark, config.landing_dir, f"2023-0{i + 1}", JANUARY, range(8 * i, 8 * i + 8), lambda df: df.withColumn("ts", spread))
+    ingest(spark, config, "u1")
+    before = sorted(map(repr, store.read_silver(spark, config.lake, CONTRACT).collect()))
+    counted = sorted(map(tuple, counters(spark, config).collect()))
+    listed = folders(spark, config.lake.silver(0), "pickup_year_month")
+    assert listed.count() == 24
+    assert compact(spark, config) == {"bronze": 0, "silver": 24}
+    after = folders(spark, config.lake.silver(0), "pickup_year_month").collect()
+    assert sorted((r["month"], r["files"]) for r in after) == [(f"2023-0{i}", 1) for i in range(1, 5)]
+    assert sorted(map(repr, store.read_silver(spark, config.lake, CONTRACT).collect())) == before
+    assert sorted(map(tuple, counters(spark, config).collect())) == counted
+    assert compact(spark, config) == {"bronze": 0, "silver": 0}
+    # A correction after it finds the month's rows in the compacted folders.
+    reland(spark, config, "2023-03", JANUARY, [500])
+    replace_months(spark, config, "fix")
+    assert both(spark, config) == ([*range(16), *range(24, 48), 500],) * 2
+    # Raw folders of a month that many batches have brought are compacted, too.
+    for i in range(2):
+        extra = spark.range(600 + i, 601 + i).select("id", F.lit("2023-02-01 00:00:00").cast("timestamp_ntz").alias("ts"))
+        extra.write.mode("append").parquet(f"{config.landing_dir}/year=2023/month=02/yellow_tripdata_2023-02.parquet")
+        ingest(spark, config, f"more{i}")
+    done = compact(spark, config)
+    assert done["bronze"] == 3
+    raw = folders(spark, config.lake.bronze(0, "data"), "_file_month").where("month = '2023-02'").collect()
+    assert len(raw) == 1
+    assert both(spark, config)[0] == [*range(16), *range(24, 48), 500, 600, 601]
+
+
+def test_large_files_are_left_as_they_are(spark, ingested):
+    before = leaves(ingested.lake.silver(0))
+    assert compact(spark, ingested, target_bytes=10) == {"bronze": 0, "silver": 0}
+    assert leaves(ingested.lake.silver(0)) == before
+
+
+def test_stored_tables_follow_batches_corrections_and_compaction(spark, ingested):
+    schema = "follows_" + os.path.basename(os.path.dirname(ingested.lake.root)).replace("-", "_")
+    config = dataclasses.replace(ingested, catalog=schema)
+    catalog.publish(spark, config)
+
+    def stored():
+        return ids(read_table(spark, "trips", schema)), ids(read_table(spark, "raw_trips", schema))
+
+    assert stored() == (list(range(30)),) * 2
+    undated = lambda df: df.withColumn("ts", F.when(F.col("id") != 30, F.col("ts")))
+    land(spark, config.landing_dir, "2023-04", MARCH, range(30, 33), undated)
+    ingest(spark, config, "u3")
+    assert stored() == (list(range(33)),) * 2
+    reland(spark, config, "2023-02", MARCH, [100])
+    replace_months(spark, config, "fix")
+    expected = [*range(10), *range(20, 33), 100]
+    assert stored() == (expected,) * 2
+    assert compact(spark, config)["silver"] > 0
+    assert stored() == (expected,) * 2
+    wider = lambda df: df.withColumn("tip", F.lit(1.5))
+    land(spark, config.landing_dir, "2023-05", MARCH, [40], wider)
+    ingest(spark, config, "u4")
+    catalog.publish(spark, config)
+    assert stored() == ([*expected[:-1], 40, 100],) * 2
+    assert read_table(spark, "raw_trips", schema).where("tip = 1.5").count() == 1
+    rebuild_silver(spark, config, "new version")
+    catalog.publish(spark, config)
+    assert stored()[0] == [*expected[:-1], 40, 100]
+
+
+def test_window_months():
+    run = jobs.RunInfo("2022-11", "2023-02", "r", "j", "u")
+    assert jobs.window_months(run) == ["2022-11", "2022-12", "2023-01", "2023-02"]

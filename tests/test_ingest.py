@@ -168,6 +168,46 @@ def test_a_failed_batch_is_replayed_without_doubling(spark, config, three_months
     assert set(counted.values()) == {30}
 
 
+def test_a_batch_replayed_after_its_events_counts_once(spark, config, three_months, monkeypatch):
+    """The update is lost after it logged the batch and before the batch is committed."""
+    original = stream.emit
+
+    def lost(*args, **kwargs):
+        original(*args, **kwargs)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(stream, "emit", lost)
+    with pytest.raises(StreamingQueryException, match="driver lost"):
+        ingest(spark, config, "u1")
+    monkeypatch.setattr(stream, "emit", original)
+    ingest(spark, config, "u2")
+    assert ids(store.read_silver(spark, config.lake, CONTRACT)) == list(range(30))
+    events = store.read_events(spark, config.lake)
+    assert {r["passed_records"] + r["failed_records"] for r in counters(spark, config).collect()} == {30}
+    assert {r["update_id"] for r in log.update_counters(events).collect()} == {"u2"}
+    assert log.input_volume(events, "bronze").first()["files"] == 3
+    # Both updates are in the log.
+    assert {r["update_id"] for r in events.select("origin.update_id").distinct().collect()} == {"u1", "u2"}
+
+
+def test_a_failed_update_leaves_its_progress(spark, config, three_months, monkeypatch):
+    def fail(*args, **kwargs):
+        raise RuntimeError("no space left")
+
+    original = stream.write_silver
+    monkeypatch.setattr(stream, "write_silver", fail)
+    with pytest.raises(StreamingQueryException, match="no space left"):
+        ingest(spark, config, "u1")
+    seen = log.observability(store.read_events(spark, config.lake)).collect()
+    details = [json.loads(r["details"]) for r in seen if r["event_type"] == log.FLOW_PROGRESS]
+    by_flow = {d["flow"]: d for d in details}
+    assert by_flow["bronze"]["status"] == "COMPLETED" and by_flow["bronze"]["num_output_rows"] == 30
+    assert by_flow["silver"]["status"] == "FAILED" and "no space left" in by_flow["silver"]["error"]
+    monkeypatch.setattr(stream, "write_silver", original)
+    ingest(spark, config, "u2")
+    assert {r["passed_records"] + r["failed_records"] for r in counters(spark, config).collect()} == {30}
+
+
 def test_small_batches_give_the_same_tables(spark, root, three_months, config):
     ingest(spark, config, "u1")
     single = IngestConfig(

@@ -14,6 +14,7 @@ import json
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from meterline.contract import LINEAGE_COLUMNS, RESCUED_COLUMN, TableContract
 from meterline.operators.runs import LANDING_AUDIT_SCHEMA, with_completions
+from meterline.sources.drifted import readable
 
 VERSION_DDL = "table STRING, version INT, state STRING, ts TIMESTAMP"
 STARTED, PUBLISHED = "started", "published"
@@ -206,14 +208,47 @@ def read_bronze(
     some partitions (``paths``).
 
     The schema is recorded at write time, so no footers are merged here; columns older
-    batches lack are NULL and narrower ones are widened by the reader."""
+    batches lack are NULL and narrower ones are widened by the reader. Where a column has got
+    a type that the reader cannot widen to, the batches before that are a scan of their own,
+    with a cast: as many scans as there were such changes."""
     version = current_version(spark, lake, "bronze") if version is None else version
-    source = bronze_schema(spark, lake, version)
     data = lake.staged("bronze", version) if staged else lake.bronze(version, "data")
-    schema = bronze_table_schema(source)
-    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(FILE_PARTITION, T.StringType())]))
-    where = paths or [data if batch_id is None else f"{data}/{BATCH}={batch_id}"]
-    return reader.option("basePath", data).parquet(*where).drop(FILE_PARTITION)
+    where = list(paths or [data if batch_id is None else f"{data}/{BATCH}={batch_id}"])
+    schemas = _bronze_schemas(spark, lake, version)
+    table = bronze_table_schema(schemas[-1][1])
+    groups: dict[str, list[str]] = {table.json(): where}
+    if not staged and batch_id is None and any(_unlike(s, schemas[-1][1]) for _, s in schemas):
+        groups = {}
+        for path in paths or subfolders(spark, data):
+            batch = int(path[len(data) :].split(f"{BATCH}=", 1)[1].split("/")[0])
+            then = [s for b, s in schemas if _place(b) <= _place(batch)][-1]
+            read_as = {f.name.lower(): f.dataType for f in _unlike(then, schemas[-1][1])}
+            fields = [T.StructField(f.name, read_as.get(f.name.lower(), f.dataType)) for f in table.fields]
+            groups.setdefault(T.StructType(fields).json(), []).append(path)
+    scans = []
+    for text, folders in groups.items():
+        schema = T.StructType.fromJson(json.loads(text)).add(FILE_PARTITION, "string")
+        rows = spark.read.schema(schema).option("basePath", data).parquet(*folders).drop(FILE_PARTITION)
+        scans.append(rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.fields]))
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _place(batch_id: int) -> tuple[int, int]:
+    """``position`` of a batch number."""
+    return (batch_id if batch_id < 0 else batch_id & ((1 << REWRITE) - 1), batch_id >> REWRITE)
+
+
+def _bronze_schemas(spark: SparkSession, lake: Lake, version: int) -> list[tuple[int, T.StructType]]:
+    """The raw table's schemas in order, each with the batch that brought it."""
+    rows = read(spark, lake.bronze(version, "schema"), SCHEMA_DDL).collect()
+    found = [(r[BATCH], T.StructType.fromJson(json.loads(r["schema"]))) for r in rows]
+    return sorted(found, key=lambda x: _place(x[0]))
+
+
+def _unlike(old: T.StructType, new: T.StructType) -> list[T.StructField]:
+    """Columns of ``old`` that the reader cannot read with their types in ``new``."""
+    types = {f.name.lower(): f.dataType for f in new.fields}
+    return [f for f in old.fields if not readable(f.dataType, types[f.name.lower()], False)]
 
 
 def write_ingested(lake: Lake, version: int, batch_id: int, files: DataFrame, month: Column) -> None:

@@ -50,12 +50,16 @@ SELECT pickup_location_id, dropoff_location_id, count(1) AS trips, sum(total_amo
        count(total_amount) AS amounts
 FROM {trips} GROUP BY pickup_location_id, dropoff_location_id
 """
-# The mean of DECIMAL(10,2) values from their sum and count, typed as avg types it.
+
+
+def decimal_mean(total: str, count: str) -> str:
+    """Mean of DECIMAL(10,2) values from their sum and count, typed as ``avg`` types it."""
+    return f"CAST(CAST({total} AS DECIMAL(24,2)) / CAST({count} AS DECIMAL(13,0)) AS DECIMAL(14,6))"
+
+
 FLOWS_SQL = f"""
 SELECT origin.borough AS pickup_borough, target.borough AS dropoff_borough,
-       sum(trips) AS trip_count,
-       CAST(CAST(sum(amount) AS DECIMAL(24,2)) / CAST(sum(amounts) AS DECIMAL(13,0))
-         AS DECIMAL(14,6)) AS avg_total_amount
+       sum(trips) AS trip_count, {decimal_mean("sum(amount)", "sum(amounts)")} AS avg_total_amount
 FROM {{pairs}} AS p {_ROLES}
 GROUP BY origin.borough, target.borough ORDER BY trip_count DESC
 """

@@ -224,3 +224,24 @@ def audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     store.ensure(spark, lake)
     return audit_as_text(store.read_audit(spark, lake))
+
+
+@query(
+    "widened_union",
+    """
+    SELECT event_id, CASE WHEN event_id % 3 = 0 THEN value ELSE round(value * 100) END AS value,
+           FALSE AS rescued
+    FROM events
+    """,
+)
+def widened_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole cents, then a month with fractions, then cents again: one column of doubles, with
+    nothing rescued; the first month was written as longs."""
+    root = session.scratch_dir(spark, "widened")
+    config = IngestConfig(f"{root}/landing", Lake(f"{root}/lake"), EVENTS_CONTRACT, EVENT_RULES, bounds=True)
+    land_events(spark, sf_dir, f"{root}/all")
+    for month in ("02", "01", "03"):
+        store.move(spark, f"{root}/all/year=2024/month={month}", f"{config.landing_dir}/year=2024/month={month}")
+        ingest(spark, config, month)
+    rows = store.read_bronze(spark, config.lake)
+    return rows.select("event_id", "value", F.col("_rescued_data").isNotNull().alias("rescued"))

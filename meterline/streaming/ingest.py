@@ -50,6 +50,11 @@ class IngestConfig:
     A file without a required column is reported as an event; ``refuse_missing`` makes it
     an error.
 
+    ``bounds`` widens unanchored columns to the least type for their own and a file's values
+    (a long and a double to a double) instead of rescuing what is retyped. Batches written
+    before are cast when they are read; a registered raw table cannot do that, so it is not
+    for use with ``catalog`` where such columns drift after the first batch.
+
     ``catalog`` names the schema under which the tables are registered, if any: batches,
     corrections and compaction then add and drop partitions there as they publish them.
     """
@@ -62,6 +67,7 @@ class IngestConfig:
     clustered_files: bool = False
     refuse_missing: bool = False
     catalog: str | None = None
+    bounds: bool = False
 
 
 def raw_entry(config: IngestConfig, version: int) -> str | None:
@@ -108,10 +114,10 @@ def write_raw_batch(
     warnings = missing_required(config, found, update_id)
     anchors = contract.hint_schema()
     before = store.bronze_schema(spark, lake, version, before=batch_id)
-    schema = evolve(before, anchors.fieldNames(), [f.schema for f in found])
+    schema = evolve(before, anchors.fieldNames(), [f.schema for f in found], config.bounds)
     # A required column that no file has ever had leaves nothing to fill in.
     contract.validate_required_columns(schema.fieldNames(), case_sensitive=False)
-    raw = scan_drifted(spark, schema, anchors.fieldNames(), found)
+    raw = scan_drifted(spark, schema, anchors.fieldNames(), found, config.bounds)
     rules = raw_rules(contract)
     seen = Observation()
     data = lake.staged("bronze", version) if staged else lake.bronze(version, "data")

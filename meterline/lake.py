@@ -58,6 +58,14 @@ class Lake:
     def silver(self, version: int, *parts: str | int) -> str:
         return self.at("silver", f"v{version}", *parts)
 
+    def refused(self, version: int, *parts: str | int) -> str:
+        """Rows that drop rules kept out of the canonical table."""
+        return self.at("refused", f"v{version}", *parts)
+
+    @property
+    def refused_outcomes(self) -> str:
+        return self.at("refused_outcomes")
+
     def months(self, version: int) -> str:
         """Which file months are in which event months of the canonical table, by batch."""
         return self.at("silver_months", f"v{version}")
@@ -178,6 +186,7 @@ def position(batch_id: Column) -> Column:
 def next_rewrite(spark: SparkSession, *tables: str) -> int:
     """A number for a batch that rewrites data of the tables below these folders."""
     taken = [int(p.rsplit("=", 1)[1]) for t in tables for p in subfolders(spark, t) if f"/{BATCH}=" in p]
+    taken = [b for b in taken if b >= 0]
     last = max((b & ((1 << REWRITE) - 1) for b in taken), default=0)
     return ((max((b >> REWRITE for b in taken), default=0) + 1) << REWRITE) + last
 
@@ -322,6 +331,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make an empty folder, unless there is one."""
+    fs, where = _store(spark, path)
+    fs.mkdirs(where)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, where = _store(spark, path)
     fs.delete(where, True)
@@ -391,6 +406,27 @@ def read_silver(
     )
 
 
+REASONS = "_reasons"
+
+
+def read_refused(
+    spark: SparkSession, lake: Lake, contract: TableContract, version: int | None = None
+) -> DataFrame:
+    """Rows that drop rules refused, canonical columns and ``_reasons``. What was refused of a
+    month's files before the month was corrected is left out."""
+    version = current_version(spark, lake, "silver") if version is None else version
+    schema = silver_table_schema(contract)
+    more = T.StructType.fromDDL(f"{REASONS} ARRAY<STRING>, {BATCH} BIGINT").fields
+    stored = T.StructType([*schema.fields, *more])
+    make_folder(spark, lake.refused(version))
+    rows = read(spark, lake.refused(version), stored)
+    rewritten = read_ingested(spark, lake).where(F.col(BATCH) >= 1 << REWRITE)
+    corrected = rewritten.groupBy("year_month").agg(F.max(position(F.col(BATCH))).alias("last"))
+    joined = rows.join(corrected, rows[contract.file_month] == corrected["year_month"], "left")
+    kept = joined.where(F.col("last").isNull() | (position(F.col(BATCH)) >= F.col("last")))
+    return kept.select(*schema.fieldNames(), REASONS)
+
+
 def read_audit(spark: SparkSession, lake: Lake) -> DataFrame:
     """The run audit with late-filled update ids."""
     return with_completions(

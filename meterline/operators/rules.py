@@ -98,6 +98,14 @@ def drop_failing(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, drops)) if drops else df
 
 
+def reasons(rules: Iterable[Rule]) -> Column:
+    """Names of the drop rules that a row fails, in their order; empty for rows that stay."""
+    named = [F.when(r.failed(), F.lit(r.name)) for r in rules if r.severity == DROP]
+    if not named:
+        return F.array().cast("array<string>")
+    return F.filter(F.array(*named), lambda name: name.isNotNull())
+
+
 def apply_rules(
     df: DataFrame, rules: Iterable[Rule], observation: Observation | None = None
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from meterline.functions.outcomes import (
     MONTH_STATUSES,
     PROBE_STATUSES,
     SOURCE_MODES,
+    in_domain,
     require_in,
 )
 
@@ -75,6 +76,24 @@ def run_message(months_failed: Column, status: Column) -> Column:
     ).when(status == "PARTIAL", F.concat(F.lit(SOME_FAILED_TEXT), names))
 
 
+def judged_outcomes(outcomes: DataFrame) -> DataFrame:
+    """``outcomes`` with ``_reasons``: which of their values are outside their domain.
+
+    Rows without reasons are fit for :func:`collapse_runs`, which refuses all others by an
+    error; written by ``_reasons``, both sides are kept in one pass.
+    """
+    tests = (
+        ("status", in_domain("status", MONTH_STATUSES)),
+        ("probe_status", in_domain("probe_status", PROBE_STATUSES)),
+        ("month", F.coalesce(is_year_month("month"), F.lit(False))),
+    )
+    named = [
+        F.when(~ok, F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))))
+        for c, ok in tests
+    ]
+    return outcomes.withColumn("_reasons", F.filter(F.array(*named), lambda r: r.isNotNull()))
+
+
 def collapse_runs(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
     """One audit row per run.
 

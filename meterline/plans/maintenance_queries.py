@@ -13,6 +13,7 @@ from meterline import session
 from meterline.contract import TRIP_FILE_PATTERN, TRIPS, TableContract
 from meterline.lake import Lake
 from meterline.operators import runs
+from meterline.operators.rules import expect_all_or_drop
 from meterline.plans import jobs
 from meterline.plans.audit_queries import RUN_AUDIT_SQL, _order_outcomes, audit_as_text
 from meterline.plans.given import TRIPS_SQL, customer_runs, mean_sql, table
@@ -245,3 +246,55 @@ def widened_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingest(spark, config, month)
     rows = store.read_bronze(spark, config.lake)
     return rows.select("event_id", "value", F.col("_rescued_data").isNotNull().alias("rescued"))
+
+
+REFUSING = expect_all_or_drop({"value_at_least_ten": "value >= 10", "user_not_seventh": "user_id % 7 <> 0"})
+REASONS_SQL = """
+array_to_string(list_filter([
+  CASE WHEN NOT coalesce(value >= 10, FALSE) THEN 'value_at_least_ten' END,
+  CASE WHEN NOT coalesce(user_id % 7 <> 0, FALSE) THEN 'user_not_seventh' END], lambda x: x IS NOT NULL), ',')
+"""
+
+
+@query(
+    "quarantined_rows",
+    f"""
+    WITH recovered AS ({RECOVERED_EVENTS_SQL})
+    SELECT event_id, value, file_year_month, {REASONS_SQL} AS reasons FROM recovered
+    """,
+)
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical rows and refused ones, each with the drop rules that it failed: all rows."""
+    root = session.scratch_dir(spark, "quarantined")
+    config = IngestConfig(f"{root}/landing", Lake(f"{root}/lake"), EVENTS_CONTRACT, REFUSING, quarantine=True)
+    land_events(spark, sf_dir, config.landing_dir)
+    ingest(spark, config, "refusing")
+    kept = store.read_silver(spark, config.lake, EVENTS_CONTRACT).withColumn(store.REASONS, F.array().cast("array<string>"))
+    both = kept.unionByName(store.read_refused(spark, config.lake, EVENTS_CONTRACT))
+    return both.select("event_id", "value", "file_year_month", F.array_join(store.REASONS, ",").alias("reasons"))
+
+
+@query(
+    "quarantined_outcomes",
+    """
+    SELECT o_orderkey AS seq, o_orderstatus AS status,
+           CASE WHEN o_orderstatus = 'O' THEN 'status: ODD' ELSE '' END
+             || CASE WHEN o_orderstatus = 'O' AND o_orderkey % 5 = 0 THEN ',' ELSE '' END
+             || CASE WHEN o_orderkey % 5 = 0 THEN 'probe_status: NULL' ELSE '' END AS reasons
+    FROM orders
+    """,
+)
+def quarantined_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One outcome per order, some outside their domains; both sides are written in one pass."""
+    outcomes = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("seq"),
+        F.col("o_orderstatus").alias("letter"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+        F.when(F.col("o_orderstatus") == "O", "ODD").otherwise("DOWNLOADED").alias("status"),
+        F.when(F.col("o_orderkey") % 5 != 0, "OK").alias("probe_status"),
+    )
+    path = session.scratch_dir(spark, "outcomes")
+    judged = runs.judged_outcomes(outcomes).withColumn("_refused", F.size("_reasons") > 0)
+    store.write_by_month(judged, path, ["_refused"])
+    sides = spark.read.schema(judged.schema).parquet(path)
+    return sides.select("seq", F.col("letter").alias("status"), F.array_join("_reasons", ",").alias("reasons"))

@@ -28,6 +28,7 @@ from meterline.operators.rules import (
     observe_rules,
     observed_metrics,
     raw_rules,
+    reasons,
 )
 from meterline.sources.drifted import evolve, scan_drifted
 from meterline.sources.footers import FileSchema, file_schemas
@@ -55,6 +56,9 @@ class IngestConfig:
     before are cast when they are read; a registered raw table cannot do that, so it is not
     for use with ``catalog`` where such columns drift after the first batch.
 
+    ``quarantine`` keeps the rows that drop rules refuse, with their reasons, in a table beside
+    the canonical one (``lake.read_refused``), written in the same pass.
+
     ``catalog`` names the schema under which the tables are registered, if any: batches,
     corrections and compaction then add and drop partitions there as they publish them.
     """
@@ -68,6 +72,7 @@ class IngestConfig:
     refuse_missing: bool = False
     catalog: str | None = None
     bounds: bool = False
+    quarantine: bool = False
 
 
 def raw_entry(config: IngestConfig, version: int) -> str | None:
@@ -188,14 +193,17 @@ def write_silver(
         rows = store.rebalance(rows, BATCH, contract.event_month)
     rules = config.rules + CAST_LOSS_RULE
     seen = Observation()
-    kept = apply_rules(rows, rules, seen).drop(CAST_LOSS_COLUMN)
-    if batch_id is None:
-        store.write_by_month(kept, lake.silver(silver_version), [BATCH, contract.event_month])
+    keys = [contract.event_month] if batch_id is not None else [BATCH, contract.event_month]
+    data = lake.staged("silver", silver_version) if staged else lake.silver(silver_version)
+    target = data if batch_id is None else f"{data}/{BATCH}={batch_id}"
+    if config.quarantine:
+        refused = lake.refused(silver_version)
+        refused = refused if batch_id is None else f"{refused}/{BATCH}={batch_id}"
+        _write_sides(spark, observe_rules(rows, rules, seen), config, silver_version, keys, target, refused)
     else:
-        data = lake.staged("silver", silver_version) if staged else lake.silver(silver_version)
-        store.write_by_month(
-            kept.drop(BATCH), f"{data}/{BATCH}={batch_id}", [contract.event_month]
-        )
+        kept = apply_rules(rows, rules, seen).drop(CAST_LOSS_COLUMN)
+        kept = kept if batch_id is None else kept.drop(BATCH)
+        store.write_by_month(kept, target, keys)
     if not staged:
         store.write_months(spark, lake, contract, silver_version, batch_id)
     counts = seen.get
@@ -209,6 +217,41 @@ def write_silver(
     )
 
 
+_SIDE = "_side"
+
+
+def _write_sides(
+    spark: SparkSession,
+    rows: DataFrame,
+    config: IngestConfig,
+    version: int,
+    keys: list[str],
+    target: str,
+    refused: str,
+) -> None:
+    """Write rows that stay to ``target`` and others, with their reasons, to ``refused``.
+
+    One pass writes both sides aside, by partition; their folders are then moved to their
+    places. A replay does the same again.
+    """
+    lake, why = config.lake, reasons(config.rules)
+    sides = (
+        rows.withColumn(store.REASONS, why)
+        .withColumn(_SIDE, F.when(F.size(store.REASONS) == 0, "kept").otherwise("refused"))
+        .drop(CAST_LOSS_COLUMN)
+    )
+    sides = sides if BATCH in keys else sides.drop(BATCH)
+    aside = f"{lake.staged('sides', version)}/{target.rsplit('/', 1)[1]}"
+    store.write_by_month(sides, aside, [_SIDE, *keys])
+    for side, where in (("kept", target), ("refused", refused)):
+        store.delete(spark, where)
+        if store.exists(spark, f"{aside}/{_SIDE}={side}"):
+            store.move(spark, f"{aside}/{_SIDE}={side}", where)
+        else:
+            store.make_folder(spark, where)
+    store.delete(spark, aside)
+
+
 def ingest(
     spark: SparkSession,
     config: IngestConfig,

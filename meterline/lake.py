@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.contract import LINEAGE_COLUMNS, RESCUED_COLUMN, TableContract
+from meterline.operators.marts import measured_bytes
 from meterline.operators.runs import LANDING_AUDIT_SCHEMA, with_completions
 from meterline.sources.drifted import readable
 
@@ -444,8 +445,21 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def load_seed(dim: DataFrame, path: str) -> None:
-    """Truncate and reload a dimension; repeating it changes nothing."""
+    """Truncate and reload a dimension; repeating it changes nothing.
+
+    What its rows take in memory is measured once and stored beside it (``seed_bytes``)."""
     dim.write.mode("overwrite").parquet(path)
+    spark = dim.sparkSession
+    size = measured_bytes(spark.read.schema(dim.schema).parquet(path))
+    rows = spark.range(1).select(F.lit(size).cast("long").alias("bytes"))
+    rows.write.mode("overwrite").parquet(f"{path}_size")
+
+
+def seed_bytes(spark: SparkSession, path: str) -> int | None:
+    """The measured size of a loaded dimension."""
+    if not exists(spark, f"{path}_size"):
+        return None
+    return read(spark, f"{path}_size", "bytes LONG").first()["bytes"]
 
 
 def write_by_month(

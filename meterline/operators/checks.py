@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 ERROR = "error"
 WARN = "warn"
+FRESH_HOURS = 24
 RESULT_COLUMNS = ("test", "dataset", "column_name", "severity", "failures")
 
 
@@ -33,18 +34,34 @@ def column_checks(
     not_null: Sequence[str] = (),
     accepted: Mapping[str, Iterable] | None = None,
     severity: str = ERROR,
+    weight: str | None = None,
+    fresh: tuple[str, Column | None, int] | None = None,
 ) -> DataFrame:
     """Every not-null and accepted-values test of one table in a single aggregate.
 
-    NULLs pass the accepted-values test; the not-null test is theirs.
+    NULLs pass the accepted-values test; the not-null test is theirs. ``weight`` names a
+    column that tells how many rows each row stands for. ``fresh`` (time column, now, hours)
+    adds a freshness test to the same aggregate.
     """
     tests = [("not_null", c, F.col(c).isNull()) for c in not_null]
     tests += [
         ("accepted_values", c, ~F.col(c).isin(*values)) for c, values in (accepted or {}).items()
     ]
-    counts = df.agg(*[F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(tests)])
+    rows = F.lit(1) if weight is None else F.col(weight)
+    counts = [F.sum(F.when(bad, rows)).alias(f"_{i}") for i, (_, _, bad) in enumerate(tests)]
     results = [_result(t, dataset, c, F.col(f"_{i}"), severity) for i, (t, c, _) in enumerate(tests)]
-    return counts.select(F.explode(F.array(*results)).alias("r")).select("r.*")
+    if fresh is not None:
+        column, now, hours = fresh
+        counts.append(F.max(column).alias("_newest"))
+        results.append(_result("freshness", dataset, column, _stale(now, hours), WARN))
+    return df.agg(*counts).select(F.explode(F.array(*results)).alias("r")).select("r.*")
+
+
+def _stale(now: Column | None, hours: int) -> Column:
+    """1 if ``_newest`` is older than so many hours, or NULL."""
+    now = F.current_timestamp() if now is None else now
+    limit = F.make_dt_interval(hours=F.lit(hours))
+    return F.coalesce(F.col("_newest") < now - limit, F.lit(True)).cast("long")
 
 
 def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
@@ -165,17 +182,10 @@ def freshness_check(
     dataset: str,
     column: str,
     now: Column | None = None,
-    warn_after_hours: int = 24,
+    warn_after_hours: int = FRESH_HOURS,
 ) -> DataFrame:
     """One warn failure when the newest value is older than the limit, or there is none."""
-    now = F.current_timestamp() if now is None else now
-    limit = F.make_dt_interval(hours=F.lit(warn_after_hours))
-    stale = F.coalesce(F.col("_newest") < now - limit, F.lit(True))
-    return (
-        df.agg(F.max(column).alias("_newest"))
-        .select(_result("freshness", dataset, column, stale.cast("long"), WARN).alias("r"))
-        .select("r.*")
-    )
+    return column_checks(df, dataset, fresh=(column, now, warn_after_hours))
 
 
 def summarize(results: Iterable[DataFrame]) -> DataFrame:
@@ -215,8 +225,9 @@ def trip_checks(
 ) -> list[DataFrame]:
     """The declared tests of the trip tables: 20 errors and one freshness warning.
 
-    ``pairs`` holds the trips of the consumption view counted per pair of location ids;
-    it stands in for them where only the ids matter.
+    The canonical table is scanned once, its freshness included. The consumption view is not
+    scanned: ``pairs`` counts its trips per pair of location ids, ``flows`` per pair of
+    boroughs and ``monthly`` per month, and each stands in for it where nothing else matters.
     """
 
     def known_location(column: str) -> DataFrame:
@@ -230,10 +241,11 @@ def trip_checks(
             "silver",
             ["vendor_id", "total_amount", "tpep_pickup_datetime", "tpep_dropoff_datetime"],
             {"vendor_id": (1, 2, 6, 7)},
+            fresh=("_ingestion_ts", now, FRESH_HOURS),
         ),
-        freshness_check(silver, "silver", "_ingestion_ts", now),
+        column_checks(monthly, "consumption", ["pickup_year_month"], weight="trip_count"),
         column_checks(
-            consumption, "consumption", ["pickup_year_month", "pickup_borough", "dropoff_borough"]
+            flows, "consumption", ["pickup_borough", "dropoff_borough"], weight="trip_count"
         ),
         known_location("pickup_location_id"),
         known_location("dropoff_location_id"),

@@ -82,6 +82,13 @@ def small_side(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(dim) if measured_bytes(dim) <= max_bytes else dim
 
 
+def sized_side(dim: DataFrame, dim_bytes: int | None) -> DataFrame:
+    """``small_side`` by a size that is known, so that no job runs while a plan is built."""
+    if dim_bytes is None:
+        return small_side(dim)
+    return F.broadcast(dim) if dim_bytes <= BROADCAST_BYTES else dim
+
+
 def in_active_window(facts: DataFrame, audit: DataFrame, month: str = "pickup_year_month") -> DataFrame:
     """Rows of the latest complete run's window, both ends included.
 
@@ -111,9 +118,9 @@ def trips_in_window(silver: DataFrame, audit: DataFrame) -> DataFrame:
     return trip_projection(in_active_window(silver, audit))
 
 
-def consumption(trips: DataFrame, dim: DataFrame) -> DataFrame:
+def consumption(trips: DataFrame, dim: DataFrame, dim_bytes: int | None = None) -> DataFrame:
     """Trips with pickup and dropoff borough and zone; unknown ids keep the trip, with NULLs."""
-    return trips.sparkSession.sql(CONSUMPTION_SQL, trips=trips, dim=small_side(dim))
+    return trips.sparkSession.sql(CONSUMPTION_SQL, trips=trips, dim=sized_side(dim, dim_bytes))
 
 
 def monthly_avg_total_amount(trips: DataFrame) -> DataFrame:
@@ -134,14 +141,14 @@ def location_pairs(trips: DataFrame) -> DataFrame:
     return trips.sparkSession.sql(PAIRS_SQL, trips=trips)
 
 
-def flows_of_pairs(pairs: DataFrame, dim: DataFrame) -> DataFrame:
-    return pairs.sparkSession.sql(FLOWS_SQL, pairs=pairs, dim=small_side(dim))
+def flows_of_pairs(pairs: DataFrame, dim: DataFrame, dim_bytes: int | None = None) -> DataFrame:
+    return pairs.sparkSession.sql(FLOWS_SQL, pairs=pairs, dim=sized_side(dim, dim_bytes))
 
 
-def flow_matrix(trips: DataFrame, dim: DataFrame) -> DataFrame:
+def flow_matrix(trips: DataFrame, dim: DataFrame, dim_bytes: int | None = None) -> DataFrame:
     """Trips and mean amount per pickup and dropoff borough, NULL boroughs kept.
 
     Trips are first summed per pair of location ids, so only pairs, not trips, meet the
     dimension; the borough sums follow from the pair sums.
     """
-    return flows_of_pairs(location_pairs(trips), dim)
+    return flows_of_pairs(location_pairs(trips), dim, dim_bytes)

@@ -225,25 +225,35 @@ class Marts:
 
 
 def build_marts(
-    silver: DataFrame, audit: DataFrame, dim: DataFrame, hourly_month: str = "2023-05"
+    silver: DataFrame,
+    audit: DataFrame,
+    dim: DataFrame,
+    hourly_month: str = "2023-05",
+    dim_bytes: int | None = None,
 ) -> Marts:
     """The marts as lazy frames over the latest complete run's window.
 
+    ``dim_bytes`` is the dimension's size, if it is known; else it is measured here.
+
     Raises if no run is complete: an empty mart would look like an answer.
     """
     runs.require_complete_run(audit)
     trips = marts.trips_in_window(silver, audit)
     return Marts(
-        consumption=marts.consumption(trips, dim),
+        consumption=marts.consumption(trips, dim, dim_bytes),
         location_pairs=marts.location_pairs(trips),
         monthly_avg_total_amount=marts.monthly_avg_total_amount(trips),
         hourly_avg_passenger_count=marts.hourly_avg_passenger_count(trips, hourly_month),
-        flow_matrix=marts.flow_matrix(trips, dim),
+        flow_matrix=marts.flow_matrix(trips, dim, dim_bytes),
     )
 
 
 def run_checks(
-    silver: DataFrame, built: Marts, dim: DataFrame, now: Column | None = None
+    silver: DataFrame,
+    built: Marts,
+    dim: DataFrame,
+    now: Column | None = None,
+    dim_bytes: int | None = None,
 ) -> list[Row]:
     """Run every data test; raises :class:`~meterline.operators.checks.DataTestError`.
 
@@ -256,7 +266,7 @@ def run_checks(
     hourly = built.hourly_avg_passenger_count.persist()
     kept = (pairs, monthly, hourly)
     try:
-        flows = marts.flows_of_pairs(pairs, dim)
+        flows = marts.flows_of_pairs(pairs, dim, dim_bytes)
         results = checks.trip_checks(
             silver, built.consumption, pairs, monthly, hourly, flows, dim, now
         )
@@ -280,9 +290,10 @@ def run_modelling(
     store.load_seed(read_csv_dimension(spark, dim_csv), lake.locations)
     dim = spark.read.schema(LOCATION_DDL).parquet(lake.locations)
     silver = store.read_silver(spark, lake, config.contract)
-    built = build_marts(silver, store.read_audit(spark, lake), dim, hourly_month)
+    size = store.seed_bytes(spark, lake.locations)
+    built = build_marts(silver, store.read_audit(spark, lake), dim, hourly_month, size)
     for name, frame in vars(built).items():
         publish_view(frame, name)
     if config.catalog:
         catalog.publish(spark, config, hourly_month)
-    return built, run_checks(silver, built, dim, now)
+    return built, run_checks(silver, built, dim, now, size)

@@ -115,6 +115,25 @@ def test_all_declared_tests_are_there(spark, config, ingested, dim_csv):
     assert {r["status"] for r in summary if r["test"] != "accepted_values"} == {"pass"}
 
 
+def test_no_job_runs_while_marts_of_a_measured_dimension_are_planned(spark, config, ingested, dim_csv, monkeypatch):
+    from meterline.operators import marts
+
+    store.load_seed(jobs.read_csv_dimension(spark, dim_csv), config.lake.locations)
+    size = store.seed_bytes(spark, config.lake.locations)
+    dim = spark.read.parquet(config.lake.locations)
+    assert size == marts.measured_bytes(dim) > 0
+    assert store.seed_bytes(spark, config.lake.at("nowhere")) is None
+    monkeypatch.setattr(marts, "measured_bytes", lambda d: pytest.fail("measured again"))
+    silver = store.read_silver(spark, config.lake, config.contract)
+    audit = store.read_audit(spark, config.lake)
+    for n, hints in ((size, 2), (1 << 40, 0)):
+        built = jobs.build_marts(silver, audit, dim, "1997-03", n)
+        text = built.consumption._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("rightHint=(strategy=broadcast)") == hints
+    of_silver = checks.trip_checks(silver, *vars(built).values(), dim)[0].collect()
+    assert {r["test"] for r in of_silver} == {"not_null", "accepted_values", "freshness"}
+
+
 def test_window_follows_the_newest_complete_run(spark, config, ingested, dim_csv):
     jobs.run_ingestion(spark, config, jobs.RunInfo("2000-01", "2000-02", "run-2", "job-2", "url"))
     dim = spark.read.parquet(config.lake.locations)

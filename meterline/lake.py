@@ -11,8 +11,9 @@ own and take the folders they replace away (see ``swap``).
 from __future__ import annotations
 
 import json
+import math
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -44,6 +45,8 @@ BATCH = "batch_id"
 FILE_PARTITION = "_file_month"
 #: A batch that rewrites data is numbered (n << REWRITE) + the last batch of the stream before it.
 REWRITE = 40
+#: Row groups of files whose rows are sorted; about eight to a file.
+ROW_GROUP_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -463,10 +466,24 @@ def seed_bytes(spark: SparkSession, path: str) -> int | None:
 
 
 def write_by_month(
-    df: DataFrame, path: str, partitions: Iterable[str], mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str],
+    mode: str = "overwrite",
+    order: Sequence[str] = (),
+    row_group_bytes: int = ROW_GROUP_BYTES,
 ) -> None:
-    """Write below ``path`` by partition; ``overwrite`` replaces everything there."""
+    """Write below ``path`` by partition; ``overwrite`` replaces everything there.
+
+    Rows of a file are sorted by ``order``. A partitioned write sorts each task's rows by the
+    partition columns anyway, and that one sort then takes in the others. Row groups are
+    smaller in such files, so that their minimum and maximum leave most of them unread.
+    """
+    if order:
+        df = df.sortWithinPartitions(*partitions, *order)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    if order:
+        writer = writer.option("parquet.block.size", row_group_bytes)
     writer.partitionBy(*partitions).parquet(path)
 
 
@@ -479,3 +496,16 @@ def rebalance(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def ranged(df: DataFrame, month: str, order: Sequence[str], sizes: Mapping[str | None, int], target_bytes: int) -> DataFrame:
+    """Cluster rows by month and, within months larger than a file, by ranges of ``order``.
+
+    ``sizes`` has the months' bytes. Files of such a month then hold ranges that hardly
+    overlap, and a value that a third of the rows share is cut by the columns after it. A
+    smaller month is one key, which no range boundary can cut, so it stays one file.
+    """
+    large = [m for m, size in sizes.items() if m is not None and size > target_bytes]
+    n = max(1, math.ceil(sum(sizes.values()) / target_bytes))
+    inside = [F.when(F.col(month).isin(large), F.col(c)) for c in order] if large else []
+    return df.repartitionByRange(n, F.col(month), *inside)
+
+

@@ -248,6 +248,29 @@ def widened_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "value", F.col("_rescued_data").isNotNull().alias("rescued"))
 
 
+@query(
+    "ordered_files",
+    f"""
+    WITH {TRIPS_SQL}, {KEPT_SQL}
+    SELECT pickup_year_month, do_location_id, count(*) AS trips, sum(trip_distance) AS distance
+    FROM kept WHERE pu_location_id = 7 GROUP BY 1, 2
+    """,
+)
+def ordered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips from one location, of a table whose files were ordered by location as they were
+    written and cut by ranges of it when they were compacted."""
+    root = session.scratch_dir(spark, "ordered")
+    order = ("pu_location_id", "do_location_id", "tpep_pickup_datetime")
+    config = IngestConfig(f"{root}/landing", Lake(f"{root}/lake"), TRIPS, order=order)
+    land_trips(spark, sf_dir, root, config.landing_dir)
+    ingest(spark, config, "ordered")
+    compact(spark, config)
+    rows = store.read_silver(spark, config.lake, TRIPS).where("pu_location_id = 7")
+    return rows.groupBy("pickup_year_month", "do_location_id").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("trip_distance").alias("distance")
+    )
+
+
 REFUSING = expect_all_or_drop({"value_at_least_ten": "value >= 10", "user_not_seventh": "user_id % 7 <> 0"})
 REASONS_SQL = """
 array_to_string(list_filter([

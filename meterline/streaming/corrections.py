@@ -39,6 +39,7 @@ from meterline.streaming.ingest import (
     trips_entry,
     write_raw_batch,
     write_silver,
+    write_sorted,
 )
 
 
@@ -95,7 +96,8 @@ def replace_months(
     if old:
         rest = store.read_silver(spark, lake, config.contract, silver, old)
         rest = rest.where(~F.coalesce(F.col(config.contract.file_month).isin(corrected), F.lit(False)))
-        store.write_by_month(
+        write_sorted(
+            config,
             store.rebalance(rest, config.contract.event_month),
             f"{lake.staged('silver', silver)}/{BATCH}={batch}",
             [config.contract.event_month],

@@ -59,6 +59,11 @@ class IngestConfig:
     ``quarantine`` keeps the rows that drop rules refuse, with their reasons, in a table beside
     the canonical one (``lake.read_refused``), written in the same pass.
 
+    ``order`` names canonical columns by which rows are sorted inside the files of a month, so
+    that a filter on them skips row groups (of ``row_group_bytes``); compaction also cuts large
+    months into files by them. Put a column with many values last: it cuts the hot values of
+    those before it.
+
     ``catalog`` names the schema under which the tables are registered, if any: batches,
     corrections and compaction then add and drop partitions there as they publish them.
     """
@@ -73,6 +78,8 @@ class IngestConfig:
     catalog: str | None = None
     bounds: bool = False
     quarantine: bool = False
+    order: tuple[str, ...] = ()
+    row_group_bytes: int = store.ROW_GROUP_BYTES
 
 
 def raw_entry(config: IngestConfig, version: int) -> str | None:
@@ -203,7 +210,7 @@ def write_silver(
     else:
         kept = apply_rules(rows, rules, seen).drop(CAST_LOSS_COLUMN)
         kept = kept if batch_id is None else kept.drop(BATCH)
-        store.write_by_month(kept, target, keys)
+        write_sorted(config, kept, target, keys)
     if not staged:
         store.write_months(spark, lake, contract, silver_version, batch_id)
     counts = seen.get
@@ -217,6 +224,13 @@ def write_silver(
     )
 
 
+def write_sorted(
+    config: IngestConfig, rows: DataFrame, path: str, keys: list[str], mode: str = "overwrite"
+) -> None:
+    """Write canonical rows by partition, in the order the config asks for."""
+    store.write_by_month(rows, path, keys, mode, config.order, config.row_group_bytes)
+
+
 _SIDE = "_side"
 
 
@@ -242,7 +256,7 @@ def _write_sides(
     )
     sides = sides if BATCH in keys else sides.drop(BATCH)
     aside = f"{lake.staged('sides', version)}/{target.rsplit('/', 1)[1]}"
-    store.write_by_month(sides, aside, [_SIDE, *keys])
+    write_sorted(config, sides, aside, [_SIDE, *keys])
     for side, where in (("kept", target), ("refused", refused)):
         store.delete(spark, where)
         if store.exists(spark, f"{aside}/{_SIDE}={side}"):

@@ -9,16 +9,18 @@ whose sets have a Jaccard similarity of ``similarity`` percent or more (``SIMILA
 3. Pairs are not formed within buckets. In each bucket all members are compared with one hub,
    the member with the largest buckets overall (the copies' common original, where there is
    one), and connected components are built from the confirmed links.
-4. Buckets whose members are then still in several components are taken up again. Members that
-   provably have no link in the bucket are set aside: a class of n shingles of which p occur in
-   no other class at hand can reach at most (n - p) / (m + p) with a class of m shingles. What is left
-   outside the bucket's main component is compared with the left members of other components,
-   so no link between components is missed.
+4. Buckets whose members are then still in several components are taken up again. Up to
+   ``SMALL`` members are compared directly. In a larger group all members are described by how
+   they differ from the hub; an exact prefix filter on these differences (see ``_narrower``)
+   gives smaller groups, which get hubs of their own, and so on until no group is mixed. Texts
+   of one template that differ in passages of their own never meet again, and no link between
+   components is missed.
 
 Each comparison passes an odd sketch first: the MinHash values are folded into a bitmap of
 parities, and the number of ones in the XOR of two bitmaps estimates high similarities
-precisely. Pairs estimated below the threshold less six deviations are dropped (a link is lost
-with probability 1e-9); the others are confirmed on the full sets.
+precisely. Pairs estimated below the threshold less six deviations of the samples are dropped;
+with the sketch's own variance that loses a link at the threshold with probability 1.1e-6. The
+others are confirmed on the full sets.
 
 Nulls and edge cases: letters A-Z count as lower case; fewer than five words are one shingle; a
 document without words has an empty set and no links; a null text counts as empty; rows of
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterline.llm.components import components
@@ -46,6 +48,8 @@ WORDS = 5
 SIMILARITY = 85  # percent
 BANDS, ROWS = 40, 5
 SKETCH_BITS = 512
+#: Members of a group that are compared directly.
+SMALL = 16
 
 #: What tells documents apart: doc_id (0 if it is null), whether it is null, two text hashes.
 DOC = ["doc", "no_id", "k0", "k1"]
@@ -167,28 +171,96 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -
     return materialised(both.filter(linked).select("a", "b"), "confirmed")
 
 
-def labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``members`` (bucket, node, ...) with their component's label."""
-    labels = materialised(components(links), "labels")
-    return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-
-
 def link_classes(classes: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """(node, label) of all classes with links, of ``classes`` with one document of ``texts`` each."""
-    buckets = classes.select("node", F.explode("bands").alias("bucket"))
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = materialised(buckets.join(materialised(sizes, "buckets"), "bucket"), "members")
-    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    weighted = members.join(materialised(weight, "weights"), "node")
-    hub = weighted.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("hub"))
-    hub = materialised(hub.select("bucket", F.col("hub.node").alias("hub")), "hubs")
+    groups = classes.select("node", F.explode("bands").alias("group"))
+    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = materialised(groups.join(materialised(sizes, "groups"), "group"), "members")
     sets = materialised(_sets(classes, texts, members.select("node").distinct()), "sets")
-    pairs = members.join(hub, "bucket").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    links = confirmed(materialised(pairs.distinct(), "pairs"), sets, similarity)
-    marked = materialised(labelled(members, links).select("bucket", "node", "label"), "labelled")
-    rest = _across(marked, sets, classes.select("node", "bands"), similarity)
-    more = confirmed(rest, sets, similarity)
-    return components(links.unionByName(more))
+    links = None
+    while True:
+        hubs = _hubs(members)
+        with_hub = members.join(hubs, "group").filter("node <> hub")
+        pairs = with_hub.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        found = confirmed(materialised(pairs, "pairs"), sets, similarity)
+        links = found if links is None else links.unionByName(found)
+        labels = materialised(components(links), "labels")
+        mixed = _mixed(members.drop("label"), labels)
+        if mixed.isEmpty():
+            return labels
+        small = mixed.filter(F.col("n") <= SMALL)
+        other = small.select("group", F.col("node").alias("b"), F.col("label").alias("other"))
+        met = small.join(other, "group").filter((F.col("label") != F.col("other")) & (F.col("node") < F.col("b")))
+        met = materialised(met.select(F.col("node").alias("a"), "b").distinct(), "met")
+        links = links.unionByName(confirmed(met, sets, similarity))
+        members = _narrower(mixed.filter(F.col("n") > SMALL), hubs, sets, similarity)
+        if members.isEmpty():
+            return components(links)
+
+
+def _hubs(members: DataFrame) -> DataFrame:
+    """(group, hub): the member of each group with the largest groups overall."""
+    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    weighted = members.select("group", "node").join(materialised(weight, "weights"), "node")
+    hub = weighted.groupBy("group").agg(F.max(F.struct("weight", "node")).alias("hub"))
+    return materialised(hub.select("group", F.col("hub.node").alias("hub")), "hubs")
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(group, node, n, label) of the groups whose members lie in several components; of groups
+    with the same members, one."""
+    marked = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    marked = materialised(marked, "marked")
+    same = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"x{k}") for k in (0, 1)]
+    seen = marked.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"), *same).filter("low < high")
+    once = seen.groupBy("x0", "x1").agg(F.min("group").alias("group"))
+    return materialised(marked.join(materialised(once.select("group"), "mixed"), "group"), "mixed")
+
+
+def _narrower(members: DataFrame, hubs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """(group, node, n): groups of fewer members, in one of which each pair of ``members`` that
+    may be linked and lies in different components still meets.
+
+    Groups of one hub h are taken together. A member's delta is what it and h do not share.
+    Linked members a and b of sizes m and n differ in at most c (m + n) shingles, for
+    c = (1 - J) / (1 + J), so their deltas A and B share (|A| - c m + |B| - c n) / 2 or more: a
+    positive number, unless both are linked with h. By the prefix principle they then share one
+    of the first shingles of their deltas, as many as that number leaves, in the order of how
+    many members' deltas hold a shingle. Such a shingle and its holders are a new group. The
+    hub's delta is empty, so groups shrink each round.
+    """
+    c = (100 - similarity) / (100 + similarity)
+    rows = members.join(hubs, "group").select("hub", "node", "label").distinct()
+    rows = materialised(rows, "rows")
+    of_hub = rows.filter("node = hub").select("hub", F.col("label").alias("hub_label"))
+    rows = rows.filter("node <> hub").join(materialised(of_hub, "hub_labels"), "hub")
+    rows = rows.withColumn("far", F.col("label") != F.col("hub_label")).drop("hub_label")
+    x = sets.select("node", "n_shingles", "shingles")
+    y = x.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_shingles"))
+    delta = F.concat(F.array_except("shingles", "hub_shingles"), F.array_except("hub_shingles", "shingles"))
+    rows = rows.join(x, "node").join(y, "hub").select("hub", "node", "label", "far", "n_shingles", delta.alias("delta"))
+    rows = rows.withColumn("size", F.size("delta")).withColumn("w", F.col("size") - c * F.col("n_shingles"))
+    rows = materialised(rows, "deltas")
+    # Members of the hub's component need only meet others; these need to meet all.
+    least = rows.groupBy("hub").agg(F.min("w").alias("any"), F.min(F.when(F.col("far"), F.col("w"))).alias("outer"))
+    meets = (F.col("w") + F.when(F.col("far"), F.col("any")).otherwise(F.col("outer"))) / 2
+    shared = F.greatest(F.lit(1), F.ceil(meets - 1e-6))
+    first = rows.drop("delta").join(materialised(least.filter("outer is not null"), "least"), "hub")
+    first = first.select("hub", "node", "label", "size", (F.col("size") - shared + 1).alias("first")).filter("first > 0")
+    spread = rows.select("hub", "node", F.explode("delta").alias("s"))
+    often = spread.groupBy("hub", "s").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    held = materialised(spread.join(materialised(often, "often"), ["hub", "s"]), "held")
+    # Shingles that no other delta holds come first and need not be listed.
+    alone = held.groupBy("hub", "node").agg(F.count(F.lit(1)).alias("listed"))
+    first = first.join(materialised(alone, "alone"), ["hub", "node"])
+    first = first.select("hub", "node", "label", (F.col("first") - F.col("size") + F.col("listed")).alias("left"))
+    ranked = held.join(materialised(first.filter("left > 0"), "first"), ["hub", "node"])
+    place = F.row_number().over(Window.partitionBy("hub", "node").orderBy("often", "s"))
+    named = ranked.withColumn("place", place).filter("place <= left")
+    named = materialised(named.select(F.xxhash64("hub", "s").alias("group"), "node", "label").distinct(), "named")
+    sizes = named.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    sizes = materialised(sizes.filter("low < high").select("group", "n"), "groups")
+    return materialised(named.drop("label").join(sizes, "group"), "members")
 
 
 def _sets(classes: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -200,43 +272,6 @@ def _sets(classes: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     return once.join(wanted.select("node", "sketch"), "node")
 
 
-def _across(members: DataFrame, sets: DataFrame, bands: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) between components that still meet in a bucket and may be linked."""
-    mixed = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
-    mixed = materialised(mixed.select("bucket"), "mixed")
-    left = materialised(members.join(mixed, "bucket"), "left")
-    # Shingles of the classes at hand that only one of them has.
-    nodes = materialised(left.select("node").distinct(), "nodes")
-    spread = sets.join(nodes, "node").select("node", "n_shingles", F.explode("shingles").alias("s"))
-    own = spread.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1")
-    private = materialised(own.groupBy("node").agg(F.count(F.lit(1)).alias("private")), "private")
-    sized = sets.select("node", "n_shingles").join(nodes, "node").join(private, "node", "left")
-    sized = materialised(sized.withColumn("private", F.coalesce("private", F.lit(0))), "sized")
-    rows = materialised(left.join(sized, "node"), "rows")
-    # The smallest set of the bucket; a member that has it itself is judged more kindly.
-    least = materialised(rows.groupBy("bucket").agg(F.min("n_shingles").alias("least")), "least")
-    shared = F.col("n_shingles") - F.col("private")
-    may = shared * 100 >= (F.greatest(F.col("least"), shared) + F.col("private")) * similarity
-    hopeful = rows.join(least, "bucket").filter(may)
-    hopeful = hopeful.select("bucket", "node", "label", F.col("n_shingles").alias("n"), shared.alias("shared"))
-    hopeful = materialised(materialised(hopeful, "hopeful").join(bands, "node"), "hopeful")
-    counts = hopeful.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
-    main = materialised(main.filter("labels > 1").select("bucket", F.col("m.label").alias("main")), "main")
-    others = hopeful.join(main, "bucket").filter("label <> main")
-    others = others.select("bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("shared").alias("sa"), F.col("bands").alias("ba"))
-    # Members outside the main component meet all hopeful members of other components, as far
-    # as both sides' private shingles leave a chance.
-    most = F.least("sa", "shared")
-    chance = most * 100 >= (F.col("na") + F.col("n") - most) * similarity
-    # A pair is formed in the first of its common buckets only.
-    here = F.element_at(F.array_intersect("ba", "bands"), 1) == F.col("bucket")
-    apart = (F.col("la") != F.col("label")) & chance & here
-    met = materialised(others, "others").join(hopeful, "bucket").filter(apart)
-    pairs = met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-    return materialised(pairs.distinct(), "across")
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.withColumns(

@@ -122,3 +122,48 @@ def test_components_of_a_long_chain(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert N.near_duplicates(none).count() == 0
+
+
+def templated(n, rng):
+    """Texts of one template with three passages of their own out of a pool: no passage is in one
+    text only; texts that share one are not yet linked."""
+    base = [f"t{j}" for j in range(400)]
+    pool = [[f"p{p}w{j}" for j in range(20)] for p in range(n // 2)]
+    rows = []
+    for k in range(n):
+        one, two, three = (pool[p] for p in rng.choice(len(pool), 3, replace=False))
+        rows.append((k, " ".join([*base[:130], *one, *base[130:270], *two, *base[270:], *three])))
+    for k in range(6):  # links across
+        rows.append((n + k, rows[7 * k][1] + " more"))
+    return rows
+
+
+@pytest.mark.parametrize("n", [400])
+def test_a_template_is_not_compared_pair_by_pair(make_docs, monkeypatch, n):
+    rows = templated(n, np.random.default_rng(n))
+    compared, confirmed = [], N.confirmed
+
+    def counting(pairs, *more):
+        compared.append(pairs.count())
+        return confirmed(pairs, *more)
+
+    monkeypatch.setattr(N, "confirmed", counting)
+    assert got(N.near_duplicates(make_docs(rows))) == brute(rows)
+    assert len(compared) > 1 and sum(compared) < len(rows) ** 2 / 2 / 5, compared
+
+
+@pytest.mark.parametrize("small", [2, 16])
+def test_groups_within_groups(make_docs, monkeypatch, small):
+    """Templates within a template, copies with edits in each, and chains between them."""
+    monkeypatch.setattr(N, "SMALL", small)
+    rng = np.random.default_rng(small)
+    base, rows = [f"t{j}" for j in range(150)], []
+    for g in range(6):
+        inner = [f"g{g}w{j}" for j in range(rng.integers(10, 40))]
+        for _ in range(25):
+            own = [f"e{rng.integers(1 << 40)}" for _ in range(rng.integers(0, 14))]
+            w = [*base, *inner, *own]
+            for j in rng.choice(len(w), rng.integers(0, 3), replace=False):
+                w[j] = f"x{rng.integers(30)}"
+            rows.append((len(rows), " ".join(w)))
+    assert got(N.near_duplicates(make_docs(rows))) == brute(rows)

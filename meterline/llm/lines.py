@@ -16,7 +16,7 @@ similarity of 0.8 or more. Equal lines need no such bound: those of ``exact_word
 more go. It is ``MIN_WORDS`` unless told, which is the definition that the query's SQL states;
 1 takes every line that has a word.
 
-Before variants are made, lines that can have no partner are set aside without loss: two
+The texts are split once: what follows reads the lines' hashes and places. Before variants are made, lines that can have no partner are set aside without loss: two
 distinct lines within the bound share their first or last half (rounded down, of the shorter
 one), so only lines whose half occurs in another line go on.
 
@@ -46,23 +46,33 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("mark"), "text")
 
 
-def words_of(line: str) -> Column:
-    return F.filter(F.split(line, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+def lines_of(text: Column) -> Column:
+    """The lines of ``text``, their white space as spaces."""
+    white = "[\\x09\\x0B-\\x0D]"
+    return F.split(F.when(text.rlike(white), F.regexp_replace(text, white, " ")).otherwise(text), "\n")
 
 
-def long_lines(texts: DataFrame, min_words: int) -> DataFrame:
-    """doc, mark, line_no, words and n of the lines that are judged; ``texts`` as ``keyed``."""
-    lines = texts.select(*KEY, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return (
-        lines.select(*PLACE, words_of("line").alias("words"))
-        .withColumn("n", F.size("words"))
-        .filter(F.col("n") >= min_words)
+def words_of(line: Column) -> Column:
+    """The words of a line of ``lines_of``. A plain space needs no pattern to split at."""
+    return F.array_remove(F.split(line, " "), "")
+
+
+def named_lines(texts: DataFrame, least: int, min_words: int) -> DataFrame:
+    """doc, mark, line_no, two hashes and the keys of the halves (none below ``min_words``) of the
+    lines of ``least`` words or more; ``texts`` as ``keyed``. Holds numbers only."""
+    lines = texts.select(*KEY, F.posexplode(F.transform(lines_of(F.col("text")), words_of)).alias("line_no", "words"))
+    n = F.size("words")
+    return lines.filter(n >= least).select(
+        *PLACE,
+        F.xxhash64("words").alias("h0"),
+        F.xxhash64(F.lit(1), "words").alias("h1"),
+        F.when(n >= min_words, _halves()).alias("halves"),
     )
 
 
 def _halves() -> Column:
     """Keys of a line's first and last words, as many as half of a line of n or n-1 words."""
-    n = F.col("n")
+    n = F.size("words")
 
     def both(c: Column, tag: int) -> list[Column]:
         first = F.slice("words", F.lit(1), c)
@@ -79,9 +89,7 @@ def earlier_lines(texts: DataFrame, min_words: int = MIN_WORDS, exact_words: int
     kept = session.materialised
     place = F.struct(*PLACE)
     least = min_words if exact_words is None else min(min_words, exact_words)
-    named = long_lines(texts, least).select(
-        *PLACE, "words", "n", F.xxhash64("words").alias("h0"), F.xxhash64(F.lit(1), "words").alias("h1")
-    )
+    named = kept(named_lines(texts, least, min_words), "named")
     distinct = named.groupBy("h0", "h1").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     distinct = kept(distinct, "lines")
     exact = (
@@ -91,7 +99,7 @@ def earlier_lines(texts: DataFrame, min_words: int = MIN_WORDS, exact_words: int
         .select(*PLACE)
     )
     # Lines with a half that another line has, too; halves are told apart by distinct lines.
-    halves = named.filter(F.col("n") >= min_words).select("h0", F.explode(_halves()).alias("half"))
+    halves = named.select("h0", F.explode("halves").alias("half"))
     shared = (
         halves.groupBy("half").agg(F.min("h0").alias("a"), F.max("h0").alias("b")).filter("a < b").select("half")
     )
@@ -103,7 +111,7 @@ def earlier_lines(texts: DataFrame, min_words: int = MIN_WORDS, exact_words: int
     )
     candidates = (
         texts.join(todo, KEY)
-        .select(*KEY, F.split("text", "\n").alias("lines"), "nos")
+        .select(*KEY, lines_of(F.col("text")).alias("lines"), "nos")
         .select(*KEY, F.explode(F.array_distinct("nos")).alias("line_no"), "lines")
         .select(*PLACE, words_of(F.element_at("lines", F.col("line_no") + 1)).alias("words"))
         .dropDuplicates(PLACE)
@@ -154,12 +162,14 @@ def _earliest(variants: DataFrame) -> DataFrame:
         .groupBy("variant", "left_out")
         .agg(F.min(best).alias("best"))
     )
+    replaced = session.materialised(replaced, "replaced")
     # A whole line matches others without a word, and the other way round.
     inserted = (
         variants.groupBy("variant", (F.col("left_out") == 0).alias("whole"))
         .agg(F.min(best).alias("best"))
         .select("variant", "best", (~F.col("whole")).alias("want_whole"))
     )
+    inserted = session.materialised(inserted, "inserted")
     same = variants.join(replaced, ["variant", "left_out"])
     other = variants.withColumn("want_whole", F.col("left_out") == 0).join(inserted, ["variant", "want_whole"])
     both = same.unionByName(other.drop("want_whole"))

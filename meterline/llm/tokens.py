@@ -21,10 +21,14 @@ SPACED_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 WORD_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 # Texts with these go to the library whole: control characters, white space beside the common
-# kinds, and what might be a special token.
-_RARE = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]|<\\|")
-# In byte-level vocabularies these tie the text's words together in other ways than one space.
-_UNEVEN = re.compile(r" [ \t-\r]|[\t-\r][ \t-\r]|[\t-\r] |^[ \t-\r]|[ \t-\r]$")
+# kinds, and what might begin a special token. Patterns that begin with one set of characters
+# are searched fast, alternatives are not.
+_RARE = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
+_SPECIAL = "<|"
+# In byte-level vocabularies white space ties the text's words together in other ways than one
+# space if it is doubled or at either end.
+_WHITE = frozenset(" \t\n\x0b\x0c\r")
+_DOUBLED = re.compile("[ \t-\r][ \t-\r]")
 
 #: Entries of each of a worker's two tables; at about 130 bytes they stay below 200 MB.
 CACHE_ENTRIES = 700_000
@@ -49,6 +53,10 @@ def _byte_letters() -> list[str]:
 _LETTERS = {b: x for b, x in enumerate(_byte_letters())}
 
 
+def _uneven(text: str) -> bool:
+    return text[0] in _WHITE or text[-1] in _WHITE or _DOUBLED.search(text) is not None
+
+
 class _Words(dict):
     """Ids by word; a word that is missing comes from the table before, or from ``encode``."""
 
@@ -100,7 +108,7 @@ class Encoder:
     def _text(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _RARE.search(text) or self.spaced and _UNEVEN.search(text):
+        if _RARE.search(text) or _SPECIAL in text or self.spaced and _uneven(text):
             return self._whole(text)
         if not self.spaced:
             return b"".join(map(self.known.__getitem__, text.split()))

@@ -496,6 +496,29 @@ def rebalance(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def rebalance_others(df: DataFrame, here: Column, *columns: str) -> DataFrame:
+    """``rebalance`` for the rows that are not ``here``; those that are stay in their tasks."""
+    others = df.where(~F.coalesce(here, F.lit(False)))
+    return df.where(here).unionByName(rebalance(others, *columns))
+
+
+def whole_files(df: DataFrame, month: str, sizes: Mapping[str, int], target_bytes: int) -> DataFrame:
+    """Cluster rows by month into as many tasks, and so files, as the month's bytes ask for.
+
+    ``sizes`` has the bytes by the name of the month's folder. A month of up to ``target_bytes``
+    is one task, however many bytes its rows take in a shuffle; a larger one is cut by a hash of
+    its rows.
+    """
+    parts = {m: math.ceil(size / target_bytes) for m, size in sizes.items() if size > target_bytes}
+    if not parts:
+        return df.repartition(F.col(month))
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    row = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, nested)])
+    count = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])
+    folder = F.coalesce(F.col(month), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return df.repartition(F.col(month), F.pmod(row, F.coalesce(F.try_element_at(count, folder), F.lit(1))))
+
+
 def ranged(df: DataFrame, month: str, order: Sequence[str], sizes: Mapping[str | None, int], target_bytes: int) -> DataFrame:
     """Cluster rows by month and, within months larger than a file, by ranges of ``order``.
 

@@ -2,8 +2,8 @@
 
 Each batch writes a folder of its own, so a month that many batches add to is many small files,
 and misdated rows leave a folder per batch in months long past. Folders of small files are
-grouped by month and rewritten as one batch, rebalanced: a small month becomes one file, a large
-one as many as its size asks for, each with a range of the columns that the table is ordered by,
+grouped by month and rewritten as one batch: a small month becomes one file, a large
+one as many as its size on disk asks for, each with a range of the columns that the table is ordered by,
 if it is. Folders whose files are large enough, and months with a single
 small file, are left as they are. The rewritten batch is swapped in when it is complete.
 """
@@ -74,13 +74,13 @@ def compact(spark: SparkSession, config: IngestConfig, target_bytes: int = TARGE
         else:
             found = store.read_silver(spark, lake, contract, version, old)
         staged = f"{lake.staged(table, version)}/{BATCH}={batch}"
+        sizes: dict[str, int] = {}
+        for r in rows:
+            sizes[r["month"]] = sizes.get(r["month"], 0) + r["bytes"]
         if table == "silver" and config.order:
-            sizes: dict[str, int] = {}
-            for r in rows:
-                sizes[r["month"]] = sizes.get(r["month"], 0) + r["bytes"]
             write_sorted(config, store.ranged(found, column, config.order, sizes, target_bytes), staged, [column])
         else:
-            store.write_by_month(store.rebalance(found, column), staged, [column])
+            store.write_by_month(store.whole_files(found, column, sizes, target_bytes), staged, [column])
         if table == "silver":
             store.write_months(spark, lake, contract, version, batch, staged=True)
         store.swap(spark, lake, old, [(staged, f"{root}/{BATCH}={batch}")])

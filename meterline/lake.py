@@ -47,6 +47,10 @@ FILE_PARTITION = "_file_month"
 REWRITE = 40
 #: Row groups of files whose rows are sorted; about eight to a file.
 ROW_GROUP_BYTES = 16 << 20
+#: Folders that a task writes to at the same time, without sorting its rows by them. They share
+#: the rows of one task, so what they buffer is bounded by these.
+OPEN_FILES = 100
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 @dataclass(frozen=True)
@@ -475,16 +479,26 @@ def write_by_month(
 ) -> None:
     """Write below ``path`` by partition; ``overwrite`` replaces everything there.
 
-    Rows of a file are sorted by ``order``. A partitioned write sorts each task's rows by the
-    partition columns anyway, and that one sort then takes in the others. Row groups are
-    smaller in such files, so that their minimum and maximum leave most of them unread.
+    A task keeps the files of up to ``OPEN_FILES`` folders open, so that its rows need not be
+    sorted by folder, which held all of them in memory or spilled them; only rows of further
+    folders are sorted.
+
+    Rows of a file are sorted by ``order``, in one sort with the partition columns. Row groups
+    are smaller in such files, so that their minimum and maximum leave most of them unread.
     """
     if order:
         df = df.sortWithinPartitions(*partitions, *order)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*partitions)
     if order:
-        writer = writer.option("parquet.block.size", row_group_bytes)
-    writer.partitionBy(*partitions).parquet(path)
+        writer.option("parquet.block.size", row_group_bytes).parquet(path)
+        return
+    conf = df.sparkSession.conf
+    before = conf.get(_OPEN_FILES, "0")
+    conf.set(_OPEN_FILES, str(OPEN_FILES))
+    try:
+        writer.parquet(path)
+    finally:
+        conf.set(_OPEN_FILES, before)
 
 
 def rebalance(df: DataFrame, *columns: str) -> DataFrame:

@@ -19,14 +19,11 @@ def hours(n: Column) -> Column:
     return F.make_interval(zero, zero, zero, zero, n.cast("int"), zero, zero)
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw trip per lineitem of a known customer and supplier, under the source names
-    and January types.
+def trip_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the given tables that ``raw_trips`` are made of, and their file's month:
+    one row per lineitem of a known customer and supplier.
 
-    Pickup is the order date plus some hours, dropoff the ship date; some rows lack a
-    passenger count or a dropoff, have a negative amount, or lie in the wrong month's
-    file. Location ids are the nations of customer and supplier. Customers are joined to the
-    orders, not to the lineitems.
+    Customers are joined to the orders, not to the lineitems.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -38,11 +35,32 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
 
-    part = F.col("l_partkey")
-    price = F.col("l_extendedprice")
     file_month = F.when(F.col("l_orderkey") % 50 == 0, F.lit("1999-01")).otherwise(
         year_month("o_orderdate")
     )
+    lines = ("orderkey", "partkey", "suppkey", "linenumber", "quantity", "extendedprice")
+    lines += ("discount", "tax", "returnflag", "shipdate")
+    return rows.select(
+        *[f"l_{c}" for c in lines], "o_orderdate", "c_nationkey", "s_nationkey", file_month.alias("file_month")
+    )
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw trip per lineitem of a known customer and supplier, under the source names
+    and January types."""
+    return as_raw_trips(trip_sources(spark, sf_dir))
+
+
+def as_raw_trips(rows: DataFrame) -> DataFrame:
+    """Raw trips of ``trip_sources``, row by row.
+
+    Pickup is the order date plus some hours, dropoff the ship date; some rows lack a
+    passenger count or a dropoff, have a negative amount, or lie in the wrong month's
+    file. Location ids are the nations of customer and supplier.
+    """
+    part = F.col("l_partkey")
+    price = F.col("l_extendedprice")
+    file_month = F.col("file_month")
     return rows.select(
         F.col("l_linenumber").cast("long").alias("VendorID"),
         (F.col("o_orderdate") + hours(part % 24)).alias("tpep_pickup_datetime"),

@@ -20,11 +20,12 @@ from meterline.plans.given import (
     LOCATIONS_SQL,
     RUNS_SQL,
     TRIPS_SQL,
+    as_raw_trips,
     customer_runs,
     mean_sql,
     nation_locations,
-    raw_trips,
     table,
+    trip_sources,
 )
 from meterline.plans.mart_queries import FLOWS_SELECT
 from meterline.plans.quality_queries import CANONICAL_SELECT, DROPPED_SQL, LINEAGE
@@ -264,17 +265,15 @@ def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_trips(spark: SparkSession, sf_dir: str, root: str, landing_dir: str) -> None:
     """Trips as monthly files of three generations of the source schema.
 
-    The joined rows are written once and split by generation from there. Each month is
+    The joined rows, as they are in the given tables, are clustered by month and written once;
+    each generation's trips are made from there without a further shuffle. Each month is
     spread over as many files as its size asks for.
     """
-    file_month = F.regexp_extract("_source_file_path", TRIP_FILE_PATTERN, 1)
-    generation = F.when(file_month < "1997-01", 0).when(file_month < "1999-01", 1).otherwise(2)
-    staged = raw_trips(spark, sf_dir).select(
-        *[c.source for c in TRIPS.columns],
-        file_month.alias("file_month"),
-        generation.alias("generation"),
-    )
-    store.write_by_month(staged, f"{root}/staged", ["generation"])
+    month = F.col("file_month")
+    generation = F.when(month < "1997-01", 0).when(month < "1999-01", 1).otherwise(2)
+    sources = trip_sources(spark, sf_dir)
+    staged = store.rebalance(sources, "file_month").withColumn("generation", generation)
+    store.write_by_month(staged, f"{root}/staged", ["generation", "file_month"])
 
     kept = [c.source for c in TRIPS.columns if c.source != "airport_fee"]
     narrowed = {
@@ -291,23 +290,31 @@ def land_trips(spark: SparkSession, sf_dir: str, root: str, landing_dir: str) ->
         later,
         [*later, F.lit(0.75).alias("cbd_congestion_fee")],
     ]
-    month = F.col("file_month")
-    rows = spark.read.parquet(f"{root}/staged")
+    file = F.regexp_extract("_source_file_path", r"[^/]+$", 0)
+    rows = spark.read.schema(staged.schema).parquet(f"{root}/staged")
     for i, columns in enumerate(generations):
-        files = rows.where(F.col("generation") == i).select(
+        trips = as_raw_trips(rows.where(F.col("generation") == i))
+        files = trips.select(
             *columns,
-            F.substring(month, 1, 4).alias("year"),
-            F.substring(month, 6, 2).alias("month"),
-            F.concat(F.lit("yellow_tripdata_"), month, F.lit(".parquet")).alias("file"),
-        )
-        store.write_by_month(
-            store.rebalance(files, "file"), landing_dir, ["year", "month", "file"], "append"
+            F.regexp_extract(file, r"_(\d{4})-", 1).alias("year"),
+            F.regexp_extract(file, r"-(\d{2})\.", 1).alias("month"),
+            file.alias("file"),
         )
+        store.write_by_month(files, landing_dir, ["year", "month", "file"], "append")
+
+
+def _land_trips(spark: SparkSession, sf_dir: str, root: str) -> Ingested:
+    land_trips(spark, sf_dir, root, f"{root}/landing")
+    return Ingested(IngestConfig(f"{root}/landing", Lake(f"{root}/lake"), TRIPS), f"{root}/landing")
+
+
+def landed_trips(spark: SparkSession, sf_dir: str) -> Ingested:
+    """The landing files of the trips, for a lake that may not hold them yet."""
+    return _once(spark, sf_dir, "landed", TRIP_TABLES, _land_trips)
 
 
 def _ingest_trips(spark: SparkSession, sf_dir: str, root: str) -> Ingested:
-    landing = f"{root}/landing"
-    land_trips(spark, sf_dir, root, landing)
+    landing = landed_trips(spark, sf_dir).landing_dir
     config = IngestConfig(landing, Lake(f"{root}/lake"), TRIPS)
     ingest(spark, config, "trips")
     return Ingested(config, landing)
@@ -501,7 +508,7 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .distinct()
     )
-    files = landed_files(spark, ingested_trips(spark, sf_dir).landing_dir)
+    files = landed_files(spark, landed_trips(spark, sf_dir).landing_dir)
     return inventory(files, asked).select(
         "year_month", (F.col("bytes_in_volume") > 0).alias("present")
     )

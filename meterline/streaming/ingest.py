@@ -44,8 +44,8 @@ MAX_FILE_AGE = "36500d"
 class IngestConfig:
     """``max_files_per_batch`` bounds what one micro-batch plans on the driver.
 
-    Canonical rows are rebalanced by month before they are written, which keeps misdated
-    rows from leaving tails of tiny files. ``clustered_files`` leaves that shuffle out, for
+    Canonical rows that are not of their file's month are rebalanced by month before they are
+    written, which keeps misdated rows from leaving tails of tiny files. ``clustered_files`` leaves that shuffle out, for
     landing files known to hold the rows of few months each.
 
     A file without a required column is reported as an event; ``refuse_missing`` makes it
@@ -197,7 +197,7 @@ def write_silver(
     bronze = store.read_bronze(spark, lake, bronze_version, batch_id, staged)
     rows = conform(bronze, contract, track_cast_loss=True, keep=(BATCH,))
     if not config.clustered_files:
-        rows = store.rebalance(rows, BATCH, contract.event_month)
+        rows = _clustered(config, rows)
     rules = config.rules + CAST_LOSS_RULE
     seen = Observation()
     keys = [contract.event_month] if batch_id is not None else [BATCH, contract.event_month]
@@ -224,6 +224,20 @@ def write_silver(
     )
 
 
+def _clustered(config: IngestConfig, rows: DataFrame) -> DataFrame:
+    """Canonical rows so that a task holds few months.
+
+    Raw files hold one file month each, so rows of their file's month are clustered already, and
+    only others are shuffled. With ``order`` all are, as tasks of a file's size would spill when
+    they are sorted.
+    """
+    keys = (BATCH, config.contract.event_month)
+    if config.order:
+        return store.rebalance(rows, *keys)
+    here = F.col(config.contract.event_month) == F.col(config.contract.file_month)
+    return store.rebalance_others(rows, here, *keys)
+
+
 def write_sorted(
     config: IngestConfig, rows: DataFrame, path: str, keys: list[str], mode: str = "overwrite"
 ) -> None:

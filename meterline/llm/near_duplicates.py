@@ -10,7 +10,8 @@ whose sets have a Jaccard similarity of ``similarity`` percent or more (``SIMILA
    the member with the largest buckets overall (the copies' common original, where there is
    one), and connected components are built from the confirmed links.
 4. Buckets whose members are then still in several components are taken up again. Up to
-   ``SMALL`` members are compared directly. In a larger group all members are described by how
+   ``SMALL`` members are compared directly, by sketches within the join, so that only pairs that
+   pass leave it and a member costs at most ``SMALL`` / 2 estimates. In a larger group all members are described by how
    they differ from the hub; an exact prefix filter on these differences (see ``_narrower``)
    gives smaller groups, which get hubs of their own, and so on until no group is mixed. Texts
    of one template that differ in passages of their own never meet again, and no link between
@@ -49,7 +50,10 @@ SIMILARITY = 85  # percent
 BANDS, ROWS = 40, 5
 SKETCH_BITS = 512
 #: Members of a group that are compared directly.
-SMALL = 16
+SMALL = 256
+
+#: Keys of texts that are sent to all tasks; more are joined by a shuffle of the texts.
+SENT = 4_000_000
 
 #: What tells documents apart: doc_id (0 if it is null), whether it is null, two text hashes.
 DOC = ["doc", "no_id", "k0", "k1"]
@@ -157,13 +161,24 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -
 
     ``sets`` has node, n_shingles, sketch and shingles.
     """
-    light = sets.select("node", F.col("n_shingles").alias("n"), "sketch")
-    of = lambda x: light.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
-    close = pairs.join(of("a"), "a").join(of("b"), "b").filter(
-        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity)
-        & (estimate(F.col("s_a"), F.col("s_b")) >= sketch_least(similarity))
-    )
-    close = materialised(close.select("a", "b", "n_a", "n_b"), "close")
+    close = pairs.join(_light(sets, "a"), "a").join(_light(sets, "b"), "b").filter(_close(similarity))
+    return _shared(close.select("a", "b", "n_a", "n_b"), sets, similarity)
+
+
+def _light(sets: DataFrame, x: str) -> DataFrame:
+    """What sketches are compared by, of node ``x``."""
+    return sets.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+
+
+def _close(similarity: int) -> Column:
+    """Whether a and b may be linked, by sizes and sketches."""
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity
+    return sizes & (estimate(F.col("s_a"), F.col("s_b")) >= sketch_least(similarity))
+
+
+def _shared(close: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The pairs of ``close`` (a, b, n_a, n_b) that are linked, by their full sets."""
+    close = materialised(close, "close")
     full = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"x_{x}"))
     both = close.join(full("a"), "a").join(full("b"), "b")
     shared = F.size(F.array_intersect("x_a", "x_b"))
@@ -177,25 +192,44 @@ def link_classes(classes: DataFrame, texts: DataFrame, similarity: int = SIMILAR
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = materialised(groups.join(materialised(sizes, "groups"), "group"), "members")
     sets = materialised(_sets(classes, texts, members.select("node").distinct()), "sets")
-    links = None
+    links = labels = None
     while True:
         hubs = _hubs(members)
         with_hub = members.join(hubs, "group").filter("node <> hub")
         pairs = with_hub.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
         found = confirmed(materialised(pairs, "pairs"), sets, similarity)
-        links = found if links is None else links.unionByName(found)
-        labels = materialised(components(links), "labels")
+        links, labels = _grown(links, labels, found)
         mixed = _mixed(members.drop("label"), labels)
         if mixed.isEmpty():
             return labels
-        small = mixed.filter(F.col("n") <= SMALL)
-        other = small.select("group", F.col("node").alias("b"), F.col("label").alias("other"))
-        met = small.join(other, "group").filter((F.col("label") != F.col("other")) & (F.col("node") < F.col("b")))
-        met = materialised(met.select(F.col("node").alias("a"), "b").distinct(), "met")
-        links = links.unionByName(confirmed(met, sets, similarity))
-        members = _narrower(mixed.filter(F.col("n") > SMALL), hubs, sets, similarity)
+        found = _shared(_met(mixed.filter(F.col("n") <= SMALL), sets, similarity), sets, similarity)
+        links, labels = _grown(links, labels, found)
+        large = mixed.filter(F.col("n") > SMALL)
+        if large.isEmpty():
+            return labels
+        members = _narrower(large, hubs, sets, similarity)
         if members.isEmpty():
-            return components(links)
+            return labels
+
+
+def _grown(links: DataFrame | None, labels: DataFrame | None, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links with those ``found``, and the components; these stay if nothing was found."""
+    if links is None:
+        return found, materialised(components(found), "labels")
+    if found.isEmpty():
+        return links, labels
+    links = links.unionByName(found)
+    return links, materialised(components(links), "labels")
+
+
+def _met(small: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """(a, b, n_a, n_b) of members of one group and different components that may be linked."""
+    one = small.select("group", F.col("node").alias("a"), F.col("label").alias("l_a")).join(_light(sets, "a"), "a")
+    one = materialised(one, "small")
+    two = one.select("group", *[F.col(f"{x}a").alias(f"{x}b") for x in ("", "l_", "n_", "s_")])
+    apart = (F.col("l_a") != F.col("l_b")) & (F.col("a") < F.col("b"))
+    met = one.join(two, (one["group"] == two["group"]) & apart & _close(similarity))
+    return met.select("a", "b", "n_a", "n_b").distinct()
 
 
 def _hubs(members: DataFrame) -> DataFrame:
@@ -266,6 +300,8 @@ def _narrower(members: DataFrame, hubs: DataFrame, sets: DataFrame, similarity:
 def _sets(classes: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, n_shingles, shingles and sketch of ``nodes``, from one document of each."""
     wanted = materialised(classes.select("node", *DOC, "sketch").join(nodes, "node", "left_semi"), "wanted")
+    if wanted.count() <= SENT:  # few keys leave most texts out of the shuffle below
+        texts = texts.join(F.broadcast(wanted.select("k0").distinct()), "k0", "left_semi")
     found = texts.join(wanted.select(*DOC), DOC, "left_semi")
     sets = find_sets(found, ", ".join(DOC), whole=True).withColumn("node", _node())
     once = sets.select("node", "n_shingles", "shingles").dropDuplicates(["node"])

@@ -167,3 +167,17 @@ def test_groups_within_groups(make_docs, monkeypatch, small):
                 w[j] = f"x{rng.integers(30)}"
             rows.append((len(rows), " ".join(w)))
     assert got(N.near_duplicates(make_docs(rows))) == brute(rows)
+
+
+def test_groups_of_up_to_small_are_settled_in_one_round(make_docs, monkeypatch):
+    """Texts of one template, too few for a large group, are not narrowed round by round."""
+    rows = templated(100, np.random.default_rng(5))
+    monkeypatch.setattr(N, "_narrower", lambda *a: pytest.fail("narrowed"))
+    found = got(N.near_duplicates(make_docs(rows)))
+    assert found == brute(rows)
+
+
+def test_many_keys_are_joined_by_a_shuffle(spark, make_docs, monkeypatch):
+    rows = templated(40, np.random.default_rng(6))
+    monkeypatch.setattr(N, "SENT", 3)
+    assert got(N.near_duplicates(make_docs(rows))) == brute(rows)

@@ -12,22 +12,22 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label): each node of ``links`` (a, b) with the smallest node that it can reach.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): every step points a
-    node's larger, then its smaller neighbours at the smallest one, so stars grow until nothing
-    changes. Each step is an aggregation by node and a join back, cut by a written table.
+    node's larger, then its smaller neighbours at the smallest one, so stars grow until each
+    node has one edge up or only edges down. Each step is an aggregation by node and a join back,
+    cut by a written table.
     """
     edges = materialised(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(),
         "links",
     )
-    state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         edges = _star(both, F.col("v") > F.col("u"))
         edges = _star(edges, F.lit(True))
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state:
+        ends = edges.select("u", "v").unpivot([], ["u", "v"], "end", "node")
+        uses = ends.groupBy("node").agg(F.count_if(F.col("end") == "u").alias("n"), F.max("end").alias("last"))
+        if uses.filter("n > 1 or (n = 1 and last = 'v')").isEmpty():
             break
-        state = now
     # Every edge now points at its component's smallest node.
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
@@ -37,7 +37,6 @@ def components(links: DataFrame) -> DataFrame:
 def _star(edges: DataFrame, kept) -> DataFrame:
     """Points the ``kept`` neighbours v of u, and u, at the smallest of u and its neighbours."""
     least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    least = materialised(least, "least")
     out = edges.join(least, "u")
     moved = out.filter(kept).select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.select("u", F.col("m").alias("v"))

@@ -9,16 +9,18 @@ whose sets have a Jaccard similarity of ``similarity`` percent or more (``SIMILA
 3. Pairs are not formed within buckets. In each bucket all members are compared with one hub,
    the member with the largest buckets overall (the copies' common original, where there is
    one), and connected components are built from the confirmed links.
-4. Buckets whose members are then still in several components are taken up again. Up to
-   ``SMALL`` members are compared directly, by sketches within the join, so that only pairs that
-   pass leave it and a member costs at most ``SMALL`` / 2 estimates. In a larger group all members are described by how
-   they differ from the hub; an exact prefix filter on these differences (see ``_narrower``)
-   gives smaller groups, which get hubs of their own, and so on until no group is mixed. Texts
-   of one template that differ in passages of their own never meet again, and no link between
-   components is missed.
-
-Each comparison passes an odd sketch first: the MinHash values are folded into a bitmap of
-parities, and the number of ones in the XOR of two bitmaps estimates high similarities
+4. Buckets whose members are then still in several components are taken up again. In groups of
+   more than ``SMALL`` members all are described by how they differ from the hub; an exact
+   prefix filter on these differences (see ``_narrower``) gives smaller groups. Large ones get
+   hubs of their own, and so on until none is mixed. Groups of up to ``SMALL`` wait for the end and
+   are then compared directly, by sketches within one join, so that only pairs that pass leave
+   it and a member costs at most ``SMALL`` / 2 estimates in a group. Texts of one template that differ in
+   passages of their own never meet again, and no link between components is missed.
+
+Each comparison passes two bitmaps first. One holds the parities of the shingles: the XOR of two
+has no more ones than shingles that differ, so pairs with more ones than linked sets of their
+sizes may differ in are dropped without any loss. The other is an odd sketch: the MinHash values
+are folded into parities, and the number of ones in the XOR estimates high similarities
 precisely. Pairs estimated below the threshold less six deviations of the samples are dropped;
 with the sketch's own variance that loses a link at the threshold with probability 1.1e-6. The
 others are confirmed on the full sets.
@@ -32,6 +34,7 @@ null only if all are null; ``one_of_each`` keeps one of repeated rows; an empty
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +52,12 @@ WORDS = 5
 SIMILARITY = 85  # percent
 BANDS, ROWS = 40, 5
 SKETCH_BITS = 512
+#: Bits of the parities of a set.
+PARITY_BITS = 1024
 #: Members of a group that are compared directly.
 SMALL = 256
 
-#: Keys of texts that are sent to all tasks; more are joined by a shuffle of the texts.
+#: Keys of texts or sets that are sent to all tasks; more are joined by a shuffle of all of these.
 SENT = 4_000_000
 
 #: What tells documents apart: doc_id (0 if it is null), whether it is null, two text hashes.
@@ -103,6 +108,13 @@ def odd_sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Parities of how many shingles hash to each bit."""
+    bits = (shingles % _U(PARITY_BITS)).astype(np.int64)
+    parity = np.bincount(bits, minlength=PARITY_BITS) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
 def sketch_least(similarity: int) -> float:
     """The least estimate that goes on: six deviations below ``similarity`` percent.
 
@@ -114,11 +126,12 @@ def sketch_least(similarity: int) -> float:
 
 def find_sets(docs: DataFrame, keys: str, whole: bool) -> DataFrame:
     """For rows of ``keys`` (columns of whole numbers) and text: n_shingles and the class (two
-    hashes of the set); with ``whole`` the set itself, else band keys and sketch."""
+    hashes of the set); with ``whole`` the set itself, else band keys, sketch and parities."""
     names = keys.split(", ")
     schema = pa.schema([(k, pa.int64()) for k in names] + [("n_shingles", pa.int64()), ("c0", pa.int64()), ("c1", pa.int64())])
     lists = pa.list_(pa.int64())
-    schema = schema.append(pa.field("shingles", lists)) if whole else schema.append(pa.field("bands", lists)).append(pa.field("sketch", lists))
+    for name in ["shingles"] if whole else ["bands", "sketch", "parities"]:
+        schema = schema.append(pa.field(name, lists))
 
     def rows_of(text: str | None) -> tuple:
         s = shingle_set(text or "")
@@ -127,9 +140,9 @@ def find_sets(docs: DataFrame, keys: str, whole: bool) -> DataFrame:
         if whole:
             return *head, s.view(np.int64)
         if not len(s):
-            return *head, None, None
+            return *head, None, None, None
         values = signature(s)
-        return *head, band_keys(values).view(np.int64), odd_sketch(values)
+        return *head, band_keys(values).view(np.int64), odd_sketch(values), parities(s)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +153,7 @@ def find_sets(docs: DataFrame, keys: str, whole: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     kinds = ", ".join(f"{k} long" for k in names) + ", n_shingles long, c0 long, c1 long, "
-    kinds += "shingles array<long>" if whole else "bands array<long>, sketch array<long>"
+    kinds += "shingles array<long>" if whole else "bands array<long>, sketch array<long>, parities array<long>"
     return docs.select(*names, "text").mapInArrow(emit, kinds)
 
 
@@ -149,41 +162,55 @@ def _node(c0: str = "c0", c1: str = "c1") -> Column:
     return F.concat(F.lpad(F.hex(c0), 16, "0"), F.lpad(F.hex(c1), 16, "0"))
 
 
+def _ones(a: Column, b: Column, bits: int) -> Column:
+    """How many bits of two bitmaps differ."""
+    return sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(bits // 64)), F.lit(0))
+
+
 def estimate(a: Column, b: Column) -> Column:
     """Similarity by two odd sketches: the share of equal MinHash values."""
-    ones = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
-    share = F.least(ones / F.lit(SKETCH_BITS), F.lit(0.4999))
+    share = F.least(_ones(a, b, SKETCH_BITS) / F.lit(SKETCH_BITS), F.lit(0.4999))
     return 1 + F.log(1 - 2 * share) * SKETCH_BITS / (4 * BANDS * ROWS)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """The ``pairs`` (a, b) of nodes that are linked, by their sketches and then full sets.
+    """The ``pairs`` (a, b) of nodes that are linked, by their sketches and then full sets; pairs
+    with n_a and n_b have been told by their sketches.
 
-    ``sets`` has node, n_shingles, sketch and shingles.
+    ``sets`` has node, n_shingles, sketch, parities and shingles.
     """
-    close = pairs.join(_light(sets, "a"), "a").join(_light(sets, "b"), "b").filter(_close(similarity))
-    return _shared(close.select("a", "b", "n_a", "n_b"), sets, similarity)
+    if "n_a" not in pairs.columns:
+        pairs = pairs.join(_light(sets, "a"), "a").join(_light(sets, "b"), "b").filter(_close(similarity))
+        pairs = materialised(pairs.select("a", "b", "n_a", "n_b"), "close")
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(F.xxhash64("node").alias("end"))
+    ends = materialised(ends.distinct(), "ends")
+    if ends.count() <= SENT:  # leaves the sets of all others out of the shuffles below
+        sets = sets.join(F.broadcast(ends), F.xxhash64("node") == F.col("end"), "left_semi")
+    full = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"x_{x}"))
+    both = pairs.join(full("a"), "a").join(full("b"), "b")
+    shared = F.size(F.array_intersect("x_a", "x_b"))
+    linked = shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * similarity
+    return materialised(both.filter(linked).select("a", "b"), "confirmed")
 
 
 def _light(sets: DataFrame, x: str) -> DataFrame:
     """What sketches are compared by, of node ``x``."""
-    return sets.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+    return sets.select(
+        F.col("node").alias(x),
+        F.col("n_shingles").alias(f"n_{x}"),
+        F.col("sketch").alias(f"s_{x}"),
+        F.col("parities").alias(f"p_{x}"),
+    )
 
 
 def _close(similarity: int) -> Column:
-    """Whether a and b may be linked, by sizes and sketches."""
+    """Whether a and b may be linked, by sizes, parities and sketches."""
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity
-    return sizes & (estimate(F.col("s_a"), F.col("s_b")) >= sketch_least(similarity))
-
-
-def _shared(close: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The pairs of ``close`` (a, b, n_a, n_b) that are linked, by their full sets."""
-    close = materialised(close, "close")
-    full = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"x_{x}"))
-    both = close.join(full("a"), "a").join(full("b"), "b")
-    shared = F.size(F.array_intersect("x_a", "x_b"))
-    linked = shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * similarity
-    return materialised(both.filter(linked).select("a", "b"), "confirmed")
+    differ = _ones(F.col("p_a"), F.col("p_b"), PARITY_BITS)
+    few = differ * (100 + similarity) <= (F.col("n_a") + F.col("n_b")) * (100 - similarity)
+    return sizes & few & (estimate(F.col("s_a"), F.col("s_b")) >= sketch_least(similarity))
 
 
 def link_classes(classes: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -193,23 +220,28 @@ def link_classes(classes: DataFrame, texts: DataFrame, similarity: int = SIMILAR
     members = materialised(groups.join(materialised(sizes, "groups"), "group"), "members")
     sets = materialised(_sets(classes, texts, members.select("node").distinct()), "sets")
     links = labels = None
-    while True:
+    waiting = []
+    while not members.isEmpty():
         hubs = _hubs(members)
         with_hub = members.join(hubs, "group").filter("node <> hub")
         pairs = with_hub.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
         found = confirmed(materialised(pairs, "pairs"), sets, similarity)
         links, labels = _grown(links, labels, found)
-        mixed = _mixed(members.drop("label"), labels)
-        if mixed.isEmpty():
-            return labels
-        found = _shared(_met(mixed.filter(F.col("n") <= SMALL), sets, similarity), sets, similarity)
-        links, labels = _grown(links, labels, found)
+        mixed = _mixed(members, labels)
+        waiting.append(mixed.filter(F.col("n") <= SMALL).select("group", "node"))
         large = mixed.filter(F.col("n") > SMALL)
         if large.isEmpty():
-            return labels
-        members = _narrower(large, hubs, sets, similarity)
-        if members.isEmpty():
-            return labels
+            break
+        narrow = _narrower(large, hubs, sets, similarity)
+        waiting.append(narrow.filter(F.col("n") <= SMALL).select("group", "node"))
+        members = narrow.filter(F.col("n") > SMALL)
+    if labels is None:
+        return classes.select("node", F.col("node").alias("label")).limit(0)
+    small = reduce(DataFrame.unionByName, waiting)
+    if small.isEmpty():
+        return labels
+    found = confirmed(_met(small, labels, sets, similarity), sets, similarity)
+    return _grown(links, labels, found)[1]
 
 
 def _grown(links: DataFrame | None, labels: DataFrame | None, found: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -222,20 +254,21 @@ def _grown(links: DataFrame | None, labels: DataFrame | None, found: DataFrame)
     return links, materialised(components(links), "labels")
 
 
-def _met(small: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def _met(small: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """(a, b, n_a, n_b) of members of one group and different components that may be linked."""
-    one = small.select("group", F.col("node").alias("a"), F.col("label").alias("l_a")).join(_light(sets, "a"), "a")
+    one = small.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    one = one.select("group", F.col("node").alias("a"), F.col("label").alias("l_a")).join(_light(sets, "a"), "a")
     one = materialised(one, "small")
-    two = one.select("group", *[F.col(f"{x}a").alias(f"{x}b") for x in ("", "l_", "n_", "s_")])
+    two = one.select("group", *[F.col(f"{x}a").alias(f"{x}b") for x in ("", "l_", "n_", "s_", "p_")])
     apart = (F.col("l_a") != F.col("l_b")) & (F.col("a") < F.col("b"))
     met = one.join(two, (one["group"] == two["group"]) & apart & _close(similarity))
-    return met.select("a", "b", "n_a", "n_b").distinct()
+    return materialised(met.select("a", "b", "n_a", "n_b").distinct(), "met")
 
 
 def _hubs(members: DataFrame) -> DataFrame:
     """(group, hub): the member of each group with the largest groups overall."""
     weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    weighted = members.select("group", "node").join(materialised(weight, "weights"), "node")
+    weighted = members.select("group", "node").join(weight, "node")
     hub = weighted.groupBy("group").agg(F.max(F.struct("weight", "node")).alias("hub"))
     return materialised(hub.select("group", F.col("hub.node").alias("hub")), "hubs")
 
@@ -248,7 +281,7 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     same = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"x{k}") for k in (0, 1)]
     seen = marked.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"), *same).filter("low < high")
     once = seen.groupBy("x0", "x1").agg(F.min("group").alias("group"))
-    return materialised(marked.join(materialised(once.select("group"), "mixed"), "group"), "mixed")
+    return materialised(marked.join(once.select("group"), "group"), "mixed")
 
 
 def _narrower(members: DataFrame, hubs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -267,7 +300,7 @@ def _narrower(members: DataFrame, hubs: DataFrame, sets: DataFrame, similarity:
     rows = members.join(hubs, "group").select("hub", "node", "label").distinct()
     rows = materialised(rows, "rows")
     of_hub = rows.filter("node = hub").select("hub", F.col("label").alias("hub_label"))
-    rows = rows.filter("node <> hub").join(materialised(of_hub, "hub_labels"), "hub")
+    rows = rows.filter("node <> hub").join(of_hub, "hub")
     rows = rows.withColumn("far", F.col("label") != F.col("hub_label")).drop("hub_label")
     x = sets.select("node", "n_shingles", "shingles")
     y = x.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_shingles"))
@@ -279,33 +312,33 @@ def _narrower(members: DataFrame, hubs: DataFrame, sets: DataFrame, similarity:
     least = rows.groupBy("hub").agg(F.min("w").alias("any"), F.min(F.when(F.col("far"), F.col("w"))).alias("outer"))
     meets = (F.col("w") + F.when(F.col("far"), F.col("any")).otherwise(F.col("outer"))) / 2
     shared = F.greatest(F.lit(1), F.ceil(meets - 1e-6))
-    first = rows.drop("delta").join(materialised(least.filter("outer is not null"), "least"), "hub")
+    first = rows.drop("delta").join(least.filter("outer is not null"), "hub")
     first = first.select("hub", "node", "label", "size", (F.col("size") - shared + 1).alias("first")).filter("first > 0")
     spread = rows.select("hub", "node", F.explode("delta").alias("s"))
     often = spread.groupBy("hub", "s").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    held = materialised(spread.join(materialised(often, "often"), ["hub", "s"]), "held")
+    held = materialised(spread.join(often, ["hub", "s"]), "held")
     # Shingles that no other delta holds come first and need not be listed.
     alone = held.groupBy("hub", "node").agg(F.count(F.lit(1)).alias("listed"))
-    first = first.join(materialised(alone, "alone"), ["hub", "node"])
+    first = first.join(alone, ["hub", "node"])
     first = first.select("hub", "node", "label", (F.col("first") - F.col("size") + F.col("listed")).alias("left"))
-    ranked = held.join(materialised(first.filter("left > 0"), "first"), ["hub", "node"])
+    ranked = held.join(first.filter("left > 0"), ["hub", "node"])
     place = F.row_number().over(Window.partitionBy("hub", "node").orderBy("often", "s"))
     named = ranked.withColumn("place", place).filter("place <= left")
     named = materialised(named.select(F.xxhash64("hub", "s").alias("group"), "node", "label").distinct(), "named")
     sizes = named.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-    sizes = materialised(sizes.filter("low < high").select("group", "n"), "groups")
+    sizes = sizes.filter("low < high").select("group", "n")
     return materialised(named.drop("label").join(sizes, "group"), "members")
 
 
 def _sets(classes: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, n_shingles, shingles and sketch of ``nodes``, from one document of each."""
-    wanted = materialised(classes.select("node", *DOC, "sketch").join(nodes, "node", "left_semi"), "wanted")
+    """node, n_shingles, shingles, sketch and parities of ``nodes``, from one document of each."""
+    wanted = materialised(classes.select("node", *DOC, "sketch", "parities").join(nodes, "node", "left_semi"), "wanted")
     if wanted.count() <= SENT:  # few keys leave most texts out of the shuffle below
         texts = texts.join(F.broadcast(wanted.select("k0").distinct()), "k0", "left_semi")
     found = texts.join(wanted.select(*DOC), DOC, "left_semi")
     sets = find_sets(found, ", ".join(DOC), whole=True).withColumn("node", _node())
     once = sets.select("node", "n_shingles", "shingles").dropDuplicates(["node"])
-    return once.join(wanted.select("node", "sketch"), "node")
+    return once.join(wanted.select("node", "sketch", "parities"), "node")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -329,7 +362,7 @@ def grouped(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     classes = (
         found.filter("n_shingles > 0")
         .groupBy("node")
-        .agg(F.min(F.struct(*DOC, "bands", "sketch")).alias("one"))
+        .agg(F.min(F.struct(*DOC, "bands", "sketch", "parities")).alias("one"))
         .select("node", "one.*")
     )
     classes = materialised(classes, "classes")

@@ -181,3 +181,24 @@ def test_many_keys_are_joined_by_a_shuffle(spark, make_docs, monkeypatch):
     rows = templated(40, np.random.default_rng(6))
     monkeypatch.setattr(N, "SENT", 3)
     assert got(N.near_duplicates(make_docs(rows))) == brute(rows)
+
+
+def test_parities_drop_near_misses_and_no_link():
+    rng = np.random.default_rng(11)
+    for n, near, kept in ((300, 0.86, True), (300, 0.78, False), (2000, 0.86, True), (20, 0.86, True)):
+        own = round(n * (1 - near) / (1 + near))
+        both = rng.integers(0, 1 << 62, n + own, dtype=np.uint64)
+        x, y = (N.parities(s).view(np.uint64) for s in (both[own:], both[: n]))
+        ones = sum(int(v).bit_count() for v in x ^ y)
+        assert ones <= 2 * own
+        assert (ones * 185 <= 2 * n * 15) == kept, (n, near)
+
+
+def test_a_star_takes_one_round_of_steps(spark, monkeypatch):
+    from meterline.llm import components as C
+
+    written, kept = [], C.materialised
+    monkeypatch.setattr(C, "materialised", lambda df, label: written.append(label) or kept(df, label))
+    links = spark.createDataFrame([("a", f"b{k:02d}") for k in range(50)], "a string, b string")
+    assert {r.label for r in components(links).collect()} == {"a"}
+    assert len(written) <= 3, written

@@ -4,7 +4,7 @@ A word goes if a window of ``WINDOW`` words that covers it also starts earlier:
 of smaller doc_id, or further ahead in the same one.
 
 The reference is the whole corpus, cut by content into *blocks*: all windows that share their
-smallest seed of ``SEED`` words, with the words they cover (``windows.runs_of``). The index
+smallest seed of ``SEED`` words, with the words they cover (``windows.runs_of_many``). The index
 holds each distinct block once, where it comes first. Documents are looked up in it; no greedy parse is made:
 
 1. Blocks whose seed occurs nowhere else match nothing.
@@ -27,7 +27,6 @@ segments; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,22 +39,20 @@ from meterline import session
 from meterline.llm.oracles import OP2_SQL
 from meterline.llm.registry import query, table
 from meterline.llm.repeats import Rows, pack_place, unpack_place
-from meterline.llm.windows import Names, covered, runs_of, segments
+from meterline.llm.windows import SEGMENT, Names, covered, runs_of_many, segments
 
 WINDOW, SEED = 20, 5
+#: Words of neighbouring texts that are named together, as numpy is slow on short arrays.
+TOGETHER = 1 << 16
 #: Null ids come first.
 NO_ID = -(1 << 63)
 
-_WORD = re.compile("[^\x20\x09-\x0d]+")
+def words_of(text: str) -> list[bytes]:
+    return text.encode().split()  # bytes are split at \x20 and \x09 to \x0d, and nowhere else
 
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(text)
-
-
-def symbols_of(words: list[str]) -> np.ndarray:
-    name = xxhash.xxh3_64_intdigest
-    return np.fromiter((name(w) for w in words), np.uint64, len(words))
+def symbols_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -66,19 +63,37 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def together(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Symbols of neighbouring texts, ``TOGETHER`` or more at a time, as (rows, offsets, parts);
+    a long text is cut into overlapping parts, such that each window lies in one."""
+    rows, offsets, parts, size = [], [], [], 0
+    for row, text in enumerate(texts):
+        symbols = symbols_of(words_of(text.as_py()))
+        for a, b in segments(len(symbols), WINDOW):
+            rows.append(row)
+            offsets.append(a)
+            parts.append(symbols[a:b])
+            size += b - a
+            if size >= TOGETHER:
+                yield np.array(rows), np.array(offsets), parts
+                rows, offsets, parts, size = [], [], [], 0
+    if parts:
+        yield np.array(rows), np.array(offsets), parts
+
+
 def find_blocks(texts: DataFrame) -> DataFrame:
     """A row per block: seed, block (a name for its content), doc, mark, place."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = Rows(["seed", "block", "doc", "mark", "place"])
         for batch in batches:
-            for doc, mark, text in zip(*(batch.column(k) for k in range(3)), strict=True):
-                symbols = symbols_of(words_of(text.as_py()))
-                for a, b in segments(len(symbols), WINDOW):
-                    r = runs_of(Names(symbols[a:b]), WINDOW, SEED)
-                    if r:
-                        place = pack_place(r.start + a, r.count, r.anchor)
-                        rows.add(len(place), r.seed, r.block, doc.as_py(), mark.as_py(), place)
+            doc, mark = (batch.column(k).to_numpy() for k in range(2))
+            for row, offset, parts in together(batch.column(2)):
+                found = runs_of_many(parts, WINDOW, SEED)
+                if found:
+                    r, part = found
+                    place = pack_place(r.start + offset[part], r.count, r.anchor)
+                    rows.add(len(place), r.seed, r.block, doc[row[part]], mark[row[part]], place)
                 yield from rows.take()
         yield from rows.take(1)
 
@@ -92,24 +107,37 @@ def find_windows(texts: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = Rows(["seed", "name", "doc", "mark", "start"])
         for batch in batches:
-            for doc, mark, text, blocks in zip(*(batch.column(k) for k in range(4)), strict=True):
-                symbols = symbols_of(words_of(text.as_py()))
-                listed = blocks.as_py()
-                seed = np.array([x["seed"] for x in listed], np.int64)
-                first, n, _ = unpack_place(np.array([x["place"] for x in listed], np.int64))
+            doc, mark = (batch.column(k).to_numpy() for k in range(2))
+            of_row, (seeds, places) = listed(batch.column(3), "seed", "place")
+            first_block = np.searchsorted(of_row, np.arange(len(batch) + 1))
+            for row, offset, parts in together(batch.column(2)):
+                some = slice(first_block[row[0]], first_block[row[-1] + 1])
+                first, n, _ = unpack_place(places[some])
                 start = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                seed = np.repeat(seed, n)
-                for a, b in segments(len(symbols), WINDOW):
-                    here = np.flatnonzero((start >= a) & (start < a + max(1, b - a - WINDOW + 1)))
-                    if len(here):
-                        name = Names(symbols[a:b]).of(WINDOW)[start[here] - a]
-                        rows.add(len(here), seed[here], name, doc.as_py(), mark.as_py(), start[here])
+                of = np.repeat(of_row[some], n)
+                # A window lies in its row's part that starts at the multiple of SEGMENT before it.
+                known, wanted = row << 40 | offset, of << 40 | start // SEGMENT * SEGMENT
+                part = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+                here = np.flatnonzero(known[part] == wanted)
+                if len(here):
+                    length = np.array([len(p) for p in parts])
+                    at = (np.cumsum(length) - length - offset)[part[here]] + start[here]
+                    name = Names(np.concatenate(parts)).of(WINDOW)[at]
+                    seed = np.repeat(seeds[some], n)[here]
+                    rows.add(len(here), seed, name, doc[of[here]], mark[of[here]], start[here])
                 yield from rows.take()
         yield from rows.take(1)
 
     return texts.mapInArrow(emit, "seed long, name long, doc long, mark long, start long")
 
 
+def listed(lists: pa.Array, *fields: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of a column of lists of structs: each item's row, and its ``fields``."""
+    size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    items = lists.flatten()
+    return np.repeat(np.arange(len(lists)), size), [items.field(f).to_numpy(zero_copy_only=False) for f in fields]
+
+
 def factors(texts: DataFrame) -> DataFrame:
     """Factors copied from earlier places: doc, mark, start (first window), windows,
     and the source's ref_doc, ref_mark, ref_start. ``texts`` holds doc, mark and text."""
@@ -182,45 +210,44 @@ def remove_duplicates(docs: DataFrame, with_texts: bool = True) -> DataFrame:
     copied = F.struct("start", "windows")
     found = factors(texts).groupBy("doc", "mark").agg(F.collect_list(copied).alias("factors"))
     joined = texts.join(found, ["doc", "mark"], "left").select("doc_id", "text", "factors")
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    kinds = {
-        "doc_id": pa.int64(),
-        "text": pa.string(),
-        "kept": pa.string(),
-        "spans": span,
-        "n_words": pa.int64(),
-        "n_removed": pa.int64(),
-        "kept_sha256": pa.string(),
-    }
-    wanted = [n for n in kinds if with_texts or n not in ("text", "kept")]
-    schema = pa.schema([(n, kinds[n]) for n in wanted])
-
-    def cut(doc_id: int | None, text: str, listed: list[dict] | None) -> dict:
-        words = words_of(text)
-        at = np.array([(f["start"], f["windows"]) for f in listed or []], np.int64).reshape(-1, 2)
-        first, last = covered(at, WINDOW, len(words))
-        edges = [0, *np.stack([first, last], 1).ravel().tolist(), len(words)]
-        left = [w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in words[a:b]]
-        kept = " ".join(left)
-        return {
-            "doc_id": doc_id,
-            "text": text,
-            "kept": kept,
-            "spans": [{"start": a, "end": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)],
-            "n_words": len(words),
-            "n_removed": len(words) - len(left),
-            "kept_sha256": hashlib.sha256(kept.encode()).hexdigest(),
-        }
+    wanted = [x for x in REMOVED.split(", ") if with_texts or x.split()[0] not in ("text", "kept")]
+    names = [x.split()[0] for x in wanted]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, len(batch), 256):
-                rows = [cut(*(v.as_py() for v in r)) for r in zip(*batch.slice(k, 256).columns, strict=True)]
-                columns = [pa.array([r[n] for r in rows], kinds[n]) for n in wanted]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                yield cut(batch.slice(k, 256))
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        of_row, (start, windows) = listed(batch.column(2), "start", "windows")
+        copied = np.stack([start, windows], 1).astype(np.int64)
+        bounds = np.searchsorted(of_row, np.arange(len(batch) + 1))
+        spans, kept, n_words, n_removed = [], [], [], []
+        for row, text in enumerate(batch.column(1)):
+            words = words_of(text.as_py())
+            first, last = covered(copied[bounds[row] : bounds[row + 1]], WINDOW, len(words))
+            spans.append(np.stack([first, last], 1))
+            n_words.append(len(words))
+            n_removed.append(int((last - first).sum()))
+            if len(first):
+                edges = [0, *spans[-1].ravel().tolist(), len(words)]
+                words = [w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in words[a:b]]
+            kept.append(b" ".join(words))
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in spans])])
+        flat = np.concatenate(spans).astype(np.int64)
+        structs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "end"])
+        columns = {
+            "doc_id": batch.column(0),
+            "spans": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs),
+            "n_words": pa.array(n_words, pa.int64()),
+            "n_removed": pa.array(n_removed, pa.int64()),
+            "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
+        }
+        if with_texts:
+            columns |= {"text": batch.column(1), "kept": pa.array([x.decode() for x in kept], pa.string())}
+        return pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
-    chosen = ", ".join(x for x in REMOVED.split(", ") if x.split()[0] in wanted)
-    return joined.mapInArrow(emit, chosen)
+    return joined.mapInArrow(emit, ", ".join(wanted))
 
 
 @query("op2_duplicate_windows", OP2_SQL)

@@ -94,6 +94,29 @@ def runs_of(names: Names, window: int, seed: int) -> Runs | None:
     return Runs(first, last - first + 1, at - first, seeds[at], block)
 
 
+def runs_of_many(parts: list[np.ndarray], window: int, seed: int) -> tuple[Runs, np.ndarray] | None:
+    """The runs of all windows of several sequences of symbols, as ``runs_of`` each, and the
+    number of the sequence that each run lies in. All have fewer than 2^24 symbols."""
+    length = np.array([len(p) for p in parts])
+    begin = np.cumsum(length) - length
+    n = np.maximum(length - window + 1, 0)
+    if not n.any():
+        return None
+    # First symbols of the windows within one sequence; others are looked at and left out.
+    inside = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    names = Names(np.concatenate(parts))
+    seeds, whole = names.of(seed), names.of(window)
+    placed = (seeds & ~_PLACE) | np.arange(len(seeds), dtype=np.uint64)
+    least = _smallest(placed, window - seed + 1)[inside]
+    change = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+    first, last = inside[change], inside[np.concatenate((change[1:], [len(inside)])) - 1]
+    at = (least[change] & _PLACE).astype(np.int64)
+    shape = ((last - first).astype(np.uint64) << np.uint64(16)) | (at - first).astype(np.uint64)
+    block = mix(mix(whole[first], whole[last]), shape)
+    part = np.repeat(np.arange(len(parts)), n)[change]
+    return Runs(first - begin[part], last - first + 1, at - first, seeds[at], block), part
+
+
 def segments(length: int, window: int) -> list[tuple[int, int]]:
     """Bounds of overlapping parts, so that each window lies in exactly one part's windows."""
     return [

@@ -5,8 +5,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from cases import EDGE_ROWS
 
+from meterline.llm import substrings as S
+from meterline.llm import windows as W
 from meterline.llm.queries import QUERIES
 from meterline.llm.substrings import remove_duplicates
 
@@ -78,3 +81,29 @@ def test_many_copies_of_a_passage(make_docs):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert remove_duplicates(none).count() == 0
+
+
+def test_texts_named_together_have_the_runs_of_each():
+    rng = np.random.default_rng(9)
+    parts = [rng.integers(0, 4, n).astype(np.uint64) for n in (0, 5, 19, 20, 21, 300, 3, 40)]
+    found, part = W.runs_of_many(parts, 20, 5)
+    for k, symbols in enumerate(parts):
+        alone = W.runs_of(W.Names(symbols), 20, 5)
+        for name in ("start", "count", "anchor", "seed", "block"):
+            here = getattr(found, name)[part == k].tolist()
+            assert here == (getattr(alone, name).tolist() if alone else []), (k, name)
+
+
+def test_long_texts_are_cut_into_parts(make_docs, monkeypatch):
+    for module in (W, S):
+        monkeypatch.setattr(module, "SEGMENT", 64)
+    monkeypatch.setattr(S, "TOGETHER", 100)
+    rng = np.random.default_rng(10)
+    texts = pa.array([" ".join(f"w{x}" for x in rng.integers(0, 50, n)) for n in (10, 500, 70, 64, 83, 84)])
+    want = [S.symbols_of(S.words_of(t.as_py())) for t in texts]
+    seen = []
+    for rows, offsets, parts in S.together(texts):
+        for row, offset, part in zip(rows, offsets, parts, strict=True):
+            assert part.tolist() == want[row][offset : offset + len(part)].tolist()
+            seen += [(row, offset + k) for k in range(len(part) - 19)]
+    assert sorted(seen) == [(r, k) for r, w in enumerate(want) for k in range(len(w) - 19)]

@@ -184,10 +184,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -
         pairs = materialised(pairs.select("a", "b", "n_a", "n_b"), "close")
     if pairs.isEmpty():
         return pairs.select("a", "b")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(F.xxhash64("node").alias("end"))
-    ends = materialised(ends.distinct(), "ends")
-    if ends.count() <= SENT:  # leaves the sets of all others out of the shuffles below
-        sets = sets.join(F.broadcast(ends), F.xxhash64("node") == F.col("end"), "left_semi")
+    sets = _only(sets, pairs.select(F.explode(F.array("a", "b")).alias("node")))
     full = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"x_{x}"))
     both = pairs.join(full("a"), "a").join(full("b"), "b")
     shared = F.size(F.array_intersect("x_a", "x_b"))
@@ -195,6 +192,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -
     return materialised(both.filter(linked).select("a", "b"), "confirmed")
 
 
+def _only(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``sets``, less those of all other than ``nodes`` where these are few enough to be sent."""
+    ends = materialised(nodes.select(F.xxhash64("node").alias("end")).distinct(), "ends")
+    if ends.count() > SENT:
+        return sets
+    return sets.join(F.broadcast(ends), F.xxhash64("node") == F.col("end"), "left_semi")
+
+
 def _light(sets: DataFrame, x: str) -> DataFrame:
     """What sketches are compared by, of node ``x``."""
     return sets.select(
@@ -215,9 +220,13 @@ def _close(similarity: int) -> Column:
 
 def link_classes(classes: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """(node, label) of all classes with links, of ``classes`` with one document of ``texts`` each."""
-    groups = classes.select("node", F.explode("bands").alias("group"))
+    # A hash of the name halves the rows that are shuffled; one shared by chance only adds members.
+    short = F.xxhash64("node").alias("short")
+    groups = classes.select(short, F.explode("bands").alias("group"))
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = materialised(groups.join(materialised(sizes, "groups"), "group"), "members")
+    shared = materialised(groups.join(materialised(sizes, "groups"), "group"), "shared")
+    members = shared.join(classes.select("node", short), "short").select("group", "node", "n")
+    members = materialised(members, "members")
     sets = materialised(_sets(classes, texts, members.select("node").distinct()), "sets")
     links = labels = None
     waiting = []
@@ -302,6 +311,7 @@ def _narrower(members: DataFrame, hubs: DataFrame, sets: DataFrame, similarity:
     of_hub = rows.filter("node = hub").select("hub", F.col("label").alias("hub_label"))
     rows = rows.filter("node <> hub").join(of_hub, "hub")
     rows = rows.withColumn("far", F.col("label") != F.col("hub_label")).drop("hub_label")
+    sets = _only(sets, rows.select("node").unionByName(rows.select(F.col("hub").alias("node"))))
     x = sets.select("node", "n_shingles", "shingles")
     y = x.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_shingles"))
     delta = F.concat(F.array_except("shingles", "hub_shingles"), F.array_except("hub_shingles", "shingles"))
@@ -333,9 +343,11 @@ def _narrower(members: DataFrame, hubs: DataFrame, sets: DataFrame, similarity:
 def _sets(classes: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, n_shingles, shingles, sketch and parities of ``nodes``, from one document of each."""
     wanted = materialised(classes.select("node", *DOC, "sketch", "parities").join(nodes, "node", "left_semi"), "wanted")
-    if wanted.count() <= SENT:  # few keys leave most texts out of the shuffle below
-        texts = texts.join(F.broadcast(wanted.select("k0").distinct()), "k0", "left_semi")
-    found = texts.join(wanted.select(*DOC), DOC, "left_semi")
+    if wanted.count() <= SENT:  # few keys are sent, and no text is shuffled
+        keys = wanted.select(F.xxhash64(*DOC).alias("key"))
+        found = texts.join(F.broadcast(keys), F.xxhash64(*DOC) == F.col("key"), "left_semi")
+    else:
+        found = texts.join(wanted.select(*DOC), DOC, "left_semi")
     sets = find_sets(found, ", ".join(DOC), whole=True).withColumn("node", _node())
     once = sets.select("node", "n_shingles", "shingles").dropDuplicates(["node"])
     return once.join(wanted.select("node", "sketch", "parities"), "node")

@@ -186,7 +186,7 @@ def test_many_keys_are_joined_by_a_shuffle(spark, make_docs, monkeypatch):
 def test_parities_drop_near_misses_and_no_link():
     rng = np.random.default_rng(11)
     for n, near, kept in ((300, 0.86, True), (300, 0.78, False), (2000, 0.86, True), (20, 0.86, True)):
-        own = round(n * (1 - near) / (1 + near))
+        own = int(n * (1 - near) / (1 + near))
         both = rng.integers(0, 1 << 62, n + own, dtype=np.uint64)
         x, y = (N.parities(s).view(np.uint64) for s in (both[own:], both[: n]))
         ones = sum(int(v).bit_count() for v in x ^ y)

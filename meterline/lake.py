@@ -51,6 +51,10 @@ ROW_GROUP_BYTES = 16 << 20
 #: the rows of one task, so what they buffer is bounded by these.
 OPEN_FILES = 100
 _OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+#: Tasks per core into which a scan that is written is cut, where its files are large enough. Rows
+#: of few bytes each make tasks of 128 MB so long that some cores wait for the last of them.
+TASKS_PER_CORE = 3
+_MIN_TASKS = "spark.sql.files.minPartitionNum"
 
 
 @dataclass(frozen=True)
@@ -220,9 +224,10 @@ def read_bronze(
     batch_id: int | None = None,
     staged: bool = False,
     paths: Sequence[str] | None = None,
+    file_month: bool = False,
 ) -> DataFrame:
     """The raw table, or one batch of it, of which only the batch's own folder is listed, or
-    some partitions (``paths``).
+    some partitions (``paths``); with its partition column if ``file_month`` is set.
 
     The schema is recorded at write time, so no footers are merged here; columns older
     batches lack are NULL and narrower ones are widened by the reader. Where a column has got
@@ -245,8 +250,9 @@ def read_bronze(
     scans = []
     for text, folders in groups.items():
         schema = T.StructType.fromJson(json.loads(text)).add(FILE_PARTITION, "string")
-        rows = spark.read.schema(schema).option("basePath", data).parquet(*folders).drop(FILE_PARTITION)
-        scans.append(rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.fields]))
+        rows = spark.read.schema(schema).option("basePath", data).parquet(*folders)
+        columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.fields]
+        scans.append(rows.select(*columns, *([FILE_PARTITION] if file_month else [])))
     return reduce(DataFrame.unionByName, scans)
 
 
@@ -486,19 +492,23 @@ def write_by_month(
     Rows of a file are sorted by ``order``, in one sort with the partition columns. Row groups
     are smaller in such files, so that their minimum and maximum leave most of them unread.
     """
+    spark = df.sparkSession
+    settings = {_MIN_TASKS: str(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)}
     if order:
         df = df.sortWithinPartitions(*partitions, *order)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*partitions)
     if order:
-        writer.option("parquet.block.size", row_group_bytes).parquet(path)
-        return
-    conf = df.sparkSession.conf
-    before = conf.get(_OPEN_FILES, "0")
-    conf.set(_OPEN_FILES, str(OPEN_FILES))
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    else:
+        settings[_OPEN_FILES] = str(OPEN_FILES)
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         writer.parquet(path)
     finally:
-        conf.set(_OPEN_FILES, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def rebalance(df: DataFrame, *columns: str) -> DataFrame:
@@ -510,10 +520,15 @@ def rebalance(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def rebalance_others(df: DataFrame, here: Column, *columns: str) -> DataFrame:
-    """``rebalance`` for the rows that are not ``here``; those that are stay in their tasks."""
+def rebalance_others(
+    df: DataFrame, here: Column, *columns: str, known: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """``rebalance`` for the rows that are not ``here``; those that are stay in their tasks.
+
+    ``known`` names columns of rows that are ``here`` by what they are equal to, so that they
+    need not be computed once for the test and once again for the row."""
     others = df.where(~F.coalesce(here, F.lit(False)))
-    return df.where(here).unionByName(rebalance(others, *columns))
+    return df.where(here).withColumns(dict(known or {})).unionByName(rebalance(others, *columns))
 
 
 def whole_files(df: DataFrame, month: str, sizes: Mapping[str, int], target_bytes: int) -> DataFrame:

@@ -38,11 +38,34 @@ def recovered(text: Column, spec: ColumnSpec) -> Column:
     return direct
 
 
-def canonical_column(bronze: DataFrame, spec: ColumnSpec) -> Column:
+def canonical_column(bronze: DataFrame, spec: ColumnSpec, saved: Column | None = None) -> Column:
+    """A column in its canonical type; ``saved`` is its rescued text, if that is at hand."""
     typed = F.col(spec.source).try_cast(spec.type)
     if not spec.recover:
         return typed
-    return F.coalesce(typed, recovered(rescued_text(bronze, spec), spec))
+    return F.coalesce(typed, recovered(rescued_text(bronze, spec) if saved is None else saved, spec))
+
+
+# What was rescued of the recovered columns, as texts.
+_SAVED = "_saved"
+
+
+def _saved(spec: ColumnSpec) -> Column:
+    return F.col(f"{_SAVED}.`{spec.name}`")
+
+
+def _with_saved(bronze: DataFrame, contract: TableContract) -> DataFrame:
+    """Adds the texts of all recovered columns. The JSON of a row is parsed once, however many
+    columns are recovered and however often they are used."""
+    spelled = {c.lower(): c for c in bronze.columns}
+    source = {c.name: spelled[c.source.lower()] for c in contract.columns if c.recover}
+    if not source:
+        return bronze
+    ddl = ", ".join(f"`{name}` STRING" for name in dict.fromkeys(source.values()))
+    # A projection of its own, which the optimizer does not merge with those that use it.
+    parsed = bronze.withColumn("_parsed", F.from_json(RESCUED_COLUMN, ddl))
+    texts = [F.col(f"_parsed.`{key}`").alias(name) for name, key in source.items()]
+    return parsed.withColumn(_SAVED, F.struct(*texts)).drop("_parsed")
 
 
 def conform(
@@ -50,39 +73,42 @@ def conform(
     contract: TableContract,
     track_cast_loss: bool = False,
     keep: Sequence[str] = (),
+    file_month: Column | None = None,
 ) -> DataFrame:
-    """Rename, type and derive: one row out per row in, in a single projection.
+    """Rename, type and derive: one row out per row in, without a shuffle.
 
     Casts never abort the job: a value outside its canonical type becomes NULL, and
     ``track_cast_loss`` adds a flag column so that a rule can count such rows. A rescued
     value that a recovered column could not take counts as lost, too.
-    Columns the contract does not know are not projected, except those in ``keep``.
+    Columns the contract does not know are not projected, except those in ``keep``. The month of
+    a row's file is taken from its path, unless ``file_month`` already tells it.
     """
     present = {c.lower() for c in bronze.columns}
     absent = [c.source for c in contract.columns if c.source.lower() not in present]
     if absent:
         raise SchemaContractError("bronze lacks contract columns: " + ", ".join(absent))
 
-    projection = [canonical_column(bronze, c).alias(c.name) for c in contract.columns]
+    if file_month is None:
+        file_month = extract_file_year_month("_source_file_path", contract.file_pattern)
+    projection = [canonical_column(bronze, c, _saved(c)).alias(c.name) for c in contract.columns]
     event_source = contract.column(contract.event_time).source
     projection += [
         year_month(F.col(event_source).try_cast("timestamp")).alias(contract.event_month),
-        extract_file_year_month("_source_file_path", contract.file_pattern).alias(
-            contract.file_month
-        ),
+        file_month.alias(contract.file_month),
         *[F.col(c) for c in (*LINEAGE_COLUMNS, *keep)],
     ]
+    saved_rows = _with_saved(bronze, contract)
     if not track_cast_loss:
-        return bronze.select(*projection)
+        return saved_rows.select(*projection)
 
     # Sources of lossy casts ride along one projection further, so each cast runs once.
     raw = {c.name: f"_raw_{c.name}" for c in contract.columns if _may_lose(bronze, c)}
     sources = [F.col(contract.column(name).source).alias(alias) for name, alias in raw.items()]
     saved = {c.name: f"_rescued_{c.name}" for c in contract.columns if c.recover}
     sources += [
-        rescued_text(bronze, contract.column(name)).alias(alias) for name, alias in saved.items()
+        _saved(contract.column(name)).alias(alias) for name, alias in saved.items()
     ]
-    rows = bronze.select(*projection, *sources)
+    rows = saved_rows.select(*projection, *sources)
     lost = [
         F.col(alias).isNotNull() & F.col(name).isNull()
         for name, alias in (*raw.items(), *saved.items())

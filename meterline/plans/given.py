@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,19 +31,21 @@ def trip_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey")
+    # Once per order, of which there are fewer than lineitems.
+    file_month = F.when(F.col("o_orderkey") % 50 == 0, F.lit("1999-01")).otherwise(
+        year_month("o_orderdate")
+    )
+    orders = orders.withColumn("file_month", file_month)
     rows = (
         table(spark, sf_dir, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
 
-    file_month = F.when(F.col("l_orderkey") % 50 == 0, F.lit("1999-01")).otherwise(
-        year_month("o_orderdate")
-    )
     lines = ("orderkey", "partkey", "suppkey", "linenumber", "quantity", "extendedprice")
     lines += ("discount", "tax", "returnflag", "shipdate")
     return rows.select(
-        *[f"l_{c}" for c in lines], "o_orderdate", "c_nationkey", "s_nationkey", file_month.alias("file_month")
+        *[f"l_{c}" for c in lines], "o_orderdate", "c_nationkey", "s_nationkey", "file_month"
     )
 
 
@@ -51,8 +55,8 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_raw_trips(trip_sources(spark, sf_dir))
 
 
-def as_raw_trips(rows: DataFrame) -> DataFrame:
-    """Raw trips of ``trip_sources``, row by row.
+def as_raw_trips(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw trips of ``trip_sources``, row by row, with the columns in ``keep``.
 
     Pickup is the order date plus some hours, dropoff the ship date; some rows lack a
     passenger count or a dropoff, have a negative amount, or lie in the wrong month's
@@ -91,6 +95,7 @@ def as_raw_trips(rows: DataFrame) -> DataFrame:
         ),
         F.col("o_orderdate").cast("timestamp").alias("_source_file_modification_time"),
         F.col("l_shipdate").cast("timestamp").alias("_ingestion_ts"),
+        *keep,
     )
 
 

@@ -290,15 +290,14 @@ def land_trips(spark: SparkSession, sf_dir: str, root: str, landing_dir: str) ->
         later,
         [*later, F.lit(0.75).alias("cbd_congestion_fee")],
     ]
-    file = F.regexp_extract("_source_file_path", r"[^/]+$", 0)
     rows = spark.read.schema(staged.schema).parquet(f"{root}/staged")
     for i, columns in enumerate(generations):
-        trips = as_raw_trips(rows.where(F.col("generation") == i))
+        trips = as_raw_trips(rows.where(F.col("generation") == i), keep=("file_month",))
         files = trips.select(
             *columns,
-            F.regexp_extract(file, r"_(\d{4})-", 1).alias("year"),
-            F.regexp_extract(file, r"-(\d{2})\.", 1).alias("month"),
-            file.alias("file"),
+            F.substring(month, 1, 4).alias("year"),
+            F.substring(month, 6, 2).alias("month"),
+            F.concat(F.lit("yellow_tripdata_"), month, F.lit(".parquet")).alias("file"),
         )
         store.write_by_month(files, landing_dir, ["year", "month", "file"], "append")
 
@@ -479,7 +478,8 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def pipeline_drift_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = ingested_trips(spark, sf_dir).config.lake
-    return profile(store.read_bronze(spark, lake), TRIPS, "passenger_count")
+    raw = store.read_bronze(spark, lake, file_month=True)
+    return profile(raw, TRIPS, "passenger_count", F.col(store.FILE_PARTITION))
 
 
 @query(

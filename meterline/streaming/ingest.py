@@ -194,8 +194,11 @@ def write_silver(
     retried task is counted once.
     """
     lake, contract = config.lake, config.contract
-    bronze = store.read_bronze(spark, lake, bronze_version, batch_id, staged)
-    rows = conform(bronze, contract, track_cast_loss=True, keep=(BATCH,))
+    # A batch's raw rows were parted just now by the month that their path tells.
+    parted = batch_id is not None
+    bronze = store.read_bronze(spark, lake, bronze_version, batch_id, staged, file_month=parted)
+    month = F.col(FILE_PARTITION) if parted else None
+    rows = conform(bronze, contract, track_cast_loss=True, keep=(BATCH,), file_month=month)
     if not config.clustered_files:
         rows = _clustered(config, rows)
     rules = config.rules + CAST_LOSS_RULE
@@ -234,8 +237,8 @@ def _clustered(config: IngestConfig, rows: DataFrame) -> DataFrame:
     keys = (BATCH, config.contract.event_month)
     if config.order:
         return store.rebalance(rows, *keys)
-    here = F.col(config.contract.event_month) == F.col(config.contract.file_month)
-    return store.rebalance_others(rows, here, *keys)
+    month, file_month = config.contract.event_month, F.col(config.contract.file_month)
+    return store.rebalance_others(rows, F.col(month) == file_month, *keys, known={month: file_month})
 
 
 def write_sorted(

@@ -80,10 +80,13 @@ class Block:
     linked: int
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
 class _Open:
+    """An open element; shared by all that are alike, so it is never changed."""
+
     name: str
     path: int
+    end: int
     dropped: bool
     comment: bool
     main: bool
@@ -155,15 +158,47 @@ def _hash(text: str, path: int) -> int:
     return xxhash.xxh64_intdigest(text, path & _WHOLE) - _HALF
 
 
+_ROOT = _Open("", 0, 0, False, False, False, False)
+#: Of a start tag (or the name of one that tells no more) in an open element: its token and the
+#: element it opens. Pages of a site repeat them; forgotten when there are ``MOST``, and tags of more
+#: than ``LONG`` characters are not kept.
+_STARTED: dict[tuple[str, _Open], tuple[int, _Open]] = {}
+MOST, LONG = 1 << 16, 256
+
+
+def _started(tag: str, name: str, rest: str, above: _Open) -> tuple[int, _Open]:
+    """What ``_STARTED`` holds of a start tag inside ``above``, put there where it is missing."""
+    plain = not rest or not _TOLD.search(rest)
+    key = (name if plain else tag), above
+    found = _STARTED.get(key)
+    if found is None:
+        signature, aside, comment, main = told(name, rest)
+        path = _hash(signature, above.path) if name in BLOCK else above.path
+        comment |= above.comment
+        inside = main or above.main
+        # A page's header is not main text; an article's own holds its headline.
+        aside |= name == "header" and not inside
+        # A main element inside a badly named wrapper counts; one among comments does not.
+        dropped = aside or (above.dropped and not (main and not comment))
+        heading = above.heading or name in ("h1", "h2")
+        opened = _Open(name, path, _hash("/" + name, path), dropped, comment, inside, heading)
+        if len(_STARTED) >= MOST:
+            _STARTED.clear()
+        found = _hash("<" + signature, above.path), opened
+        if len(key[0]) <= LONG:
+            _STARTED[key] = found
+    return found
+
+
 def read(page: str, taker: Distinct | Known) -> list[Block]:
     """Gives a page's tokens to ``taker``, and returns its blocks that may hold main text."""
     numbers, on_tag, on_text = taker.numbers, taker.tag, taker.text
     blocks: list[Block] = []
     parts: list[str] = []
-    stack = [_Open("", 0, False, False, False, False)]
+    stack = [_ROOT]
     first = words_in = linked = 0
-    links, in_main, heading = 0, False, False
-    at, n = 0, len(page)
+    links, paragraphs, in_main, heading = 0, 0, False, False
+    at, n, match, started = 0, len(page), _PIECE.match, _STARTED.get
 
     def finish() -> None:
         nonlocal first, words_in, linked
@@ -175,15 +210,20 @@ def read(page: str, taker: Distinct | Known) -> list[Block]:
         first, words_in, linked = len(numbers), 0, 0
 
     def close(i: int) -> None:
-        nonlocal links
-        if links:
-            links -= sum(o.name == "a" for o in stack[i:])
+        nonlocal links, paragraphs
+        for o in stack[i:]:
+            if o.name == "a":
+                links -= 1
+            elif o.name == "p":
+                paragraphs -= 1
         del stack[i:]
 
     while at < n:
-        piece = _PIECE.match(page, at)
+        piece = match(page, at)
         at = piece.end()
-        if (text := piece["text"]) is not None:
+        kind = piece.lastgroup
+        if kind == "text":
+            text = piece[0]
             top = stack[-1]
             if "&" in text:
                 text = references.unescape(text)
@@ -197,25 +237,35 @@ def read(page: str, taker: Distinct | Known) -> list[Block]:
             if words:
                 on_text(top.path, words)
             continue
-        name = piece["name"] or piece["name2"]
-        if name is None:
+        if kind is None:
             continue  # a comment or a declaration
+        slash, name, rest = piece.group("end", "name", "rest") if kind == "rest" else piece.group("end2", "name2", "rest2")
         name = name.lower()
-        if piece["end"] or piece["end2"]:
+        if slash:
             if name in BLOCK:
-                finish()
+                if parts:
+                    finish()
+                first = len(numbers)
+            top = stack[-1]
+            if top.name == name:
+                on_tag(top.end)
+                stack.pop()
+                links -= name == "a"
+                paragraphs -= name == "p"
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].name == name:
-                    on_tag(_hash("/" + name, stack[i].path))
+                    on_tag(stack[i].end)
                     close(i)
                     break
                 if name not in BLOCK and stack[i].name in BLOCK:
                     break
             continue
-        rest = piece["rest"] if piece["name"] else piece["rest2"]
         if name in BLOCK:
-            finish()
-            if name in CLOSES_P:
+            if parts:
+                finish()
+            first = len(numbers)
+            if paragraphs and name in CLOSES_P:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].name == "p":
                         close(i)
@@ -238,8 +288,9 @@ def read(page: str, taker: Distinct | Known) -> list[Block]:
                     close(i)
                     break
         above = stack[-1]
-        signature, aside, comment, main = told(name, rest)
-        on_tag(_hash("<" + signature, above.path))
+        tag = piece[0]
+        token, opened = started((tag, above)) or _started(tag, name, rest, above)
+        on_tag(token)
         if name in VOID:
             continue
         if name in RAW:
@@ -247,14 +298,8 @@ def read(page: str, taker: Distinct | Known) -> list[Block]:
             at = end.start() if end else n
             if name == "textarea" or end is None:
                 continue
-        path = _hash(signature, above.path) if name in BLOCK else above.path
-        comment |= above.comment
-        inside = main or above.main
-        # A page's header is not main text; an article's own holds its headline.
-        aside |= name == "header" and not inside
-        # A main element inside a badly named wrapper counts; one among comments does not.
-        dropped = aside or (above.dropped and not (main and not comment))
-        stack.append(_Open(name, path, dropped, comment, inside, above.heading or name in ("h1", "h2")))
+        stack.append(opened)
+        paragraphs += name == "p"
         links += name == "a"
         first = len(numbers) if name in BLOCK else first
     finish()

@@ -151,3 +151,22 @@ def test_crossing_classes_are_no_template():
     for kind, a, b, c, x, y, order in templates.facts_of_page([0, 3, 1, 4, 2, 5], member, sizes):
         facts.append({"kind": kind, "a": a, "b": b, "c": c, "x": x, "y": y, "least": order, "most": order})
     assert [c["number"] for c in templates.nested(classes, facts)] == [0]
+
+
+def test_tags_that_pages_repeat_are_read_once(monkeypatch):
+    from meterline.llm import html_tokens as H
+
+    page = '<body class="once"><nav id="x1"><a href="/a">one</a></nav><article><p class="y">two<p>three</article>'
+    one, two, asked, told = H.Distinct(), H.Distinct(), [], H.told
+    blocks = H.read(page, one)
+    monkeypatch.setattr(H, "told", lambda *a: asked.append(a) or told(*a))
+    assert H.read(page.replace('"/a"', '"/b"'), two) == blocks
+    assert (two.tags, two.words) == (one.tags, one.words)
+    assert not asked
+    # However many there are, and however long, few are kept.
+    monkeypatch.setattr(H, "MOST", len(H._STARTED) + 3)
+    for k in range(20):
+        H.read(f'<div class="{chr(97 + k)}"><div class="{"z" * H.LONG}">', H.Distinct())
+        assert len(H._STARTED) <= H.MOST and all(len(tag) <= H.LONG for tag, _ in H._STARTED)
+    again = H.Distinct()
+    assert H.read(page, again) == blocks and (again.tags, again.words) == (one.tags, one.words)

@@ -42,11 +42,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.components import components
+from meterline.llm.components import NODE_BYTES, smallest
 from meterline.llm.oracles import OP5_SQL
 from meterline.llm.registry import query, table
 from meterline.llm.windows import mix
-from meterline.session import materialised
+from meterline.session import SENT_BYTES, materialised, sent
 
 WORDS = 5
 SIMILARITY = 85  # percent
@@ -60,6 +60,9 @@ SMALL = 256
 #: Keys of texts or sets that are sent to all tasks; more are joined by a shuffle of all of these.
 SENT = 4_000_000
 
+#: Bytes that a row of a group and a number takes, and one of a node with its bitmaps.
+GROUP_BYTES, LIGHT_BYTES = 24, 320
+
 #: What tells documents apart: doc_id (0 if it is null), whether it is null, two text hashes.
 DOC = ["doc", "no_id", "k0", "k1"]
 
@@ -173,30 +176,34 @@ def estimate(a: Column, b: Column) -> Column:
     return 1 + F.log(1 - 2 * share) * SKETCH_BITS / (4 * BANDS * ROWS)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int, n_sets: int) -> DataFrame:
     """The ``pairs`` (a, b) of nodes that are linked, by their sketches and then full sets; pairs
     with n_a and n_b have been told by their sketches.
 
-    ``sets`` has node, n_shingles, sketch, parities and shingles.
+    ``sets`` has ``n_sets`` rows of node, n_shingles, sketch, parities and shingles.
     """
     if "n_a" not in pairs.columns:
-        pairs = pairs.join(_light(sets, "a"), "a").join(_light(sets, "b"), "b").filter(_close(similarity))
+        light = [sent(_light(sets, x), n_sets, LIGHT_BYTES) for x in "ab"]
+        pairs = pairs.join(light[0], "a").join(light[1], "b").filter(_close(similarity))
         pairs = materialised(pairs.select("a", "b", "n_a", "n_b"), "close")
-    if pairs.isEmpty():
+    n = pairs.count()
+    if not n:
         return pairs.select("a", "b")
-    sets = _only(sets, pairs.select(F.explode(F.array("a", "b")).alias("node")))
+    sets = _only(sets, pairs.select(F.explode(F.array("a", "b")).alias("node")), 2 * n)
     full = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"x_{x}"))
-    both = pairs.join(full("a"), "a").join(full("b"), "b")
+    both = sent(pairs, n, 2 * NODE_BYTES).join(full("a"), "a").join(full("b"), "b")
     shared = F.size(F.array_intersect("x_a", "x_b"))
     linked = shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * similarity
     return materialised(both.filter(linked).select("a", "b"), "confirmed")
 
 
-def _only(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``sets``, less those of all other than ``nodes`` where these are few enough to be sent."""
-    ends = materialised(nodes.select(F.xxhash64("node").alias("end")).distinct(), "ends")
-    if ends.count() > SENT:
-        return sets
+def _only(sets: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """``sets``, less those of all other than the ``n`` ``nodes`` where these are few enough to be sent."""
+    ends = nodes.select(F.xxhash64("node").alias("end"))
+    if n * GROUP_BYTES > SENT_BYTES:
+        ends = materialised(ends.distinct(), "ends")
+        if ends.count() > SENT:
+            return sets
     return sets.join(F.broadcast(ends), F.xxhash64("node") == F.col("end"), "left_semi")
 
 
@@ -219,24 +226,35 @@ def _close(similarity: int) -> Column:
 
 
 def link_classes(classes: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """(node, label) of all classes with links, of ``classes`` with one document of ``texts`` each."""
+    """(node, label) of the classes that are labelled by another one, of ``classes`` with one
+    document of ``texts`` each."""
     # A hash of the name halves the rows that are shuffled; one shared by chance only adds members.
     short = F.xxhash64("node").alias("short")
+    n_classes = classes.count()
     groups = classes.select(short, F.explode("bands").alias("group"))
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = materialised(groups.join(materialised(sizes, "groups"), "group"), "shared")
-    members = shared.join(classes.select("node", short), "short").select("group", "node", "n")
+    sizes = materialised(sizes, "groups")
+    shared = groups.join(sent(sizes, sizes.count(), GROUP_BYTES), "group")
+    names = classes.select("node", short)
+    if n_classes * NODE_BYTES > SENT_BYTES:
+        shared = materialised(shared, "shared")
+    members = shared.join(sent(names, n_classes, NODE_BYTES), "short").select("group", "node", "n")
     members = materialised(members, "members")
-    sets = materialised(_sets(classes, texts, members.select("node").distinct()), "sets")
+    nodes = sent(members.select("node").distinct(), n_classes, NODE_BYTES)
+    sets = materialised(_sets(classes, texts, nodes), "sets")
+    n = sets.count()
     links = labels = None
     waiting = []
     while not members.isEmpty():
-        hubs = _hubs(members)
+        hubs = _hubs(members, n)
+        hubs = sent(hubs, hubs.count(), NODE_BYTES)
         with_hub = members.join(hubs, "group").filter("node <> hub")
         pairs = with_hub.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        found = confirmed(materialised(pairs, "pairs"), sets, similarity)
+        if n * LIGHT_BYTES > SENT_BYTES:
+            pairs = materialised(pairs, "pairs")
+        found = confirmed(pairs, sets, similarity, n)
         links, labels = _grown(links, labels, found)
-        mixed = _mixed(members, labels)
+        mixed = _mixed(members, labels, n)
         waiting.append(mixed.filter(F.col("n") <= SMALL).select("group", "node"))
         large = mixed.filter(F.col("n") > SMALL)
         if large.isEmpty():
@@ -249,44 +267,46 @@ def link_classes(classes: DataFrame, texts: DataFrame, similarity: int = SIMILAR
     small = reduce(DataFrame.unionByName, waiting)
     if small.isEmpty():
         return labels
-    found = confirmed(_met(small, labels, sets, similarity), sets, similarity)
+    found = confirmed(_met(small, labels, sets, similarity, n), sets, similarity, n)
     return _grown(links, labels, found)[1]
 
 
 def _grown(links: DataFrame | None, labels: DataFrame | None, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All links with those ``found``, and the components; these stay if nothing was found."""
     if links is None:
-        return found, materialised(components(found), "labels")
+        return found, smallest(found)
     if found.isEmpty():
         return links, labels
     links = links.unionByName(found)
-    return links, materialised(components(links), "labels")
+    return links, smallest(links)
 
 
-def _met(small: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def _met(small: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int, n: int) -> DataFrame:
     """(a, b, n_a, n_b) of members of one group and different components that may be linked."""
-    one = small.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    one = one.select("group", F.col("node").alias("a"), F.col("label").alias("l_a")).join(_light(sets, "a"), "a")
-    one = materialised(one, "small")
+    one = small.join(sent(labels, n, 2 * NODE_BYTES), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    one = one.select("group", F.col("node").alias("a"), F.col("label").alias("l_a")).join(sent(_light(sets, "a"), n, LIGHT_BYTES), "a")
+    if n * LIGHT_BYTES > SENT_BYTES:
+        one = materialised(one, "small")
     two = one.select("group", *[F.col(f"{x}a").alias(f"{x}b") for x in ("", "l_", "n_", "s_", "p_")])
     apart = (F.col("l_a") != F.col("l_b")) & (F.col("a") < F.col("b"))
     met = one.join(two, (one["group"] == two["group"]) & apart & _close(similarity))
     return materialised(met.select("a", "b", "n_a", "n_b").distinct(), "met")
 
 
-def _hubs(members: DataFrame) -> DataFrame:
-    """(group, hub): the member of each group with the largest groups overall."""
+def _hubs(members: DataFrame, n: int) -> DataFrame:
+    """(group, hub): the member of each group with the largest groups overall, of ``n`` nodes."""
     weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    weighted = members.select("group", "node").join(weight, "node")
+    weighted = members.select("group", "node").join(sent(weight, n, NODE_BYTES), "node")
     hub = weighted.groupBy("group").agg(F.max(F.struct("weight", "node")).alias("hub"))
     return materialised(hub.select("group", F.col("hub.node").alias("hub")), "hubs")
 
 
-def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(group, node, n, label) of the groups whose members lie in several components; of groups
-    with the same members, one."""
-    marked = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    marked = materialised(marked, "marked")
+def _mixed(members: DataFrame, labels: DataFrame, n: int) -> DataFrame:
+    """(group, node, n, label) of the groups whose members, of ``n`` nodes, lie in several
+    components; of groups with the same members, one."""
+    marked = members.join(sent(labels, n, 2 * NODE_BYTES), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    if n * 2 * NODE_BYTES > SENT_BYTES:
+        marked = materialised(marked, "marked")
     same = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"x{k}") for k in (0, 1)]
     seen = marked.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"), *same).filter("low < high")
     once = seen.groupBy("x0", "x1").agg(F.min("group").alias("group"))
@@ -308,32 +328,35 @@ def _narrower(members: DataFrame, hubs: DataFrame, sets: DataFrame, similarity:
     c = (100 - similarity) / (100 + similarity)
     rows = members.join(hubs, "group").select("hub", "node", "label").distinct()
     rows = materialised(rows, "rows")
+    n = rows.count()
     of_hub = rows.filter("node = hub").select("hub", F.col("label").alias("hub_label"))
-    rows = rows.filter("node <> hub").join(of_hub, "hub")
+    ends = rows.select("node").unionByName(rows.select(F.col("hub").alias("node")))
+    rows = rows.filter("node <> hub").join(sent(of_hub, n, 2 * NODE_BYTES), "hub")
     rows = rows.withColumn("far", F.col("label") != F.col("hub_label")).drop("hub_label")
-    sets = _only(sets, rows.select("node").unionByName(rows.select(F.col("hub").alias("node"))))
+    sets = _only(sets, ends, 2 * n)
     x = sets.select("node", "n_shingles", "shingles")
     y = x.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_shingles"))
     delta = F.concat(F.array_except("shingles", "hub_shingles"), F.array_except("hub_shingles", "shingles"))
-    rows = rows.join(x, "node").join(y, "hub").select("hub", "node", "label", "far", "n_shingles", delta.alias("delta"))
+    rows = sent(rows, n, 3 * NODE_BYTES).join(x, "node").join(y, "hub").select("hub", "node", "label", "far", "n_shingles", delta.alias("delta"))
     rows = rows.withColumn("size", F.size("delta")).withColumn("w", F.col("size") - c * F.col("n_shingles"))
     rows = materialised(rows, "deltas")
     # Members of the hub's component need only meet others; these need to meet all.
     least = rows.groupBy("hub").agg(F.min("w").alias("any"), F.min(F.when(F.col("far"), F.col("w"))).alias("outer"))
     meets = (F.col("w") + F.when(F.col("far"), F.col("any")).otherwise(F.col("outer"))) / 2
     shared = F.greatest(F.lit(1), F.ceil(meets - 1e-6))
-    first = rows.drop("delta").join(least.filter("outer is not null"), "hub")
+    first = rows.drop("delta").join(sent(least.filter("outer is not null"), n, NODE_BYTES), "hub")
     first = first.select("hub", "node", "label", "size", (F.col("size") - shared + 1).alias("first")).filter("first > 0")
     spread = rows.select("hub", "node", F.explode("delta").alias("s"))
     often = spread.groupBy("hub", "s").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    held = materialised(spread.join(often, ["hub", "s"]), "held")
-    # Shingles that no other delta holds come first and need not be listed.
-    alone = held.groupBy("hub", "node").agg(F.count(F.lit(1)).alias("listed"))
-    first = first.join(alone, ["hub", "node"])
-    first = first.select("hub", "node", "label", (F.col("first") - F.col("size") + F.col("listed")).alias("left"))
-    ranked = held.join(first.filter("left > 0"), ["hub", "node"])
-    place = F.row_number().over(Window.partitionBy("hub", "node").orderBy("often", "s"))
-    named = ranked.withColumn("place", place).filter("place <= left")
+    held = spread.join(often, ["hub", "s"])
+    if n * 3 * NODE_BYTES > SENT_BYTES:
+        held = materialised(held, "held")
+    of_node = Window.partitionBy("hub", "node")
+    ranked = held.join(sent(first, n, 3 * NODE_BYTES), ["hub", "node"])
+    place = F.row_number().over(of_node.orderBy("often", "s"))
+    ranked = ranked.withColumns({"place": place, "listed": F.count(F.lit(1)).over(of_node)})
+    # Shingles that no other delta holds come first and are not listed.
+    named = ranked.filter("place <= first - size + listed")
     named = materialised(named.select(F.xxhash64("hub", "s").alias("group"), "node", "label").distinct(), "named")
     sizes = named.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
     sizes = sizes.filter("low < high").select("group", "n")
@@ -343,14 +366,15 @@ def _narrower(members: DataFrame, hubs: DataFrame, sets: DataFrame, similarity:
 def _sets(classes: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, n_shingles, shingles, sketch and parities of ``nodes``, from one document of each."""
     wanted = materialised(classes.select("node", *DOC, "sketch", "parities").join(nodes, "node", "left_semi"), "wanted")
-    if wanted.count() <= SENT:  # few keys are sent, and no text is shuffled
+    n = wanted.count()
+    if n <= SENT:  # few keys are sent, and no text is shuffled
         keys = wanted.select(F.xxhash64(*DOC).alias("key"))
         found = texts.join(F.broadcast(keys), F.xxhash64(*DOC) == F.col("key"), "left_semi")
     else:
         found = texts.join(wanted.select(*DOC), DOC, "left_semi")
     sets = find_sets(found, ", ".join(DOC), whole=True).withColumn("node", _node())
     once = sets.select("node", "n_shingles", "shingles").dropDuplicates(["node"])
-    return once.join(wanted.select("node", "sketch", "parities"), "node")
+    return once.join(sent(wanted.select("node", "sketch", "parities"), n, LIGHT_BYTES), "node")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -378,7 +402,7 @@ def grouped(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
         .select("node", "one.*")
     )
     classes = materialised(classes, "classes")
-    labels = materialised(link_classes(classes, keyed, similarity), "labels")
+    labels = link_classes(classes, keyed, similarity)
     joined = found.select(*DOC, "n_shingles", "node").join(labels, "node", "left")
     label = F.when(F.col("n_shingles") > 0, F.coalesce("label", "node"))
     return materialised(joined.select(*DOC, "n_shingles", label.alias("label")), "grouped")
@@ -389,7 +413,10 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     found = grouped(docs, similarity)
     doc_id = F.when(F.col("no_id") == 0, F.col("doc"))
     least = found.filter("label is not null").groupBy("label").agg(F.min(doc_id).alias("component_id"))
-    joined = found.join(materialised(least, "components"), "label", "left")
+    n = found.count()
+    if n * NODE_BYTES > SENT_BYTES:
+        least = materialised(least, "components")
+    joined = found.join(sent(least, n, NODE_BYTES), "label", "left")
     component = F.when(F.col("label").isNull(), doc_id).otherwise(F.col("component_id"))
     return joined.select(
         doc_id.alias("doc_id"),

@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import broadcast
 
 # Runtime settings that change results: wall-clock semantics and name matching.
 PINNED = {
@@ -71,6 +72,15 @@ def materialised(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes up to which a table of known length is sent to all tasks (Spark's own bound is 10 MB).
+SENT_BYTES = 8 << 20
+
+
+def sent(rows: DataFrame, n: int, width: int) -> DataFrame:
+    """``rows``, to be broadcast in a join if ``n`` of them with ``width`` bytes are few."""
+    return broadcast(rows) if n * width <= SENT_BYTES else rows
+
+
 _SHIPPED: set[str] = set()
 
 

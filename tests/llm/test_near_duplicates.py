@@ -202,3 +202,22 @@ def test_a_star_takes_one_round_of_steps(spark, monkeypatch):
     links = spark.createDataFrame([("a", f"b{k:02d}") for k in range(50)], "a string, b string")
     assert {r.label for r in components(links).collect()} == {"a"}
     assert len(written) <= 3, written
+
+
+def test_few_texts_are_not_shuffled_and_written_step_by_step(make_docs, monkeypatch):
+    rows = templated(40, np.random.default_rng(7))
+    written, kept = [], N.materialised
+    monkeypatch.setattr(N, "materialised", lambda df, label: written.append(label) or kept(df, label))
+    assert got(N.near_duplicates(make_docs(rows))) == brute(rows)
+    assert not {"shared", "pairs", "ends", "labels", "marked", "small"}.intersection(written), written
+
+
+@pytest.mark.parametrize("small", [2, 256])
+def test_many_texts_are_joined_by_shuffles(make_docs, monkeypatch, small):
+    from meterline import session
+
+    for module in (session, N):
+        monkeypatch.setattr(module, "SENT_BYTES", 0)
+    monkeypatch.setattr(N, "SMALL", small)
+    rows = templated(40, np.random.default_rng(8))
+    assert got(N.near_duplicates(make_docs(rows))) == brute(rows)

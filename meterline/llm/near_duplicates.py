@@ -66,9 +66,12 @@ GROUP_BYTES, LIGHT_BYTES = 24, 320
 #: What tells documents apart: doc_id (0 if it is null), whether it is null, two text hashes.
 DOC = ["doc", "no_id", "k0", "k1"]
 
-_U = np.uint64
-_LANES = mix(np.arange(1, BANDS * ROWS + 1, dtype=_U), np.arange(1001, BANDS * ROWS + 1001, dtype=_U)) | _U(1)
-_ADD = mix(np.arange(3, BANDS * ROWS + 3, dtype=_U), np.arange(77, BANDS * ROWS + 77, dtype=_U))
+#: Shingles that are hashed at once: what they take stays in a core's cache.
+BLOCK = 256
+
+_U, _HALF = np.uint64, np.uint32
+_LANES = mix(np.arange(1, BANDS * ROWS + 1, dtype=_U), np.arange(1001, BANDS * ROWS + 1001, dtype=_U)).astype(_HALF) | _HALF(1)
+_ADD = mix(np.arange(3, BANDS * ROWS + 3, dtype=_U), np.arange(77, BANDS * ROWS + 77, dtype=_U)).astype(_HALF)
 
 
 def shingle_set(text: str) -> np.ndarray:
@@ -76,8 +79,7 @@ def shingle_set(text: str) -> np.ndarray:
     words = text.encode().lower().split()  # of bytes: A-Z only, and these six kinds of space
     if not words:
         return np.zeros(0, _U)
-    name = xxhash.xxh3_64_intdigest
-    names = np.fromiter((name(w) for w in words), _U, len(words))
+    names = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(_U)
     width = min(WORDS, len(words))
     n = len(words) - width + 1
     out = np.full(n, width, _U)
@@ -87,14 +89,20 @@ def shingle_set(text: str) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """MinHash values; shingles are taken in blocks, so long texts need no more memory."""
-    low = np.full(BANDS * ROWS, ~_U(0))
-    for k in range(0, len(shingles), 1024):
-        hashed = shingles[k : k + 1024, None] * _LANES + _ADD
-        hashed ^= hashed >> _U(31)
-        hashed *= _U(0x9E3779B97F4A7C15)
-        low = np.minimum(low, hashed.min(axis=0))
-    return low
+    """MinHash values of 32 bits; shingles are taken in blocks, so long texts need no more memory."""
+    low = np.full(BANDS * ROWS, ~_HALF(0))
+    short = (shingles ^ shingles >> _U(32)).astype(_HALF)
+    room = np.empty((2, min(BLOCK, len(short)), BANDS * ROWS), _HALF)
+    for k in range(0, len(short), BLOCK):
+        part = short[k : k + BLOCK, None]
+        hashed, shifted = room[:, : len(part)]
+        np.multiply(part, _LANES, out=hashed)
+        hashed += _ADD
+        np.right_shift(hashed, _HALF(15), out=shifted)
+        hashed ^= shifted
+        hashed *= _HALF(0x9E3779B1)
+        np.minimum(low, hashed.min(axis=0), out=low)
+    return low.astype(_U)
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
@@ -433,9 +441,23 @@ def one_of_each(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     order = ["no_id", "doc", "k0", "k1"]
     first = found.filter("label is not null").groupBy("label").agg(F.min(F.struct(*order)).alias("one"))
     stay = first.select("one.*").unionByName(found.filter("label is null").select(*order).distinct())
-    rows = _keyed(docs.select(F.struct("*").alias("_row"), "doc_id", "text"))
     staying = materialised(stay, "stay").select(*DOC)
-    return rows.drop("doc_id", "text").join(staying, DOC, "left_semi").dropDuplicates(DOC).select("_row.*")
+    rows = _keyed(docs.select(F.struct("*").alias("_row"), "doc_id", "text")).drop("doc_id", "text")
+    # Rows whose key is of one row, which stays, need no shuffle; the others' keys are few or not sent.
+    key = F.xxhash64(*DOC).alias("key")
+    all_keys = found.select(key, F.lit(1).alias("n"), F.lit(0).alias("stay"))
+    all_keys = all_keys.unionByName(staying.select(key, F.lit(0).alias("n"), F.lit(1).alias("stay")))
+    odd = all_keys.groupBy("key").agg(F.sum("n").alias("n"), F.sum("stay").alias("stay")).filter("n <> 1 or stay <> 1")
+    odd = materialised(odd.select("key", "stay"), "odd")
+    n, n_stay = odd.agg(F.count(F.lit(1)), F.count_if(F.col("stay") > 0)).first()
+    once = lambda some: some.join(staying, DOC, "left_semi").dropDuplicates(DOC).select("_row.*")
+    if n > SENT:
+        return once(rows)
+    marked = rows.withColumn("key", key)
+    plain = marked.join(F.broadcast(odd.select("key")), "key", "left_anti").select("_row.*")
+    if not n_stay:
+        return plain
+    return plain.unionByName(once(marked.join(F.broadcast(odd.filter("stay > 0").select("key")), "key", "left_semi")))
 
 
 @query("op5_near_duplicates", OP5_SQL)

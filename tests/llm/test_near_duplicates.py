@@ -219,3 +219,36 @@ def test_many_texts_are_joined_by_shuffles(make_docs, monkeypatch):
         monkeypatch.setattr(module, "SENT_BYTES", 0)
     rows = templated(40, np.random.default_rng(8))
     assert got(N.near_duplicates(make_docs(rows))) == brute(rows)
+
+
+def test_signatures_hold_short_values_that_tell_similarities():
+    rng = np.random.default_rng(12)
+    for n, own in ((1, 0), (20, 2), (300, 33), (1000, 111)):
+        shared = []
+        for _ in range(200):
+            both = N.mix(rng.integers(0, 1 << 62, n, dtype=np.uint64), np.full(n, 5, np.uint64))
+            a, b = (N.signature(np.unique(s)) for s in (both[own:], both[: n - own]))
+            assert max(a) < 1 << 32 and a.dtype == np.uint64
+            shared.append(np.mean(a == b))
+        true = (n - 2 * own) / n
+        assert abs(np.mean(shared) - true) < 0.01, (n, true)
+        assert np.std(shared) < 1.25 * (true * (1 - true) / len(a)) ** 0.5 + 1e-9, n
+
+
+def test_rows_that_stay_are_not_shuffled(make_docs):
+    rows = templated(40, np.random.default_rng(9))
+    found = N.one_of_each(make_docs(rows).select("doc_id", "text"), 85)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Aggregate" not in plan, plan
+    kept = {x[0] for x in brute(rows) if x[3]}
+    assert sorted(r.doc_id for r in found.collect()) == sorted(kept) and len(kept) < len(rows)
+
+
+@pytest.mark.parametrize("sent", [N.SENT, 1])
+def test_one_of_repeated_and_linked_rows_stays(make_docs, monkeypatch, sent):
+    text = " ".join(f"w{k}" for k in range(100))
+    rows = [(1, text), (1, text), (2, text + " more"), (3, "alone"), (3, "alone"), (None, "alone"), (None, None), (None, None)]
+    monkeypatch.setattr(N, "SENT", sent)
+    found = N.one_of_each(make_docs([*rows, (4, "another one"), (5, "")])).select("doc_id", "text").collect()
+    want = [(1, text), (3, "alone"), (4, "another one"), (5, ""), (None, None)]
+    assert Counter(map(tuple, found)) == Counter(want)

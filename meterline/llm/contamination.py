@@ -41,8 +41,11 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def words_of(text: Column) -> Column:
-    lower = F.translate(F.coalesce(text, F.lit("")), _UPPER, _UPPER.lower())
-    return F.filter(F.split(lower, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    text = F.coalesce(text, F.lit(""))
+    # Texts of ASCII only need no look-up of each character.
+    plain = F.octet_length(text) == F.length(text)
+    lower = F.when(plain, F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
+    return F.array_remove(F.split(lower, "[\\x20\\x09-\\x0D]+"), "")
 
 
 def shingles(words: Column, width: int) -> Column:
@@ -92,11 +95,13 @@ def sample(shingle_rows: DataFrame, samples: int = SAMPLES) -> DataFrame:
     return small.unionByName(sampled)
 
 
-def _worded(docs: DataFrame) -> DataFrame:
-    keyed = docs.select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("doc_mark"), words_of(F.col("text")).alias("words")
-    )
-    return keyed.withColumn("n_words", F.size("words"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("doc_mark"), "text")
+
+
+def _worded(keyed: DataFrame) -> DataFrame:
+    worded = keyed.select("doc", "doc_mark", words_of(F.col("text")).alias("words"))
+    return worded.withColumn("n_words", F.size("words"))
 
 
 def contained(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
@@ -106,7 +111,7 @@ def contained(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFr
     samples = session.materialised(sample(wanted), "samples")
     widths = sorted(r["width"] for r in wanted.select("width").distinct().collect())  # five at most
     keys = ["doc", "doc_mark"]
-    worded = _worded(docs)
+    worded = _worded(_keyed(docs))
     hits = None
     for width in widths or [WORDS]:
         rows = worded.select(*keys, "n_words", F.explode(shingles(F.col("words"), width)).alias("s"))
@@ -126,7 +131,7 @@ def contained(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFr
         held.groupBy(*group).agg(F.sum("weight").alias("held")).filter(F.col("held") >= enough).drop("held"),
         "candidates",
     )
-    sought = worded.join(candidates.select(*keys).distinct(), keys, "left_semi")
+    sought = _worded(_keyed(docs).join(candidates.select(*keys).distinct(), keys, "left_semi"))
     counted = None
     for width in widths or [WORDS]:
         rows = sought.select(*keys, F.explode(shingles(F.col("words"), width)).alias("s"))

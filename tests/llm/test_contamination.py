@@ -5,7 +5,9 @@ from collections import Counter
 
 import numpy as np
 from cases import EDGE_ROWS
+from pyspark.sql import functions as F
 
+from meterline.llm import contamination as C
 from meterline.llm.contamination import contamination
 from meterline.llm.queries import QUERIES
 
@@ -101,3 +103,19 @@ def test_empty_tables(make_docs, spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     rows = contamination(make_docs(EDGE_ROWS), empty).collect()
     assert len(rows) == len(EDGE_ROWS) and not any(r["n_items"] for r in rows)
+
+
+def test_words_of_mixed_scripts(spark):
+    rows = ["Plain  ASCII\tText\x0b\n", "ÀB Éa ΑΣ İI ß𝒜Z", " \x85 A\x1cB", "", " ", "A\x00B [Z]", None]
+    df = spark.createDataFrame([(x,) for x in rows], "text string")
+    found = [r[0] for r in df.select(C.words_of(F.col("text"))).collect()]
+    assert found == [words_of(x) for x in rows]
+
+
+def test_only_candidates_are_split_again(make_docs, spark):
+    items = spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string")
+    found = C.contained(make_docs([(1, "zero one two three four five six seven"), (2, "none of it here at all")]), items)
+    assert [(r.doc, r.item_id, r.containment) for r in found.collect()] == [(1, 1, 1.0)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joined = next(k for k, x in enumerate(plan) if "Join LeftSemi" in x)
+    assert not any("split(" in x for x in plan[joined:]), plan
